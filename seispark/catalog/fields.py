@@ -60,13 +60,13 @@ def clip_quantile_large(spark, folder):
     )
 
 
-@query("average_models", over("b_misfits", """select event, round(avg(misfit), 4) as value, count(*) as n from b_misfits
+@query("average_models", over("b_misfits", """select event, round(avg(sqrt(misfit)), 6) as value, count(*) as n from b_misfits
   where iteration between 10 and 40 group by event"""))
 def average_models(spark, folder):
-    models = tables.misfits(spark, folder)
+    models = tables.misfits(spark, folder).withColumn("misfit", F.sqrt("misfit"))
     mean = fields.average_models(models, 10, 40, ("event",), "misfit")
     n = models.where("iteration between 10 and 40").groupBy("event").agg(F.count("*").alias("n"))
-    return mean.join(n, "event").select("event", rnd("misfit", 4).alias("value"), "n")
+    return mean.join(n, "event").select("event", rnd("misfit", 6).alias("value"), "n")
 
 
 # ---- cutting regions ------------------------------------------------------

@@ -36,6 +36,13 @@ def update_nodal(spark, path, old, new_iteration, new):
     return write_nodal(replace_params(target, new), path)
 
 
+def read_iteration(spark, path, iteration):
+    """One past iteration; an iteration that is not there is an error."""
+    if not exists(spark, f"{path}/iteration={iteration}"):
+        raise ValueError(f"no iteration {iteration} in {path}")
+    return spark.read.parquet(path).where(F.col("iteration") == iteration)
+
+
 def build_receivers(stations, path):
     """Station list with geocentric latitude; written once, read back afterwards.
 
