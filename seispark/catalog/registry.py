@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from seispark.catalog import fields, updates  # noqa: F401
+from seispark.catalog import fields, traces, updates  # noqa: F401
 from seispark.catalog.views import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -67,17 +67,9 @@ def spread_ranges(ranges, start="start", stop="stop", size=CHUNK):
 
 def in_ranges(samples, ranges, how="inner", start="start", stop="stop", size=CHUNK):
     """Interval join of samples (with chunk) and index ranges [start, stop)."""
-    pieces = spread_ranges(ranges, start, stop, size)
-    hit = (
-        (samples["trace"] == pieces["trace"])
-        & (samples["chunk"] == pieces["chunk"])
-        & (samples["i"] >= pieces[start])
-        & (samples["i"] < pieces[stop])
-    )
-    joined = samples.join(pieces, hit, how)
-    if how in ("left_semi", "left_anti"):
-        return joined
-    return joined.select(samples["*"], *[pieces[c] for c in pieces.columns if c not in ("trace", "chunk")])
+    pieces = spread_ranges(ranges, start, stop, size).withColumnsRenamed({"trace": "_trace", "chunk": "_chunk"})
+    hit = F.expr(f"trace = _trace and chunk = _chunk and i >= {start} and i < {stop}")
+    return samples.join(pieces, hit, how).drop("_trace", "_chunk")
 
 
 def runs(valid, size=CHUNK):
@@ -128,14 +120,78 @@ def number_rows(df, key, order, bucket, name="i"):
     )
 
 
-def neighbour_values(samples, columns, size=CHUNK):
-    """Add prev_<c>, next_<c> for each column (null at the trace ends)."""
-    edged = with_halo(samples, 1, 1, size)
-    with_both = reduce(
-        lambda d, c: d.withColumn(f"prev_{c}", F.lag(c).over(by_chunk())).withColumn(
-            f"next_{c}", F.lead(c).over(by_chunk())
-        ),
-        columns,
-        edged,
+def sibling(rows, columns, name, after=True):
+    """Struct ``name`` of the columns of the next (or previous) row of the trace; rows may be sparse.
+
+    The neighbour is looked up inside the chunk; for a row at a chunk's edge it
+    comes from the nearest chunk that has rows, found among one row per chunk.
+    """
+    rows = rows.withColumn("_me", F.struct(*columns))
+    inside = (F.lead if after else F.lag)("_me").over(by_chunk())
+    pick = F.min_by if after else F.max_by
+    edge = rows.groupBy("trace", "chunk").agg(pick("_me", "i").alias("_edge"))
+    by_chunks = Window.partitionBy("trace").orderBy("chunk")
+    edge = edge.select("trace", "chunk", (F.lead if after else F.lag)("_edge").over(by_chunks).alias("_other"))
+    return (
+        rows.join(edge, ["trace", "chunk"])
+        .withColumn(name, F.coalesce(inside, F.col("_other")))
+        .drop("_me", "_other")
+    )
+
+
+def nearest(refs, targets, size=CHUNK):
+    """Each target (trace, i, ...) with ``match``, the position of the nearest reference in its trace.
+
+    A tie goes to the right; targets outside the references take the first or
+    last one. Targets of traces without references are dropped.
+    """
+    refs = refs.select("trace", "i").withColumn("chunk", F.floor(F.col("i") / size).cast("bigint"))
+    placed = number_rows(refs.withColumn("_c", F.col("chunk")), "trace", ["i"], F.col("_c"), "pos").drop("_c")
+    extra = [c for c in targets.columns if c not in ("trace", "i", "chunk")]
+    both = placed.select(
+        "trace", "chunk", F.col("i").cast("double").alias("at"), F.struct("i", "pos").alias("ref"), F.lit(1).alias("is_ref"),
+        *[F.lit(None).cast(targets.schema[c].dataType).alias(c) for c in ["i", *extra] if c != "trace"],
+    ).unionByName(
+        targets.select(
+            "trace", F.floor(F.col("i") / size).cast("bigint").alias("chunk"), F.col("i").cast("double").alias("at"),
+            F.lit(None).cast(placed.select(F.struct("i", "pos").alias("x")).schema["x"].dataType).alias("ref"),
+            F.lit(0).alias("is_ref"), "i", *extra,
+        )
+    )
+    up = Window.partitionBy("trace", "chunk").orderBy("at", "is_ref").rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy("trace", "chunk").orderBy(F.desc("at"), F.desc("is_ref")).rowsBetween(Window.unboundedPreceding, -1)
+    ends = both.groupBy("trace", "chunk").agg(
+        F.min_by("ref", F.when(F.col("is_ref") == 1, F.col("at"))).alias("first"),
+        F.max_by("ref", F.when(F.col("is_ref") == 1, F.col("at"))).alias("last"),
+    )
+    order = Window.partitionBy("trace").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    back = Window.partitionBy("trace").orderBy(F.desc("chunk")).rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.select(
+        "trace", "chunk",
+        F.last("last", ignorenulls=True).over(order).alias("before"),
+        F.last("first", ignorenulls=True).over(back).alias("beyond"),
+    )
+    found = (
+        both.withColumn("left", F.last("ref", ignorenulls=True).over(up))
+        .withColumn("right", F.last("ref", ignorenulls=True).over(down))
+        .where("is_ref = 0")
+        .join(carry, ["trace", "chunk"])
+        .withColumn("left", F.coalesce("left", "before"))
+        .withColumn("right", F.coalesce("right", "beyond"))
+    )
+    match = F.expr(
+        "case when left is null then right.pos when right is null then left.pos "
+        "when i - left.i < right.i - i then left.pos else right.pos end"
+    )
+    return found.withColumn("match", match).where("match is not null").select("trace", "chunk", "i", *extra, "match")
+
+
+def blocks(samples, columns, extra=()):
+    """One row per (trace, chunk): ``lo`` and an array per column, in order of i.
+
+    An array holds at most one chunk. ``extra`` columns are constant per trace.
+    """
+    packed = samples.groupBy("trace", "chunk", *extra).agg(
+        F.sort_array(F.collect_list(F.struct("i", *columns))).alias("p")
     )
-    return owned(with_both)
+    return packed.select("trace", "chunk", *extra, F.col("p.i")[0].alias("lo"), *[F.col(f"p.{c}").alias(c) for c in columns])

@@ -36,6 +36,28 @@ def update_nodal(spark, path, old, new_iteration, new):
     return write_nodal(replace_params(target, new), path)
 
 
+def write_traces(samples, path):
+    """Chunk arrays (event, station, tag, chunk, samples), one folder per event."""
+    packed = samples.groupBy("event", "station", "tag", "chunk").agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("p"))
+    packed.select("event", "station", "tag", "chunk", F.col("p.v").alias("samples")).write.mode("append").partitionBy("event").parquet(path)
+    return path
+
+
+def read_traces(spark, path, event, station=None, tag=None):
+    """Chunks of one event; the event prunes folders."""
+    rows = spark.read.parquet(path).where(F.col("event") == event)
+    if station is not None:
+        rows = rows.where(F.col("station") == station)
+    return rows if tag is None else rows.where(F.col("tag") == tag)
+
+
+def preferred_origin(origins):
+    """Per event the preferred origin, else the first one."""
+    rest = [c for c in origins.columns if c != "event"]
+    order = F.struct((~F.col("preferred")).cast("int"), "origin")
+    return origins.groupBy("event").agg(F.min_by(F.struct(*rest), order).alias("o")).select("event", "o.*")
+
+
 def read_iteration(spark, path, iteration):
     """One past iteration; an iteration that is not there is an error."""
     if not exists(spark, f"{path}/iteration={iteration}"):

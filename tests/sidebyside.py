@@ -7,6 +7,7 @@ import glob
 import math
 import os
 import sys
+import threading
 import time
 
 import duckdb
@@ -65,6 +66,11 @@ def compare(spark, con, folder, fn, sql):
     return (None if a else "both empty"), len(got)
 
 
+def give_up(name):
+    print(f"FAIL {name}: over the time limit, stopping", flush=True)
+    os._exit(1)
+
+
 if __name__ == "__main__":
     import __spark_entry__ as entry
     from seispark.session import local_session
@@ -78,10 +84,13 @@ if __name__ == "__main__":
     failed = []
     for name in picked:
         t = time.time()
+        guard = threading.Timer(float(os.environ.get("LIMIT", "90")), give_up, [name])
+        guard.start()
         try:
             verdict, n = compare(spark, con, sf, qs[name], sqls.get(name))
         except Exception as e:  # noqa: BLE001
             verdict, n = f"{type(e).__name__}: {str(e)[:1500]}", 0
+        guard.cancel()
         mark = "ok  " if verdict is None else "FAIL"
         print(f"{mark} {name:26s} {n:7d} rows {time.time()-t:6.2f}s {'' if name in sqls else '(no sql) '}{verdict or ''}", flush=True)
         if verdict:
