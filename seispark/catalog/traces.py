@@ -276,7 +276,7 @@ PREPROCESS = (
 )
 
 
-@query("preprocess_traces", over("b_samples", PREPROCESS + "select trace, i, round(v, 4) + 0.0e0 as v from lz", True))
+@query("preprocess_traces", over("b_samples", PREPROCESS + "select trace, i, round(cast(cast(v as float) as double), 4) + 0.0e0 as v from lz", True))
 def preprocess_traces(spark, folder):
     out = traces.preprocess(tables.samples(spark, folder), 1.0, 2.5, 8.0, 40.0, 20)
     return out.select("trace", "i", rnd(F.col("v").cast("double"), 4).alias("v"))
@@ -292,14 +292,16 @@ def source_time_function(spark, folder):
 
 # ---- envelope and correlation ---------------------------------------------
 
-HILBERT = """, hn as (select trace, count(*) as n from {t} group by trace),
-hb as (select a.trace, a.i, sum(b.v * case when a.i = b.i then 0.0e0
+def hilbert_sql(name, source, v="v"):
+    """CTE {name}(trace, i, h): discrete Hilbert transform of column v."""
+    return f""", {name}_n as (select trace, count(*) as n from {source} group by trace),
+{name} as (select a.trace, a.i, sum(b.{v} * case when a.i = b.i then 0.0e0
    when n % 2 = 0 then case when (a.i - b.i) % 2 = 0 then 0.0e0 else 2.0e0/n/tan(pi()*(a.i - b.i)/n) end
    else (1.0e0/tan(pi()*(a.i - b.i)/n) - (case when (a.i - b.i) % 2 = 0 then 1.0e0 else -1.0e0 end)/sin(pi()*(a.i - b.i)/n))/n end) as h
-  from {t} a join {t} b on a.trace = b.trace join hn on hn.trace = a.trace group by a.trace, a.i)"""
+  from {source} a join {source} b on a.trace = b.trace join {name}_n c on c.trace = a.trace group by a.trace, a.i)"""
 
 
-@query("envelope", over("b_samples", HILBERT.format(t="b_samples") + """select s.trace, s.i, round(sqrt(v*v + h*h), 6) as envelope
+@query("envelope", over("b_samples", hilbert_sql("hb", "b_samples") + """select s.trace, s.i, round(sqrt(v*v + h*h), 6) as envelope
   from b_samples s join hb on hb.trace = s.trace and hb.i = s.i"""))
 def envelope(spark, folder):
     return traces.envelope(tables.samples(spark, folder)).select("trace", "i", rnd("env_v", 6).alias("envelope"))

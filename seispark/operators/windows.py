@@ -196,6 +196,7 @@ def extrema(series, ranges, size=CHUNK):
     inner = sibling(steps.select("trace", "chunk", "i", "up"), ["up"], "next").where("up <> next.up").select(
         "trace", "i", F.col("up").alias("peak")
     )
+    inner = materialise(inner, "extrema")
     sides = inner.groupBy("trace").agg(
         F.min(F.when(F.col("peak"), F.col("i"))).alias("p0"),
         F.min(F.when(~F.col("peak"), F.col("i"))).alias("t0"),
@@ -239,10 +240,11 @@ def march(found, size=CHUNK):
     with the nearest data extremum of its kind; where the match moves on by
     exactly one, the stretch from the previous to the next synthetic extremum stays.
     """
+    found = materialise(found, "extrema-all")
     seq = F.struct("t", "lo", "hi", "peak").alias("trace")
     data = found.where("not synthetic").select(seq, "i")
     synthetic = found.where("synthetic").select(seq, "i")
-    matched = nearest(data, synthetic, size)
+    matched = materialise(nearest(data, synthetic, size), "extrema-matched")
     linked = sibling(sibling(matched, ["i", "match"], "next"), ["i"], "prev", after=False)
     kept = linked.where("next.match - match = 1")
     return kept.selectExpr("trace.t as trace", "coalesce(prev.i, trace.lo) as start", "next.i as stop")
@@ -319,3 +321,10 @@ def select_windows(pair, distances, s, pulse=0, global_mode=False, window_everyt
     marched = materialise(marched, "window-marched")
     counted = keep_long(enough_extrema(pair, marched, s, size), s)
     return balanced_energy(pair, counted, s, bounds if s.enforce_window_noise else None, size).select("trace", "start", "stop")
+
+
+def mark_flat(series, found):
+    """Extrema (trace, i, peak) with ``flat``: the next sample has the same value."""
+    edged = with_halo(series.select("trace", "i", "v"), 0, 1)
+    flat = owned(edged.withColumn("flat", F.lead("v").over(by_chunk()) == F.col("v"))).select("trace", "i", "flat")
+    return found.join(flat, ["trace", "i"])
