@@ -7,7 +7,8 @@ from seispark.catalog.traces import TAPER, WINDOWS_SQL, hilbert_sql, two_windows
 from seispark.catalog.views import over, query
 from seispark.catalog.windows import FULL, PULSE, S
 from seispark.functions.columns import rnd
-from seispark.operators import misfit, timefrequency
+from seispark.operators import misfit, timefrequency, traces
+from seispark.operators.chunks import attach
 from seispark.plans.waveforms import process_events
 from seispark.session import materialise
 from seispark.sources import tables
@@ -96,6 +97,7 @@ def inverse_tf(spark, folder):
     return timefrequency.inverse(t, WIDTH).select("trace", "i", rnd("re", 6).alias("signal"))
 
 
+ODD = ", od as (select * from (select *, count(*) over (partition by trace) as n0 from b_pair) where i < n0 - 1 + n0 % 2)"
 CORR = f""", cw as (select k.trace, k.i as k, m.i as m, m.d*{G.format(x='m.i - k.i')} as a, m.s*{G.format(x='m.i - k.i')} as b,
   max(abs(m.d)) over (partition by k.trace) as top from {{src}} k join {{src}} m on m.trace = k.trace),
 cn as (select trace, count(*) as n from {{src}} group by trace),
@@ -112,16 +114,18 @@ ct as (select trace, k, l, n, re/sqrt(2*pi()) as re, im/sqrt(2*pi()) as im from
 """
 
 
-@query("tf_cross_correlation", over("b_pair", CORR.format(src="b_pair") + """select trace, cast(l as int) as l, round(sum(re), 4) + 0.0e0 as re, round(sum(im), 4) + 0.0e0 as im,
+@query("tf_cross_correlation", over("b_pair", ODD + CORR.format(src="od") + """select trace, cast(l as int) as l, round(sum(re), 4) + 0.0e0 as re, round(sum(im), 4) + 0.0e0 as im,
   round(sum(sqrt(re*re + im*im)), 4) as size from ct group by trace, l"""))
 def tf_cross_correlation(spark, folder):
-    t = timefrequency.cells(timefrequency.correlation_spectra(_pair(spark, folder), WIDTH))
+    p = _pair(spark, folder)
+    odd = attach(p, traces.lengths(p)).where("i < n - 1 + n % 2")
+    t = timefrequency.cells(timefrequency.correlation_spectra(odd, WIDTH))
     return t.groupBy("trace", "l").agg(
         rnd(F.sum("re"), 4).alias("re"), rnd(F.sum("im"), 4).alias("im"), rnd(F.sum(F.hypot("re", "im")), 4).alias("size")
     )
 
 
-TF_MISFIT = ", od as (select * from (select *, count(*) over (partition by trace) as n0 from b_pair) where i < n0 - 1 + n0 % 2)" + CORR.format(src="od") + """
+TF_MISFIT = ODD + CORR.format(src="od") + """
 , mm as (select trace, max(sqrt(re*re + im*im))/10 as m from ct group by trace),
 ph as (select ct.trace, k, l, n, atan2(im, re) as phase, (1 - exp(-(re*re + im*im)/(m*m)))*(1 - exp(-power(20.0e0*l/n, 2)))
   *(case when l/(1.0e0*n) <= 0.25e0 then 1.0e0 else exp(-10*abs(4.0e0*l/n - 1)) end) as raw from ct join mm on mm.trace = ct.trace),

@@ -58,13 +58,15 @@ def gabor(samples, width, dt=1.0, column="s", threshold=1e-2):
 
 
 def correlation_spectra(samples, width, dt=1.0, threshold=1e-2):
-    """Spectra of the correlation of windowed d and s, linearly interpolated from 2n-1 to n frequencies."""
+    """Spectra of the correlation of windowed d and s, linearly interpolated from 2n-1 to n frequencies; n is odd."""
 
     @F.pandas_udf(SPECTRA)
     def transform(x: pd.Series, y: pd.Series, top: pd.Series, k0: pd.Series) -> pd.Series:
         out = []
         for d, s, largest, first in zip(x, y, top, k0):
             d, s, n = np.asarray(d), np.asarray(s), len(d)
+            if n % 2 == 0:
+                raise ValueError("a series needs an odd number of samples")
             ks = np.arange(first, min(first + POSITIONS, n))
             w = gaussian((np.arange(n) - ks[:, None]) * dt, width)
             a, b = w * d, w * s
