@@ -105,20 +105,20 @@ def pair_sanity(spark, folder):
 
 
 @query("trace_stats", over("b_pair", """select trace, count(*) as n, round(max(d)-min(d), 6) as ptp_d, round(max(s)-min(s), 6) as ptp_s, round(max(abs(d)), 6) as max_d,
-  round(sum(d*d), 4) as energy_d, round(sum(s*s), 4) as energy_s, round(sum(d*s)/(sqrt(sum(d*d))*sqrt(sum(s*s))), 9) as cc from b_pair group by trace"""))
+  round(sum(d*d), 7) as energy_d, round(sum(s*s), 7) as energy_s, round(sum(d*s)/(sqrt(sum(d*d))*sqrt(sum(s*s))), 9) as cc from b_pair group by trace"""))
 def trace_stats(spark, folder):
     st = traces.trace_stats(tables.pair(spark, folder))
     return st.select(
         "trace", "n", rnd("ptp_d", 6).alias("ptp_d"), rnd("ptp_s", 6).alias("ptp_s"), rnd("max_d", 6).alias("max_d"),
-        rnd("dd", 4).alias("energy_d"), rnd("ss", 4).alias("energy_s"), rnd("cc", 9).alias("cc"),
+        rnd("dd", 7).alias("energy_d"), rnd("ss", 7).alias("energy_s"), rnd("cc", 9).alias("cc"),
     )
 
 
 @query("scale_to_synthetic", over("b_pair", """, st as (select trace, (max(s)-min(s))/(max(d)-min(d)) as f from b_pair group by trace)
-select p.trace, i, round(d*f, 7) as d from b_pair p join st on p.trace = st.trace"""))
+select p.trace, i, round(d*f, 10) as d from b_pair p join st on p.trace = st.trace"""))
 def scale_to_synthetic(spark, folder):
     p = tables.pair(spark, folder)
-    return traces.scale_to_synthetic(p, traces.trace_stats(p)).select("trace", "i", rnd("d", 7).alias("d"))
+    return traces.scale_to_synthetic(p, traces.trace_stats(p)).select("trace", "i", rnd("d", 10).alias("d"))
 
 
 @query("nearest_index", over("b_samples", """, r as (select trace, i, row_number() over (partition by trace order by i) - 1 as pos from b_samples where v > 60),
@@ -348,7 +348,8 @@ N_W = int((W1 - W0) / DW) + 1
 select station, cast(t as int) as t, round(sum(w*cos(w*t - w*d/(4 - w - w*w))*{DW}) + 0.01e0*sin(0.5e0*any_value(t))*exp(-(any_value(t)-250)*(any_value(t)-250)/500.0e0), 8) + 0.0e0 as u
 from (select station, 1000.0e0 + 10*abs(lat) as d from b_stations), t, w group by station, t""".replace("0.01*unnest", "0.01e0*unnest").replace("*0.01)", "*0.01e0)")))
 def dispersed_wavetrain(spark, folder):
-    t = tables.stations(spark, folder).selectExpr("station", "1000.0e0 + 10*abs(lat) as d", "explode(sequence(0, 900)) as t")
+    s = tables.stations(spark, folder).selectExpr("station", "1000.0e0 + 10*abs(lat) as d")
+    t = chunks.spread(s, "station").selectExpr("station", "d", "explode(sequence(0, 900)) as t")
     w = [W0 + DW * k for k in range(N_W)]
     wave = sum((F.lit(x) * F.cos(x * F.col("t") - x * F.col("d") / (4 - x - x * x)) * DW for x in w), F.lit(0.0))
     body = 0.01 * F.sin(0.5 * F.col("t")) * F.exp(-((F.col("t") - 250) ** 2) / 500.0)

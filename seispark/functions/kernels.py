@@ -155,3 +155,37 @@ def full_correlation(a, b):
 
 def gaussian(y, width):
     return (np.pi * width**2) ** -0.25 * np.exp(-0.5 * y**2 / width**2)
+
+
+def gabor_rows(v, ks, width, dt, top, threshold):
+    """Spectra of v under Gaussian windows at the positions ks; quiet windows give zeros."""
+    v = np.asarray(v)
+    f = gaussian((np.arange(len(v)) - ks[:, None]) * dt, width) * v
+    spectra = np.fft.fft(f, axis=1) * dt / np.sqrt(2 * np.pi)
+    spectra[np.abs(f).max(axis=1) < top * threshold] = 0
+    return spectra
+
+
+def correlation_rows(d, s, ks, width, dt, top, threshold):
+    """Spectra of the correlation of windowed s and d, linearly interpolated from 2n-1 to n frequencies."""
+    d, s, n = np.asarray(d), np.asarray(s), len(d)
+    if n % 2 == 0:
+        raise ValueError("a series needs an odd number of samples")
+    w = gaussian((np.arange(n) - ks[:, None]) * dt, width)
+    a, b, long = w * d, w * s, 2 * n - 1
+    c = np.fft.fftshift(np.fft.fft(b, long, axis=1) * np.conj(np.fft.fft(a, long, axis=1)), axes=1)
+    have, want = np.fft.fftshift(np.fft.fftfreq(long, dt)), np.fft.fftfreq(n, dt)
+    at = np.clip(np.searchsorted(have, want) - 1, 0, long - 2)
+    part = (want - have[at]) / (have[at + 1] - have[at])
+    spectra = (c[:, at] + (c[:, at + 1] - c[:, at]) * part) * dt / np.sqrt(2 * np.pi)
+    spectra[np.minimum(np.abs(a).max(axis=1), np.abs(b).max(axis=1)) < top * threshold] = 0
+    return spectra
+
+
+def phase_weights(c, m, min_period, max_period, dt):
+    """Weight of each cell: small for quiet cells and for periods outside the band."""
+    n = c.shape[1]
+    nu = np.arange(n) / (n * dt)
+    loud = 1 - np.exp(-((np.abs(c) / m) ** 2)) if m > 0 else np.zeros(c.shape)
+    band = (1 - np.exp(-((nu * max_period) ** 2))) * np.where(nu <= 1 / min_period, 1.0, np.exp(-10 * np.abs(nu * min_period - 1)))
+    return loud * band

@@ -186,12 +186,22 @@ def nearest(refs, targets, size=CHUNK):
     return found.withColumn("match", match).where("match is not null").select("trace", "chunk", "i", *extra, "match")
 
 
+def spread(df, *keys):
+    """Hash-partition by keys into as many partitions as the session shuffles to.
+
+    For rows that are small but costly to work on: without it adaptive execution
+    would join them into few tasks by their size. A following group by the same keys needs no
+    further shuffle.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def blocks(samples, columns, extra=()):
     """One row per (trace, chunk): ``lo`` and an array per column, in order of i.
 
-    An array holds at most one chunk. ``extra`` columns are constant per trace.
+    An array holds at most one chunk and its halo. ``extra`` columns are constant per trace.
     """
-    packed = samples.groupBy("trace", "chunk", *extra).agg(
+    packed = spread(samples, "trace", "chunk").groupBy("trace", "chunk", *extra).agg(
         F.sort_array(F.collect_list(F.struct("i", *columns))).alias("p")
     )
     return packed.select("trace", "chunk", *extra, F.col("p.i")[0].alias("lo"), *[F.col(f"p.{c}").alias(c) for c in columns])

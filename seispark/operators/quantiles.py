@@ -3,64 +3,68 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-ACCURACY = 50_000
+ACCURACY = 10_000
+BINS = 1024
 
 
 def exact_quantiles(df, by, value, probs, few_groups=False, accuracy=ACCURACY):
     """One row per group of ``by`` with a column for each entry of ``probs`` (name -> p).
 
     A sketch brackets each wanted rank; rows inside the bracket are counted per
-    distinct value, rows below it only as one number. The sort that follows sees
-    at most about 8/accuracy of a group's rows (or 4*accuracy rows of a small
-    group, all of it), however large the group is. ``few_groups`` says the number of groups is a small
-    constant (parameter names), which allows the brackets to be broadcast.
+    distinct value, rows below it only as one number. The bracket holds at most
+    about 8/accuracy of a large group (or all of a group of up to 4*accuracy
+    rows); it is cut into bins, and only the bins that hold a wanted rank are
+    sorted. ``few_groups`` says the number of groups is a small constant
+    (parameter names), which allows the brackets to be broadcast.
     """
     eps = 4.0 / accuracy
+    wanted = list(probs.items())
+    marks = [x for _, p in wanted for x in (max(p - eps, 0.0), min(p + eps, 1.0))]
     sketch = df.where(F.col(value).isNotNull()).groupBy(*by).agg(
         F.count(value).alias("n"),
         F.min(value).alias("least"),
         F.max(value).alias("most"),
-        *[
-            F.percentile_approx(value, [max(p - eps, 0.0), min(p + eps, 1.0)], accuracy).alias(f"mark_{name}")
-            for name, p in probs.items()
-        ],
+        F.percentile_approx(value, marks, accuracy).alias("marks"),
     )
     small = F.col("n") <= 4 * accuracy
-    targets = sketch.select(
-        *by,
-        "n",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("name"),
-                        F.lit(p).alias("p"),
-                        F.when(small | F.lit(p <= eps), F.col("least")).otherwise(F.col(f"mark_{name}")[0]).alias("lo"),
-                        F.when(small | F.lit(p >= 1 - eps), F.col("most")).otherwise(F.col(f"mark_{name}")[1]).alias("hi"),
-                    )
-                    for name, p in probs.items()
-                ]
-            )
-        ).alias("t"),
-    ).select(*by, "n", "t.*")
-    side = F.broadcast(targets) if few_groups else targets
-    joined = df.select(*by, value).join(side, list(by)) if by else df.select(value).crossJoin(F.broadcast(targets))
+
+    def bracket(k, name, p):
+        return F.struct(
+            F.lit(name).alias("name"),
+            F.lit(p).alias("p"),
+            F.when(small | F.lit(p <= eps), F.col("least")).otherwise(F.col("marks")[2 * k]).alias("lo"),
+            F.when(small | F.lit(p >= 1 - eps), F.col("most")).otherwise(F.col("marks")[2 * k + 1]).alias("hi"),
+        )
+
+    brackets = F.explode(F.array(*[bracket(k, name, p) for k, (name, p) in enumerate(wanted)]))
+    targets = sketch.select(*by, "n", brackets.alias("t")).select(*by, "n", "t.*")
+    if by:
+        joined = df.select(*by, value).join(F.broadcast(targets) if few_groups else targets, list(by))
+    else:
+        joined = df.select(value).join(F.broadcast(targets))
+    place = F.floor((F.col("at") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS)
+    bin_no = F.when(F.col("at").isNull(), -1).when(F.col("hi") <= F.col("lo"), 0).otherwise(F.least(place, F.lit(BINS - 1)))
+    group = [*by, "name"]
     counted = (
         joined.where(F.col(value) <= F.col("hi"))
         .withColumn("at", F.when(F.col(value) >= F.col("lo"), F.col(value)))
-        .groupBy(*by, "name", "p", "n", "at")
+        .groupBy(*group, "p", "n", "lo", "hi", "at")
         .agg(F.count("*").alias("rows"))
+        .withColumn("bin", bin_no.cast("int"))
     )
-    ordered = Window.partitionBy(*by, "name").orderBy(F.col("at").asc_nulls_first())
     rank = F.col("p") * (F.col("n") - 1)
-    ranked = counted.withColumn("upto", F.sum("rows").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    low, high = F.floor(rank), F.ceil(rank)
+    before = Window.partitionBy(*group).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = counted.groupBy(*group, "p", "n", "bin").agg(F.sum("rows").alias("held")).withColumn(
+        "offset", F.coalesce(F.sum("held").over(before), F.lit(0))
+    )
+    hit = bins.where((F.col("offset") <= high) & (F.col("offset") + F.col("held") > low)).select(*group, "bin", "offset")
+    upto = Window.partitionBy(*group, "bin").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.join(hit, [*group, "bin"]).withColumn("upto", F.col("offset") + F.sum("rows").over(upto))
 
     def value_at(k):
         return F.max(F.when((F.col("upto") - F.col("rows") <= k) & (k < F.col("upto")), F.col("at")))
 
-    low, high = F.floor(rank), F.ceil(rank)
-    found = ranked.groupBy(*by, "name").agg(
-        value_at(low).alias("a"), value_at(high).alias("b"), F.max(rank - low).alias("part")
-    )
+    found = ranked.groupBy(*group).agg(value_at(low).alias("a"), value_at(high).alias("b"), F.max(rank - low).alias("part"))
     at = F.col("a") + (F.col("b") - F.col("a")) * F.col("part")
     return found.groupBy(*by).agg(*[F.max(F.when(F.col("name") == name, at)).alias(name) for name in probs])

@@ -74,7 +74,7 @@ def nearest_nodes(targets, sources, k=4, by="layer"):
         *[(F.max(a) - F.min(a)).alias(f"d{a}") for a in "xyz"],
     ).first()
     span = max(box.dx, box.dy, box.dz, 1.0)
-    size = float(2 * span / max(1.0, np.sqrt(box.n / max(box.groups, 1))))
+    size = float(3 * span / max(1.0, np.sqrt(box.n / max(box.groups, 1))))
     pending, found = targets.select("node", by, "x", "y", "z"), []
     best = Window.partitionBy("node").orderBy("d2", "source")
     while True:

@@ -1,87 +1,74 @@
 """Gabor transforms and the time-frequency phase misfit.
 
-A transform of n samples is n spectra of n numbers, kept one spectrum per row:
-(trace, n, k, re, im). The windowed series these run on are short, since they
-are cut to a window and resampled to a quarter period first; the spectra of one
-series are spread over tasks in blocks of window positions.
+A transform of n samples is n spectra of n numbers, so the series these run on
+are short: they are resampled to a quarter period first. The window positions
+of a series are cut into blocks, each a row with the series beside it, and the
+blocks are spread over all tasks. A spectrum is cheaper to compute again than
+to keep, so the misfit goes over the blocks once per global number it needs
+(largest size, largest weight, sums) and only these numbers are shuffled.
 """
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seispark.functions.kernels import gaussian
-from seispark.operators.chunks import with_chunk
+from seispark.functions import kernels
+from seispark.operators.chunks import spread, with_chunk
 from seispark.operators.traces import lanczos
 from seispark.session import materialise
 
 POSITIONS = 64
-SPECTRA = T.ArrayType(
-    T.StructType().add("k", T.IntegerType()).add("re", T.ArrayType(T.DoubleType())).add("im", T.ArrayType(T.DoubleType()))
-)
+DOUBLES = T.ArrayType(T.DoubleType())
+SPECTRA = T.ArrayType(T.StructType().add("k", T.IntegerType()).add("re", DOUBLES).add("im", DOUBLES))
 
 
-def _series(samples, columns):
-    """One row per series and block of window positions."""
+def series_blocks(samples, columns):
+    """One row per series and block of window positions: trace, n, the columns as arrays, their largest sizes, k0."""
     packed = samples.groupBy("trace").agg(F.sort_array(F.collect_list(F.struct("i", *columns))).alias("p"), F.count("*").alias("n"))
     tops = [F.array_max(F.transform(f"p.{c}", F.abs)).alias(f"top_{c}") for c in columns]
-    spread = packed.select(
+    rows = packed.select(
         "trace", "n", *[F.col(f"p.{c}").alias(c) for c in columns], *tops,
         F.explode(F.expr(f"sequence(0, cast(n - 1 as int), {POSITIONS})")).alias("k0"),
     )
-    return spread.repartition("trace", "k0")
+    return spread(rows, "trace", "k0")
 
 
-def _rows(k, spectrum):
-    return {"k": int(k), "re": spectrum.real.tolist(), "im": spectrum.imag.tolist()}
+def _positions(first, n):
+    return np.arange(first, min(first + POSITIONS, n))
+
+
+def _rows(ks, spectra):
+    return [{"k": int(k), "re": z.real.tolist(), "im": z.imag.tolist()} for k, z in zip(ks, spectra)]
 
 
 def gabor(samples, width, dt=1.0, column="s", threshold=1e-2):
-    """Spectra of the signal under a Gaussian window at every sample; quiet windows give zeros."""
+    """(trace, n, k, re, im): spectra of the signal under a Gaussian window at every sample k."""
 
     @F.pandas_udf(SPECTRA)
     def transform(x: pd.Series, top: pd.Series, k0: pd.Series) -> pd.Series:
         out = []
         for v, largest, first in zip(x, top, k0):
-            v, n = np.asarray(v), len(v)
-            ks = np.arange(first, min(first + POSITIONS, n))
-            f = gaussian((np.arange(n) - ks[:, None]) * dt, width) * v
-            spectra = np.fft.fft(f, axis=1) * dt / np.sqrt(2 * np.pi)
-            spectra[np.abs(f).max(axis=1) < largest * threshold] = 0
-            out.append([_rows(k, s) for k, s in zip(ks, spectra)])
+            ks = _positions(first, len(v))
+            out.append(_rows(ks, kernels.gabor_rows(v, ks, width, dt, largest, threshold)))
         return pd.Series(out)
 
-    rows = _series(samples, [column])
+    rows = series_blocks(samples, [column])
     return rows.select("trace", "n", F.explode(transform(column, f"top_{column}", "k0")).alias("t")).select("trace", "n", "t.*")
 
 
 def correlation_spectra(samples, width, dt=1.0, threshold=1e-2):
-    """Spectra of the correlation of windowed d and s, linearly interpolated from 2n-1 to n frequencies; n is odd."""
+    """(trace, n, k, re, im): spectra of the correlation of windowed d and s; n is odd."""
 
     @F.pandas_udf(SPECTRA)
     def transform(x: pd.Series, y: pd.Series, top: pd.Series, k0: pd.Series) -> pd.Series:
         out = []
         for d, s, largest, first in zip(x, y, top, k0):
-            d, s, n = np.asarray(d), np.asarray(s), len(d)
-            if n % 2 == 0:
-                raise ValueError("a series needs an odd number of samples")
-            ks = np.arange(first, min(first + POSITIONS, n))
-            w = gaussian((np.arange(n) - ks[:, None]) * dt, width)
-            a, b = w * d, w * s
-            long = 2 * n - 1
-            c = np.fft.fft(b, long, axis=1) * np.conj(np.fft.fft(a, long, axis=1))
-            c = np.fft.fftshift(c, axes=1)
-            have, want = np.fft.fftshift(np.fft.fftfreq(long, dt)), np.fft.fftfreq(n, dt)
-            at = np.clip(np.searchsorted(have, want) - 1, 0, long - 2)
-            part = (want - have[at]) / (have[at + 1] - have[at])
-            spectra = (c[:, at] + (c[:, at + 1] - c[:, at]) * part) * dt / np.sqrt(2 * np.pi)
-            spectra[np.minimum(np.abs(a).max(axis=1), np.abs(b).max(axis=1)) < largest * threshold] = 0
-            out.append([_rows(k, v) for k, v in zip(ks, spectra)])
+            ks = _positions(first, len(d))
+            out.append(_rows(ks, kernels.correlation_rows(d, s, ks, width, dt, largest, threshold)))
         return pd.Series(out)
 
-    rows = _series(samples, ["d", "s"])
+    rows = series_blocks(samples, ["d", "s"])
     return rows.select("trace", "n", F.explode(transform("d", "s", "top_d", "k0")).alias("t")).select("trace", "n", "t.*")
 
 
@@ -96,7 +83,7 @@ def inverse(spectra, width, dt=1.0, threshold=1e-2):
             if np.abs(z).max() < largest * threshold:
                 out.append([])
                 continue
-            x = np.fft.ifft(z) * gaussian((np.arange(len(z)) - position) * dt, width) * np.sqrt(2 * np.pi) * dt
+            x = np.fft.ifft(z) * kernels.gaussian((np.arange(len(z)) - position) * dt, width) * np.sqrt(2 * np.pi) * dt
             out.append([{"re": float(v.real), "im": float(v.imag)} for v in x])
         return pd.Series(out)
 
@@ -113,68 +100,107 @@ def cells(spectra):
     ).select("*", "z.re", "z.im").drop("z")
 
 
-def phase_weights(spectra, min_period, max_period, dt):
-    """Cells with phase, |C| and weight: quiet cells, long and short periods are down-weighted."""
-    size = F.array_max(F.transform(F.arrays_zip("re", "im"), lambda z: F.hypot(z["re"], z["im"])))
-    m = spectra.groupBy("trace").agg((F.max(size) / 10).alias("m"))
-    nu = F.col("l") / (F.col("n") * dt)
-    loud = 1 - F.exp(-((F.hypot("re", "im") / F.col("m")) ** 2))
-    weight = (
-        F.when(F.col("m") == 0, 0.0).otherwise(loud)
-        * (1 - F.exp(-((nu * max_period) ** 2)))
-        * F.when(nu <= 1 / min_period, 1.0).otherwise(F.exp(-10 * F.abs(nu * min_period - 1)))
-    )
-    return cells(spectra.join(m, "trace")).withColumns({"raw": weight, "phase": F.atan2("im", "re")})
+def _grid(samples, min_period, dt):
+    """Both signals on a grid of a quarter period (but no finer than dt) with an odd number of points."""
+    step = max(float(int(min_period / 4.0)), dt)
+    points = f"cast(floor((n - 1) / {step / dt}D + 1e-7) as int) + 1"
+    odd = f"({points}) - 1 + ({points}) % 2"
+    chunked = with_chunk(samples)
+    new_d, new_s = (lanczos(chunked, step / dt, 8, c, odd) for c in ("d", "s"))
+    return materialise(new_d.join(new_s.drop("chunk"), ["trace", "i"]), "tf-grid"), step
 
 
-def phase_misfit(samples, min_period, max_period, dt=1.0, max_criterion=7):
-    """Misfit per series and its adjoint samples (trace, i, a).
+def phase_misfit(samples, min_period, max_period, dt=1.0, max_criterion=7, threshold=1e-2):
+    """Misfit per series (trace, plain, jumps, misfit) and its adjoint samples (trace, i, a).
 
     Where the phase jumps too often the misfit counts twice and the adjoint source is zero.
     """
-    step = max(float(int(min_period / 4.0)), dt)
-    ratio = step / dt
-    points = f"cast(floor((n - 1) / {ratio}D + 1e-7) as int) + 1"
-    odd = f"({points}) - 1 + ({points}) % 2"
-    chunked = with_chunk(samples)
-    new_d, new_s = (lanczos(chunked, ratio, 8, c, odd) for c in ("d", "s"))
-    grid = materialise(new_d.join(new_s.drop("chunk"), ["trace", "i"]), "tf-grid")
+    grid, step = _grid(samples, min_period, dt)
     width = 2.0 * min_period
-    spectra = materialise(correlation_spectra(grid, width, step), "tf-spectra")
-    weighted = phase_weights(spectra, min_period, max_period, step)
-    tops = weighted.groupBy("trace").agg(F.max("raw").alias("w_top"), F.max(F.abs(F.col("raw") * F.col("phase"))).alias("x_top"))
-    full = weighted.join(tops, "trace").withColumns(
-        {
-            "w": F.when(F.col("w_top") > 0, F.col("raw") / F.col("w_top")).otherwise(0.0),
-            "x": F.when(F.col("x_top") > 0, F.col("raw") * F.col("phase") / F.col("x_top")).otherwise(0.0),
-        }
+    rows = materialise(series_blocks(grid, ["d", "s"]), "tf-series")
+
+    def phases(d, s, ks, top, m):
+        """Phase and weight (not yet normalised) of the cells at the positions ks."""
+        c = kernels.correlation_rows(d, s, ks, width, step, top, threshold)
+        return np.angle(c), kernels.phase_weights(c, m, min_period, max_period, step)
+
+    @F.pandas_udf(T.DoubleType())
+    def largest_size(x: pd.Series, y: pd.Series, top: pd.Series, k0: pd.Series) -> pd.Series:
+        return pd.Series(
+            [
+                np.abs(kernels.correlation_rows(d, s, _positions(k, len(d)), width, step, t, threshold)).max()
+                for d, s, t, k in zip(x, y, top, k0)
+            ]
+        )
+
+    @F.pandas_udf(T.StructType().add("w", T.DoubleType()).add("x", T.DoubleType()))
+    def largest_weights(x: pd.Series, y: pd.Series, top: pd.Series, k0: pd.Series, m: pd.Series) -> pd.DataFrame:
+        out = []
+        for d, s, t, k, level in zip(x, y, top, k0, m):
+            phase, raw = phases(d, s, _positions(k, len(d)), t, level)
+            out.append((raw.max(), np.abs(raw * phase).max()))
+        return pd.DataFrame(out, columns=["w", "x"])
+
+    @F.pandas_udf(T.StructType().add("total", T.DoubleType()).add("jumps", T.LongType()))
+    def sums(x: pd.Series, y: pd.Series, top: pd.Series, k0: pd.Series, m: pd.Series, w: pd.Series, q: pd.Series) -> pd.DataFrame:
+        out = []
+        for d, s, t, k, level, w_top, x_top in zip(x, y, top, k0, m, w, q):
+            ks = _positions(k, len(d))
+            lead = 1 if k > 0 else 0  # one position of the block before, for the step between blocks
+            phase, raw = phases(d, s, np.arange(k - lead, ks[-1] + 1), t, level)
+            field = raw * phase / x_top if x_top > 0 else np.zeros(raw.shape)
+            jumps = (np.abs(np.diff(field, axis=0)) > 0.7).sum() + (np.abs(np.diff(field[lead:], axis=1)) > 0.7).sum()
+            own = raw[lead:] * phase[lead:] / w_top if w_top > 0 else np.zeros((1, 1))
+            out.append(((own**2).sum(), int(jumps)))
+        return pd.DataFrame(out, columns=["total", "jumps"])
+
+    block = ["d", "s", "top_d", "k0"]
+    level = rows.select("trace", largest_size(*block).alias("size")).groupBy("trace").agg((F.max("size") / 10).alias("m"))
+    with_m = rows.join(level, "trace")
+    tops = with_m.select("trace", "m", largest_weights(*block, "m").alias("r")).groupBy("trace").agg(
+        F.max("m").alias("m"), F.max("r.w").alias("w"), F.max("r.x").alias("x")
     )
-    along_k = Window.partitionBy("trace", "l").orderBy("k")
-    along_l = Window.partitionBy("trace", "k").orderBy("l")
-    jumps = F.when(F.abs(F.col("x") - F.lag("x").over(along_k)) > 0.7, 1).otherwise(0) + F.when(
-        F.abs(F.col("x") - F.lag("x").over(along_l)) > 0.7, 1
-    ).otherwise(0)
+    tops = materialise(tops, "tf-tops")
+    known = rows.join(tops, "trace")
     dnu = 1 / (F.max("n") * step)
-    summed = full.withColumn("jumps", jumps).groupBy("trace").agg(
-        F.sqrt(F.sum((F.col("w") * F.col("phase")) ** 2) * step * dnu).alias("plain"), F.sum("jumps").alias("jumps"), F.max("m").alias("m")
-    )
-    jumped = F.col("jumps") > max_criterion
-    misfit = summed.select("trace", "plain", "jumps", F.when(jumped, 2 * F.col("plain")).otherwise(F.col("plain")).alias("misfit"))
-
-    synthetic = cells(gabor(grid, width, step)).select("trace", "k", "l", F.col("re").alias("sr"), F.col("im").alias("si"))
-    kernel = F.col("w") ** 2 * F.col("phase") / (F.col("m") + F.col("sr") ** 2 + F.col("si") ** 2)
-    rows = full.join(synthetic, ["trace", "k", "l"]).groupBy("trace", "n", "k").agg(
-        F.sort_array(F.collect_list(F.struct("l", (kernel * F.col("sr")).alias("re"), (kernel * F.col("si")).alias("im")))).alias("p")
-    ).select("trace", "n", "k", F.col("p.re").alias("re"), F.col("p.im").alias("im"))
-    rows = materialise(rows, "tf-kernel")
-    signal = with_chunk(inverse(rows, width, step).select("trace", "i", F.col("im").alias("a")))
-    lengths = chunked.groupBy("trace").agg(F.count("*").alias("old_n"))
-    scale = misfit.join(lengths, "trace").select(
-        "trace", F.when(F.col("jumps") > max_criterion, 0.0).otherwise(dt / step**2 / (F.col("plain") + float(np.finfo(float).eps))).alias("scale"), "old_n"
+    misfit = (
+        known.select("trace", "n", sums(*block, "m", "w", "x").alias("r"))
+        .groupBy("trace")
+        .agg(F.sqrt(F.sum("r.total") * step * dnu).alias("plain"), F.sum("r.jumps").alias("jumps"))
+        .withColumn("misfit", F.when(F.col("jumps") > max_criterion, 2 * F.col("plain")).otherwise(F.col("plain")))
     )
-    back = _resample_to(signal, lengths, dt / step)
-    adjoint = back.join(scale, "trace").select("trace", "i", (F.col("a") * F.col("scale")).alias("a"))
-    return misfit, adjoint
+
+    def kernel_rows(d, s, t, ts, k, m, w_top):
+        ks = _positions(k, len(d))
+        phase, raw = phases(d, s, ks, t, m)
+        weight = raw / w_top if w_top > 0 else raw
+        synthetic = kernels.gabor_rows(s, ks, width, step, ts, threshold)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            z = weight**2 * phase * synthetic / (m + np.abs(synthetic) ** 2)
+        return ks, np.nan_to_num(z)
+
+    @F.pandas_udf(T.DoubleType())
+    def largest_kernel(x: pd.Series, y: pd.Series, t: pd.Series, ts: pd.Series, k0: pd.Series, m: pd.Series, w: pd.Series) -> pd.Series:
+        return pd.Series([np.abs(kernel_rows(*row)[1]).max() for row in zip(x, y, t, ts, k0, m, w)])
+
+    @F.pandas_udf(DOUBLES)
+    def back(x: pd.Series, y: pd.Series, t: pd.Series, ts: pd.Series, k0: pd.Series, m: pd.Series, w: pd.Series, top: pd.Series) -> pd.Series:
+        out = []
+        for *row, largest in zip(x, y, t, ts, k0, m, w, top):
+            ks, z = kernel_rows(*row)
+            keep = np.abs(z).max(axis=1) >= largest * threshold
+            g = kernels.gaussian((np.arange(z.shape[1]) - ks[keep, None]) * step, width)
+            out.append((np.fft.ifft(z[keep], axis=1).imag * g).sum(axis=0) * np.sqrt(2 * np.pi) * step)
+        return pd.Series(out)
+
+    block = ["d", "s", "top_d", "top_s", "k0", "m", "w"]
+    kernel_top = known.select("trace", largest_kernel(*block).alias("z")).groupBy("trace").agg(F.max("z").alias("z_top"))
+    parts = known.join(kernel_top, "trace").select("trace", F.posexplode(back(*block, "z_top")).alias("i", "a"))
+    signal = parts.groupBy("trace", "i").agg(F.sum("a").alias("a"))
+    lengths = samples.groupBy("trace").agg(F.count("*").alias("old_n"))
+    scale = F.when(F.col("jumps") > max_criterion, 0.0).otherwise(dt / step**2 / (F.col("plain") + float(np.finfo(float).eps)))
+    adjoint = _resample_to(signal, lengths, dt / step).join(misfit.select("trace", scale.alias("scale")), "trace")
+    return misfit, adjoint.select("trace", "i", (F.col("a") * F.col("scale")).alias("a"))
 
 
 def _resample_to(signal, lengths, ratio):
@@ -182,9 +208,9 @@ def _resample_to(signal, lengths, ratio):
     a = 8
     first = F.expr(f"greatest(cast(floor((i - {a}) / {float(ratio)}D) as int) + 1, 0)")
     last = F.expr(f"least(cast(ceil((i + {a}) / {float(ratio)}D) as int) - 1, cast(old_n as int) - 1)")
-    spread = signal.join(lengths, "trace").withColumn("j", F.explode(F.when(first <= last, F.sequence(first, last))))
+    near = signal.join(lengths, "trace").withColumn("j", F.explode(F.when(first <= last, F.sequence(first, last))))
     x = F.col("j") * float(ratio) - F.col("i")
     px = F.lit(np.pi) * x
     sinc = F.when(x == 0, 1.0).otherwise(F.sin(px) / px)
     kernel = sinc * (0.42 + 0.5 * F.cos(px / a) + 0.08 * F.cos(2 * px / a))
-    return spread.groupBy("trace", F.col("j").alias("i")).agg(F.sum(F.col("a") * kernel).alias("a"))
+    return near.groupBy("trace", F.col("j").alias("i")).agg(F.sum(F.col("a") * kernel).alias("a"))

@@ -3,14 +3,14 @@
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Window
+import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seispark.functions import kernels
 from seispark.operators import traces
 from seispark.operators.chunks import (
-    CHUNK, attach, by_chunk, in_ranges, nearest, owned, runs, sibling, with_chunk, with_halo,
+    CHUNK, attach, blocks, by_chunk, in_ranges, nearest, owned, runs, sibling, with_chunk, with_halo,
 )
 from seispark.session import materialise
 
@@ -114,45 +114,54 @@ def sliding_correlation(pair, s, size=CHUNK):
     """Adds per sample the lag (in periods) and the correlation of the hop window around it.
 
     ``pair`` carries n, ptp_s, min_idx and max_idx of its trace. Samples no hop
-    covers have nulls; hops without energy have ``energetic`` false. A chunk and
-    its halo of half a window are one call.
+    covers have nulls; hops without energy have ``energetic`` false. A chunk with
+    its halo of half a window is one array, and one step of a vectorised call.
     """
     wl, stride, half, h = s.width, s.stride, (s.stride - 1) // 2, s.width // 2
     taper = np.hanning(wl)
+    numbers = ["n", "ptp_s", "min_idx", "max_idx"]
 
-    def slide(pdf):
-        pdf = pdf.sort_values("i")
-        d, y, i = pdf["d"].to_numpy(), pdf["s"].to_numpy(), pdf["i"].to_numpy()
-        own = pdf["own"].to_numpy()
-        out = pdf.loc[own, ["trace", "chunk", "i", "d", "s"]].copy()
-        rows = len(out)
-        n, lo, hi, ptp = (pdf[c].iloc[0] for c in ("n", "min_idx", "max_idx", "ptp_s"))
-        start = (i[own] - h + half) // stride * stride
+    def slide(d, y, first, own, n, ptp, lo, hi):
+        """(shift, cc, covered, energetic) of the samples ``own`` of a block that starts at index ``first``."""
+        d, y = np.asarray(d), np.asarray(y)
+        start = (own - h + half) // stride * stride
         mid = start + h
         ok = (start >= 0) & (start + wl <= n) & (mid > lo) & (mid < hi)
-        shift, cc, energetic = np.full(rows, np.nan), np.full(rows, np.nan), np.zeros(rows, bool)
+        shift, cc, energetic = np.full(len(own), np.nan), np.full(len(own), np.nan), np.zeros(len(own), bool)
         if ok.any():
             hops, back = np.unique(start[ok], return_inverse=True)
-            a = np.lib.stride_tricks.sliding_window_view(d, wl)[hops - i[0]] * taper
-            b = np.lib.stride_tricks.sliding_window_view(y, wl)[hops - i[0]] * taper
+            a = np.lib.stride_tricks.sliding_window_view(d, wl)[hops - first] * taper
+            b = np.lib.stride_tricks.sliding_window_view(y, wl)[hops - first] * taper
             loud = np.ptp(b, axis=1) >= 0.001 * ptp
             c = kernels.full_correlation(a, b)
-            best = c.argmax(axis=1)
             with np.errstate(divide="ignore", invalid="ignore"):
                 top = c.max(axis=1) / np.sqrt((b**2).sum(axis=1) * (a**2).sum(axis=1))
-            shift[ok] = np.where(loud, (best - wl + 1) * s.dt / s.min_period, np.nan)[back]
+            shift[ok] = np.where(loud, (c.argmax(axis=1) - wl + 1) * s.dt / s.min_period, np.nan)[back]
             cc[ok] = np.where(loud, top, np.nan)[back]
             energetic[ok] = loud[back]
-        out["shift"], out["cc"], out["covered"], out["energetic"] = shift, cc, ok, energetic
-        return out
-
-    schema = T.StructType().add("trace", pair.schema["trace"].dataType).add("chunk", T.LongType()).add("i", T.IntegerType())
-    for c in ("d", "s", "shift", "cc"):
-        schema = schema.add(c, T.DoubleType())
-    schema = schema.add("covered", T.BooleanType()).add("energetic", T.BooleanType())
-    edged = with_halo(pair.select("trace", "i", "d", "s", "n", "ptp_s", "min_idx", "max_idx"), h + half, h + half, size)
-    slid = edged.groupBy("trace", "chunk").applyInPandas(slide, schema)
-    return slid.withColumns({c: F.when(F.col(c).isNotNull() & ~F.isnan(c), F.col(c)) for c in ("shift", "cc")})
+        return shift, cc, ok, energetic
+
+    doubles, flags = T.ArrayType(T.DoubleType()), T.ArrayType(T.BooleanType())
+    result = T.StructType().add("shift", doubles).add("cc", doubles).add("covered", flags).add("energetic", flags)
+
+    @F.pandas_udf(result)
+    def slid(d: pd.Series, y: pd.Series, first: pd.Series, chunk: pd.Series, n: pd.Series, ptp: pd.Series, lo: pd.Series, hi: pd.Series) -> pd.DataFrame:
+        rows = []
+        for x, z, at, c, count, span, low, high in zip(d, y, first, chunk, n, ptp, lo, hi):
+            own = np.arange(c * size, min((c + 1) * size, count))
+            rows.append(slide(x, z, at, own, count, span, low, high))
+        return pd.DataFrame(rows, columns=["shift", "cc", "covered", "energetic"])
+
+    edged = with_halo(pair.select("trace", "i", "d", "s", *numbers), h + half, h + half, size).where(f"chunk <= (n - 1) div {size}")
+    packed = blocks(edged, ["d", "s"], extra=numbers)
+    out = packed.withColumn("r", slid("d", "s", "lo", "chunk", *numbers))
+    zipped = out.select("trace", "chunk", F.posexplode(F.arrays_zip("r.shift", "r.cc", "r.covered", "r.energetic")).alias("p", "z"))
+    by_sample = zipped.select(
+        "trace", "chunk", (F.col("p") + F.col("chunk") * size).cast("int").alias("i"),
+        *[F.when(~F.isnan(F.col("z")[c]), F.col("z")[c]).alias(c) for c in ("shift", "cc")],
+        F.col("z.covered").alias("covered"), F.col("z.energetic").alias("energetic"),
+    )
+    return by_sample
 
 
 def shift_jumps(slid, s, size=CHUNK):
