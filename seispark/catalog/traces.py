@@ -1,11 +1,9 @@
 """Queries over traces: selection, alignment, signal steps, correlations."""
 
-import math
-
 from pyspark.sql import functions as F
 
 from seispark.catalog.views import over, query
-from seispark.functions import kernels
+from seispark.functions import kernels, sampled
 from seispark.functions.columns import rnd
 from seispark.operators import chunks, correlate, spatial, traces
 from seispark.plans.waveforms import write_adjoint_sources, write_misfits
@@ -323,8 +321,7 @@ def best_shift(spark, folder):
 
 @query("gaussian_window", over("b_samples", "select trace, i, round(power(pi()*64.0e0, -0.25e0)*exp(-0.5e0*(i-30)*(i-30)/64.0e0), 12) as w from b_samples"))
 def gaussian_window(spark, folder):
-    y = F.col("i") - 30
-    w = (math.pi * 64.0) ** -0.25 * F.exp(-0.5 * y * y / 64.0)
+    w = sampled.gaussian_window(F.col("i") - 30, 8.0)
     return tables.samples(spark, folder).select("trace", "i", rnd(w, 12).alias("w"))
 
 
@@ -335,13 +332,12 @@ select trace, cast(j as int) as j, round(start + j*step, 9) as x from e"""))
 def matlab_range(spark, folder):
     n = traces.lengths(tables.samples(spark, folder))
     r = n.selectExpr("trace", "0.5e0*trace as start", "0.5e0*trace + n/4.0e0 as stop", "0.25e0*(1 + trace % 3) as step")
-    points = F.expr("if((stop-start)/step % 1 < 1e-7, round((stop-start)/step), ceil((stop-start)/step) - 1)")
-    x = F.transform(F.sequence(F.lit(0), points.cast("int")), lambda k: F.col("start") + k * F.col("step"))
-    return r.select("trace", F.posexplode(x).alias("j", "x")).select("trace", "j", rnd("x", 9).alias("x"))
+    x = sampled.matlab_range(r)
+    return x.select("trace", "j", rnd("x", 9).alias("x"))
 
 
-W0, W1, DW = 2 * math.pi / 50, 2 * math.pi / 10, 0.01
-N_W = int((W1 - W0) / DW) + 1
+DW = 0.01
+W0, N_W = sampled.frequencies(DW)[0], len(sampled.frequencies(DW))
 
 
 @query("dispersed_wavetrain", over("b_stations", f""", t as (select unnest(range(901)) as t), w as (select {W0!r} + {DW}*unnest(range({N_W})) as w)
@@ -350,10 +346,7 @@ from (select station, 1000.0e0 + 10*abs(lat) as d from b_stations), t, w group b
 def dispersed_wavetrain(spark, folder):
     s = tables.stations(spark, folder).selectExpr("station", "1000.0e0 + 10*abs(lat) as d")
     t = chunks.spread(s, "station").selectExpr("station", "d", "explode(sequence(0, 900)) as t")
-    w = [W0 + DW * k for k in range(N_W)]
-    wave = sum((F.lit(x) * F.cos(x * F.col("t") - x * F.col("d") / (4 - x - x * x)) * DW for x in w), F.lit(0.0))
-    body = 0.01 * F.sin(0.5 * F.col("t")) * F.exp(-((F.col("t") - 250) ** 2) / 500.0)
-    return t.select("station", "t", rnd(wave + body, 8).alias("u"))
+    return t.select("station", "t", rnd(sampled.dispersed_wavetrain("t", "d", DW), 8).alias("u"))
 
 
 # ---- results kept as tables -----------------------------------------------

@@ -58,6 +58,21 @@ def attach(samples, per_trace, length="n", size=CHUNK):
     return samples.join(spread, ["trace", "chunk"])
 
 
+def only_traces(samples, keys, size=CHUNK):
+    """Samples of the traces in ``keys``; decided per trace, applied per (trace, chunk)."""
+    lengths = samples.groupBy("trace").agg((F.max("i") + 1).alias("_n"))
+    return attach(samples, lengths.join(keys.select("trace").distinct(), "trace", "left_semi"), "_n", size).drop("_n")
+
+
+def index_rows(per_trace, length, name="i", size=CHUNK):
+    """Rows 0 .. length-1 for each row of ``per_trace``, built chunk by chunk so that no long array exists."""
+    chunked = per_trace.withColumn("_m", F.expr(f"cast({length} as bigint)")).where("_m > 0").withColumn(
+        "_c", F.explode(F.expr(f"sequence(0L, (_m - 1) div {size})"))
+    )
+    inside = F.expr(f"sequence(cast(_c * {size} as int), cast(least((_c + 1) * {size}, _m) - 1 as int))")
+    return chunked.withColumn(name, F.explode(inside)).drop("_m", "_c")
+
+
 def spread_ranges(ranges, start="start", stop="stop", size=CHUNK):
     """Repeat [start, stop) rows once per chunk they touch."""
     return ranges.where(f"{stop} > {start}").withColumn(

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from seispark.operators import traces
-from seispark.operators.chunks import CHUNK, attach, in_ranges
+from seispark.operators.chunks import CHUNK, attach, in_ranges, only_traces, spread_ranges
 from seispark.operators.timefrequency import phase_misfit
 
 
@@ -34,22 +34,27 @@ def envelope_scaling(pair, size=CHUNK):
 
 
 def _sums(tapered):
-    return tapered.groupBy("trace", "win").agg(
+    return tapered.groupBy("trace", "win", "start", "stop").agg(
         F.sum(F.col("d") * F.col("d")).alias("oo"), F.sum(F.col("s") * F.col("s")).alias("ss"), F.sum(F.col("d") * F.col("s")).alias("os")
     )
 
 
-def ccc(tapered, settings):
-    """Correlation misfit per window and its adjoint samples."""
+def ccc(tapered, settings, size=CHUNK):
+    """Correlation misfit per window and its adjoint samples.
+
+    The sums of a window go back to its samples once per chunk it touches.
+    """
     sums = _sums(tapered)
     misfit = sums.select("trace", "win", (1 - F.col("os") / F.sqrt(F.col("oo") * F.col("ss"))).alias("misfit"))
-    adjoint = tapered.join(sums, ["trace", "win"]).withColumn(
+    ends = sums.withColumn("_end", F.col("stop") + 1)
+    per_chunk = spread_ranges(ends, "start", "_end", size).drop("start", "stop", "_end")
+    adjoint = tapered.join(per_chunk, ["trace", "win", "chunk"]).withColumn(
         "a", (F.col("d") - F.col("os") / F.col("ss") * F.col("s")) / F.sqrt(F.col("oo") * F.col("ss")) * settings["dt"]
     )
     return misfit, adjoint.drop("oo", "ss", "os")
 
 
-def tf_phase(tapered, settings):
+def tf_phase(tapered, settings, size=CHUNK):
     """Time-frequency phase misfit per window and its adjoint samples.
 
     Each window is a series of its trace's full length, zero outside.
@@ -74,7 +79,7 @@ def tf_phase(tapered, settings):
     return per_window, tapered.drop("d", "s").join(parts, ["trace", "win", "i"])
 
 
-# Misfits by name: function (tapered samples, settings) -> (misfit per window, adjoint samples ``a``).
+# Misfits by name: function (tapered samples, settings, chunk size) -> (misfit per window, adjoint samples ``a``).
 MISFITS = {"ccc": ccc, "tf_phase_misfit": tf_phase}
 
 
@@ -89,11 +94,11 @@ def adjoint_sources(kind, pair, windows, min_period, max_period, dt=1.0, scaled=
     settings = {"min_period": min_period, "max_period": max_period, "dt": dt, "lengths": traces.lengths(pair)}
     base = envelope_scaling(pair, size) if scaled else pair.withColumn("chain", F.lit(1.0))
     tapered = window_taper(base, windows, min_period, dt, size=size)
-    misfit, samples = MISFITS[kind](tapered, settings)
+    misfit, samples = MISFITS[kind](tapered, settings, size)
     length = F.col("stop") - F.col("start")
     again = traces.taper_weight(F.col("i") - F.col("start"), length + 1, F.least(F.lit(0.5 * min_period) / (length * dt), F.lit(0.5)))
     parts = samples.select("trace", "chunk", "i", (F.col("a") * again * F.col("chain")).alias("a"))
-    used = pair.join(windows.select("trace").distinct(), "trace", "left_semi").select("trace", "chunk", "i", F.lit(0.0).alias("a"))
+    used = only_traces(pair, windows, size).select("trace", "chunk", "i", F.lit(0.0).alias("a"))
     full = parts.unionByName(used).groupBy("trace", "chunk", "i").agg(F.sum("a").alias("a"))
     return misfit.groupBy("trace").agg(F.sum("misfit").alias("misfit"), F.count("*").alias("windows")), full
 

@@ -17,6 +17,9 @@ def exact_quantiles(df, by, value, probs, few_groups=False, accuracy=ACCURACY):
     sorted. ``few_groups`` says the number of groups is a small constant
     (parameter names), which allows the brackets to be broadcast.
     """
+    if not by:
+        whole = exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs, True, accuracy)
+        return whole.drop("_all")
     eps = 4.0 / accuracy
     wanted = list(probs.items())
     marks = [x for _, p in wanted for x in (max(p - eps, 0.0), min(p + eps, 1.0))]
@@ -38,10 +41,7 @@ def exact_quantiles(df, by, value, probs, few_groups=False, accuracy=ACCURACY):
 
     brackets = F.explode(F.array(*[bracket(k, name, p) for k, (name, p) in enumerate(wanted)]))
     targets = sketch.select(*by, "n", brackets.alias("t")).select(*by, "n", "t.*")
-    if by:
-        joined = df.select(*by, value).join(F.broadcast(targets) if few_groups else targets, list(by))
-    else:
-        joined = df.select(value).join(F.broadcast(targets))
+    joined = df.select(*by, value).join(F.broadcast(targets) if few_groups else targets, list(by))
     place = F.floor((F.col("at") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS)
     bin_no = F.when(F.col("at").isNull(), -1).when(F.col("hi") <= F.col("lo"), 0).otherwise(F.least(place, F.lit(BINS - 1)))
     group = [*by, "name"]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seispark.functions import kernels
-from seispark.operators.chunks import CHUNK, attach, blocks, with_chunk
+from seispark.operators.chunks import CHUNK, attach, blocks, index_rows, with_chunk
 from seispark.session import materialise
 
 # ---- selection ------------------------------------------------------------
@@ -149,37 +149,35 @@ def to_float32(samples, column="v"):
     return samples.withColumn(column, F.col(column).cast("float"))
 
 
-def rotate_to_zne(samples, orientation):
+def rotate_to_zne(samples, orientation, size=CHUNK):
     """Z, N, E from three oriented channels per trace (trace, channel, i, v).
 
-    ``orientation`` has azimuth and dip (degrees) of each channel; the mix of
-    the three components is inverted per trace. Traces without three channels
-    are left out.
+    ``orientation`` has azimuth and dip (degrees) of each channel. The mix of
+    the three components is inverted once per trace; each sample then adds its
+    share to the three components. Traces without three channels are left out.
     """
     az, dip = F.radians("azimuth"), F.radians("dip")
-    axis = orientation.select(
-        "trace", "channel",
-        F.row_number().over(_by_channel()).alias("c"),
-        F.struct(
-            (-F.sin(dip)).alias("z"), (F.cos(dip) * F.cos(az)).alias("n"), (F.cos(dip) * F.sin(az)).alias("e")
-        ).alias("a"),
+    axis = F.struct("channel", (-F.sin(dip)).alias("z"), (F.cos(dip) * F.cos(az)).alias("n"), (F.cos(dip) * F.sin(az)).alias("e"))
+    three = orientation.groupBy("trace").agg(F.sort_array(F.collect_set(axis)).alias("x")).where("size(x) = 3")
+    three = three.select("trace", "x.channel", *[F.col("x")[k].alias(f"a{k}") for k in range(3)])
+
+    def minor(p, q, r, s):
+        return f"(a{p}.{r}*a{q}.{s} - a{q}.{r}*a{p}.{s})"
+
+    # rows of the inverse: what one unit of channel k adds to z, n and e (cofactors over the determinant)
+    cofactors = {
+        c: [f"{minor((k + 1) % 3, (k + 2) % 3, r, s)}" for k in range(3)] for c, r, s in (("z", "n", "e"), ("n", "e", "z"), ("e", "z", "n"))
+    }
+    det = " + ".join(f"a{k}.z*{cofactors['z'][k]}" for k in range(3))
+    shares = three.selectExpr("trace", "channel as channels", *[f"array({', '.join(f'{x}/({det})' for x in v)}) as to_{c}" for c, v in cofactors.items()])
+    lengths = samples.groupBy("trace").agg((F.max("i") + 1).alias("_n"))
+    known = attach(with_chunk(samples, size), lengths.join(shares, "trace"), "_n", size)
+    place = F.array_position("channels", F.col("channel")).cast("int") - 1
+    parts = known.withColumn("_k", place).where("_k >= 0")
+    mixed = parts.groupBy("trace", "i").agg(
+        *[F.sum(F.col("v") * F.get(f"to_{c}", F.col("_k"))).alias(c) for c in ("z", "n", "e")]
     )
-    three = axis.groupBy("trace").pivot("c", [1, 2, 3]).agg(F.first("a")).dropna()
-    three = three.select("trace", F.col("1").alias("a1"), F.col("2").alias("a2"), F.col("3").alias("a3"))
-    wide = samples.join(axis.select("trace", "channel", "c"), ["trace", "channel"]).groupBy("trace", "i").pivot("c", [1, 2, 3]).agg(F.first("v"))
-    det = "(a1.z*(a2.n*a3.e-a3.n*a2.e) - a1.n*(a2.z*a3.e-a3.z*a2.e) + a1.e*(a2.z*a3.n-a3.z*a2.n))"
-    z = "(`1`*(a2.n*a3.e-a3.n*a2.e) - a1.n*(`2`*a3.e-`3`*a2.e) + a1.e*(`2`*a3.n-`3`*a2.n))"
-    n = "(a1.z*(`2`*a3.e-`3`*a2.e) - `1`*(a2.z*a3.e-a3.z*a2.e) + a1.e*(a2.z*`3`-a3.z*`2`))"
-    e = "(a1.z*(a2.n*`3`-a3.n*`2`) - a1.n*(a2.z*`3`-a3.z*`2`) + `1`*(a2.z*a3.n-a3.z*a2.n))"
-    return wide.join(three, "trace").selectExpr(
-        "trace", "i", f"stack(3, 'Z', {z}/{det}, 'N', {n}/{det}, 'E', {e}/{det}) as (component, v)"
-    )
-
-
-def _by_channel():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("trace").orderBy("channel")
+    return mixed.selectExpr("trace", "i", "stack(3, 'Z', z, 'N', n, 'E', e) as (component, v)")
 
 
 # ---- resampling -----------------------------------------------------------
@@ -303,7 +301,7 @@ def preprocess(samples, dt, dt_new, min_period, max_period, npts, a=12, size=CHU
 
 def source_pulse(per_trace, min_period, max_period, dt=1.0, size=CHUNK):
     """Band-limited unit step of n samples per row of ``per_trace`` (trace, n); its first sample is 0."""
-    step = per_trace.select("trace", "n", F.explode(F.expr("sequence(0, cast(2*n - 1 as int))")).alias("i"))
+    step = index_rows(per_trace.select("trace", "n"), "2 * n", size=size)
     step = with_chunk(step.withColumn("v", F.when(F.col("i") < F.col("n"), 0.0).otherwise(1.0)), size).drop("n")
     pulse = attach(double_bandpass(step, min_period, max_period, dt, size=size), per_trace.withColumn("_n", 2 * F.col("n")), "_n", size)
     late = pulse.where("i >= n").withColumn("i", (F.col("i") - F.col("n")).cast("int"))

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from seispark.functions import kernels
 from seispark.operators import traces
 from seispark.operators.chunks import (
-    CHUNK, attach, blocks, by_chunk, in_ranges, nearest, owned, runs, sibling, with_chunk, with_halo,
+    CHUNK, attach, blocks, by_chunk, in_ranges, index_rows, nearest, owned, runs, sibling, with_chunk, with_halo,
 )
 from seispark.session import materialise
 
@@ -104,8 +104,8 @@ def travel_bounds(accepted, s, pulse=0, global_mode=False):
 
 def hop_windows(lengths, s):
     """start, stop, mid of the overlapping windows of each trace (trace, n)."""
-    starts = F.expr(f"if(n >= {s.width}, sequence(0, cast(n - {s.width} as int), {s.stride}), array())")
-    return lengths.select("trace", F.explode(starts).alias("start")).select(
+    hops = index_rows(lengths.select("trace", "n"), f"if(n >= {s.width}, (n - {s.width}) div {s.stride} + 1, 0)", "hop")
+    return hops.withColumn("start", F.col("hop") * s.stride).select(
         "trace", "start", (F.col("start") + s.width).alias("stop"), (F.col("start") + s.width // 2).alias("mid")
     )
 
@@ -114,7 +114,8 @@ def sliding_correlation(pair, s, size=CHUNK):
     """Adds per sample the lag (in periods) and the correlation of the hop window around it.
 
     ``pair`` carries n, ptp_s, min_idx and max_idx of its trace. Samples no hop
-    covers have nulls; hops without energy have ``energetic`` false. A chunk with
+    covers have nulls; hops without energy have ``energetic`` false; ``in_time``
+    says that the sample itself lies between the bounds. A chunk with
     its halo of half a window is one array, and one step of a vectorised call.
     """
     wl, stride, half, h = s.width, s.stride, (s.stride - 1) // 2, s.width // 2
@@ -122,7 +123,7 @@ def sliding_correlation(pair, s, size=CHUNK):
     numbers = ["n", "ptp_s", "min_idx", "max_idx"]
 
     def slide(d, y, first, own, n, ptp, lo, hi):
-        """(shift, cc, covered, energetic) of the samples ``own`` of a block that starts at index ``first``."""
+        """(shift, cc, covered, energetic, in_time) of the samples ``own`` of a block that starts at index ``first``."""
         d, y = np.asarray(d), np.asarray(y)
         start = (own - h + half) // stride * stride
         mid = start + h
@@ -139,10 +140,10 @@ def sliding_correlation(pair, s, size=CHUNK):
             shift[ok] = np.where(loud, (c.argmax(axis=1) - wl + 1) * s.dt / s.min_period, np.nan)[back]
             cc[ok] = np.where(loud, top, np.nan)[back]
             energetic[ok] = loud[back]
-        return shift, cc, ok, energetic
+        return shift, cc, ok, energetic, (own > lo) & (own < hi)
 
     doubles, flags = T.ArrayType(T.DoubleType()), T.ArrayType(T.BooleanType())
-    result = T.StructType().add("shift", doubles).add("cc", doubles).add("covered", flags).add("energetic", flags)
+    result = T.StructType().add("shift", doubles).add("cc", doubles).add("covered", flags).add("energetic", flags).add("in_time", flags)
 
     @F.pandas_udf(result)
     def slid(d: pd.Series, y: pd.Series, first: pd.Series, chunk: pd.Series, n: pd.Series, ptp: pd.Series, lo: pd.Series, hi: pd.Series) -> pd.DataFrame:
@@ -150,18 +151,17 @@ def sliding_correlation(pair, s, size=CHUNK):
         for x, z, at, c, count, span, low, high in zip(d, y, first, chunk, n, ptp, lo, hi):
             own = np.arange(c * size, min((c + 1) * size, count))
             rows.append(slide(x, z, at, own, count, span, low, high))
-        return pd.DataFrame(rows, columns=["shift", "cc", "covered", "energetic"])
+        return pd.DataFrame(rows, columns=result.names)
 
     edged = with_halo(pair.select("trace", "i", "d", "s", *numbers), h + half, h + half, size).where(f"chunk <= (n - 1) div {size}")
     packed = blocks(edged, ["d", "s"], extra=numbers)
     out = packed.withColumn("r", slid("d", "s", "lo", "chunk", *numbers))
-    zipped = out.select("trace", "chunk", F.posexplode(F.arrays_zip("r.shift", "r.cc", "r.covered", "r.energetic")).alias("p", "z"))
-    by_sample = zipped.select(
+    zipped = out.select("trace", "chunk", F.posexplode(F.arrays_zip(*[f"r.{c}" for c in result.names])).alias("p", "z"))
+    return zipped.select(
         "trace", "chunk", (F.col("p") + F.col("chunk") * size).cast("int").alias("i"),
         *[F.when(~F.isnan(F.col("z")[c]), F.col("z")[c]).alias(c) for c in ("shift", "cc")],
-        F.col("z.covered").alias("covered"), F.col("z.energetic").alias("energetic"),
+        *[F.col(f"z.{c}").alias(c) for c in ("covered", "energetic", "in_time")],
     )
-    return by_sample
 
 
 def shift_jumps(slid, s, size=CHUNK):
@@ -305,15 +305,13 @@ def valid_samples(pair, bounds, s, size=CHUNK):
     """Samples that pass the travel-time, correlation, lag, jump and envelope tests."""
     numbers = bounds.select("trace", "n", "ptp_s", "min_idx", "max_idx")
     slid = shift_jumps(sliding_correlation(attach(pair, numbers, size=size), s, size), s, size)
-    slid = attach(slid, bounds.select("trace", "n", "min_idx", "max_idx"), size=size)
     good = slid.where(
-        (F.col("i") > F.col("min_idx")) & (F.col("i") < F.col("max_idx"))
+        F.col("in_time")
         & (F.coalesce("cc", F.lit(0.0)) >= s.threshold_correlation)
         & (F.abs(F.coalesce("shift", F.lit(0.0))) <= s.threshold_shift)
         & ~F.col("jump")
     ).select("trace", "chunk", "i")
-    accepted = pair.join(bounds.select("trace"), "trace", "left_semi")
-    alike = envelope_ratio(accepted, s, size).where(F.col("ratio") >= s.min_envelope_similarity).select("trace", "chunk", "i")
+    alike = envelope_ratio(attach(pair, bounds.select("trace", "n"), size=size).drop("n"), s, size).where(F.col("ratio") >= s.min_envelope_similarity).select("trace", "chunk", "i")
     return good.join(alike, ["trace", "chunk", "i"], "left_semi")
 
 

@@ -3,14 +3,18 @@
 from pyspark.sql import functions as F
 
 from seispark.operators import traces, windows
+from seispark.operators.chunks import attach, only_traces, with_chunk
 from seispark.operators.misfit import adjoint_sources, weighted_misfits
 from seispark.session import materialise
 
 
 def write_adjoint_sources(adjoint, weights, path):
     """Rows (event, station, i, z, n, e): components side by side, absent ones 0, times the station's weight."""
+    series = with_chunk(adjoint.withColumn("trace", F.struct("event", "station")))
+    lengths = series.groupBy("trace").agg((F.max("i") + 1).alias("n"))
+    weighted = lengths.withColumn("station", F.col("trace.station")).join(weights, "station").drop("station")
     wide = (
-        adjoint.join(weights, "station")
+        attach(series, weighted)
         .withColumn("a", F.col("a") * F.col("weight"))
         .groupBy("event", "station", "i")
         .pivot("component", ["Z", "N", "E"])
@@ -45,8 +49,9 @@ def process_events(pair, distances, weights, settings, kind="ccc", scale=True, p
     by_start = materialise(by_start, "windows")
     if by_start.isEmpty():
         raise ValueError("no window was found in any trace")
-    some = pair.join(by_start.select("trace").distinct(), "trace", "left_semi")
+    some = only_traces(pair, by_start)
     misfits, adjoint = adjoint_sources(kind, some, by_start, settings.min_period, settings.max_period, settings.dt, scaled)
     misfits = misfits.join(weights, "trace").withColumn("misfit", F.col("misfit") * F.col("weight"))
-    adjoint = adjoint.join(weights, "trace").withColumn("a", F.col("a") * F.col("weight")).drop("weight")
+    weighted = traces.lengths(pair).join(weights, "trace")
+    adjoint = attach(adjoint, weighted).withColumn("a", F.col("a") * F.col("weight")).drop("weight", "n")
     return by_start, misfits, adjoint
