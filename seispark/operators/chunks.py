@@ -31,11 +31,10 @@ def with_halo(samples, before, after, size=CHUNK):
     have ``own = false``; drop them after the window with ``owned``. Only the
     edge samples of a chunk are copied.
     """
-    first = F.greatest(F.floor((F.col("i") - after) / size), F.lit(0))
-    last = F.floor((F.col("i") + before) / size)
+    first, last = f"greatest(i - {after}, 0) div {size}", f"(i + {before}) div {size}"
     return (
         samples.drop("chunk")
-        .withColumn("chunk", F.explode(F.sequence(first, last)))
+        .withColumn("chunk", F.explode(F.expr(f"sequence({first}, {last})")))
         .withColumn("own", F.expr(f"chunk = i div {size}"))
     )
 
@@ -91,7 +90,8 @@ def runs(valid, size=CHUNK):
     """Maximal runs [start, stop) of the sample indices present in ``valid``.
 
     Gaps and islands per chunk, then the runs that touch a chunk edge are
-    stitched; at most two per chunk do, so the second window is small.
+    stitched: at most two per chunk do, and only these meet per trace. The
+    others stay in a group of their chunk, where no two of them touch.
     """
     numbered = with_chunk(valid.select("trace", "i"), size).withColumn(
         "island", F.col("i") - F.row_number().over(by_chunk())
@@ -99,18 +99,16 @@ def runs(valid, size=CHUNK):
     pieces = numbered.groupBy("trace", "chunk", "island").agg(
         F.min("i").alias("start"), (F.max("i") + 1).alias("stop")
     )
-    edge = f"(start % {size} = 0 or stop % {size} = 0)"
-    inner = pieces.where(f"not {edge}").select("trace", "start", "stop")
-    by_start = Window.partitionBy("trace").orderBy("start")
-    stitched = (
-        pieces.where(edge)
-        .withColumn("new", F.coalesce((F.lag("stop").over(by_start) != F.col("start")).cast("int"), F.lit(1)))
+    pieces = pieces.withColumn("place", F.expr(f"if(start % {size} = 0 or stop % {size} = 0, -1L, chunk)"))
+    by_start = Window.partitionBy("trace", "place").orderBy("start")
+    new = F.coalesce((F.lag("stop").over(by_start) != F.col("start")).cast("int"), F.lit(1))
+    return (
+        pieces.withColumn("new", new)
         .withColumn("group", F.sum("new").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy("trace", "group")
+        .groupBy("trace", "place", "group")
         .agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
         .select("trace", "start", "stop")
     )
-    return inner.unionByName(stitched)
 
 
 def number_rows(df, key, order, bucket, name="i"):

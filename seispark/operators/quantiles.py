@@ -3,6 +3,8 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from seispark.session import materialise
+
 ACCURACY = 10_000
 BINS = 1024
 
@@ -14,7 +16,8 @@ def exact_quantiles(df, by, value, probs, few_groups=False, accuracy=ACCURACY):
     distinct value, rows below it only as one number. The bracket holds at most
     about 8/accuracy of a large group (or all of a group of up to 4*accuracy
     rows); it is cut into bins, and only the bins that hold a wanted rank are
-    sorted. ``few_groups`` says the number of groups is a small constant
+    sorted. The counts are a written table, so the rows are read twice in all:
+    for the sketch and for the counts. ``few_groups`` says the number of groups is a small constant
     (parameter names), which allows the brackets to be broadcast.
     """
     if not by:
@@ -52,6 +55,7 @@ def exact_quantiles(df, by, value, probs, few_groups=False, accuracy=ACCURACY):
         .agg(F.count("*").alias("rows"))
         .withColumn("bin", bin_no.cast("int"))
     )
+    counted = materialise(counted, "quantile-bracket")
     rank = F.col("p") * (F.col("n") - 1)
     low, high = F.floor(rank), F.ceil(rank)
     before = Window.partitionBy(*group).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seispark.functions.geo import squared_distance
+from seispark.operators.chunks import spread
 from seispark.session import materialise
 
 CELL = ["cx", "cy", "cz"]
@@ -133,11 +134,11 @@ def smooth(nodes, lateral, radial, min_period, velocity="velocity"):
     are merged before the neighbour join, and the pairs go straight into a partial sum.
     """
     longest = max(lateral, radial)
-    reach = F.lit(3.0 * longest * min_period) * nodes.agg(F.max(velocity)).scalar()
+    reach = 3.0 * longest * min_period * (nodes.agg(F.max(velocity)).first()[0] or 1.0)
     r = F.sqrt(F.col("x") ** 2 + F.col("y") ** 2 + F.col("z") ** 2)
     places = nodes.groupBy("x", "y", "z").agg(F.sum("value").alias("total"), F.count("*").alias("copies")).withColumn("r", r)
-    a = with_cell(nodes.withColumn("r", r).withColumn("reach", reach), F.col("reach")).alias("a")
-    b = near_cells(places.withColumn("reach", reach), F.col("reach")).alias("b")
+    a = with_cell(nodes.withColumn("r", r), reach).alias("a")
+    b = near_cells(places, reach).alias("b")
     same = (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy")) & (F.col("a.cz") == F.col("b.cz"))
     d2 = squared_distance({k: F.col(f"a.{k}") for k in "xyz"}, {k: F.col(f"b.{k}") for k in "xyz"})
     dr2 = (F.col("a.r") - F.col("b.r")) ** 2
@@ -160,7 +161,7 @@ def pair_summary(stations, tile=2048):
     of bounded size, and two tiles meet in one vectorised call that returns sums
     per place. An event with very many stations is spread over its tiles.
     """
-    places = stations.groupBy("event", "lat", "lon").agg(F.count("*").alias("m"))
+    places = materialise(stations.groupBy("event", "lat", "lon").agg(F.count("*").alias("m")), "places")
     sizes = places.groupBy("event").agg(F.ceil(F.count("*") / tile).alias("tiles"))
     tiles = (
         places.join(sizes, "event")
@@ -169,10 +170,11 @@ def pair_summary(stations, tile=2048):
         .agg(F.sort_array(F.collect_list(F.struct("lat", "lon", "m"))).alias("p"))
         .select("event", "tiles", "tile", "p.lat", "p.lon", "p.m")
     )
+    tiles = materialise(tiles, "tiles")
     mine = tiles.select(
         "event", F.explode(F.expr("sequence(0L, tiles - 1)")).alias("tile"), F.col("lat").alias("lat1"), F.col("lon").alias("lon1")
     )
-    met = mine.join(tiles, ["event", "tile"]).select("event", "lat1", "lon1", "lat", "lon", "m")
+    met = spread(mine.join(tiles, ["event", "tile"]), "event", "tile", "lat1").select("event", "lat1", "lon1", "lat", "lon", "m")
     sums = met.select(
         "event", "lat1", "lon1", _tile_sums("lat1", "lon1", "lat", "lon", "m").alias("s")
     ).select("event", F.explode(F.arrays_zip("lat1", "lon1", "s")).alias("p"))
