@@ -156,14 +156,14 @@ def copy_field(spark, folder):
 
 @query("interpolate_field", over("b_nodes", """, d as (select t.node, s.node as source, s.value,
   (t.x-s.x)*(t.x-s.x)+(t.y-s.y)*(t.y-s.y)+(t.z-s.z)*(t.z-s.z) as d2
-  from b_nodes t join b_nodes s on t.layer = s.layer and t.node % 2 = 0 and s.node % 2 = 1),
+  from (select node, layer, x + 20000 as x, y - 15000 as y, z + 10000 as z from b_nodes) t join b_nodes s on t.layer = s.layer),
 k as (select *, row_number() over (partition by node order by d2, source) as rn, min(d2) over (partition by node) as dmin from d
   qualify rn <= 4)
 select node, round(case when min(dmin) = 0 then max(case when rn = 1 then value end)
   else sum(value / nullif(d2, 0)) / sum(1 / nullif(d2, 0)) end, 5) as value, count(*) as used from k group by node"""))
 def interpolate_field(spark, folder):
-    n = tables.nodes(spark, folder)
-    to, given = n.where("node % 2 = 0"), n.where("node % 2 = 1")
+    given = tables.nodes(spark, folder)
+    to = given.selectExpr("node", "layer", "x + 20000 as x", "y - 15000 as y", "z + 10000 as z")
     near = spatial.nearest_nodes(to, given.withColumnRenamed("node", "source"))
     weights = spatial.inverse_distance_weights(near)
     values = spatial.interpolate(weights, given.selectExpr("node as source", "'value' as param", "value"))

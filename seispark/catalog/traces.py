@@ -14,12 +14,12 @@ from seispark.operators.misfit import weighted_misfits
 
 
 @query("scan_traces", over("b_samples", """select trace % 10 as event, trace as station, 'raw_recording' as tag, cast(count(*) as int) as npts,
-  round(sum(v), 2) as total from b_samples where trace % 10 = 3 group by trace"""))
+  round(sum(v), 2) as total from b_samples group by trace"""))
 def scan_traces(spark, folder):
     path = stores.new_store(spark, "traces")
     s = tables.samples(spark, folder).selectExpr("trace % 10 as event", "trace as station", "'raw_recording' as tag", "chunk", "i", "v")
     stores.write_traces(s, path)
-    read = stores.read_traces(spark, path, 3, tag="raw_recording")
+    read = stores.read_traces(spark, path, tag="raw_recording")
     return read.groupBy(F.col("event").cast("bigint").alias("event"), "station", "tag").agg(
         F.sum(F.size("samples")).cast("int").alias("npts"),
         rnd(F.sum(F.aggregate("samples", F.lit(0.0), lambda a, x: a + x)), 2).alias("total"),
@@ -270,13 +270,13 @@ def decimate(spark, folder):
 HALF_SECTIONS = kernels.bandpass_sections(1 / 40.0, 1 / 8.0, 0.5)
 PREPROCESS = (
     DECIMATE + detrend_taper_sql("dt0", "dec") + double_bandpass_sql("dt0", HALF_SECTIONS)
-    + _lanczos_sql(1.25, 12, "bp2").replace("cast(floor((count(*)-1)/1.25e0) as bigint) + 1", "20")
+    + _lanczos_sql(1.25, 12, "bp2")
 )
 
 
 @query("preprocess_traces", over("b_samples", PREPROCESS + "select trace, i, round(cast(cast(v as float) as double), 4) + 0.0e0 as v from lz", True))
 def preprocess_traces(spark, folder):
-    out = traces.preprocess(tables.samples(spark, folder), 1.0, 2.5, 8.0, 40.0, 20)
+    out = traces.preprocess(tables.samples(spark, folder), 1.0, 2.5, 8.0, 40.0)
     return out.select("trace", "i", rnd(F.col("v").cast("double"), 4).alias("v"))
 
 

@@ -209,6 +209,16 @@ def spread(df, *keys):
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+def map_chunks(samples, fn, schema, before=0, after=0, size=CHUNK):
+    """Run a callback of one's own (pandas frame -> pandas frame) on every chunk.
+
+    The frame holds the chunk in order of i, with ``before`` and ``after`` samples
+    of its neighbours marked ``own = False``.
+    """
+    edged = spread(with_halo(samples, before, after, size), "trace", "chunk")
+    return edged.groupBy("trace", "chunk").applyInPandas(lambda pdf: fn(pdf.sort_values("i")), schema)
+
+
 def blocks(samples, columns, extra=()):
     """One row per (trace, chunk): ``lo`` and an array per column, in order of i.
 

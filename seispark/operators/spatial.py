@@ -55,14 +55,15 @@ def cut_own_source(nodes, sources, radius, value="value"):
     return joined.withColumn(value, F.when(d2 < radius**2, 0.0).otherwise(F.col(value))).drop("sx", "sy", "sz")
 
 
-def nearest_nodes(targets, sources, k=4, by="layer"):
+def nearest_nodes(targets, sources, k=4, by="layer", crowd=512):
     """(node, source, d2, rank) of the k nearest sources of the same ``by`` value.
 
-    Grid search with a growing cell: a target is settled once its k-th hit is
-    closer than one cell, which proves nothing nearer was left out; the others go
-    on to cells twice as wide. Of sources at one place only the k first ids can
-    win, so copies are thinned to k before the search. The result is a written
-    table, made to be used again.
+    Grid search from fine to coarse: cells are halved until none holds more than
+    ``crowd`` sources, so a dense cluster is searched in cells of its own scale. A
+    target is settled once its k-th hit is closer than one cell, which proves
+    nothing nearer was left out; the others go on to cells twice as wide. Of
+    sources at one place only the k first ids can win, so copies are thinned to
+    k before the search. The result is a written table, made to be used again.
     """
     place = Window.partitionBy(by, "x", "y", "z").orderBy("source")
     few = (
@@ -76,6 +77,11 @@ def nearest_nodes(targets, sources, k=4, by="layer"):
     ).first()
     span = max(box.dx, box.dy, box.dz, 1.0)
     size = float(3 * span / max(1.0, np.sqrt(box.n / max(box.groups, 1))))
+    while size > 1e-9 * span:
+        fullest = with_cell(few, size).groupBy(by, *CELL).count().agg(F.max("count")).first()[0]
+        if fullest is None or fullest <= crowd:
+            break
+        size /= 2
     pending, found = targets.select("node", by, "x", "y", "z"), []
     best = Window.partitionBy("node").orderBy("d2", "source")
     while True:

@@ -291,12 +291,12 @@ def decimate(samples, dt, dt_new, column="v", size=CHUNK):
         dt *= factor
 
 
-def preprocess(samples, dt, dt_new, min_period, max_period, npts, a=12, size=CHUNK, start=0):
-    """Decimate, detrend, taper, band-pass twice, resample to ``npts`` samples of dt_new, store as float."""
+def preprocess(samples, dt, dt_new, min_period, max_period, npts=None, a=12, size=CHUNK):
+    """Decimate, detrend, taper, band-pass twice, resample to dt_new (``npts`` samples, or all of the trace), store as float."""
     samples, dt = decimate(samples, dt, dt_new, size=size)
     samples = detrend_taper(samples, size=size)
     samples = double_bandpass(samples, min_period, max_period, dt, size=size)
-    return to_float32(lanczos(samples, dt_new / dt, a, points=str(npts), size=size))
+    return to_float32(lanczos(samples, dt_new / dt, a, points=npts and str(npts), size=size))
 
 
 def source_pulse(per_trace, min_period, max_period, dt=1.0, size=CHUNK):
@@ -308,6 +308,16 @@ def source_pulse(per_trace, min_period, max_period, dt=1.0, size=CHUNK):
     return with_chunk(late.withColumn("v", F.when(F.col("i") == 0, 0.0).otherwise(F.col("v"))).select("trace", "i", "v"), size)
 
 
+def check_pulse(pulse, per_trace):
+    """The samples of a source pulse of one's own; a trace without exactly n samples from 0, or whose first is not 0, stops the job."""
+    seen = pulse.groupBy("trace").agg(F.count("*").alias("_n"), F.min_by("v", "i").alias("_first"), F.min("i").alias("_at"))
+    good = (F.col("_n") == F.col("n")) & (F.col("_first") == 0) & (F.col("_at") == 0)
+    checked = per_trace.select("trace", "n").join(seen, "trace", "left").withColumn(
+        "n", F.when(good, F.col("n")).otherwise(F.raise_error(F.lit("a source pulse needs n samples, the first of them 0")).cast("bigint"))
+    )
+    return attach(pulse, checked.select("trace", "n")).drop("n")
+
+
 # ---- envelope -------------------------------------------------------------
 
 

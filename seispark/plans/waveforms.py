@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from seispark.functions.geo import with_geodesic_km
 from seispark.operators import traces, windows
 from seispark.operators.chunks import attach, only_traces, with_chunk
 from seispark.operators.misfit import adjoint_sources, weighted_misfits
@@ -34,6 +35,12 @@ def write_misfits(misfits, weights, path):
     ).write.mode("overwrite").partitionBy("event").parquet(path)
 
 
+def station_distances(stations, origins):
+    """(event, station, dist_km) on the ellipsoid; both tables have lat and lon."""
+    places = stations.join(origins.select("event", F.col("lat").alias("elat"), F.col("lon").alias("elon")), "event")
+    return with_geodesic_km(places, "elat", "elon", "lat", "lon").select("event", "station", "dist_km")
+
+
 def process_events(pair, distances, weights, settings, kind="ccc", scale=True, pulse=0, global_mode=False, scaled=False):
     """Windows, weighted misfits and adjoint sources of all traces.
 

@@ -43,9 +43,11 @@ def write_traces(samples, path):
     return path
 
 
-def read_traces(spark, path, event, station=None, tag=None):
-    """Chunks of one event; the event prunes folders."""
-    rows = spark.read.parquet(path).where(F.col("event") == event)
+def read_traces(spark, path, event=None, station=None, tag=None):
+    """Chunks of all traces, or of one event (which prunes folders), station or tag."""
+    rows = spark.read.parquet(path)
+    if event is not None:
+        rows = rows.where(F.col("event") == event)
     if station is not None:
         rows = rows.where(F.col("station") == station)
     return rows if tag is None else rows.where(F.col("tag") == tag)

@@ -242,3 +242,22 @@ def test_select_windows_does_not_depend_on_the_chunk(spark):
         results.append(sorted(tuple(r) for r in windows.select_windows(p, far, s, size=size).collect()))
     assert results[0] == results[1]
     assert results[0] and all(r[0] == 1 for r in results[0])
+
+
+def test_callback_per_chunk_sees_its_neighbours(spark, noise):
+    def smooth(pdf):
+        pdf["v"] = pdf["v"].rolling(3, center=True).mean()
+        return pdf.loc[pdf["own"], ["trace", "i", "v"]].dropna()
+
+    got = chunks.map_chunks(make(spark, noise), smooth, "trace bigint, i int, v double", 1, 1, SIZE).collect()
+    assert len(got) == sum(len(v) - 2 for v in noise.values())
+    for r in got:
+        assert abs(r.v - noise[r.trace][r.i - 1 : r.i + 2].mean()) < 1e-12
+
+
+def test_source_pulse_contract(spark):
+    n = spark.createDataFrame([(1, 60)], "trace bigint, n bigint")
+    pulse = traces.source_pulse(n, 4.0, 20.0, size=64)
+    assert traces.check_pulse(pulse.withColumn("chunk", F.lit(0).cast("bigint")), n).count() == 60
+    with pytest.raises(Exception, match="source pulse"):
+        traces.check_pulse(pulse.withColumn("chunk", F.lit(0).cast("bigint")).withColumn("v", F.lit(1.0)), n).collect()
