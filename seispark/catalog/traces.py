@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from seispark.catalog.views import over, query
 from seispark.functions import kernels, sampled
 from seispark.functions.columns import rnd
-from seispark.operators import chunks, correlate, spatial, traces
+from seispark.operators import chunks, correlate, traces
 from seispark.plans.waveforms import write_adjoint_sources, write_misfits
 from seispark.sources import stores, tables
 from seispark.operators.misfit import weighted_misfits
@@ -122,21 +122,21 @@ def scale_to_synthetic(spark, folder):
 @query("nearest_index", over("b_samples", """, r as (select trace, i, row_number() over (partition by trace order by i) - 1 as pos from b_samples where v > 60),
 m as (select s.trace, s.i, r.pos, row_number() over (partition by s.trace, s.i order by abs(s.i - r.i), r.i desc) as rn
   from b_samples s join r on s.trace = r.trace)
-select trace, i, cast(pos as int) as match from m where rn = 1"""))
+select trace, i, cast(pos as bigint) as match from m where rn = 1"""))
 def nearest_index(spark, folder):
     s = tables.samples(spark, folder)
     return chunks.nearest(s.where("v > 60").select("trace", "i"), s.select("trace", "i")).select("trace", "i", "match")
 
 
-WINDOWS_SQL = """, w as (select trace, 0 as win, cast(trace % 7 as int) as start, cast(count(*) - 5 as int) as stop from b_pair group by trace
+WINDOWS_SQL = """, w as (select trace, 0 as win, cast(trace % 7 as bigint) as start, cast(count(*) - 5 as bigint) as stop from b_pair group by trace
   union all select distinct trace, 1, 10, 30 from b_pair)"""
 
 
 def two_windows(pair):
     """Two overlapping windows per trace."""
     n = traces.lengths(pair)
-    long = n.selectExpr("trace", "0 as win", "cast(trace % 7 as int) as start", "cast(n - 5 as int) as stop")
-    return long.unionByName(n.selectExpr("trace", "1 as win", "10 as start", "30 as stop"))
+    long = n.selectExpr("trace", "0 as win", "cast(trace % 7 as bigint) as start", "n - 5 as stop")
+    return long.unionByName(n.selectExpr("trace", "1 as win", "10L as start", "30L as stop"))
 
 
 @query("windows_to_samples", over("b_pair", WINDOWS_SQL + "select p.trace, win, i, d from b_pair p join w on p.trace = w.trace and i between start and stop"))
@@ -164,7 +164,7 @@ def source_receiver_min_distance(spark, folder):
 # ---- simple signal steps --------------------------------------------------
 
 
-@query("trim_pad", over("b_samples", """, g as (select trace, cast(unnest(range(-5, 60)) as int) as i from (select distinct trace from b_samples))
+@query("trim_pad", over("b_samples", """, g as (select trace, cast(unnest(range(-5, 60)) as bigint) as i from (select distinct trace from b_samples))
 select g.trace, g.i + 5 as i, coalesce(v, 0.0e0) as v from g left join b_samples s on s.trace = g.trace and s.i = g.i"""))
 def trim_pad(spark, folder):
     return traces.trim_pad(tables.samples(spark, folder), -5, 60).select("trace", "i", "v")
@@ -202,7 +202,7 @@ def rotate_to_zne(spark, folder):
 
 def _lanczos_sql(ratio, a, source="b_samples", v="v"):
     x = f"(j.j*{ratio!r}e0 - s.i)"
-    return f""", jj as (select trace, cast(unnest(range(cast(floor((count(*)-1)/{ratio!r}e0) as bigint) + 1)) as int) as j from {source} group by trace),
+    return f""", jj as (select trace, cast(unnest(range(cast(floor((count(*)-1)/{ratio!r}e0) as bigint) + 1)) as bigint) as j from {source} group by trace),
   lz as (select j.trace, j.j as i, sum({v} * case when {x} = 0 then 1.0e0 else sin(pi()*{x})/(pi()*{x}) end
     * (0.42e0 + 0.5e0*cos(pi()*{x}/{a}) + 0.08e0*cos(2*pi()*{x}/{a}))) as v
     from jj j join {source} s on s.trace = j.trace and abs({x}) < {a} group by j.trace, j.j)"""
@@ -229,11 +229,11 @@ def filter_sql(name, source, sections, backward=False):
     old = ", ".join(f"f.p{k} as op{k}, f.q{k} as oq{k}" for k in range(last))
     carry = ", ".join(f"np{k} as p{k}, nq{k} as q{k}" for k in range(last))
     return f""", {name}_in as (select trace, i, v, max(i) over (partition by trace) as li from {source}),
-{name}_o as (select trace, {'cast(li - i as int)' if backward else 'i'} as i, v from {name}_in),
-{name}_r as (select trace, -1 as i, 0.0e0 as v, {zeros} from (select distinct trace from {source}) union all
+{name}_o as (select trace, {'cast(li - i as bigint)' if backward else 'i'} as i, v from {name}_in),
+{name}_r as (select trace, cast(-1 as bigint) as i, 0.0e0 as v, {zeros} from (select distinct trace from {source}) union all
   select trace, i, y{last - 1} as v, {carry} from (select *, {", ".join(states)} from (select *{out} from (
     select s.trace, s.i, s.v as x, {old} from {name}_r f join {name}_o s on s.trace = f.trace and s.i = f.i + 1)))),
-{name} as (select r.trace, {'cast(n.li - r.i as int)' if backward else 'r.i'} as i, r.v from {name}_r r
+{name} as (select r.trace, {'cast(n.li - r.i as bigint)' if backward else 'r.i'} as i, r.v from {name}_r r
   join (select distinct trace, li from {name}_in) n on n.trace = r.trace where r.i >= 0)"""
 
 
@@ -259,7 +259,7 @@ def bandpass(spark, folder):
 
 
 LOW = kernels.lowpass_sections(0.25, 1.0)
-DECIMATE = filter_sql("lf", "b_samples", LOW) + filter_sql("lb", "lf", LOW, True) + ", dec as (select trace, cast(i // 2 as int) as i, v from lb where i % 2 = 0)"
+DECIMATE = filter_sql("lf", "b_samples", LOW) + filter_sql("lb", "lf", LOW, True) + ", dec as (select trace, cast(i // 2 as bigint) as i, v from lb where i % 2 = 0)"
 
 
 @query("decimate", over("b_samples", DECIMATE + "select trace, i, round(v, 5) + 0.0e0 as v from dec", True))
@@ -280,9 +280,9 @@ def preprocess_traces(spark, folder):
     return out.select("trace", "i", rnd(F.col("v").cast("double"), 4).alias("v"))
 
 
-@query("source_time_function", over("b_samples", TRACE_N + """, step as (select trace, cast(i as int) as i, case when i < n then 0.0e0 else 1.0e0 end as v
+@query("source_time_function", over("b_samples", TRACE_N + """, step as (select trace, cast(i as bigint) as i, case when i < n then 0.0e0 else 1.0e0 end as v
   from (select trace, n, unnest(range(2*n)) as i from tn))""" + double_bandpass_sql("step", BAND_SECTIONS) + """
-select b.trace, cast(b.i - tn.n as int) as i, case when b.i = tn.n then 0.0e0 else round(v, 8) + 0.0e0 end as v from bp2 b join tn on tn.trace = b.trace where b.i >= tn.n""", True))
+select b.trace, cast(b.i - tn.n as bigint) as i, case when b.i = tn.n then 0.0e0 else round(v, 8) + 0.0e0 end as v from bp2 b join tn on tn.trace = b.trace where b.i >= tn.n""", True))
 def source_time_function(spark, folder):
     n = traces.lengths(tables.samples(spark, folder))
     return traces.source_pulse(n, *BAND).select("trace", "i", rnd("v", 8).alias("v"))
@@ -305,14 +305,14 @@ def envelope(spark, folder):
     return traces.envelope(tables.samples(spark, folder)).select("trace", "i", rnd("env_v", 6).alias("envelope"))
 
 
-@query("cross_correlation", over("b_pair", """, c as (select a.trace, cast(a.i - b.i as int) as lag, sum(a.d*b.s) as c from b_pair a join b_pair b on a.trace = b.trace group by 1, 2),
+@query("cross_correlation", over("b_pair", """, c as (select a.trace, cast(a.i - b.i as bigint) as lag, sum(a.d*b.s) as c from b_pair a join b_pair b on a.trace = b.trace group by 1, 2),
 n as (select trace, 2*count(*) - 1 as m from b_pair group by trace)
-select c.trace, cast(((lag % m) + m) % m as int) as position, lag, round(c, 6) as c from c join n on n.trace = c.trace"""))
+select c.trace, cast(((lag % m) + m) % m as bigint) as position, lag, round(c, 6) as c from c join n on n.trace = c.trace"""))
 def cross_correlation(spark, folder):
     return correlate.cross_correlation(tables.pair(spark, folder)).select("trace", "position", "lag", rnd("c", 6).alias("c"))
 
 
-@query("best_shift", over("b_pair", """, c as (select a.trace, cast(a.i - b.i as int) as lag, sum(a.s*b.d) as c from b_pair a join b_pair b on a.trace = b.trace
+@query("best_shift", over("b_pair", """, c as (select a.trace, cast(a.i - b.i as bigint) as lag, sum(a.s*b.d) as c from b_pair a join b_pair b on a.trace = b.trace
   and a.i - b.i between -4 and 4 group by 1, 2)
 select trace, lag, round(c, 6) as c from c qualify row_number() over (partition by trace order by c desc, lag) = 1"""))
 def best_shift(spark, folder):
@@ -328,7 +328,7 @@ def gaussian_window(spark, folder):
 @query("matlab_range", over("b_samples", TRACE_N + """, r as (select trace, 0.5e0*trace as start, 0.5e0*trace + n/4.0e0 as stop, 0.25e0*(1 + trace % 3) as step from tn),
 k as (select *, (stop-start)/step as q from r),
 e as (select trace, start, step, unnest(range(cast(case when q - floor(q) < 1e-7 then round(q) + 1 else ceil(q) end as bigint))) as j from k)
-select trace, cast(j as int) as j, round(start + j*step, 9) as x from e"""))
+select trace, cast(j as bigint) as j, round(start + j*step, 9) as x from e"""))
 def matlab_range(spark, folder):
     n = traces.lengths(tables.samples(spark, folder))
     r = n.selectExpr("trace", "0.5e0*trace as start", "0.5e0*trace + n/4.0e0 as stop", "0.25e0*(1 + trace % 3) as step")

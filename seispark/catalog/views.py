@@ -1,7 +1,7 @@
 """DuckDB text of the tables in sources/tables.py, for the side-by-side check."""
 
 VIEWS = {
-    "b_samples": """select user_id as trace, cast(row_number() over (partition by user_id order by ts, event_id) - 1 as int) as i,
+    "b_samples": """select user_id as trace, row_number() over (partition by user_id order by ts, event_id) - 1 as i,
   value as v from events""",
     "b_pair": """select trace, i, v as d, avg(v) over (partition by trace order by i rows between 1 preceding and 1 following) as s
   from b_samples""",

@@ -24,7 +24,7 @@ ac as (select st.*, first, noise, noise_relative, 10.0e0*(1 + st.trace % 10) as
 BOUNDS = STATS + """, bo as (select *, greatest(first - 4, 0) as min_idx, cast(ceil(dist_km/2.4e0 + 2) + 3 as bigint) as max_idx from ac
   where dist_km >= 19.2 and noise_relative <= 1.0 and not (cc < 0.1 and noise_relative > 1.0/3))
 """
-HOPS = BOUNDS + """, hop as (select trace, cast(unnest(range(n - 8)) as int) as start from st where n >= 9),
+HOPS = BOUNDS + """, hop as (select trace, cast(unnest(range(n - 8)) as bigint) as start from st where n >= 9),
 hb0 as (select h.trace, h.start, h.start + 4 as mid, min_idx < h.start + 4 and h.start + 4 < max_idx as ok, ptp_s from hop h join bo on bo.trace = h.trace),
 hw as (select h.trace, h.start, p.i - h.start as k, d*(0.5e0 - 0.5e0*cos(2*pi()*(p.i - h.start)/8)) as a, s*(0.5e0 - 0.5e0*cos(2*pi()*(p.i - h.start)/8)) as b
   from hb0 h join b_pair p on p.trace = h.trace and p.i between h.start and h.start + 8 where ok),
@@ -148,7 +148,7 @@ def traveltime_mask(spark, folder):
     return attach(p, b).select("trace", "i", F.expr("i > min_idx and i < max_idx").alias("valid"), F.expr("i > min_idx and i < n").alias("valid_global"))
 
 
-@query("hop_windows", over("b_pair", STATS + """select trace, cast(start as int) as start, cast(start + 9 as int) as stop, cast(start + 4 as int) as mid
+@query("hop_windows", over("b_pair", STATS + """select trace, cast(start as bigint) as start, cast(start + 9 as bigint) as stop, cast(start + 4 as bigint) as mid
   from (select trace, unnest(range(n - 8)) as start from st where n >= 9)"""))
 def hop_windows(spark, folder):
     return windows.hop_windows(traces.lengths(tables.pair(spark, folder)), S)
@@ -193,21 +193,21 @@ def _runs(spark, folder):
     return p, runs(p.where("d > 25"))
 
 
-@query("contiguous_runs", over("b_pair", LOUD + islands("ru", "lo") + "select trace, cast(start as int) as start, cast(stop as int) as stop from ru"))
+@query("contiguous_runs", over("b_pair", LOUD + islands("ru", "lo") + "select trace, cast(start as bigint) as start, cast(stop as bigint) as stop from ru"))
 def contiguous_runs(spark, folder):
     return _runs(spark, folder)[1].select("trace", "start", "stop")
 
 
-@query("min_length_runs", over("b_pair", LOUD + islands("ru", "lo") + "select trace, cast(start as int) as start, cast(stop as int) as stop from ru where stop - start >= 6"))
+@query("min_length_runs", over("b_pair", LOUD + islands("ru", "lo") + "select trace, cast(start as bigint) as start, cast(stop as bigint) as stop from ru where stop - start >= 6"))
 def min_length_runs(spark, folder):
     return windows.keep_long(_runs(spark, folder)[1], S).select("trace", "start", "stop")
 
 
-@query("local_extrema", over("b_pair", ", ra as (select trace, 0 as start, cast(count(*) as int) as stop from b_pair group by trace)" + extrema_sql("x", "ra")
-                             + "select trace, syn as synthetic, cast(i as int) as i, peak from xx"))
+@query("local_extrema", over("b_pair", ", ra as (select trace, 0 as start, cast(count(*) as bigint) as stop from b_pair group by trace)" + extrema_sql("x", "ra")
+                             + "select trace, syn as synthetic, cast(i as bigint) as i, peak from xx"))
 def local_extrema(spark, folder):
     p = _pair(spark, folder)
-    whole = traces.lengths(p).selectExpr("trace", "0 as start", "cast(n as int) as stop")
+    whole = traces.lengths(p).selectExpr("trace", "0L as start", "n as stop")
     return windows.range_extrema(p, whole).selectExpr("t as trace", "synthetic", "i", "peak")
 
 
@@ -231,20 +231,20 @@ def _loud(spark, folder):
     return p, materialise(r, "runs")
 
 
-@query("peak_trough_marching", over("b_pair", LOUD_RUNS + extrema_sql("x", "rl") + march_sql("x") + "select trace, cast(start as int) as start, cast(stop as int) as stop from xr"))
+@query("peak_trough_marching", over("b_pair", LOUD_RUNS + extrema_sql("x", "rl") + march_sql("x") + "select trace, cast(start as bigint) as start, cast(stop as bigint) as stop from xr"))
 def peak_trough_marching(spark, folder):
     p, r = _loud(spark, folder)
     return windows.merge_ranges(p, windows.march(windows.range_extrema(p, r))).select("trace", "start", "stop")
 
 
-@query("extrema_count_filter", over("b_pair", LOUD_RUNS + counted_sql("k", "rl") + "select trace, cast(start as int) as start, cast(stop as int) as stop from kc"))
+@query("extrema_count_filter", over("b_pair", LOUD_RUNS + counted_sql("k", "rl") + "select trace, cast(start as bigint) as start, cast(stop as bigint) as stop from kc"))
 def extrema_count_filter(spark, folder):
     p, r = _loud(spark, folder)
     return windows.enough_extrema(p, r, S)
 
 
 @query("energy_ratio_filter", over("b_pair", LOUD_RUNS + energy_sql("f", "rl").replace("10*least", "1.3*least")
-                                   + "select trace, cast(start as int) as start, cast(stop as int) as stop, round(ed, 4) as ed, round(es, 4) as es from f"))
+                                   + "select trace, cast(start as bigint) as start, cast(stop as bigint) as stop, round(ed, 4) as ed, round(es, 4) as es from f"))
 def energy_ratio_filter(spark, folder):
     p, r = _loud(spark, folder)
     kept = windows.balanced_energy(p, r, windows.Settings(4.0, 20.0, max_energy_ratio=1.3))
@@ -260,13 +260,13 @@ def index_to_time(spark, folder):
     return timed.select("trace", F.unix_micros("t_start").alias("t_start_us"), F.unix_micros("t_end").alias("t_end_us"), "weight")
 
 
-@query("select_windows", over("b_pair", FULL + "select trace, cast(start as int) as start, cast(stop as int) as stop from fin"))
+@query("select_windows", over("b_pair", FULL + "select trace, cast(start as bigint) as start, cast(stop as bigint) as stop from fin"))
 def select_windows(spark, folder):
     p = _pair(spark, folder)
     return windows.select_windows(p, _distances(p), S, PULSE)
 
 
-@query("window_everything", over("b_pair", BOUNDS + "select trace, cast(min_idx as int) as start, cast(max_idx as int) as stop from bo"))
+@query("window_everything", over("b_pair", BOUNDS + "select trace, cast(min_idx as bigint) as start, cast(max_idx as bigint) as stop from bo"))
 def window_everything(spark, folder):
     p = _pair(spark, folder)
     return windows.select_windows(p, _distances(p), S, PULSE, window_everything=True)
@@ -281,6 +281,6 @@ def only_stations_with_windows(spark, folder):
 
 @query("pulse_width", over("b_samples", hilbert_sql("hb", "b_samples") + """, e as (select s.trace, s.i, sqrt(v*v + h*h) as e from b_samples s join hb on hb.trace = s.trace and hb.i = s.i),
 p as (select trace, i as peak, e as top from e qualify row_number() over (partition by trace order by e desc, i) = 1)
-select p.trace, cast(coalesce(min(e.i), any_value(peak)) as int) as pulse from p left join e on e.trace = p.trace and e.i >= peak and e.e < 0.5*top group by p.trace"""))
+select p.trace, cast(coalesce(min(e.i), any_value(peak)) as bigint) as pulse from p left join e on e.trace = p.trace and e.i >= peak and e.e < 0.5*top group by p.trace"""))
 def pulse_width(spark, folder):
     return windows.pulse_width(materialise(tables.samples(spark, folder), "pulse"))

@@ -5,11 +5,11 @@ of a data set, so nothing here windows or groups by ``trace`` alone over
 samples. Samples carry ``chunk = i div size`` and every per-sample window or
 group runs on ``(trace, chunk)``, which holds at most ``size`` rows plus a halo
 of copied neighbours. What has to cross chunks is reduced to a few rows per
-chunk first. ``trace`` may be of any type, a struct included.
+chunk first. Samples are numbered from 0 without gaps, as BIGINT: a trace may
+have more samples than an INT can count. ``trace`` may be of any type, a struct
+included.
 """
 
-from functools import reduce
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -68,7 +68,7 @@ def index_rows(per_trace, length, name="i", size=CHUNK):
     chunked = per_trace.withColumn("_m", F.expr(f"cast({length} as bigint)")).where("_m > 0").withColumn(
         "_c", F.explode(F.expr(f"sequence(0L, (_m - 1) div {size})"))
     )
-    inside = F.expr(f"sequence(cast(_c * {size} as int), cast(least((_c + 1) * {size}, _m) - 1 as int))")
+    inside = F.expr(f"sequence(_c * {size}, least((_c + 1) * {size}, _m) - 1)")
     return chunked.withColumn(name, F.explode(inside)).drop("_m", "_c")
 
 
@@ -128,7 +128,7 @@ def number_rows(df, key, order, bucket, name="i"):
     inside = Window.partitionBy(key, "bucket").orderBy(*order)
     return (
         df.join(offsets, [key, "bucket"])
-        .withColumn(name, (F.col("offset") + F.row_number().over(inside) - 1).cast("int"))
+        .withColumn(name, (F.col("offset") + F.row_number().over(inside) - 1).cast("bigint"))
         .drop("bucket", "offset")
     )
 

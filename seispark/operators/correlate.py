@@ -37,9 +37,9 @@ def cross_correlation(pair, f="d", g="s", size=CHUNK):
     sums = left.join(right, ["trace", "chunk"]).select(
         "trace", "lo_f", "lo_g", F.size("y").alias("m"), "last", F.posexplode(by_lag("x", "y")).alias("p", "c")
     )
-    lag = (F.col("p") - (F.col("m") - 1) + F.col("lo_f") - F.col("lo_g")).cast("int")
+    lag = (F.col("p") - (F.col("m") - 1) + F.col("lo_f") - F.col("lo_g")).cast("bigint")
     total = sums.groupBy("trace", lag.alias("lag"), "last").agg(F.sum("c").alias("c"))
-    return total.select("trace", "lag", F.expr("cast(pmod(lag, 2 * last + 1) as int) as position"), "c")
+    return total.select("trace", "lag", F.expr("cast(pmod(lag, 2 * last + 1) as bigint) as position"), "c")
 
 
 def best_shift(pair, most, size=CHUNK):
@@ -50,4 +50,4 @@ def best_shift(pair, most, size=CHUNK):
     sums = moved.groupBy("trace").agg(
         F.array(*[F.coalesce(F.sum(F.col("d") * F.col(f"s{k + most}")), F.lit(0.0)) for k in lags]).alias("c")
     )
-    return sums.select("trace", (F.array_position("c", F.array_max("c")).cast("int") - 1 - most).alias("lag"), F.array_max("c").alias("c"))
+    return sums.select("trace", (F.array_position("c", F.array_max("c")).cast("bigint") - 1 - most).alias("lag"), F.array_max("c").alias("c"))

@@ -4,7 +4,7 @@ A window is (trace, win, start, stop, weight); a cut by time includes the sample
 at ``stop``. Windowed series are keyed by ``trace = struct(t, win)``.
 """
 
-import numpy as np
+
 from pyspark.sql import functions as F
 
 from seispark.operators import traces
@@ -66,8 +66,8 @@ def tf_phase(tapered, settings, size=CHUNK):
         key,
         F.explode(
             F.expr(
-                "concat(if(start > 0, sequence(0, start - 1), array()),"
-                " if(stop + 1 < n, sequence(stop + 1, cast(n - 1 as int)), array()))"
+                "concat(if(start > 0, sequence(0L, cast(start - 1 as bigint)), array()),"
+                " if(stop + 1 < n, sequence(cast(stop + 1 as bigint), n - 1), array()))"
             )
         ).alias("i"),
         F.lit(0.0).alias("d"),

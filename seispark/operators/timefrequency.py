@@ -90,7 +90,7 @@ def inverse(spectra, width, dt=1.0, threshold=1e-2):
     size = F.array_max(F.transform(F.arrays_zip("re", "im"), lambda z: F.hypot(z["re"], z["im"])))
     tops = spectra.groupBy("trace").agg(F.max(size).alias("top"))
     parts = spectra.join(tops, "trace").select("trace", F.posexplode(back("re", "im", "k", "top")).alias("i", "x"))
-    return parts.groupBy("trace", "i").agg(F.sum("x.re").alias("re"), F.sum("x.im").alias("im"))
+    return parts.groupBy("trace", F.col("i").cast("bigint").alias("i")).agg(F.sum("x.re").alias("re"), F.sum("x.im").alias("im"))
 
 
 def cells(spectra):
@@ -103,7 +103,7 @@ def cells(spectra):
 def _grid(samples, min_period, dt):
     """Both signals on a grid of a quarter period (but no finer than dt) with an odd number of points."""
     step = max(float(int(min_period / 4.0)), dt)
-    points = f"cast(floor((n - 1) / {step / dt}D + 1e-7) as int) + 1"
+    points = f"cast(floor((n - 1) / {step / dt}D + 1e-7) as bigint) + 1"
     odd = f"({points}) - 1 + ({points}) % 2"
     chunked = with_chunk(samples)
     new_d, new_s = (lanczos(chunked, step / dt, 8, c, odd) for c in ("d", "s"))
@@ -206,8 +206,8 @@ def phase_misfit(samples, min_period, max_period, dt=1.0, max_criterion=7, thres
 def _resample_to(signal, lengths, ratio):
     """Each series back on its old grid of old_n samples; zeros follow its end."""
     a = 8
-    first = F.expr(f"greatest(cast(floor((i - {a}) / {float(ratio)}D) as int) + 1, 0)")
-    last = F.expr(f"least(cast(ceil((i + {a}) / {float(ratio)}D) as int) - 1, cast(old_n as int) - 1)")
+    first = F.expr(f"greatest(cast(floor((i - {a}) / {float(ratio)}D) as bigint) + 1, 0)")
+    last = F.expr(f"least(cast(ceil((i + {a}) / {float(ratio)}D) as bigint) - 1, cast(old_n as bigint) - 1)")
     near = signal.join(lengths, "trace").withColumn("j", F.explode(F.when(first <= last, F.sequence(first, last))))
     x = F.col("j") * float(ratio) - F.col("i")
     px = F.lit(np.pi) * x

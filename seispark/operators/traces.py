@@ -190,10 +190,10 @@ def lanczos(samples, ratio, a=8, column="v", points=None, size=CHUNK):
     new samples. Each sample is sent to the few new samples it touches and the
     products are summed, partially before the shuffle.
     """
-    points = points or f"cast(floor((n - 1) / {ratio}) as int) + 1"
+    points = points or f"cast(floor((n - 1) / {ratio}) as bigint) + 1"
     counted = attach(samples, lengths(samples), size=size).withColumn("m", F.expr(points))
-    first = F.expr(f"greatest(cast(floor((i - {a}) / {float(ratio)}D) as int) + 1, 0)")
-    last = F.expr(f"least(cast(ceil((i + {a}) / {float(ratio)}D) as int) - 1, m - 1)")
+    first = F.expr(f"greatest(cast(floor((i - {a}) / {float(ratio)}D) as bigint) + 1, 0)")
+    last = F.expr(f"least(cast(ceil((i + {a}) / {float(ratio)}D) as bigint) - 1, m - 1)")
     spread = counted.withColumn("j", F.explode(F.when(first <= last, F.sequence(first, last)))).withColumn(
         "x", F.col("j") * float(ratio) - F.col("i")
     )
@@ -251,13 +251,13 @@ def sections_filter(samples, sections, column="v", size=CHUNK):
         schema = T.StructType().add("trace", kind).add("chunk", T.LongType()).add("state", T.ArrayType(T.DoubleType()))
         stated = packed.join(ends.groupBy("trace").applyInPandas(chain, schema), ["trace", "chunk"], "left")
     out = stated.select("trace", "chunk", "lo", F.posexplode(filtered(column, "state")).alias("p", column))
-    return materialise(out.select("trace", "chunk", (F.col("lo") + F.col("p")).cast("int").alias("i"), column), "filtered")
+    return materialise(out.select("trace", "chunk", (F.col("lo") + F.col("p")).cast("bigint").alias("i"), column), "filtered")
 
 
 def reverse(samples, size=CHUNK):
     """Same trace read from its end."""
     n = lengths(samples).withColumnRenamed("n", "_n")
-    turned = attach(samples, n, "_n", size).withColumn("i", (F.col("_n") - 1 - F.col("i")).cast("int")).drop("_n")
+    turned = attach(samples, n, "_n", size).withColumn("i", (F.col("_n") - 1 - F.col("i")).cast("bigint")).drop("_n")
     return with_chunk(turned, size)
 
 
@@ -287,7 +287,7 @@ def decimate(samples, dt, dt_new, column="v", size=CHUNK):
         if factor <= 1:
             return samples, dt
         low = zero_phase_lowpass(samples, 0.5 / dt / factor, dt, column, size)
-        samples = with_chunk(low.where(F.col("i") % factor == 0).withColumn("i", (F.col("i") / factor).cast("int")), size)
+        samples = with_chunk(low.where(F.col("i") % factor == 0).withColumn("i", (F.col("i") / factor).cast("bigint")), size)
         dt *= factor
 
 
@@ -304,7 +304,7 @@ def source_pulse(per_trace, min_period, max_period, dt=1.0, size=CHUNK):
     step = index_rows(per_trace.select("trace", "n"), "2 * n", size=size)
     step = with_chunk(step.withColumn("v", F.when(F.col("i") < F.col("n"), 0.0).otherwise(1.0)), size).drop("n")
     pulse = attach(double_bandpass(step, min_period, max_period, dt, size=size), per_trace.withColumn("_n", 2 * F.col("n")), "_n", size)
-    late = pulse.where("i >= n").withColumn("i", (F.col("i") - F.col("n")).cast("int"))
+    late = pulse.where("i >= n").withColumn("i", (F.col("i") - F.col("n")).cast("bigint"))
     return with_chunk(late.withColumn("v", F.when(F.col("i") == 0, 0.0).otherwise(F.col("v"))).select("trace", "i", "v"), size)
 
 
@@ -341,7 +341,7 @@ def hilbert(samples, columns, size=CHUNK):
     parts = met.select("trace", "target", share(F.array(*columns), "lo", "target", "_n").alias("y"))
     zipped = F.arrays_zip(*[F.col("y")[k].alias(f"h_{c}") for k, c in enumerate(columns)])
     long = parts.withColumn("y", zipped).select("trace", F.col("target").alias("chunk"), F.posexplode("y").alias("p", "h"))
-    summed = long.groupBy("trace", "chunk", (F.col("p") + F.col("chunk") * size).cast("int").alias("i")).agg(
+    summed = long.groupBy("trace", "chunk", (F.col("p") + F.col("chunk") * size).cast("bigint").alias("i")).agg(
         *[F.sum(F.col("h")[f"h_{c}"]).alias(f"h_{c}") for c in columns]
     )
     return samples.join(summed, ["trace", "chunk", "i"])

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from seispark.functions import kernels
 from seispark.operators import traces
 from seispark.operators.chunks import (
-    CHUNK, attach, blocks, by_chunk, in_ranges, index_rows, nearest, owned, runs, sibling, with_chunk, with_halo,
+    CHUNK, attach, blocks, by_chunk, in_ranges, index_rows, nearest, owned, runs, sibling, with_halo,
 )
 from seispark.session import materialise
 
@@ -158,7 +158,7 @@ def sliding_correlation(pair, s, size=CHUNK):
     out = packed.withColumn("r", slid("d", "s", "lo", "chunk", *numbers))
     zipped = out.select("trace", "chunk", F.posexplode(F.arrays_zip(*[f"r.{c}" for c in result.names])).alias("p", "z"))
     return zipped.select(
-        "trace", "chunk", (F.col("p") + F.col("chunk") * size).cast("int").alias("i"),
+        "trace", "chunk", (F.col("p") + F.col("chunk") * size).cast("bigint").alias("i"),
         *[F.when(~F.isnan(F.col("z")[c]), F.col("z")[c]).alias(c) for c in ("shift", "cc")],
         *[F.col(f"z.{c}").alias(c) for c in ("covered", "energetic", "in_time")],
     )
@@ -221,7 +221,7 @@ def extrema(series, ranges, size=CHUNK):
             )
         ).alias("e"),
     )
-    return inner.unionByName(ends.select("trace", F.col("e.i").cast("int").alias("i"), "e.peak"))
+    return inner.unionByName(ends.select("trace", F.col("e.i").cast("bigint").alias("i"), "e.peak"))
 
 
 def _both_series(pair, ranges, size):
@@ -320,7 +320,7 @@ def select_windows(pair, distances, s, pulse=0, global_mode=False, window_everyt
     accepted = accept_traces(pair, distances, s, size).where("reason is null")
     bounds = travel_bounds(accepted, s, pulse, global_mode)
     if window_everything:
-        return bounds.selectExpr("trace", "cast(min_idx as int) as start", "cast(max_idx as int) as stop")
+        return bounds.selectExpr("trace", "cast(min_idx as bigint) as start", "cast(max_idx as bigint) as stop")
     bounds = materialise(bounds, "window-bounds")
     valid = runs(valid_samples(pair, bounds, s, size), size)
     valid = materialise(keep_long(valid, s), "window-runs")
