@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from seispark.llm import line_dedup, sharding
+from seispark.llm import language, line_dedup, quality, sharding, simhash
 from seispark.llm.text import NULL_ID
 
 QUERIES = {}
@@ -64,3 +64,23 @@ from hashed join leaf on h >> (60 - depth) = prefix"""
 def op8(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return sharding.shard(docs, SHARD_BYTES).select(own_id(), "shard", "depth", "n_bytes", "shard_bytes")
+
+
+@query("op4_simhash_near_dedup")
+def op4(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs)
+    return found.select(own_id(), F.lower(F.hex("_fp")).alias("fingerprint"), simhash.public_id("component").alias("component_id"))
+
+
+@query("op2_quality_classifier")
+def op2(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, folder, "labels"))
+    return quality.score(docs, model)
+
+
+@query("op9_language_mixture")
+def op9(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return language.predict(docs, language.train(docs))
