@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from seispark.llm import language, line_dedup, quality, sharding, simhash
+from seispark.llm import language, licenses, line_dedup, quality, sharding, simhash, topk
 from seispark.llm.text import NULL_ID
 
 QUERIES = {}
@@ -84,3 +84,42 @@ def op2(spark, folder):
 def op9(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     return language.predict(docs, language.train(docs))
+
+
+NEAREST = """
+with whole as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+  where len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score
+  from whole q join whole c on c.vec_id <> q.vec_id and len(c.v) = len(q.v) where q.vec_id % 50 = 0),
+ranked as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5"""
+
+
+@query("op3_threshold_top_k", NEAREST)
+def op3(spark, folder):
+    return topk.top_k(table(spark, folder, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
+TEMPLATE_ROWS = ",\n  ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(licenses.TEMPLATES))
+LICENSES = f"""
+with templates(template, license, text) as (values {TEMPLATE_ROWS}),
+lines as (select doc_id, string_split(coalesce(text, ''), chr(10)) as p, text from documents),
+units as (select doc_id, unnest(p) as unit, unnest(range(len(p))) as n, false as whole from lines
+  union all select doc_id, text, -1, true from lines where len(p) > 1),
+uwords as (select doc_id, n, whole, list_filter(string_split(regexp_replace(lower(unit), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> '') as w from units),
+upairs as (select doc_id, n, whole, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as b from uwords where len(w) between 2 and 2000),
+twords as (select template, license, list_filter(string_split(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> '') as w from templates),
+tpairs as (select template, license, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as b from twords),
+uflat as (select doc_id, n, whole, len(b) as size, unnest(b) as pair from upairs),
+tflat as (select template, license, len(b) as tsize, unnest(b) as pair from tpairs),
+hits as (select doc_id, n, whole, license, 2.0e0 * count(*) / (size + tsize) as score from uflat join tflat using (pair)
+  group by doc_id, n, whole, template, license, size, tsize),
+best as (select doc_id, n, whole, license, max(score) as score from hits where score >= 0.9 group by doc_id, n, whole, license)
+select doc_id, license, max(score) as score, cast(count(*) filter (not whole) as bigint) as n_lines, bool_or(whole) as whole_text
+from best group by doc_id, license"""
+
+
+@query("op5_license_scan", LICENSES)
+def op5(spark, folder):
+    found = licenses.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(own_id(), "license", "score", "n_lines", "whole_text")
