@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from seispark.llm import language, licenses, line_dedup, quality, sharding, simhash, topk
+from seispark.llm import language, licenses, line_dedup, packing, quality, sharding, simhash, topk
 from seispark.llm.text import NULL_ID
 
 QUERIES = {}
@@ -123,3 +123,8 @@ from best group by doc_id, license"""
 def op5(spark, folder):
     found = licenses.scan(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select(own_id(), "license", "score", "n_lines", "whole_text")
+
+
+@query("op7_best_fit_packing")
+def op7(spark, folder):
+    return packing.pack(table(spark, folder, "documents").select("doc_id", "text"))
