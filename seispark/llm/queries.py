@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from seispark.llm import language, licenses, line_dedup, packing, quality, sharding, simhash, topk
+from seispark.llm import decontaminate, language, licenses, line_dedup, packing, quality, sharding, simhash, topk
 from seispark.llm.text import NULL_ID
 
 QUERIES = {}
@@ -128,3 +128,10 @@ def op5(spark, folder):
 @query("op7_best_fit_packing")
 def op7(spark, folder):
     return packing.pack(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op6_benchmark_decontamination")
+def op6(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, table(spark, folder, "benchmark"))
+    return found.select(own_id(), "item_id", "score", "question_overlap", "answer_overlap")
