@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from seispark.llm import decontaminate, language, licenses, line_dedup, packing, quality, sharding, simhash, topk
+from seispark.llm import decontaminate, language, licenses, line_dedup, packing, quality, sharding, simhash, surrogates, topk
 from seispark.llm.text import NULL_ID
 
 QUERIES = {}
@@ -135,3 +135,14 @@ def op6(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.find_leaks(docs, table(spark, folder, "benchmark"))
     return found.select(own_id(), "item_id", "score", "question_overlap", "answer_overlap")
+
+
+#: Key of the surrogates; a user passes a secret one.
+KEY = "example key"
+
+
+@query("op10_surrogates")
+def op10(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = surrogates.replace_personal_data(docs, KEY)
+    return found.select("_row.doc_id", F.col("replaced").alias("text"), "n_entities")
