@@ -86,17 +86,18 @@ def close_pairs(a, b, radius, same):
     rows = max(1, (1 << 20) // max(1, len(b)))
     for lo in range(0, len(a), rows):
         part = a[lo : lo + rows]
-        apart = np.zeros((len(part), len(b)), np.uint16)
-        for lane in range(a.shape[1]):
-            apart += np.bitwise_count(part[:, lane, None] ^ b[None, :, lane])
-        near = apart <= radius
-        for i in np.flatnonzero(near.any(axis=1)):
-            j = np.flatnonzero(near[i]) + shift
-            own = label[lo + i]
-            groups, first = np.unique(label[j], return_index=True)
+        i, j = np.nonzero(np.bitwise_count(part[:, 0, None] ^ b[None, :, 0]) <= radius)
+        if a.shape[1] > 1:  # the other words only where the first one leaves room
+            near = np.bitwise_count(part[i] ^ b[j]).sum(axis=1) <= radius
+            i, j = i[near], j[near]
+        ends = np.searchsorted(i, np.arange(len(part) + 1))
+        for k in np.flatnonzero(np.diff(ends) > same):
+            met = j[ends[k] : ends[k + 1]]
+            own = label[lo + k]
+            groups, first = np.unique(label[met + shift], return_index=True)
             new = groups != own
             if new.any():
-                links += [(lo + i, j[k] - shift) for k in first[new]]
+                links += [(lo + k, m) for m in met[first[new]]]
                 label[np.isin(label, groups[new])] = own
     return links
 
