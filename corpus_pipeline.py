@@ -1,19 +1,46 @@
 """Corpus pipeline: each stage works on what the one before it kept."""
 
-from seispark.llm import line_dedup
+from seispark.llm import decontaminate, line_dedup, packing, quality, simhash
 from seispark.session import materialise
 
+#: Near copies share 0.8 of their five-word shingles or more; 128-bit fingerprints of such texts differ by 19 bits on average, a deviation of 4.
+NEAR = {"shingle": 5, "radius": 24, "lanes": 2, "blocks": 1}
+
+
+def classify_quality(spark, docs, sf_dir):
+    """Documents that the classifier, learned from the labels, accepts."""
+    return quality.keep_good(docs, quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
 
 def drop_lines(spark, docs, sf_dir):
-    """Without the lines that several documents share."""
+    """Documents without the lines that several of them share; ``n_chars`` follows."""
     return line_dedup.stage(docs)
 
 
+def drop_near_copies(spark, docs, sf_dir):
+    """One document of each group of near copies: the one with the smallest id."""
+    return simhash.one_of_each(docs, **NEAR)
+
+
+def drop_leaks(spark, docs, sf_dir):
+    """Documents that hold no test item."""
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack_sequences(spark, docs, sf_dir):
+    """Packed sequences with their pieces' texts; ``doc_id`` and place of each piece are in ``pieces``."""
+    return packing.pack(docs, texts=True)
+
+
 STAGES = [
+    ("quality classifier", classify_quality),
     ("line dedup", drop_lines),
+    ("SimHash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_leaks),
+    ("best-fit packing", pack_sequences),
 ]
 
-#: The classifier is trained and the packing is planned by iteration, which plain SQL does not express.
+#: Training, fingerprints and packing are not expressed in plain SQL; tests compare with loops.
 ORACLE_SQL = None
 
 
