@@ -32,10 +32,9 @@ def sum_two_params(spark, folder):
     return merged.select("event", "param", "point", rnd("g", 9).alias("value"))
 
 
-@query("clip_quantile", over("b_grad", """, q as (select param, quantile_cont(g, 0.05) as low, quantile_cont(g, 0.95) as high
-  from b_grad group by param)
-select event, b_grad.param, point, round(greatest(least(g, high), low), 9) + 0.0e0 as value
-from b_grad join q on b_grad.param = q.param"""))
+@query("clip_quantile", over("b_grad", """, q as (select event, param, quantile_cont(g, 0.05) as low, quantile_cont(g, 0.95) as high
+  from b_grad group by event, param)
+select event, param, point, round(greatest(least(g, high), low), 9) + 0.0e0 as value from b_grad join q using (event, param)"""))
 def clip_quantile(spark, folder):
     clipped = fields.clip_quantile(tables.gradients(spark, folder), 0.95, value="g")
     return clipped.select("event", "param", "point", rnd("g", 9).alias("value"))
@@ -50,7 +49,7 @@ select param, count(*) as n, cast(count(*) filter (where l_extendedprice < low o
 from lineitem join q on l_returnflag = param group by param""")
 def clip_quantile_large(spark, folder):
     raw = tables.table(spark, folder, "lineitem").selectExpr("l_returnflag as param", "l_extendedprice as value", "l_extendedprice as raw")
-    clipped = fields.clip_quantile(raw, 0.98)
+    clipped = fields.clip_quantile(raw, 0.98, by=["param"])
     return clipped.groupBy("param").agg(
         F.count("*").alias("n"),
         F.count(F.when(F.col("value") != F.col("raw"), 1)).alias("clipped"),
@@ -118,9 +117,9 @@ def union_hits(spark, folder):
 
 
 @query("gradient_postprocess", over("b_nodes b_sources", SOURCE_XYZ + f""", c as ({CUT_OWN}),
-q as (select param, quantile_cont(value, 0.1) as low, quantile_cont(value, 0.9) as high from c group by param)
-select node, cast(event as int) as event, c.param, round(greatest(least(value, high), low), 6) as value, true as frame_set
-from c join q on c.param = q.param"""))
+q as (select event, param, quantile_cont(value, 0.1) as low, quantile_cont(value, 0.9) as high from c group by event, param)
+select node, cast(event as int) as event, param, round(greatest(least(value, high), low), 6) as value, true as frame_set
+from c join q using (event, param)"""))
 def gradient_postprocess(spark, folder):
     g = _event_nodes(spark, folder).withColumn("param", F.expr("cast(layer % 5 as int)"))
     cut = spatial.cut_own_source(g, _sources_xyz(spark, folder), 3.0e6)

@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from seispark.operators.quantiles import exact_quantiles
+from seispark.session import materialise
 
 # The parameter sets an inversion may use, each in its canonical order.
 PARAMETER_ORDERS = [
@@ -94,13 +95,13 @@ def sum_two_params(nodal, pair, keys=("point",), value="value"):
     return nodal.withColumn(value, F.when(F.col("param").isin(p, q), both).otherwise(F.col(value)))
 
 
-def clip_quantile(nodal, percentile, by=("param",), value="value"):
-    """Clamp each parameter to its [1-p, p] quantiles; p = 1 leaves it as it is."""
+def clip_quantile(nodal, percentile, by=("event", "param"), value="value"):
+    """Clamp each parameter of each event's gradient to its [1-p, p] quantiles; p = 1 leaves it as it is."""
     if percentile == 1:
         return nodal
-    limits = exact_quantiles(nodal, list(by), value, {"low": 1 - percentile, "high": percentile}, few_groups=True)
+    limits = materialise(exact_quantiles(nodal, list(by), value, {"low": 1 - percentile, "high": percentile}), "limits")
     return (
-        nodal.join(F.broadcast(limits), list(by))
+        nodal.join(limits, list(by))
         .withColumn(value, F.greatest(F.least(F.col(value), F.col("high")), F.col("low")))
         .drop("low", "high")
     )

@@ -7,29 +7,22 @@ from seispark.session import materialise
 
 ACCURACY = 10_000
 BINS = 1024
-SMALL_GROUP = 500_000
 
 
-def exact_quantiles(df, by, value, probs, few_groups=False, accuracy=ACCURACY, small_group=SMALL_GROUP):
+def exact_quantiles(df, by, value, probs, accuracy=ACCURACY):
     """One row per group of ``by`` with a column for each entry of ``probs`` (name -> p).
 
-    Where every group is small by count, Spark's own exact percentile keeps each
-    in memory. Otherwise a sketch brackets each wanted rank; rows inside the
-    bracket are counted per distinct value, rows below it only as one number.
-    The bracket holds at most about 8/accuracy of a large group (or all of a
-    group of up to 4*accuracy rows); it is cut into bins, and only the bins that
-    hold a wanted rank are sorted. The counts are a written table, so the sketch
-    and the counts are the only passes over the rows. ``few_groups`` says the
-    number of groups is a small constant (parameter names), which allows the
-    brackets to be broadcast.
+    A sketch brackets each wanted rank; rows inside the bracket are counted per
+    distinct value, rows below it only as one number. The bracket holds at most
+    about 8/accuracy of a large group (or all of a group of up to 4*accuracy
+    rows); it is cut into bins, and only the bins that hold a wanted rank are
+    sorted. Brackets and counts are written tables: the sketch and the counts are
+    the only passes over the rows, and the join with the brackets is planned by
+    their size on disk. Groups without values give no row.
     """
     if not by:
-        whole = exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs, True, accuracy, small_group)
+        whole = exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs, accuracy)
         return whole.drop("_all")
-    largest = df.where(F.col(value).isNotNull()).groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-    if largest <= small_group:
-        all_at_once = df.groupBy(*by).agg(F.percentile(value, F.array(*[F.lit(p) for p in probs.values()])).alias("q"))
-        return all_at_once.select(*by, *[F.col("q")[k].alias(name) for k, name in enumerate(probs)])
     eps = 4.0 / accuracy
     wanted = list(probs.items())
     marks = [x for _, p in wanted for x in (max(p - eps, 0.0), min(p + eps, 1.0))]
@@ -50,8 +43,8 @@ def exact_quantiles(df, by, value, probs, few_groups=False, accuracy=ACCURACY, s
         )
 
     brackets = F.explode(F.array(*[bracket(k, name, p) for k, (name, p) in enumerate(wanted)]))
-    targets = sketch.select(*by, "n", brackets.alias("t")).select(*by, "n", "t.*")
-    joined = df.select(*by, value).join(F.broadcast(targets) if few_groups else targets, list(by))
+    targets = materialise(sketch.select(*by, "n", brackets.alias("t")).select(*by, "n", "t.*"), "quantile-targets")
+    joined = df.select(*by, value).join(targets, list(by))
     place = F.floor((F.col("at") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS)
     bin_no = F.when(F.col("at").isNull(), -1).when(F.col("hi") <= F.col("lo"), 0).otherwise(F.least(place, F.lit(BINS - 1)))
     group = [*by, "name"]
