@@ -138,19 +138,16 @@ def hilbert_part(x, lo, target_lo, target_n, n):
 
 def full_correlation(a, b):
     """Row-wise full correlation: entry j is the sum of a[m+j-w+1]*b[m]."""
-    rows, w = a.shape
-    if w > 256:
-        size = 2 * w - 1
-        spectrum = np.fft.rfft(a, size, axis=1) * np.conj(np.fft.rfft(b, size, axis=1))
-        return np.roll(np.fft.irfft(spectrum, size, axis=1), w - 1, axis=1)
-    out = np.empty((rows, 2 * w - 1))
-    for j in range(2 * w - 1):
-        lag = j - w + 1
-        if lag >= 0:
-            out[:, j] = (a[:, lag:] * b[:, : w - lag]).sum(axis=1)
-        else:
-            out[:, j] = (a[:, : w + lag] * b[:, -lag:]).sum(axis=1)
-    return out
+    w = a.shape[1]
+    size = 2 * w - 1
+    spectrum = np.fft.rfft(a, size, axis=1) * np.conj(np.fft.rfft(b, size, axis=1))
+    return np.roll(np.fft.irfft(spectrum, size, axis=1), w - 1, axis=1)
+
+
+def first_largest(c, scale):
+    """Place of each row's largest entry; entries that differ by rounding alone tie, and the first one counts."""
+    near = c >= c.max(axis=1, keepdims=True) - 1e-12 * scale[:, None]
+    return near.argmax(axis=1)
 
 
 def gaussian(y, width):

@@ -19,12 +19,8 @@ def cross_correlation(pair, f="d", g="s", size=CHUNK):
     def by_lag(a: pd.Series, b: pd.Series) -> pd.Series:
         out = []
         for x, y in zip(a, b):
-            if len(x) < 256:
-                out.append(np.correlate(x, y, "full"))
-            else:
-                k = len(x) + len(y) - 1
-                full = np.fft.irfft(np.fft.rfft(x, k) * np.fft.rfft(np.asarray(y)[::-1], k), k)
-                out.append(full)
+            k = len(x) + len(y) - 1
+            out.append(np.fft.irfft(np.fft.rfft(x, k) * np.fft.rfft(np.asarray(y)[::-1], k), k))
         return pd.Series(out)
 
     packed = blocks(pair, [f, g])

@@ -214,7 +214,7 @@ def sections_filter(samples, sections, column="v", size=CHUNK):
     are chained over the chunks of a trace (one small row per chunk); then each
     chunk is filtered again from its true state. Input and result are written
     tables: both are read more than once, and a chain of filters would otherwise
-    repeat its whole past at every step. Traces of a single chunk skip the states.
+    repeat its whole past at every step.
     """
     width = min(64, size)
     if size % width:
@@ -229,8 +229,7 @@ def sections_filter(samples, sections, column="v", size=CHUNK):
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def filtered(x: pd.Series, state: pd.Series) -> pd.Series:
         f = kernels.BlockFilter(sections, width)
-        zero = np.zeros(m)
-        return pd.Series([f.run(v, zero if s is None else s)[0] for v, s in zip(x, state)])
+        return pd.Series([f.run(v, s)[0] for v, s in zip(x, state)])
 
     def chain(pdf):
         f = kernels.BlockFilter(sections, width)
@@ -242,14 +241,10 @@ def sections_filter(samples, sections, column="v", size=CHUNK):
         return pdf[["trace", "chunk"]].assign(state=out)
 
     packed = materialise(blocks(samples, [column]), "filter-blocks")
-    many = packed.where("chunk > 0").select("trace").distinct()
-    if many.isEmpty():
-        stated = packed.withColumn("state", F.lit(None).cast("array<double>"))
-    else:
-        ends = packed.join(many, "trace", "left_semi").select("trace", "chunk", final_state(column).alias("state"))
-        kind = samples.schema["trace"].dataType
-        schema = T.StructType().add("trace", kind).add("chunk", T.LongType()).add("state", T.ArrayType(T.DoubleType()))
-        stated = packed.join(ends.groupBy("trace").applyInPandas(chain, schema), ["trace", "chunk"], "left")
+    ends = packed.select("trace", "chunk", final_state(column).alias("state"))
+    kind = samples.schema["trace"].dataType
+    schema = T.StructType().add("trace", kind).add("chunk", T.LongType()).add("state", T.ArrayType(T.DoubleType()))
+    stated = packed.join(ends.groupBy("trace").applyInPandas(chain, schema), ["trace", "chunk"])
     out = stated.select("trace", "chunk", "lo", F.posexplode(filtered(column, "state")).alias("p", column))
     return materialise(out.select("trace", "chunk", (F.col("lo") + F.col("p")).cast("bigint").alias("i"), column), "filtered")
 

@@ -135,9 +135,10 @@ def sliding_correlation(pair, s, size=CHUNK):
             b = np.lib.stride_tricks.sliding_window_view(y, wl)[hops - first] * taper
             loud = np.ptp(b, axis=1) >= 0.001 * ptp
             c = kernels.full_correlation(a, b)
+            scale = np.sqrt((b**2).sum(axis=1) * (a**2).sum(axis=1))
             with np.errstate(divide="ignore", invalid="ignore"):
-                top = c.max(axis=1) / np.sqrt((b**2).sum(axis=1) * (a**2).sum(axis=1))
-            shift[ok] = np.where(loud, (c.argmax(axis=1) - wl + 1) * s.dt / s.min_period, np.nan)[back]
+                top = c.max(axis=1) / scale
+            shift[ok] = np.where(loud, (kernels.first_largest(c, scale) - wl + 1) * s.dt / s.min_period, np.nan)[back]
             cc[ok] = np.where(loud, top, np.nan)[back]
             energetic[ok] = loud[back]
         return shift, cc, ok, energetic, (own > lo) & (own < hi)
