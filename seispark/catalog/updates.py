@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from seispark.catalog.views import over, query
 from seispark.functions import names
 from seispark.functions.columns import rnd
-from seispark.operators import batch, chunks, ledger, quantiles, update
+from seispark.operators import batch, chunks, ledger, quantiles, spatial, update
 from seispark.plans.iteration import IterationJob, model_for_event, sum_and_merge
 from seispark.session import materialise
 from seispark.sources import stores, tables
@@ -114,51 +114,106 @@ def sgdm_apply_update(spark, folder):
 
 
 @query("nan_guard", """select l_returnflag as param, cast(count(*) filter (where isnan(case when l_discount = 0 then 'nan'::double else l_tax/l_discount end)) as bigint) as nans,
-  count(*) filter (where l_discount = 0) = 0 as accepted from lineitem group by 1""")
+  count(*) filter (where l_discount = 0) = 0 as accepted,
+  case when count(*) filter (where l_discount = 0) = 0 then count(*) else 0 end as kept from lineitem group by 1""")
 def nan_guard(spark, folder):
     rows = tables.table(spark, folder, "lineitem").selectExpr(
         "l_returnflag as param", "case when l_discount = 0 then double('NaN') else l_tax/l_discount end as v"
     )
-    return rows.groupBy("param").agg(F.count(F.when(F.isnan("v"), 1)).alias("nans")).withColumn("accepted", F.col("nans") == 0)
+    judged = update.verdicts(rows, ["param"], F.isnan("v"))
+    # the guard itself runs over the groups it lets pass, and every row has to come through
+    passed = update.no_nan(rows.join(judged.where("accepted").select("param"), "param", "left_semi"), "v", "the values")
+    kept = passed.groupBy("param").agg(F.count("v").alias("kept"))
+    return judged.join(kept, "param", "left").select("param", F.col("refused").alias("nans"), "accepted", F.coalesce("kept", F.lit(0)).alias("kept"))
 
 
-@query("magnitude_guard", over("b_model", ADAM_1 + "select param, round(max(abs(upd)), 10) as largest, max(abs(upd)) <= 3*0.001e0 as accepted from raw group by param"))
-def magnitude_guard(spark, folder):
-    raw = _raw(spark, folder, ADAM)[1]
-    return raw.groupBy("param").agg(F.max(F.abs("update")).alias("x")).select(
-        "param", rnd("x", 10).alias("largest"), (F.col("x") <= 3 * ADAM.alpha).alias("accepted")
-    )
+TIGHT = 0.9 * ADAM.alpha
 
 
-def _iterations_sql(n):
-    text = ", x0 as (select param, node, theta0, theta, 0.0e0 as m, 0.0e0 as v from b_model)"
+@query("magnitude_guard", over("b_model", ADAM_1 + """select param, round(max(abs(upd)), 10) as largest,
+  count(*) filter (where abs(upd) > 0.9e0*0.001e0) as refused, max(abs(upd)) <= 0.9e0*0.001e0 as accepted,
+  max(abs(upd)) <= 3*0.001e0 as within_rule from raw group by param"""))
+def magnitude_guard(spark, folder):
+    m = tables.model(spark, folder)
+    raw = ADAM.unchecked_update(ADAM.moments(m.select("param", "node", "g"), None), 0)
+    judged = update.verdicts(raw, ["param"], update.too_large("update", TIGHT))
+    rule = update.verdicts(raw, ["param"], update.too_large("update", 3 * ADAM.alpha)).select("param", F.col("accepted").alias("within_rule"))
+    sizes = raw.groupBy("param").agg(rnd(F.max(F.abs("update")), 10).alias("largest"))
+    return sizes.join(judged, "param").join(rule, "param").select("param", "largest", "refused", "accepted", "within_rule")
+
+
+PERIOD, LATERAL, RADIAL = 100.0, 2.0, 0.5
+PARAMS = {"RHO": 1.5, "VPV": 1.0, "VPH": 1.1}
+
+JOB = """, pr as (select unnest(['RHO', 'VPV', 'VPH']) as param, unnest([1.5e0, 1.0e0, 1.1e0]) as part, unnest([1, 2, 3]) as k),
+x0 as (select param, node, value*part as theta0, value*part*(1.0e0 + 0.01e0*sin(node + k)) as theta, 0.0e0 as m, 0.0e0 as v from b_nodes, pr),
+e as (select unnest([1, 2, 3]) as event),
+sp as (select pr.param, node, x, y, z, sqrt(x*x + y*y + z*z) as r, value*(case pr.param when 'VPH' then 1.1e0 else 1.0e0 end)*100.0e0 as sc from b_nodes, pr),
+near as (select a.param, a.node, b.node as other, (a.r-b.r)*(a.r-b.r)/power(0.5e0*a.sc, 2)
+  + greatest((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)+(a.z-b.z)*(a.z-b.z) - (a.r-b.r)*(a.r-b.r), 0.0e0)/power(2.0e0*a.sc, 2) as u2
+  from sp a join sp b on a.param = b.param),
+w as materialized (select param, node, other, exp(-u2/2) as w from near where u2 <= 9)"""
+RULES = {
+    "adam": (
+        "0.9e0*m + (1-0.9e0)*g as m, 0.999e0*v + (1-0.999e0)*g*g as v",
+        "0.001e0*(m/{b1!r})/(sqrt(v/{b2!r}) + 0.1e0*avg(sqrt(v/{b2!r})) over ())",
+        "least(sqrt(sum(upd*upd))/sqrt(sum(supd*supd)), 0.001e0/max(abs(supd)), max(abs(upd))/max(abs(supd)))",
+        "0.001e0",
+    ),
+    "momentum": ("m, 0.9e0*v + (1-0.9e0)*g as v", "0.001e0*v/{b1!r}", "0.001e0/max(abs(supd))", "0.1e0*0.001e0"),
+}
+
+
+def _iterations_sql(n, rule):
+    state, step, factor, decay = RULES[rule]
+    text = JOB
     for k in range(n):
         b1, b2 = 1 - 0.9 ** (k + 1), 1 - 0.999 ** (k + 1)
         text += f""",
-m{k} as (select param, node, theta0, theta, 0.9e0*m + (1-0.9e0)*cos(node+{k})*1.0e-3 as m,
-  0.999e0*v + (1-0.999e0)*cos(node+{k})*1.0e-3*cos(node+{k})*1.0e-3 as v from x{k}),
-r{k} as (select *, 0.001e0*(m/{b1!r})/(sqrt(v/{b2!r}) + 0.1e0*avg(sqrt(v/{b2!r})) over ()) as upd from m{k}),
-s{k} as (select *, 0.5e0*upd + 0.5e0*avg(upd) over (partition by param) as supd from r{k}),
-f{k} as (select least(sqrt(sum(upd*upd))/sqrt(sum(supd*supd)), 0.001e0/max(abs(supd)), max(abs(upd))/max(abs(supd))) as factor from s{k}),
-x{k + 1} as (select param, node, theta0, case when theta0 <> 0 then ((theta/theta0-1)*(1-0.001e0) - supd*(select factor from f{k}) + 1)*theta0
+g{k} as (select param, node, avg(cos(node*event + {k})*1.0e-3*k) as g from b_nodes, pr, e group by param, node),
+t{k} as (select param, node, case when param <> 'RHO' then sum(case when param <> 'RHO' then g end) over (partition by node) else g end as g from g{k}),
+m{k} as (select x{k}.param, x{k}.node, theta0, theta, {state} from x{k} join t{k} on x{k}.param = t{k}.param and x{k}.node = t{k}.node),
+r{k} as (select *, {step.format(b1=b1, b2=b2)} as upd from m{k}),
+h{k} as (select w.param, w.node, sum(w*upd)/sum(w) as supd from w join r{k} on r{k}.param = w.param and r{k}.node = w.other group by w.param, w.node),
+s{k} as (select r{k}.*, supd from r{k} join h{k} on h{k}.param = r{k}.param and h{k}.node = r{k}.node),
+f{k} as (select {factor} as factor from s{k}),
+x{k + 1} as (select param, node, theta0, case when theta0 <> 0 then ((theta/theta0-1)*(1-{decay}) - supd*(select factor from f{k}) + 1)*theta0
   else 0 end as theta, m, v from s{k})"""
-    return text + f" select param, node, round(theta, 5) as theta from x{n}"
+    return text + f""" select param, node, round(theta, 5) as value from x{n} union all
+select 'norm', event, round(sqrt(sum(power(cos(node*event + {n - 1})*1.0e-3*k, 2))), 8) from b_nodes, pr, e group by event"""
 
 
-def _half_mean(raw):
-    mean = raw.groupBy("param").agg(F.avg("update").alias("mean"))
-    return raw.join(mean, "param").select("param", "node", (0.5 * F.col("update") + 0.5 * F.col("mean")).alias("update"))
+def _run_iterations(spark, folder, rule, n):
+    """n iterations over three events and one validation event; model and the last norms."""
+    nodes = tables.nodes(spark, folder)
+    params = F.explode(F.array(*[F.struct(F.lit(p).alias("param"), F.lit(x).alias("part"), F.lit(k + 1).alias("k")) for k, (p, x) in enumerate(PARAMS.items())]))
+    full = materialise(nodes.withColumn("p", params).select("node", "x", "y", "z", "value", "p.*"), "nodes")
+    start = full.selectExpr("param", "node", "value*part as theta0", "value*part*(1.0e0 + 0.01e0*sin(node + k)) as theta")
+    speeds = full.where("param <> 'RHO'").selectExpr("param", "node", "value*part as velocity")
 
+    def smoother(raw):
+        return spatial.smooth_parameters(raw, nodes.select("node", "x", "y", "z"), speeds, list(PARAMS), LATERAL, RADIAL, PERIOD)
 
-@query("iteration_job", over("b_model", _iterations_sql(3)))
+    job = IterationJob(spark, stores.new_store(spark, "inversion"), rule, smoother, ("VPV", "VPH"))
+    job.start(start)
+    validation = spark.range(4, 5).select(F.col("id").cast("int").alias("event"))
+    for k in range(n):
+        per_event = full.withColumn("event", F.explode(F.sequence(F.lit(1), F.lit(4)))).selectExpr(
+            "event", "param", "node", f"if(event = 4, 1.0e3, cos(node*event + {k})*1.0e-3*k) as g"
+        )
+        model = job.run(k, per_event, validation)
+    norms = job.norms(n - 1).select(F.lit("norm").alias("param"), F.col("event").cast("bigint").alias("node"), rnd("norm", 8).alias("value"))
+    return model.select("param", "node", rnd("theta", 5).alias("value")).unionByName(norms)
+
+
+@query("iteration_job", over("b_nodes", _iterations_sql(3, "adam")))
 def iteration_job(spark, folder):
-    m = tables.model(spark, folder)
-    job = IterationJob(spark, stores.new_store(spark, "inversion"), ADAM, _half_mean)
-    job.start(m)
-    for n in range(3):
-        per_event = m.selectExpr("param", "node", f"cos(node + {n}) * 1.0e-3 as g", "explode(array(1, 2)) as event").withColumn("g", F.col("g") / 2)
-        model = job.run(n, per_event)
-    return model.select("param", "node", rnd("theta", 5).alias("theta"))
+    return _run_iterations(spark, folder, ADAM, 3)
+
+
+@query("momentum_job", over("b_nodes", _iterations_sql(2, "momentum")))
+def momentum_job(spark, folder):
+    return _run_iterations(spark, folder, SGDM, 2)
 
 
 @query("validation_model", over("b_pool b_model", """, t as (select it as iteration, theta0*(1.0e0+0.01e0*it*sin(node)) as theta from b_model, (select unnest(range(5)) as it)),
@@ -405,7 +460,8 @@ def misfit_reduction(spark, folder):
 
 @query("job_status_counts", over("b_status", """select job_type, count(*) filter (where status = 'pending') as pending,
   count(*) filter (where status = 'running') as running, count(*) filter (where status = 'finished') as finished,
-  count(*) filter (where status = 'failed') as failed, count(*) filter (where status = 'unknown') as unknown,
+  count(*) filter (where status = 'failed') as failed, count(*) filter (where status = 'cancelled') as cancelled, count(*) filter (where status = 'unknown') as unknown,
+  count(*) filter (where status not in ('pending', 'running', 'finished', 'failed', 'cancelled', 'unknown') or status is null) as other,
   bool_and(status = 'finished') as all_finished from (select * from b_status
   qualify row_number() over (partition by event, job_type order by ts desc, seq desc) = 1) group by job_type"""))
 def job_status_counts(spark, folder):

@@ -132,30 +132,64 @@ def interpolate(weights, fields):
     return weights.join(fields, "source").groupBy("node", "param").agg(F.sum(F.col("w") * F.col("value")).alias("value"))
 
 
-def smooth(nodes, lateral, radial, min_period, velocity="velocity"):
-    """Gaussian mean of ``value`` over the nodes within three sigma.
+def smooth(nodes, lateral, radial, min_period, velocity="velocity", by=(), value="value"):
+    """Gaussian mean of ``value`` over the nodes within three sigma: (*by, node, value).
 
     sigma = length * velocity * min_period per node; the radial and the lateral
-    part of the distance are scaled by their own sigma. Nodes at the same place
-    are merged before the neighbour join, and the pairs go straight into a partial sum.
+    part of the distance are scaled by their own sigma. Only nodes with equal ``by``
+    meet. Cells are as wide as the node's own reach, to the next power of two, so a
+    fast region does not widen the search of a slow one; a source is copied once for
+    each width in use. Nodes at the same place are merged before the join, and the
+    pairs go straight into a partial sum. A node without a velocity above 0 keeps its value.
     """
-    longest = max(lateral, radial)
-    reach = 3.0 * longest * min_period * (nodes.agg(F.max(velocity)).first()[0] or 1.0)
+    by = list(by)
     r = F.sqrt(F.col("x") ** 2 + F.col("y") ** 2 + F.col("z") ** 2)
-    places = nodes.groupBy("x", "y", "z").agg(F.sum("value").alias("total"), F.count("*").alias("copies")).withColumn("r", r)
-    a = with_cell(nodes.withColumn("r", r), reach).alias("a")
-    b = near_cells(places, reach).alias("b")
-    same = (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy")) & (F.col("a.cz") == F.col("b.cz"))
+    width = F.pow(F.lit(2.0), F.ceil(F.log2(F.lit(3.0 * max(lateral, radial) * min_period) * F.col(velocity))))
+    own = nodes.withColumns({"r": r, "size": F.when(F.col(velocity) > 0, width)})
+    places = nodes.groupBy(*by, "x", "y", "z").agg(F.sum(value).alias("total"), F.count(value).alias("copies")).withColumn("r", r)
+    # one row for each power of two in use
+    sizes = own.where("size is not null").agg(F.sort_array(F.collect_set("size")).alias("sizes"))
+    a = own.withColumns({c: F.floor(F.col(k) / F.col("size")) for c, k in zip(CELL, "xyz")}).alias("a")
+    b = places.withColumn("size", F.explode(sizes.scalar()))
+    for c, k in zip(CELL, "xyz"):
+        at = F.floor(F.col(k) / F.col("size"))
+        b = b.withColumn(c, F.explode(F.array(at - 1, at, at + 1)))
+    b = b.alias("b")
+    same = F.lit(True)
+    for c in [*by, "size", *CELL]:
+        same = same & (F.col(f"a.{c}") == F.col(f"b.{c}"))
     d2 = squared_distance({k: F.col(f"a.{k}") for k in "xyz"}, {k: F.col(f"b.{k}") for k in "xyz"})
     dr2 = (F.col("a.r") - F.col("b.r")) ** 2
     scale = F.col(f"a.{velocity}") * min_period
     u2 = dr2 / (F.lit(radial) * scale) ** 2 + F.greatest(d2 - dr2, F.lit(0.0)) / (F.lit(lateral) * scale) ** 2
     w = F.exp(-u2 / 2)
-    return (
+    mean = (
         a.join(b, same & (u2 <= 9))
-        .groupBy("a.node")
-        .agg((F.sum(w * F.col("b.total")) / F.sum(w * F.col("b.copies"))).alias("value"))
+        .groupBy(*[F.col(f"a.{c}") for c in by], "a.node")
+        .agg((F.sum(w * F.col("b.total")) / F.sum(w * F.col("b.copies"))).alias("_mean"))
     )
+    return nodes.join(mean, [*by, "node"], "left").select(*by, "node", F.coalesce("_mean", value).alias(value))
+
+
+def reference_velocities(params):
+    """{parameter: velocity its smoothing lengths follow}: a velocity its own, all others VPV, else VP."""
+    first = next((v for v in ("VPV", "VP") if v in params), None)
+    if first is None and any(not p.startswith("V") for p in params):
+        raise ValueError(f"none of {list(params)} is a P velocity")
+    return {p: p if p.startswith("V") else first for p in params}
+
+
+def smooth_parameters(update, places, model, params, lateral, radial, min_period):
+    """An update (param, node, update) smoothed parameter by parameter.
+
+    ``places`` has x, y, z of each node, ``model`` (param, node, velocity) the velocities
+    that the smoothing lengths follow.
+    """
+    follows = reference_velocities(params)
+    to = F.create_map(*[F.lit(x) for pair in follows.items() for x in pair])
+    speeds = model.select(F.col("param").alias("_of"), "node", "velocity")
+    known = update.withColumn("_of", to[F.col("param")]).join(speeds, ["_of", "node"], "left").drop("_of").join(places, "node")
+    return smooth(known, lateral, radial, min_period, by=["param"], value="update")
 
 
 def pair_summary(stations, tile=2048):

@@ -30,15 +30,28 @@ def relative_perturbation(theta, theta0):
     return F.when(theta0 != 0, theta / theta0 - 1)
 
 
+def guarded(df, column, bad, message):
+    """The rows of df; a row for which ``bad`` holds stops the job."""
+    return df.withColumn(column, F.when(bad, F.raise_error(F.lit(message))).otherwise(F.col(column)))
+
+
+def too_large(column, limit):
+    return F.abs(F.col(column)) > limit
+
+
 def no_nan(df, column, what):
     """The rows of df; any NaN in ``column`` stops the job."""
-    return df.withColumn(column, F.when(F.isnan(column), F.raise_error(F.lit(f"NaN in {what}"))).otherwise(F.col(column)))
+    return guarded(df, column, F.isnan(column), f"NaN in {what}")
 
 
 def check_magnitude(df, column, limit, what):
     """The rows of df; a value beyond ``limit`` stops the job."""
-    too_large = F.abs(F.col(column)) > limit
-    return df.withColumn(column, F.when(too_large, F.raise_error(F.lit(f"{what} is larger than {limit}"))).otherwise(F.col(column)))
+    return guarded(df, column, too_large(column, limit), f"{what} is larger than {limit}")
+
+
+def verdicts(df, by, bad):
+    """Per group of ``by`` how many rows a guard refuses and whether it lets all pass; refused rows do not stop the job here."""
+    return df.groupBy(*by).agg(F.count(F.when(bad, 1)).alias("refused")).withColumn("accepted", F.col("refused") == 0)
 
 
 def update_norms(raw, smooth, column="update"):
@@ -83,25 +96,34 @@ class Adam:
             (self.beta_2 * F.col("v") + (1 - self.beta_2) * F.col("g") * F.col("g")).alias("v"),
         )
 
-    def raw_update(self, moments, iteration):
-        """Update from the moments of this iteration (numbered from 0)."""
+    def unchecked_update(self, moments, iteration):
+        """Update from the moments of this iteration (numbered from 0), of any size."""
         k = iteration + 1
         root = F.sqrt(F.col("v") / (1 - self.beta_2**k))
         floor = F.lit(self.epsilon) * moments.agg(F.avg(root)).scalar()
-        update = self.alpha * (F.col("m") / (1 - self.beta_1**k)) / (root + floor)
-        raw = moments.select(*KEYS, update.alias("update"))
-        return check_magnitude(no_nan(raw, "update", "the raw update"), "update", 3 * self.alpha, "the raw update")
+        # a gradient of zeros everywhere has no scale and gives no step
+        update = F.when(root + floor == 0, 0.0).otherwise(self.alpha * F.try_divide(F.col("m") / (1 - self.beta_1**k), root + floor))
+        return moments.select(*KEYS, update.alias("update"))
+
+    def raw_update(self, moments, iteration):
+        """The update; NaN or a value beyond three times alpha stops the job."""
+        raw = no_nan(self.unchecked_update(moments, iteration), "update", "the raw update")
+        return check_magnitude(raw, "update", 3 * self.alpha, "the raw update")
 
     def apply(self, raw, smooth, theta0, theta):
         """New model; ``smooth`` is None where the update is not smoothed."""
         if smooth is None:
             return _stepped(raw, F.lit(1.0), theta0, theta, self.decay)
         smooth = check_magnitude(no_nan(smooth, "update", "the smoothed update"), "update", 4 * self.alpha, "the smoothed update")
+        # an update of zeros is not scaled: the model changes by its decay alone
         factor = update_norms(raw, smooth).select(
-            F.least(
-                F.col("norm_raw") / F.col("norm_smooth"),
-                F.lit(self.alpha) / F.col("max_smooth"),
-                F.col("max_raw") / F.col("max_smooth"),
+            F.coalesce(
+                F.least(
+                    F.try_divide("norm_raw", "norm_smooth"),
+                    F.try_divide(F.lit(self.alpha), "max_smooth"),
+                    F.try_divide("max_raw", "max_smooth"),
+                ),
+                F.lit(0.0),
             )
         )
         return _stepped(smooth, factor.scalar(), theta0, theta, self.decay)
@@ -128,7 +150,7 @@ class Momentum:
 
     def apply(self, raw, smooth, theta0, theta):
         update = no_nan(raw if smooth is None else smooth, "update", "the update")
-        factor = update.agg(F.lit(self.alpha) / F.max(F.abs("update")))
+        factor = update.agg(F.coalesce(F.try_divide(F.lit(self.alpha), F.max(F.abs("update"))), F.lit(0.0)))
         return _stepped(update, factor.scalar(), theta0, theta, (1 - self.beta) * self.decay)
 
 
