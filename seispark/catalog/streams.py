@@ -37,7 +37,8 @@ def stage_readiness(spark, folder):
 
 @query("progress_counts", over("b_status", LAST + """select job_type, count(*) filter (where status = 'pending') as pending, count(*) filter (where status = 'running') as running,
   count(*) filter (where status = 'finished') as finished, count(*) filter (where status = 'failed') as failed,
-  count(*) filter (where status = 'unknown') as unknown, bool_and(status = 'finished') as all_finished from l group by job_type"""))
+  count(*) filter (where status = 'cancelled') as cancelled, count(*) filter (where status = 'unknown') as unknown,
+  count(*) filter (where status not in ('pending', 'running', 'finished', 'failed', 'cancelled', 'unknown') or status is null) as other, bool_and(status = 'finished') as all_finished from l group by job_type"""))
 def progress_counts(spark, folder):
     return status.progress_counts(_status(spark, folder))
 

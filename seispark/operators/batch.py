@@ -16,8 +16,12 @@ def event_pool(pool):
 
 
 def fill_norms(pool, norms, p=0.65):
-    """Norm per pool event; events without one get the ``p`` percentile of the known norms."""
-    fill = exact_quantiles(norms, [], "norm", {"fill": p}).select("fill").scalar()
+    """Norm per pool event; events without one get the ``p`` percentile of the known norms.
+
+    Where no norm is known, as in a first iteration, all events weigh the same.
+    """
+    known = exact_quantiles(norms, [], "norm", {"fill": p}).agg(F.max("fill").alias("fill"))
+    fill = known.select(F.coalesce("fill", F.lit(1.0))).scalar()
     return pool.drop("norm").join(norms.select("event", "norm"), "event", "left").withColumn(
         "norm", F.coalesce("norm", fill)
     )

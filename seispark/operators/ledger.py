@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 JOBS = ["forward", "adjoint", "prepare_forward", "gradient_interp", "hpc_processing"]
 VALIDATION_JOBS = ["forward", "prepare_forward"]
+STATUSES = ["pending", "running", "finished", "failed", "cancelled", "unknown"]
 
 
 def init_iteration(events, prepare_forward=True, remote_interp=True, hpc_processing=True):
@@ -90,11 +91,12 @@ def misfit_reduction(misfits):
 
 
 def status_counts(status, by):
-    """Count of each job status per key, and whether all are finished."""
-    known = ["pending", "running", "finished", "failed", "unknown"]
+    """Count of each job status per key, of all others (null too) as ``other``, and whether all are finished."""
+    known = F.coalesce(F.col("status").isin(STATUSES), F.lit(False))
     return status.groupBy(by).agg(
-        *[F.count(F.when(F.col("status") == s, 1)).alias(s) for s in known],
-        F.bool_and(F.col("status") == "finished").alias("all_finished"),
+        *[F.count(F.when(F.col("status") == s, 1)).alias(s) for s in STATUSES],
+        F.count(F.when(~known, 1)).alias("other"),
+        F.bool_and(F.col("status").eqNullSafe("finished")).alias("all_finished"),
     )
 
 

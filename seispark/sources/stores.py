@@ -19,8 +19,12 @@ def exists(spark, path):
 
 
 def write_nodal(nodal, path):
-    """Nodal values (iteration, param, node, value), one folder per iteration and parameter."""
-    nodal.write.mode("append").partitionBy("iteration", "param").parquet(path)
+    """Nodal values (iteration, param, node, value), one folder per iteration and parameter.
+
+    A parameter of an iteration is replaced as a whole, so that a write done twice leaves what one leaves.
+    """
+    out = nodal.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.partitionBy("iteration", "param").parquet(path)
     return path
 
 
@@ -31,7 +35,12 @@ def read_nodal(spark, path, iteration, params=None):
 
 
 def update_nodal(spark, path, old, new_iteration, new):
-    """Write iteration ``new_iteration``: the old values, replaced where ``new`` has some."""
+    """Write iteration ``new_iteration``: the old values, replaced where ``new`` has some.
+
+    An iteration that is not there, or is to replace itself, is an error.
+    """
+    if old == new_iteration or not exists(spark, f"{path}/iteration={old}"):
+        raise ValueError(f"iteration {new_iteration} can't be written from iteration {old} in {path}")
     target = read_nodal(spark, path, old).withColumn("iteration", F.lit(new_iteration))
     return write_nodal(replace_params(target, new), path)
 
