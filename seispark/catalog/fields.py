@@ -310,11 +310,14 @@ def _vincenty_sql():
    l+(1-c)*{f}*sa*(sig+c*ss*(cm+c*cs*(2*cm*cm-1))) as lam from d{k})"""
     return text + f""",
  e as (select *, c2*({a}*{a}-{b}*{b})/({b}*{b}) as q from v10),
- g as (select *, 1+q/16384*(4096+q*(-768+q*(320-175*q))) as ka, q/1024*(256+q*(-128+q*(74-47*q))) as kb from e)
-select station, round({b}*ka*(sig-kb*ss*(cm+kb/4*(cs*(2*cm*cm-1)-kb/6*cm*(4*ss*ss-3)*(4*cm*cm-3))))/1000, 6) + 0.0e0 as dist_km from g"""
+ g as (select *, 1+q/16384*(4096+q*(-768+q*(320-175*q))) as ka, q/1024*(256+q*(-128+q*(74-47*q))) as kb from e),
+ km as (select station, {b}*ka*(sig-kb*ss*(cm+kb/4*(cs*(2*cm*cm-1)-kb/6*cm*(4*ss*ss-3)*(4*cm*cm-3))))/1000 as dist_km from g)"""
 
 
-@query("geodesic_km", over("b_stations b_sources", _vincenty_sql()))
+VINCENTY = _vincenty_sql()
+
+
+@query("geodesic_km", over("b_stations b_sources", VINCENTY + " select station, round(dist_km, 6) + 0.0e0 as dist_km from km"))
 def geodesic_km(spark, folder):
     d = geo.with_geodesic_km(_station_source(spark, folder), "lat", "lon", "slat", "slon")
     return d.select("station", rnd("dist_km", 6).alias("dist_km"))
@@ -335,9 +338,12 @@ def station_pairs(spark, folder):
     )
 
 
-@query("station_weight", over("b_stations", PAIRS + """,
-w as (select event, me as station, case when count(*) = 1 then 1.0e0 else 1.0e0 / (sum(1.0e0/(1.0e0+deg)) - 1.0e0) end as w from p group by event, me)
-select event, station, round(w * count(*) over (partition by event) / sum(w) over (partition by event), 8) as weight from w"""))
+WEIGHTS = PAIRS + """,
+w as (select event, me as station, case when count(*) = 1 then 1.0e0 else 1.0e0 / (sum(1.0e0/(1.0e0+deg)) - 1.0e0) end as w from p group by event, me),
+sw as (select event, station, w * count(*) over (partition by event) / sum(w) over (partition by event) as weight from w)"""
+
+
+@query("station_weight", over("b_stations", WEIGHTS + " select event, station, round(weight, 8) as weight from sw"))
 def station_weight(spark, folder):
     w = spatial.station_weights(tables.stations(spark, folder))
     return w.select("event", "station", rnd("weight", 8).alias("weight"))

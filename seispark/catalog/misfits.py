@@ -9,9 +9,10 @@ from seispark.catalog.windows import FULL, PULSE, S
 from seispark.functions.columns import rnd
 from seispark.operators import misfit, timefrequency, traces
 from seispark.operators.chunks import attach
-from seispark.plans.waveforms import process_events
+from seispark.plans.waveforms import event_job, station_distances
 from seispark.session import materialise
 from seispark.sources import tables
+from seispark.sources.stores import new_store
 
 WIN_TAPER = TAPER.format(i="(p.i - start)", n="(stop - start + 1)", r="least(2.0e0/(stop - start), 0.5e0)")
 TAPERED = WINDOWS_SQL + f""", tp as (select p.trace, win, p.i, start, stop, d*{WIN_TAPER} as d, s*{WIN_TAPER} as s, {WIN_TAPER} as tw
@@ -148,31 +149,82 @@ def tf_phase_adjoint(spark, folder):
 
 # ---- the whole job --------------------------------------------------------
 
-# The job equalises amplitudes first: the observed trace takes the range of the synthetic.
-SCALED = """with b_samples as ({samples}), raw_pair as ({pair}),
-b_pair as (select trace, i, d*(max(s) over w - min(s) over w)/(max(d) over w - min(d) over w) as d, s from raw_pair window w as (partition by trace))
+# Traces bound to stations for the job: three components a station, a place near the source of its event, and an origin
+# 7 s before the first sample. Every other trace starts one sample late, every one ends two samples early; one station in
+# eleven has a second tag and is left out. The first trace of an event stands for its source pulse.
+JOB_PAIR = """with b_samples as ({samples}), whole as ({pair}), wn as (select trace, count(*) as n from whole group by trace),
+raw_pair as (select whole.trace, i - whole.trace % 2 as i, d, s from whole join wn on wn.trace = whole.trace
+  where i >= whole.trace % 2 and i < n - 2 and (whole.trace // 3) % 11 <> 0),
+b_pair as (select trace, i, d*(max(s) over w - min(s) over w)/(max(d) over w - min(d) over w) as d, s from raw_pair window w as (partition by trace)),
+b_sources as ({sources}),
+b_stations as (select distinct b_sources.event, trace // 3 as station, lat + 0.1e0*(1 + (trace // 3) % 10) as lat, lon
+  from whole join b_sources on b_sources.event = (trace // 3) % 25),
+fp as (select (trace // 3) % 25 as event, min(trace) as trace from whole group by 1),
+pb as (select fp.event as trace, i, v from b_samples join fp on fp.trace = b_samples.trace)
+"""
+PULSES = hilbert_sql("hp", "pb") + """, pe as (select s.trace, s.i, sqrt(v*v + h*h) as e from pb s join hp on hp.trace = s.trace and hp.i = s.i),
+pk as (select trace, i as peak, e as top from pe qualify row_number() over (partition by trace order by e desc, i) = 1),
+pu as (select pk.trace as event, coalesce(min(pe.i), any_value(peak)) as pulse from pk left join pe on pe.trace = pk.trace and pe.i >= peak and pe.e < 0.5*top group by pk.trace)
 """
 
 
 def _job_sql():
+    from seispark.catalog.fields import VINCENTY, WEIGHTS
     from seispark.catalog.views import VIEWS
 
-    head = SCALED.format(samples=VIEWS["b_samples"], pair=VIEWS["b_pair"])
-    tapered = TAPERED.replace(WINDOWS_SQL, ", w as (select trace, start as win, start, stop from fin)")
-    body = FULL + tapered + CCC + """, per as (select trace, sum(1 - os/sqrt(oo*ss)) as misfit, count(*) as windows from cs group by trace),
+    head = JOB_PAIR.format(samples=VIEWS["b_samples"], pair=VIEWS["b_pair"], sources=VIEWS["b_sources"]) + VINCENTY + WEIGHTS.replace(", p as", ", spair as").replace("from p group", "from spair group") + PULSES
+    full = FULL.replace("10.0e0*(1 + st.trace % 10) as dist_km", "(select dist_km from km where km.station = st.trace // 3) as dist_km")
+    full = full.replace("2) + 3 as bigint) as max_idx", "2) + (select pulse from pu where pu.event = (ac.trace // 3) % 25) as bigint) as max_idx")
+    tapered = TAPERED.replace(WINDOWS_SQL, ", w2 as (select trace, start as win, start, stop from fin)").replace("join w on p.trace = w.trace", "join w2 w on p.trace = w.trace")
+    body = full + tapered + CCC + """, per as (select trace, sum(1 - os/sqrt(oo*ss)) as misfit, count(*) as windows from cs group by trace),
 ad as (select tp.trace, i, sum((d - os/ss*s)/sqrt(oo*ss)*tw) as a from tp join cs on cs.trace = tp.trace and cs.win = tp.win group by tp.trace, i),
-sz as (select trace, sqrt(sum(a*a)) as size from ad group by trace)
-select per.trace, windows, round(misfit*(1 + per.trace % 5), 8) + 0.0e0 as misfit, round(size*(1 + per.trace % 5), 8) + 0.0e0 as adjoint_norm
-from per join sz on sz.trace = per.trace"""
+sz as (select trace, sqrt(sum(a*a)) as size from ad group by trace),
+long as (select trace // 3 as station, max(i) + 1 as n from b_pair where trace in (select trace from per) group by 1)
+select per.trace // 3 as station, any_value(sw.event) as event, any_value(long.n) as samples, round(any_value(dist_km), 5) as dist_km, count(*) as components,
+  round(sum(misfit*weight), 8) + 0.0e0 as misfit,
+  round(coalesce(max(case when per.trace % 3 = 0 then size*weight end), 0), 8) + 0.0e0 as z,
+  round(coalesce(max(case when per.trace % 3 = 1 then size*weight end), 0), 8) + 0.0e0 as n,
+  round(coalesce(max(case when per.trace % 3 = 2 then size*weight end), 0), 8) + 0.0e0 as e
+from per join sz on sz.trace = per.trace join sw on sw.station = per.trace // 3 join km on km.station = per.trace // 3
+join long on long.station = per.trace // 3 group by 1"""
     return head + body
 
 
+def _bound(spark, folder):
+    """Headers and samples of data and synthetics, stations, origins and pulses from the test tables."""
+    whole = materialise(tables.pair(spark, folder), "pair")
+    station, event = "trace div 3", "(trace div 3) % 25"
+    channel = "case trace % 3 when 0 then 'BHZ' when 1 then 'BHN' else 'BHE' end"
+    ends = traces.lengths(whole)
+    d = attach(whole, ends).where("i >= trace % 2 and i < n - 2").selectExpr("trace", "i - trace % 2 as i", "d as v")
+    s = whole.selectExpr("trace", "i", "s as v")
+    headers = ends.selectExpr("trace", f"{event} as event", f"{station} as station", f"{channel} as channel", "explode(if((trace div 3) % 11 = 0, array('a', 'b'), array('a'))) as tag")
+    observed = headers.selectExpr("event", "station", "channel", "tag", "1007.0e0 + trace % 2 as t0", "1.0e0 as dt")
+    synthetic = headers.where("tag = 'a'").selectExpr("event", "station", "channel", "tag", "0.0e0 as t0", "1.0e0 as dt")
+
+    def rows(samples):
+        return samples.selectExpr(f"{event} as event", f"{station} as station", f"{channel} as channel", "'a' as tag", "i", "v")
+
+    origins = tables.event_sources(spark, folder).selectExpr("cast(event as bigint) as event", "1000.0e0 as time", "lat", "lon")
+    places = headers.select("event", "station").distinct().join(origins.drop("time"), "event")
+    stations = places.selectExpr("event", "station", "lat + 0.1e0*(1 + station % 10) as lat", "lon")
+    first = headers.groupBy("event").agg(F.min("trace").alias("trace"))
+    pulses = tables.samples(spark, folder).join(first, "trace").select("event", "i", "v")
+    return (observed, rows(d)), (synthetic, rows(s)), stations, origins, pulses
+
+
 @query("event_processing_job", _job_sql())
 def event_processing_job(spark, folder):
-    p = tables.pair(spark, folder)
-    traces_ = p.select("trace").distinct()
-    distances = traces_.withColumn("dist_km", F.expr("10.0e0*(1 + trace % 10)"))
-    weights = traces_.withColumn("weight", F.expr("double(1 + trace % 5)"))
-    _, misfits, adjoint = process_events(p, distances, weights, S, pulse=PULSE)
-    norms = adjoint.groupBy("trace").agg(F.sqrt(F.sum(F.col("a") ** 2)).alias("size"))
-    return misfits.join(norms, "trace").select("trace", "windows", rnd("misfit", 8).alias("misfit"), rnd("size", 8).alias("adjoint_norm"))
+    observed, synthetic, stations, origins, pulses = _bound(spark, folder)
+    path = new_store(spark, "event-job")
+    event_job(observed, synthetic, materialise(stations, "stations"), origins, S, path, start_time=7.0, pulses=pulses)
+    adjoint = spark.read.parquet(f"{path}/adjoint")
+    sizes = adjoint.groupBy("event", F.col("station").cast("bigint").alias("station")).agg(
+        F.count("*").alias("samples"), *[rnd(F.sqrt(F.sum(F.col(c) ** 2)), 8).alias(c) for c in "zne"]
+    )
+    nested = spark.read.parquet(f"{path}/misfits")
+    total = F.aggregate(F.map_values("misfits"), F.lit(0.0), lambda a, x: a + x)
+    misfits = nested.select("event", "station", F.size("misfits").cast("bigint").alias("components"), rnd(total, 8).alias("misfit"))
+    far = station_distances(stations, origins).select("event", "station", rnd("dist_km", 5).alias("dist_km"))
+    both = sizes.join(misfits, ["event", "station"]).join(far, ["event", "station"])
+    return both.select(F.col("event").cast("int").alias("event"), "station", "samples", "dist_km", "components", "misfit", "z", "n", "e")

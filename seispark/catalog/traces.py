@@ -7,6 +7,7 @@ from seispark.functions import kernels, sampled
 from seispark.functions.columns import rnd
 from seispark.operators import chunks, correlate, traces
 from seispark.plans.waveforms import write_adjoint_sources, write_misfits
+from seispark.session import materialise
 from seispark.sources import stores, tables
 from seispark.operators.misfit import weighted_misfits
 
@@ -78,14 +79,27 @@ def pair_obs_syn(spark, folder):
     return traces.pair_traces(observed, synthetic, ["event", "station", "component"]).select("event", "station", "component", "n")
 
 
-@query("align_pair", over("b_pair", TRACE_N + """select p.trace, count(*) as n, round(sum(d), 2) as d, round(sum(s), 6) as s from b_pair p join tn on p.trace = tn.trace
-  where i < n - 5 group by p.trace"""))
+# The synthetic is sampled every 0.75 s from the origin, the data every second from one or two seconds later.
+RESAMPLED = """, sp as (select trace, i, s as y, lead(s) over w as y1, s - lag(s) over w as a, lead(s) over w - s as b, lead(s, 2) over w - lead(s) over w as c
+  from b_pair window w as (partition by trace order by i)),
+sl as (select trace, i, y, y1, case when a is null then b when b is null then a when sign(a) = sign(b) then
+    (a/greatest(abs(a), power(2.0e0, -52)) + b/greatest(abs(b), power(2.0e0, -52)))/(1/greatest(abs(a), power(2.0e0, -52)) + 1/greatest(abs(b), power(2.0e0, -52))) else 0 end as m,
+  case when b is null then c when c is null then b when sign(b) = sign(c) then
+    (b/greatest(abs(b), power(2.0e0, -52)) + c/greatest(abs(c), power(2.0e0, -52)))/(1/greatest(abs(b), power(2.0e0, -52)) + 1/greatest(abs(c), power(2.0e0, -52))) else 0 end as n from sp),
+ln as (select trace, count(*) as n from b_pair group by trace),
+gr as (select trace, j, j*4.0e0/3 as x from (select trace, unnest(range(cast(floor((n - 1)*3/4.0e0) as bigint) + 1)) as j, n from ln)),
+rs as (select gr.trace, j, x - sl.i as u, y, y1, m, sl.n from gr join sl on sl.trace = gr.trace and sl.i = cast(floor(x + 1e-12) as bigint)),
+sy as (select trace, j, case when y1 is null then y else (1+2*u)*(1-u)*(1-u)*y + u*(1-u)*(1-u)*m + u*u*(3-2*u)*y1 + u*u*(u-1)*n end as s from rs),
+al as (select p.trace, p.i, p.d, sy.s from b_pair p join sy on sy.trace = p.trace and sy.j = p.i + 1 + p.trace % 2)
+"""
+
+
+@query("align_pair", over("b_pair", RESAMPLED + "select trace, i, round(d, 6) as d, round(s, 6) + 0.0e0 as s from al"))
 def align_pair(spark, folder):
-    p = tables.pair(spark, folder)
-    n = traces.lengths(p)
-    early = chunks.attach(p, n).where("i < n - 5").selectExpr("trace", "chunk", "i", "s as v")
-    both = traces.align(p.selectExpr("trace", "chunk", "i", "d as v"), early)
-    return both.groupBy("trace").agg(F.count("*").alias("n"), rnd(F.sum("d"), 2).alias("d"), rnd(F.sum("s"), 6).alias("s"))
+    p = materialise(tables.pair(spark, folder), "pair")
+    headers = p.select("trace").distinct().selectExpr("trace", "101.0e0 + trace % 2 as t0_d", "1.0e0 as dt_d", "100.0e0 as t0_s", "0.75e0 as dt_s")
+    both = traces.align_in_time(p.selectExpr("trace", "chunk", "i", "d as v"), p.selectExpr("trace", "chunk", "i", "s as v"), headers)
+    return both.select("trace", "i", rnd("d", 6).alias("d"), rnd("s", 6).alias("s"))
 
 
 @query("pair_sanity", over("b_pair", """, st as (select trace, count(*) as n, max(d)-min(d) as pd, max(s)-min(s) as ps from b_pair group by trace),

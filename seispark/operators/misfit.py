@@ -7,6 +7,7 @@ at ``stop``. Windowed series are keyed by ``trace = struct(t, win)``.
 
 from pyspark.sql import functions as F
 
+from seispark.functions.columns import required
 from seispark.operators import traces
 from seispark.operators.chunks import CHUNK, attach, in_ranges, only_traces, spread_ranges
 from seispark.operators.timefrequency import phase_misfit
@@ -104,5 +105,7 @@ def adjoint_sources(kind, pair, windows, min_period, max_period, dt=1.0, scaled=
 
 
 def weighted_misfits(misfits, weights):
-    """Misfit per (station, trace) times the station's weight."""
-    return misfits.join(weights, "station").withColumn("misfit", F.col("misfit") * F.col("weight"))
+    """Misfit per (station, trace) times the station's weight; a station without one stops the job."""
+    keys = [c for c in ("event", "station") if c in weights.columns]
+    joined = misfits.join(weights.select(*keys, "weight"), keys, "left")
+    return joined.withColumn("misfit", F.col("misfit") * required("weight", "the weight of a station"))

@@ -6,24 +6,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seispark.functions import kernels
-from seispark.operators.chunks import CHUNK, attach, blocks, index_rows, with_chunk
+from seispark.operators.chunks import CHUNK, attach, blocks, by_chunk, index_rows, owned, with_chunk, with_halo
 from seispark.session import materialise
 
 # ---- selection ------------------------------------------------------------
 
 
-def select_component(headers, component=None):
+def select_component(headers, component=None, by=("station",)):
     """Channels (station, channel) whose last letter is the only one of its kind at the station."""
     letter = F.upper(F.right("channel", F.lit(1)))
-    single = headers.groupBy("station", letter.alias("component")).agg(
+    single = headers.groupBy(*by, letter.alias("component")).agg(
         F.count("*").alias("n"), F.first("channel").alias("channel")
     ).where("n = 1").drop("n")
     return single if component is None else single.where(F.col("component") == component)
 
 
-def one_tag_only(headers):
+def one_tag_only(headers, by=("station",)):
     """Stations with exactly one tag."""
-    return headers.groupBy("station").agg(F.min("tag").alias("tag"), F.max("tag").alias("_most")).where("tag = _most").drop("_most")
+    return headers.groupBy(*by).agg(F.min("tag").alias("tag"), F.max("tag").alias("_most")).where("tag = _most").drop("_most")
 
 
 def usable(samples, column="v"):
@@ -57,6 +57,55 @@ def align(observed, synthetic, size=CHUNK):
     return observed.withColumnRenamed("v", "d").join(synthetic.withColumnRenamed("v", "s"), ["trace", "chunk", "i"])
 
 
+def resample_slopes(samples, ratios, size=CHUNK):
+    """Every ``ratio``-th sample (trace, ratio: new over old interval) by cubics through weighted mean slopes.
+
+    The slope at a sample is the mean of the steps beside it, each weighted by the inverse of its
+    size, and 0 where they differ in sign. Each old sample makes the new ones up to the next old one,
+    with one neighbour before and two behind it, so a chunk needs no more than these copies.
+    """
+    n = lengths(samples).join(ratios.select("trace", "ratio"), "trace")
+    edged = with_halo(attach(samples, n, size=size), 1, 2, size)
+    at = by_chunk()
+    steps = edged.withColumns({"_y": F.lead("v").over(at), "_before": F.col("v") - F.lag("v").over(at), "_far": F.lead("v", 2).over(at)})
+    steps = owned(steps).withColumns({"_step": F.col("_y") - F.col("v"), "_after": F.col("_far") - F.col("_y")})
+
+    def slope(p, q):
+        w, z = 1 / F.greatest(F.abs(p), F.lit(2.0**-52)), 1 / F.greatest(F.abs(q), F.lit(2.0**-52))
+        mean = F.when(F.signum(p) == F.signum(q), (w * p + z * q) / (w + z)).otherwise(0.0)
+        return F.when(p.isNull(), q).when(q.isNull(), p).otherwise(mean)
+
+    first = F.ceil(F.col("i") / F.col("ratio")).cast("bigint")
+    last = F.when(F.col("_y").isNull(), F.floor(F.col("i") / F.col("ratio"))).otherwise(F.ceil((F.col("i") + 1) / F.col("ratio")) - 1).cast("bigint")
+    new = steps.withColumns({"_m": slope(F.col("_before"), F.col("_step")), "_n": slope(F.col("_step"), F.col("_after"))})
+    new = new.where(first <= last).withColumn("_j", F.explode(F.sequence(first, last)))
+    u = F.col("_j") * F.col("ratio") - F.col("i")
+    cubic = (
+        (1 + 2 * u) * (1 - u) ** 2 * F.col("v") + u * (1 - u) ** 2 * F.col("_m") + u**2 * (3 - 2 * u) * F.col("_y") + u**2 * (u - 1) * F.col("_n")
+    )
+    value = F.when(F.col("_y").isNull(), F.col("v")).otherwise(cubic)
+    return with_chunk(new.select("trace", F.col("_j").alias("i"), value.alias("v")), size)
+
+
+def align_in_time(observed, synthetic, headers, size=CHUNK):
+    """(trace, chunk, i, d, s) of traces that start and are sampled differently.
+
+    ``headers`` has t0_d, dt_d, t0_s and dt_s (seconds) per trace. The synthetic is brought to the rate of the
+    data; both are cut to the time they share, and the first shared sample gets index 0.
+    """
+    ratios = headers.select("trace", (F.col("dt_d") / F.col("dt_s")).alias("ratio"))
+    moved = resample_slopes(synthetic, ratios, size)
+    shift = F.round((F.col("t0_d") - F.col("t0_s")) / F.col("dt_d")).cast("bigint")
+    offsets = headers.select("trace", shift.alias("_shift"))
+
+    def from_start(samples, back):
+        known = attach(samples, lengths(samples).withColumnRenamed("n", "_n").join(offsets, "trace"), "_n", size)
+        there = known.withColumn("i", F.col("i") - F.greatest(back, F.lit(0)))
+        return with_chunk(there.where("i >= 0").select("trace", "i", "v"), size)
+
+    return align(from_start(observed, -F.col("_shift")), from_start(moved, F.col("_shift")), size)
+
+
 def scale_to_synthetic(pair, stats, size=CHUNK):
     """Observed trace brought to the peak-to-peak range of the synthetic."""
     factor = stats.select("trace", "n", (F.col("ptp_s") / F.col("ptp_d")).alias("factor"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seispark.functions import kernels
+from seispark.functions.columns import required
 from seispark.operators import traces
 from seispark.operators.chunks import (
     CHUNK, attach, blocks, by_chunk, in_ranges, index_rows, nearest, owned, runs, sibling, with_halo,
@@ -78,12 +79,15 @@ def rejection(s):
 
 
 def accept_traces(pair, distances, s, size=CHUNK):
-    """Trace numbers with ``first``, ``noise_relative`` and ``reason`` (null: accepted). Silent traces are left out."""
+    """Trace numbers with ``first``, ``noise_relative`` and ``reason`` (null: accepted).
+
+    Silent traces are left out; a trace without a distance stops the job.
+    """
     stats = traces.trace_stats(pair).where("max_d > 0 and max_s > 0")
     arrivals = first_arrival(pair, stats, size)
     noise = noise_level(pair, arrivals, stats, size)
-    full = stats.join(arrivals, "trace").join(noise, "trace").join(distances, "trace")
-    return full.withColumn("reason", rejection(s))
+    full = stats.join(arrivals, "trace").join(noise, "trace").join(distances, "trace", "left")
+    return full.withColumn("dist_km", required("dist_km", "the distance of a trace")).withColumn("reason", rejection(s))
 
 
 def pulse_width(pulse, size=CHUNK):
@@ -95,7 +99,10 @@ def pulse_width(pulse, size=CHUNK):
 
 
 def travel_bounds(accepted, s, pulse=0, global_mode=False):
-    """min_idx and max_idx: usable samples lie strictly above the one and below the other."""
+    """min_idx and max_idx: usable samples lie strictly above the one and below the other.
+
+    ``pulse`` is the width of the source pulse in samples, a number or a column that came with the distances.
+    """
     slowest = F.ceil((F.col("dist_km") / s.min_velocity + s.min_period / 2) / s.dt) + pulse
     return accepted.withColumn("min_idx", F.greatest(F.col("first") - int(s.min_period / s.dt), F.lit(0))).withColumn(
         "max_idx", F.col("n") if global_mode else slowest

@@ -2,20 +2,23 @@
 
 from pyspark.sql import functions as F
 
+from seispark.functions.columns import required
 from seispark.functions.geo import with_geodesic_km
 from seispark.operators import traces, windows
 from seispark.operators.chunks import attach, only_traces, with_chunk
 from seispark.operators.misfit import adjoint_sources, weighted_misfits
+from seispark.operators.spatial import station_weights
 from seispark.session import materialise
 
 
 def write_adjoint_sources(adjoint, weights, path):
     """Rows (event, station, i, z, n, e): components side by side, absent ones 0, times the station's weight."""
+    keys = [c for c in ("event", "station") if c in weights.columns]
     series = with_chunk(adjoint.withColumn("trace", F.struct("event", "station")))
     lengths = series.groupBy("trace").agg((F.max("i") + 1).alias("n"))
-    weighted = lengths.withColumn("station", F.col("trace.station")).join(weights, "station").drop("station")
+    weighted = lengths.withColumns({k: F.col(f"trace.{k}") for k in keys}).join(weights.select(*keys, "weight"), keys, "left").drop(*keys)
     wide = (
-        attach(series, weighted)
+        attach(series, weighted.withColumn("weight", required("weight", "the weight of a station")))
         .withColumn("a", F.col("a") * F.col("weight"))
         .groupBy("event", "station", "i")
         .pivot("component", ["Z", "N", "E"])
@@ -44,9 +47,9 @@ def station_distances(stations, origins):
 def process_events(pair, distances, weights, settings, kind="ccc", scale=True, pulse=0, global_mode=False, scaled=False):
     """Windows, weighted misfits and adjoint sources of all traces.
 
-    ``pair`` is (trace, chunk, i, d, s); ``weights`` (trace, weight). Returns
+    ``pair`` is (trace, chunk, i, d, s); ``weights`` (trace, weight), or None for none. Returns
     (windows, misfits, adjoint). The windows are a written table: the second
-    half works on traces with windows only, and a run without any window fails.
+    half works on traces with windows only, and a run without any window fails, as does a trace without a weight.
     """
     if scale:
         pair = traces.scale_to_synthetic(pair, traces.trace_stats(pair))
@@ -58,7 +61,59 @@ def process_events(pair, distances, weights, settings, kind="ccc", scale=True, p
         raise ValueError("no window was found in any trace")
     some = only_traces(pair, by_start)
     misfits, adjoint = adjoint_sources(kind, some, by_start, settings.min_period, settings.max_period, settings.dt, scaled)
-    misfits = misfits.join(weights, "trace").withColumn("misfit", F.col("misfit") * F.col("weight"))
-    weighted = traces.lengths(pair).join(weights, "trace")
+    if weights is None:
+        return by_start, misfits, adjoint
+    weight = required("weight", "the weight of a trace")
+    misfits = misfits.join(weights, "trace", "left").withColumn("misfit", F.col("misfit") * weight)
+    weighted = traces.lengths(pair).join(weights, "trace", "left").withColumn("weight", weight)
     adjoint = attach(adjoint, weighted).withColumn("a", F.col("a") * F.col("weight")).drop("weight", "n")
     return by_start, misfits, adjoint
+
+
+def chosen_traces(headers):
+    """(event, station, channel, tag, component, ...) of stations with one tag, and of its components that only one channel has."""
+    keys = ["event", "station"]
+    one = traces.one_tag_only(headers, keys)
+    single = traces.select_component(headers, by=keys).where(F.col("component").isin("Z", "N", "E"))
+    return headers.join(one, [*keys, "tag"]).join(single, [*keys, "channel"])
+
+
+def event_job(observed, synthetic, stations, origins, settings, path, start_time=0.0, kind="ccc", pulses=None, **options):
+    """All events from two sets of traces to written adjoint sources and misfits; returns the windows.
+
+    ``observed`` and ``synthetic`` are (headers, samples): headers (event, station, channel, tag, t0, dt), samples
+    (event, station, channel, tag, i, v). ``stations`` (event, station, lat, lon) and ``origins`` (event, time, lat,
+    lon). Stations need one tag and components one channel; a synthetic starts ``start_time`` seconds after its origin
+    whatever its header says, and is brought to the rate of the data. The travel-time bound follows the width of
+    each event's source pulse: its samples (event, i, v) in ``pulses``, or the band-limited step of the traces' length.
+    Distances run on the ellipsoid; weights are those of the event's stations. Results are in path/adjoint and path/misfits.
+    """
+    keys, settings_dt = ["event", "station", "component"], settings.dt
+    d, s = chosen_traces(observed[0]), chosen_traces(synthetic[0])
+    start = origins.select("event", (F.col("time") + start_time).alias("t0_s"))
+    headers = traces.pair_traces(
+        d.select(*keys, F.col("t0").alias("t0_d"), F.col("dt").alias("dt_d")), s.select(*keys, F.col("dt").alias("dt_s")), keys
+    ).join(start, "event")
+    name = F.struct(*keys).alias("trace")
+    headers = materialise(headers.select(name, "t0_d", "dt_d", "t0_s", "dt_s"), "headers")
+
+    def samples(chosen, rows):
+        own = chosen.select("event", "station", "channel", "tag", "component").join(headers.select("trace.*"), keys, "left_semi")
+        return with_chunk(rows.join(own, ["event", "station", "channel", "tag"]).select(name, "i", "v"))
+
+    pair = materialise(traces.align_in_time(samples(d, observed[1]), samples(s, synthetic[1]), headers), "aligned")
+    if pulses is None:
+        per_event = traces.lengths(pair).groupBy(F.col("trace.event").alias("trace")).agg(F.max("n").alias("n"))
+        pulses = materialise(traces.source_pulse(per_event, settings.min_period, settings.max_period, settings_dt), "pulses")
+    else:
+        pulses = with_chunk(pulses.withColumnRenamed("event", "trace"))
+    widths = windows.pulse_width(pulses).select(F.col("trace").alias("event"), "pulse")
+    places = station_distances(stations, origins).join(widths, "event", "left")
+    distances = headers.select("trace", "trace.event", "trace.station").join(places, ["event", "station"], "left")
+    found, misfits, adjoint = process_events(
+        pair, distances.select("trace", "dist_km", "pulse"), None, settings, kind, pulse=required("pulse", "the pulse of an event"), **options
+    )
+    weights = materialise(station_weights(stations), "station-weights")
+    write_adjoint_sources(adjoint.select("trace.*", "i", "a"), weights, f"{path}/adjoint")
+    write_misfits(misfits.select("trace.event", "trace.station", F.col("trace.component").alias("channel"), "misfit"), weights, f"{path}/misfits")
+    return found
