@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from seispark.llm.text import BLANKS, ascii_lower, carried, with_fields
+from seispark.session import materialise
 
 
 def _lines(rows, min_chars):
@@ -31,8 +32,10 @@ def drop_repeated_lines(docs, id_col="doc_id", text_col="text", min_docs=2, min_
     else:
         held = lines.groupBy("_k1", "_k2", "_id").agg(F.lit(1).alias("_one"))
         shared = held.groupBy("_k1", "_k2").agg(F.count("*").alias("_docs"), F.min("_id").alias("_first")).where(F.col("_docs") >= min_docs)
+    # as a written table it is dealt for the join alone, so that adaptive execution can split a hot line
+    shared = materialise(shared.select("_k1", "_k2", "_first"), "shared-lines")
     lost = (
-        lines.join(shared.select("_k1", "_k2", "_first"), ["_k1", "_k2"])
+        lines.join(shared, ["_k1", "_k2"])
         .where("_id != _first")
         .groupBy("_id", "_h")
         .agg(F.collect_set("_pos").alias("_lost"))
