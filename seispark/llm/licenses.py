@@ -67,7 +67,7 @@ def scan(docs, templates=TEMPLATES, least=LEAST, id_col="doc_id", text_col="text
     within least / (2 - least) and its inverse times the template's: others are not compared. Pairs
     are matched by an equi-join with the template table, which has a few pairs per template
     and is broadcast: its size is that of ``templates``, whatever the corpus. Only matches are counted
-    up, so a notice in a third of all lines is no group.
+    up, so a notice in a third of all lines is no group. A unit states one license, the one it is most like.
 
     ``score`` is the best of the row's units, ``n_lines`` how many lines match, ``whole_text`` if the whole
     text does. Rows without a license give no row, nor do null or empty texts and units of one word; equal rows count as one.
@@ -87,8 +87,9 @@ def scan(docs, templates=TEMPLATES, least=LEAST, id_col="doc_id", text_col="text
     met = entries.join(F.broadcast(patterns), "pair").where((F.col("_size") >= bound * F.col("size") - 1e-9) & (F.col("size") >= bound * F.col("_size") - 1e-9))
     hits = met.groupBy("_id", "_h", "_n", "_many", "template", "license", "_size", "size").agg(F.count("*").alias("_common"))
     scored = hits.withColumn("score", 2.0 * F.col("_common") / (F.col("_size") + F.col("size"))).where(F.col("score") >= least)
+    # a unit states the license it is most like, the first template on ties
+    best = scored.groupBy("_id", "_h", "_n", "_many").agg(F.max(F.struct("score", -F.col("template"), "license")).alias("_best"))
     whole = (F.col("_n") == 0) & F.col("_many")
-    found = scored.groupBy("_id", "_h", "license", "_n", "_many").agg(F.max("score").alias("score"))
-    return found.groupBy("_id", "_h", "license").agg(
-        F.max("score").alias("score"), F.sum(F.when(whole, 0).otherwise(1)).cast("long").alias("n_lines"), F.max(whole).alias("whole_text")
+    return best.groupBy("_id", "_h", "_best.license").agg(
+        F.max("_best.score").alias("score"), F.sum(F.when(whole, 0).otherwise(1)).cast("long").alias("n_lines"), F.max(whole).alias("whole_text")
     )

@@ -112,9 +112,10 @@ twords as (select template, license, list_filter(string_split(regexp_replace(low
 tpairs as (select template, license, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as b from twords),
 uflat as (select doc_id, n, whole, len(b) as size, unnest(b) as pair from upairs),
 tflat as (select template, license, len(b) as tsize, unnest(b) as pair from tpairs),
-hits as (select doc_id, n, whole, license, 2.0e0 * count(*) / (size + tsize) as score from uflat join tflat using (pair)
+hits as (select doc_id, n, whole, template, license, 2.0e0 * count(*) / (size + tsize) as score from uflat join tflat using (pair)
   group by doc_id, n, whole, template, license, size, tsize),
-best as (select doc_id, n, whole, license, max(score) as score from hits where score >= 0.9 group by doc_id, n, whole, license)
+best as (select doc_id, n, whole, license, score from hits where score >= 0.9
+  qualify row_number() over (partition by doc_id, n, whole order by score desc, template) = 1)
 select doc_id, license, max(score) as score, cast(count(*) filter (not whole) as bigint) as n_lines, bool_or(whole) as whole_text
 from best group by doc_id, license"""
 

@@ -34,7 +34,7 @@ ALPHABETS = [
     ("\\p{Ll}", "áéíóú"),
 ]
 
-_NAMES = "|".join(n for pool in GIVEN.values() for n in pool)
+_NAMES = "|".join(x for pool in GIVEN.values() for n in pool for x in (n, n.upper()))
 _TITLED = f"(?:{'|'.join(TITLES)})\\.?\\s"
 _OCTET = "(?:25[0-5]|2[0-4]\\d|1\\d\\d|[1-9]?\\d)"
 EMAIL = "(?<![\\w.%+-])[\\w.%+-]++@[A-Za-z0-9-]++(?:\\.[A-Za-z0-9-]++)+"
@@ -45,7 +45,7 @@ PHONE = "(?<![\\w.])(?:\\+\\d{1,3}[ -]?)?(?:\\(\\d{3}\\) ?|\\d{3}[ -])\\d{3}[ -]
 ABROAD = "(?<![\\w.])\\+\\d{1,3}(?:[ -]\\d{2,4}){2,5}(?![\\d])"
 SOCIAL = "(?<![\\w-])\\d{3}-\\d{2}-\\d{4}(?![\\w-])"
 CARD = "(?<![\\d.])(?:\\d{13,19}|\\d{4}(?:[ -]\\d{4}){3}|\\d{4}[ -]\\d{6}[ -]\\d{5})(?!\\d)"
-GIVEN_NAME = f"(?<!\\p{{L}})(?:{_NAMES})(?=\\s\\p{{Lu}}\\p{{L}})"
+GIVEN_NAME = f"(?=\\p{{Lu}})(?<!\\p{{L}})(?:{_NAMES})(?=\\s\\p{{Lu}}\\p{{L}})"
 #: Behind a given name, a title, or a title and one name.
 SURNAME = f"\\p{{Lu}}(?<=(?<!\\p{{L}})(?:(?:{_TITLED})?(?:{_NAMES})\\s|{_TITLED}(?:\\p{{L}}{{1,20}}\\s)?)\\p{{Lu}})\\p{{L}}+(?![\\p{{L}}])"
 PATTERN = "|".join([EMAIL, ASSIGNED, ACCESS_KEY, IPV4, PHONE, ABROAD, SOCIAL, CARD, GIVEN_NAME, SURNAME])
