@@ -55,66 +55,55 @@ def cut_own_source(nodes, sources, radius, value="value"):
     return joined.withColumn(value, F.when(d2 < radius**2, 0.0).otherwise(F.col(value))).drop("sx", "sy", "sz")
 
 
-def nearest_nodes(targets, sources, k=4, by="layer", crowd=512):
+def nearest_nodes(targets, sources, k=4, by="layer", levels=24):
     """(node, source, d2, rank) of the k nearest sources of the same ``by`` value.
 
-    Grid search from fine to coarse: cells are halved until none holds more than
-    ``crowd`` sources, so a dense cluster is searched in cells of its own scale. A
-    target is settled once its k-th hit is closer than one cell, which proves
-    nothing nearer was left out; the others go on to cells twice as wide. Of
-    sources at one place only the k first ids can win, so copies are thinned to
-    k before the search. The result is a written table, made to be used again.
+    One search, each target in cells of its own scale. Cells are halvings of the sources' box; the
+    smallest one around the target (around the nearest place of the box, for a target outside) that holds
+    k sources bounds the distance r of the k-th, and the k nearest then lie within R of that place, with
+    R*R = r*r + 2*r*(distance to the box). The target meets the 27 cells of width R or more around it, so a dense
+    cluster is searched finely and a target far away coarsely; nothing is left out. Of sources at one place only
+    the k first ids can win, so copies are thinned to k before. The result is a written table, made to be used again.
     """
     place = Window.partitionBy(by, "x", "y", "z").orderBy("source")
-    few = (
-        sources.withColumn("copy", F.row_number().over(place)).where(F.col("copy") <= k).drop("copy")
-    )
+    few = sources.withColumn("copy", F.row_number().over(place)).where(F.col("copy") <= k).drop("copy")
     few = materialise(few, "nearest-sources")
-    box = few.agg(
-        F.count("*").alias("n"),
-        F.count_distinct(by).alias("groups"),
-        *[(F.max(a) - F.min(a)).alias(f"d{a}") for a in "xyz"],
-    ).first()
-    span = max(box.dx, box.dy, box.dz, 1.0)
-    size = float(3 * span / max(1.0, np.sqrt(box.n / max(box.groups, 1))))
-    while size > 1e-9 * span:
-        fullest = with_cell(few, size).groupBy(by, *CELL).count().agg(F.max("count")).first()[0]
-        if fullest is None or fullest <= crowd:
-            break
-        size /= 2
-    pending, found = targets.select("node", by, "x", "y", "z"), []
+    box = few.agg(*[F.min(a).alias(f"lo{a}") for a in "xyz"], *[F.max(a).alias(f"hi{a}") for a in "xyz"]).first()
+    low, high = ({a: box[f"{e}{a}"] or 0.0 for a in "xyz"} for e in ("lo", "hi"))
+    unit = max(max(high[a] - low[a] for a in "xyz"), 1e-9) * (1 + 1e-9) / 2**levels
+    fine = {c: F.floor((F.greatest(F.least(F.col(a), F.lit(high[a])), F.lit(low[a])) - low[a]) / unit).cast("bigint") for c, a in zip(CELL, "xyz")}
+    every = F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("level")
+
+    def coarser(level):
+        return {c: F.expr(f"shiftright({c}, {level})") for c in CELL}
+
+    fine_sources = few.withColumns(fine)
+    crowded = fine_sources.select(by, *CELL, every).withColumns(coarser("level")).groupBy(by, "level", *CELL).count().where(F.col("count") >= k)
+    crowded = materialise(crowded.drop("count"), "nearest-cells")
+    fine_targets = targets.select("node", by, "x", "y", "z").withColumns(fine)
+    home = (
+        fine_targets.select("node", by, *CELL, every).withColumns(coarser("level"))
+        .join(crowded, [by, "level", *CELL], "left_semi").groupBy("node").agg(F.min("level").alias("level"))
+    )
+    outside = F.sqrt(sum((F.col(a) - F.greatest(F.least(F.col(a), F.lit(high[a])), F.lit(low[a]))) ** 2 for a in "xyz"))
+    r = F.sqrt(F.lit(3.0)) * unit * F.pow(F.lit(2.0), F.col("level"))
+    reach = F.sqrt(r * r + 2 * r * outside) * (1 + 1e-9)
+    # fewer than k sources in the whole group: all of them are found at the coarsest level
+    wide = F.least(F.greatest(F.ceil(F.log2(reach / unit)), F.lit(0)), F.lit(levels)).cast("int")
+    at = fine_targets.join(home, "node", "left").withColumn("most", (outside + r) * (1 + 1e-9)).withColumn("level", F.coalesce(wide, F.lit(levels)))
+    at = materialise(at.withColumns(coarser("level")), "nearest-targets")
+    for c in CELL:
+        at = at.withColumn(c, F.explode(F.array(F.col(c) - 1, F.col(c), F.col(c) + 1)))
+    used = at.agg(F.collect_set("level")).scalar()  # at most levels + 1 numbers
+    b = fine_sources.withColumn("level", F.explode(used)).withColumns(coarser("level")).alias("b")
+    same = F.lit(True)
+    for c in [by, "level", *CELL]:
+        same = same & (F.col(f"a.{c}") == F.col(f"b.{c}"))
+    d2 = squared_distance({x: F.col(f"a.{x}") for x in "xyz"}, {x: F.col(f"b.{x}") for x in "xyz"})
+    close = F.coalesce(d2 <= F.col("a.most") ** 2, F.lit(True))
     best = Window.partitionBy("node").orderBy("d2", "source")
-    while True:
-        a, b = with_cell(pending, size).alias("a"), near_cells(few, size).alias("b")
-        last = size > span
-        same = F.col(f"a.{by}") == F.col(f"b.{by}")
-        if not last:
-            for c in CELL:
-                same = same & (F.col(f"a.{c}") == F.col(f"b.{c}"))
-        else:
-            b = few.alias("b")
-        d2 = squared_distance({x: F.col(f"a.{x}") for x in "xyz"}, {x: F.col(f"b.{x}") for x in "xyz"})
-        hits = (
-            a.join(b, same)
-            .select("a.node", "b.source", d2.alias("d2"))
-            .withColumn("rank", F.row_number().over(best))
-            .where(F.col("rank") <= k)
-        )
-        if last:
-            found.append(hits)
-            break
-        hits = materialise(hits, "nearest-level")
-        settled = hits.groupBy("node").agg(F.count("*").alias("n"), F.max("d2").alias("far"))
-        settled = settled.where((F.col("n") == k) & (F.col("far") <= size**2)).select("node")
-        found.append(hits.join(settled, "node", "left_semi"))
-        pending = materialise(pending.join(settled, "node", "left_anti"), "nearest-pending")
-        if pending.isEmpty():
-            break
-        size *= 2
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return materialise(out, "nearest")
+    hits = at.alias("a").join(b, same & close).select("a.node", "b.source", d2.alias("d2"))
+    return materialise(hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k), "nearest")
 
 
 def inverse_distance_weights(nearest):

@@ -90,15 +90,16 @@ def test_station_weights(spark, tile):
         assert abs(np.mean(w) - 1) < 1e-12
 
 
-@pytest.mark.parametrize("crowd", [512, 20])
-def test_nearest_nodes_with_copies_and_clusters(spark, crowd):
+@pytest.mark.parametrize("levels", [24, 6])
+def test_nearest_nodes_with_copies_and_clusters(spark, levels):
     rng = np.random.default_rng(4)
     src = [(k, int(k % 2), *map(float, rng.normal(size=3) * 1000)) for k in range(200)]
     src += [(1000 + k, 0, 1.0, 2.0, 3.0) for k in range(300)]
     src += [(2000 + k, 1, 1e6 + k, 1e6, 1e6) for k in range(50)]
     tgt = [(5000 + k, int(k % 2), *map(float, rng.normal(size=3) * 1000)) for k in range(60)] + [(6000, 0, 1.0, 2.0, 3.0)]
+    tgt += [(7000, 0, 5e7, -3e6, 0.0), (7001, 1, -2e5, 4e5, 9e6)]  # far outside the box of the sources
     cols = "{} bigint, layer int, x double, y double, z double"
-    got = spatial.nearest_nodes(spark.createDataFrame(tgt, cols.format("node")), spark.createDataFrame(src, cols.format("source")), crowd=crowd)
+    got = spatial.nearest_nodes(spark.createDataFrame(tgt, cols.format("node")), spark.createDataFrame(src, cols.format("source")), levels=levels)
     rows = {}
     for r in got.collect():
         rows.setdefault(r.node, {})[r["rank"]] = (r.d2, r.source)
