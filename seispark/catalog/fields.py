@@ -234,13 +234,49 @@ def parse_dim_labels(spark, folder):
     )
 
 
-@query("has_field", """select name, exists (select 1 from part where p_brand = name) as present
-  from (select unnest(['Brand#11', 'Brand#99']) as name union select distinct p_brand from part)""")
+# A mesh of all kinds of fields: what is asked for are its own fields, and each name as another kind.
+MESH = """with m as (select 'nodal' as kind, p_brand as param, p_partkey as node, p_retailprice as value, null as text from part
+union all select distinct 'elemental', 'VP_' || p_size % 4, cast(p_size as bigint), cast(p_size as double), null from part
+union all select 'side_set', 'r' || p_size % 3, p_partkey, null, null from part where p_size < 10
+union all select distinct 'global_string', p_type, null::bigint, null::double, upper(p_type) from part)
+"""
+
+
+def _mesh(spark, folder):
+    p = tables.table(spark, folder, "part")
+    none, text = "cast(null as double) as value", "cast(null as string) as text"
+    nodal = p.selectExpr("'nodal' as kind", "p_brand as param", "p_partkey as node", "p_retailprice as value", text)
+    elemental = p.selectExpr("'elemental' as kind", "concat('VP_', p_size % 4) as param", "cast(p_size as bigint) as node", "cast(p_size as double) as value", text).distinct()
+    sides = p.where("p_size < 10").selectExpr("'side_set' as kind", "concat('r', p_size % 3) as param", "p_partkey as node", none, text)
+    strings = p.selectExpr("'global_string' as kind", "p_type as param", "cast(null as bigint) as node", none, "upper(p_type) as text").distinct()
+    return nodal.unionByName(elemental).unionByName(sides).unionByName(strings)
+
+
+@query("has_field", MESH + """, a as (select distinct kind, param as name from m union select distinct 'elemental', param from m union select distinct 'side_set', param from m)
+select kind, name, exists (select 1 from m where m.kind = a.kind and m.param = a.name) as present from a""")
 def has_field(spark, folder):
-    m = tables.model(spark, folder)
-    asked = m.select(F.col("param").alias("name")).distinct().union(spark.createDataFrame([("Brand#11",), ("Brand#99",)], "name string")).distinct()
-    have = m.select(F.col("param").alias("name"), F.lit(True).alias("have")).distinct()
-    return asked.join(have, "name", "left").select("name", F.coalesce("have", F.lit(False)).alias("present"))
+    mesh = _mesh(spark, folder)
+    own = mesh.select("kind", F.col("param").alias("name"))
+    other = own.select(F.explode(F.array(F.lit("elemental"), F.lit("side_set"))).alias("kind"), "name")
+    return fields.have_fields(mesh, own.unionByName(other).distinct())
+
+
+@query("copy_mesh_field", MESH + """select mode, kind, param, count(*) as rows, round(sum(value), 4) as value, max(text) as text from (
+select 'element' as mode, kind, param, value, text from m where kind <> 'elemental' union all select 'element', kind, param, value*2, text from m where kind = 'elemental' and param = 'VP_1'
+union all select 'side', kind, param, value, text from m where kind = 'nodal' union all select 'side', kind, param, value*2, text from m where kind = 'side_set' and param = 'r2'
+union all select 'string', kind, param, value, text from m
+) group by mode, kind, param""")
+def copy_mesh_field(spark, folder):
+    mesh = _mesh(spark, folder)
+    source = mesh.withColumn("value", F.col("value") * 2)
+    element = fields.copy_field(source, mesh.where("kind <> 'elemental'"), "VP_1", kind="elemental")
+    side = fields.copy_field(source, mesh.where("kind = 'nodal'"), "r2", overwrite=False, kind="side_set")
+    # a string that is there stays, and a nodal field of its name would be another field
+    strings = mesh.where("kind = 'global_string'").agg(F.min("param")).first()[0] or ""
+    string = fields.copy_field(source.withColumn("text", F.lit("other")), mesh, strings, overwrite=False, kind="global_string")
+    parts = [d.withColumn("mode", F.lit(n)) for n, d in (("element", element), ("side", side), ("string", string))]
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return every.groupBy("mode", "kind", "param").agg(F.count("*").alias("rows"), rnd(F.sum("value"), 4).alias("value"), F.max("text").alias("text"))
 
 
 # ---- stores ---------------------------------------------------------------

@@ -309,9 +309,16 @@ def pick_minibatch(spark, folder):
 @query("union_validation", over("b_pool", _pick_sql(3).replace(" select round, event, round(score, 5) as score from", ", pick as (select event from")
        + ") select event, 'train' as role from pick union all select event, role from b_pool where role = 'validation'"))
 def union_validation(spark, folder):
-    picked = batch.pick_minibatch(materialise(_candidates(spark, folder), "candidates"), 3)
-    extra = tables.pool(spark, folder).where("role = 'validation'").select("event", "role")
-    return picked.select("event", F.lit("train").alias("role")).union(extra)
+    return batch.events_of_iteration(tables.pool(spark, folder), _norms(spark, folder), 3, 5, 3)
+
+
+FIRST = _pick_sql(4).replace("coalesce(n.norm, f) as norm", "1.0e0 as norm")
+
+
+@query("first_iteration_events", over("b_pool", FIRST.replace(" select round, event, round(score, 5) as score from", ", pick as (select event from")
+       + ") select event, 'train' as role from pick union all select event, role from b_pool where role = 'validation'"))
+def first_iteration_events(spark, folder):
+    return batch.events_of_iteration(tables.pool(spark, folder), _norms(spark, folder).limit(0), 4, 0, 3)
 
 
 @query("validation_due", over("b_misfits", """, i as (select distinct iteration from b_misfits), v as (select unnest([0, 3, 5]) as every)
@@ -363,6 +370,24 @@ def rollback_iterations(spark, folder):
     return ledger.rollback(done, 20).select("iteration", "event", "job_type", "submitted", "retrieved", "reposts")
 
 
+@query("rollback_records", over("b_misfits", INIT + """select 'ledger' as name, iteration, count(*) as rows, round(sum(case when iteration = 20 then 0 else 1 end), 4) + 0.0e0 as total from led where iteration <= 20 group by 2
+union all select 'misfits', iteration, count(*), round(sum(misfit), 4) from b_misfits where iteration < 20 group by 2
+union all select 'norms', iteration, count(distinct event), round(sqrt(sum(misfit*misfit)), 4) from b_misfits where iteration < 20 group by 2
+union all select 'model', iteration, count(*), round(max(misfit), 4) from b_misfits where iteration <= 20 group by 2"""))
+def rollback_records(spark, folder):
+    m = tables.misfits(spark, folder)
+    done = _ledger(spark, folder).withColumns({"submitted": F.lit(True), "retrieved": F.lit(True), "reposts": F.lit(1)})
+    back = ledger.rollback_records({"ledger": done, "misfits": m, "norms": m, "model": m}, 20)
+
+    def summed(name, rows, total):
+        return back[name].groupBy("iteration").agg(rows.alias("rows"), rnd(total, 4).alias("total")).select(F.lit(name).alias("name"), "iteration", "rows", "total")
+
+    out = summed("ledger", F.count("*"), F.sum(F.col("reposts").cast("double")))
+    out = out.unionByName(summed("misfits", F.count("*"), F.sum("misfit")))
+    out = out.unionByName(summed("norms", F.count_distinct("event"), F.sqrt(F.sum(F.col("misfit") ** 2))))
+    return out.unionByName(summed("model", F.count("*"), F.max("misfit")))
+
+
 @query("update_iteration_ledger", over("b_status", """select event, job_type, status, seq from b_status
   qualify row_number() over (partition by event, job_type order by ts desc, seq desc) = 1"""))
 def update_iteration_ledger(spark, folder):
@@ -377,7 +402,8 @@ def update_iteration_ledger(spark, folder):
 @query("read_old_iteration", over("b_misfits", "select event, status, count(*) as rows, round(sum(misfit), 2) as misfit from b_misfits where iteration = 17 group by 1, 2"))
 def read_old_iteration(spark, folder):
     path = stores.new_store(spark, "iterations")
-    tables.misfits(spark, folder).repartition("iteration").write.partitionBy("iteration").parquet(path)
+    # few files for each iteration, and a large iteration over several tasks
+    tables.misfits(spark, folder).hint("rebalance", F.col("iteration")).write.partitionBy("iteration").parquet(path)
     return stores.read_iteration(spark, path, 17).groupBy("event", "status").agg(
         F.count("*").alias("rows"), rnd(F.sum("misfit"), 2).alias("misfit")
     )

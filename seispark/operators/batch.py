@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from seispark.operators.quantiles import exact_quantiles
+from seispark.session import materialise
 
 
 def blocked(pool):
@@ -57,6 +58,17 @@ def pick_minibatch(candidates, size):
     return candidates.sparkSession.createDataFrame(rows, "round int, event bigint, score double")
 
 
+def events_of_iteration(pool, norms, size, iteration, interval):
+    """(event, role) of an iteration: a minibatch of the training events, and the validation events when they are due.
+
+    ``pool`` is (event, role, lat, lon), ``norms`` (event, norm) what earlier iterations left, maybe nothing.
+    """
+    candidates = materialise(fill_norms(event_pool(pool), norms), "candidates")
+    picked = pick_minibatch(candidates, size).select("event", F.lit("train").alias("role"))
+    due = interval and (iteration == 0 or (iteration + 1) % interval == 0)
+    return picked.unionByName(pool.where("role = 'validation'").select("event", "role")) if due else picked
+
+
 def random_minibatch(candidates, size, seed):
     """``size`` events drawn without replacement with probability by norm; a distributed top-k."""
     return candidates.orderBy(-F.log(F.rand(seed)) / F.col("norm"), "event").limit(size)

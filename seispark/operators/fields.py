@@ -64,12 +64,29 @@ def zero_fill(nodal, params):
     return nodal.withColumn("value", F.when(F.col("param").isin(params), 0.0).otherwise(F.col("value")))
 
 
-def copy_field(source, target, name, overwrite=True, keys=("node",)):
-    """Add field ``name`` of the source mesh to the target; with overwrite off an existing one stays."""
-    moved = source.where(F.col("param") == name)
+def _is_field(mesh, name, kind):
+    here = F.col("param") == name
+    return here & (F.col("kind") == kind) if "kind" in mesh.columns else here
+
+
+def have_fields(mesh, asked):
+    """(kind, name, present) for each field asked for; a mesh has (kind, param, ...) rows.
+
+    Kinds are nodal and elemental fields, side sets and global strings; a name of one kind is none of another.
+    """
+    have = mesh.select("kind", F.col("param").alias("name")).distinct().withColumn("_have", F.lit(True))
+    return asked.join(have, ["kind", "name"], "left").select("kind", "name", F.coalesce("_have", F.lit(False)).alias("present"))
+
+
+def copy_field(source, target, name, overwrite=True, kind="nodal"):
+    """Add field ``name`` of the source mesh to the target; with overwrite off an existing one stays.
+
+    Meshes with a ``kind`` column hold elemental fields, side sets and global strings beside nodal fields.
+    """
+    moved = source.where(_is_field(source, name, kind))
     if overwrite:
-        return target.where(F.col("param") != name).unionByName(moved)
-    have = target.where(F.col("param") == name).select("param").limit(1)
+        return target.where(~_is_field(target, name, kind)).unionByName(moved)
+    have = target.where(_is_field(target, name, kind)).select("param").limit(1)
     return target.unionByName(moved.join(have, "param", "left_anti"))
 
 

@@ -55,6 +55,21 @@ def rollback(ledger, iteration):
     )
 
 
+def rollback_records(records, iteration, ledger="ledger", kept=("model",)):
+    """All record tables set back to the start of an iteration: {name: table}, each with an ``iteration`` column.
+
+    The ledger goes back to the iteration's first task. The iteration's own inputs (``kept``) stay; what it and
+    later ones produced (misfits, norms, moments, updates) goes, and so does what was written for the next one.
+    """
+    out = {}
+    for name, table in records.items():
+        if name == ledger:
+            out[name] = rollback(table, iteration)
+        else:
+            out[name] = table.where(F.col("iteration") <= iteration if name in kept else F.col("iteration") < iteration)
+    return out
+
+
 def usage_counts(used):
     """Iterations each training event took part in; repeated rows count once."""
     return used.groupBy("event").agg(F.count_distinct("iteration").alias("used"))

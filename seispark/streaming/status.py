@@ -16,6 +16,8 @@ from seispark.sources.stores import exists
 STAGES = ["prepare_forward", "forward", "hpc_processing", "adjoint", "gradient_interp"]
 VALIDATION_STAGES = 2
 FAILURES = ["failed", "unknown"]
+#: How late a status event may come, by its own time.
+LATE = "365 days"
 
 
 def read_events(spark, folder, name="events", files_per_batch=None):
@@ -71,14 +73,16 @@ def latest_status(status, **where):
     return newest(spark, path, ["event", "job_type"])
 
 
-def repost_tracker(status, max_reposts, **where):
+def repost_tracker(status, max_reposts, late=LATE, **where):
     """Reposts per event and job type; ``gave_up`` where one more was needed than allowed.
 
-    Every failure counts once by its event id, replays included. Batches only
-    add their own counts; the totals are summed when read.
+    Every failure counts once by its event id, replays included: ids are kept for as long as an event may come
+    ``late``, and older events are left out, so that the state has a bound. Batches only add their own counts; the
+    totals are summed when read.
     """
     spark = status.sparkSession
-    failures = status.where(F.col("status").isin(FAILURES)).select("seq", "event", "job_type").dropDuplicates(["seq"])
+    failures = status.where(F.col("status").isin(FAILURES)).select("seq", "event", "job_type", "ts")
+    failures = failures.withWatermark("ts", late).dropDuplicatesWithinWatermark(["seq"])
     path = run(failures, "reposts", transform=lambda b, _: b.groupBy("event", "job_type").agg(F.count("*").alias("failures")), **where)
     totals = spark.read.parquet(path).groupBy("event", "job_type").agg(F.sum("failures").alias("failures"))
     return totals.select(
@@ -113,11 +117,16 @@ def progress_counts(status, **where):
     return status_counts(latest_status(status, **where), "job_type")
 
 
-def new_event_intake(events, **where):
-    """Each event once, when it is first seen, with use count 0."""
+def new_event_intake(events, late=LATE, **where):
+    """Each event once, when it is first seen, with use count 0.
+
+    A batch writes events it has not seen for as long as one may come ``late``; one that comes back after that is
+    written again and read once.
+    """
     spark = events.sparkSession
-    path = run(events.select("event").dropDuplicates(["event"]), "intake", **where)
-    return spark.read.parquet(path).select("event", F.lit(0).alias("used"))
+    fresh = events.select("event", "ts").withWatermark("ts", late).dropDuplicatesWithinWatermark(["event"])
+    path = run(fresh.select("event"), "intake", **where)
+    return spark.read.parquet(path).select("event").distinct().select("event", F.lit(0).alias("used"))
 
 
 def process_once(events, process, **where):
