@@ -130,14 +130,19 @@ TF_MISFIT = ODD + CORR.format(src="od") + """
 , mm as (select trace, max(sqrt(re*re + im*im))/10 as m from ct group by trace),
 ph as (select ct.trace, k, l, n, atan2(im, re) as phase, (1 - exp(-(re*re + im*im)/(m*m)))*(1 - exp(-power(20.0e0*l/n, 2)))
   *(case when l/(1.0e0*n) <= 0.25e0 then 1.0e0 else exp(-10*abs(4.0e0*l/n - 1)) end) as raw from ct join mm on mm.trace = ct.trace),
-nw as (select *, raw/max(raw) over (partition by trace) as w from ph)
-select trace, round(sqrt(sum(w*w*phase*phase)/any_value(n)), 7) + 0.0e0 as misfit from nw group by trace"""
+nw as (select *, raw/max(raw) over (partition by trace) as w, raw*phase/max(abs(raw*phase)) over (partition by trace) as x from ph),
+pl as (select trace, sqrt(sum(w*w*phase*phase)/any_value(n)) as plain from nw group by trace),
+gx as (select g.trace, g.k, g.l, coalesce(x, 0) as x from (select trace, k, l from (select trace, unnest(range(n)) as k from cn) join (select trace, unnest(range(n)) as l from cn) using (trace)) g
+  left join nw on nw.trace = g.trace and nw.k = g.k and nw.l = g.l),
+st as (select *, abs(lead(x) over (partition by trace, l order by k) - x) > 0.7e0 as down, abs(lead(x) over (partition by trace, k order by l) - x) > 0.7e0 as side from gx),
+ju as (select trace, count(*) filter (where down) + count(*) filter (where side) as jumps from st group by trace)
+select pl.trace, round(plain, 7) + 0.0e0 as plain, jumps, round(plain*(case when jumps > 7 then 2 else 1 end), 7) + 0.0e0 as misfit from pl join ju on ju.trace = pl.trace"""
 
 
 @query("tf_phase_misfit", over("b_pair", TF_MISFIT))
 def tf_phase_misfit(spark, folder):
     m, _ = timefrequency.phase_misfit(_pair(spark, folder).select("trace", "i", "d", "s"), 4.0, 20.0)
-    return m.select("trace", rnd("plain", 7).alias("misfit"))
+    return m.select("trace", rnd("plain", 7).alias("plain"), "jumps", rnd("misfit", 7).alias("misfit"))
 
 
 @query("tf_phase_adjoint")
