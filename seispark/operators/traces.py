@@ -232,19 +232,22 @@ def rotate_to_zne(samples, orientation, size=CHUNK):
 # ---- resampling -----------------------------------------------------------
 
 
-def lanczos(samples, ratio, a=8, column="v", points=None, size=CHUNK):
+def lanczos(samples, ratio, a=8, column="v", points=None, size=CHUNK, starts=None):
     """Resample to every ``ratio``-th (a float) old sample with a Blackman-windowed sinc of half-width a.
 
     ``points`` is an expression of ``n`` (samples of the trace) for the number of
-    new samples. Each sample is sent to the few new samples it touches and the
+    new samples; ``starts`` (trace, first) says where the first of them lies, in old samples, if not at
+    the first old one. Each sample is sent to the few new samples it touches and the
     products are summed, partially before the shuffle.
     """
     points = points or f"cast(floor((n - 1) / {ratio}) as bigint) + 1"
-    counted = attach(samples, lengths(samples), size=size).withColumn("m", F.expr(points))
-    first = F.expr(f"greatest(cast(floor((i - {a}) / {float(ratio)}D) as bigint) + 1, 0)")
-    last = F.expr(f"least(cast(ceil((i + {a}) / {float(ratio)}D) as bigint) - 1, m - 1)")
+    numbers = lengths(samples)
+    numbers = numbers.withColumn("_at", F.lit(0.0)) if starts is None else numbers.join(starts.withColumnRenamed("first", "_at"), "trace")
+    counted = attach(samples, numbers, size=size).withColumn("m", F.expr(points)).withColumn("_x", F.col("i") - F.col("_at"))
+    first = F.expr(f"greatest(cast(floor((_x - {a}) / {float(ratio)}D) as bigint) + 1, 0)")
+    last = F.expr(f"least(cast(ceil((_x + {a}) / {float(ratio)}D) as bigint) - 1, m - 1)")
     spread = counted.withColumn("j", F.explode(F.when(first <= last, F.sequence(first, last)))).withColumn(
-        "x", F.col("j") * float(ratio) - F.col("i")
+        "x", F.col("j") * float(ratio) - F.col("_x")
     )
     px = F.lit(np.pi) * F.col("x")
     sinc = F.when(F.col("x") == 0, 1.0).otherwise(F.sin(px) / px)
@@ -343,6 +346,20 @@ def preprocess(samples, dt, dt_new, min_period, max_period, npts=None, a=12, siz
     return to_float32(lanczos(samples, dt_new / dt, a, points=npts and str(npts), size=size))
 
 
+def trim_in_time(samples, headers, before=0.2, size=CHUNK):
+    """Samples within the span of each trace and ``before`` of its length on either side, renumbered from 0.
+
+    ``headers`` has t0, dt and the span (lo, hi), all in seconds, per trace. Returns the samples and (trace, t0) of the cut.
+    """
+    edge = before * (F.col("hi") - F.col("lo"))
+    low = F.greatest(F.ceil((F.col("lo") - edge - F.col("t0")) / F.col("dt") - 1e-9), F.lit(0)).cast("bigint")
+    high = F.floor((F.col("hi") + edge - F.col("t0")) / F.col("dt") + 1e-9).cast("bigint")
+    spans = headers.select("trace", low.alias("_low"), high.alias("_high"), (F.col("t0") + low * F.col("dt")).alias("t0"))
+    known = attach(samples, lengths(samples).withColumnRenamed("n", "_n").join(spans.drop("t0"), "trace"), "_n", size)
+    kept = known.where("i between _low and _high").withColumn("i", F.col("i") - F.col("_low")).drop("_low", "_high", "_n")
+    return with_chunk(kept, size), spans.select("trace", "t0")
+
+
 def source_pulse(per_trace, min_period, max_period, dt=1.0, size=CHUNK):
     """Band-limited unit step of n samples per row of ``per_trace`` (trace, n); its first sample is 0."""
     step = index_rows(per_trace.select("trace", "n"), "2 * n", size=size)

@@ -70,6 +70,59 @@ def process_events(pair, distances, weights, settings, kind="ccc", scale=True, p
     return by_start, misfits, adjoint
 
 
+def preprocess_job(headers, samples, orientation, origins, path, tag, dt, npts, min_period, max_period, start_time=0.0, raw="raw_recording"):
+    """Raw traces of all events to filtered ones on one time grid, written with ``tag``; returns the table.
+
+    ``headers`` (event, station, channel, tag, t0, dt) and ``samples`` (event, station, channel, tag, i, v); ``orientation``
+    (event, station, channel, azimuth, dip); ``origins`` (event, time). Only traces with the tag ``raw`` are taken. Each is cut
+    to the wanted span and a fifth of it on either side, decimated, detrended and tapered; stations with three channels of which
+    one is BH1 or BH2 are rotated to Z, N and E; then two band-passes and a resampling to ``npts`` samples from ``start_time``
+    after the origin. Traces of one sampling interval go through together. The table is written as a whole or not at all:
+    without its success marker it is not there.
+    """
+    keys = ["event", "station", "channel"]
+    name = F.struct(*keys).alias("trace")
+    start = origins.select("event", (F.col("time") + start_time).alias("lo"), (F.col("time") + start_time + (npts - 1) * dt).alias("hi"))
+    known = headers.where(F.col("tag") == raw).join(start, "event").select(name, "t0", "dt", "lo", "hi")
+    known = materialise(known, "raw-headers")
+    rows = samples.where(F.col("tag") == raw).select(name, "i", "v")
+    out = None
+    for (interval,) in known.select("dt").distinct().orderBy("dt").collect():
+        own = known.where(F.col("dt") == interval)
+        cut, starts = traces.trim_in_time(with_chunk(rows.join(own.select("trace"), "trace", "left_semi")), own)
+        cut, new = traces.decimate(cut, interval, dt)
+        flat = materialise(traces.detrend_taper(cut), "flat")
+        flat, starts = rotated(flat, starts, orientation)
+        filtered = traces.double_bandpass(flat, min_period, max_period, new)
+        begin = starts.join(start, F.col("trace.event") == F.col("event")).select("trace", ((F.col("lo") - F.col("t0")) / new).alias("first"))
+        done = traces.to_float32(traces.lanczos(filtered, dt / new, 12, points=str(npts), starts=begin)).select("trace.*", "i", "v")
+        out = done if out is None else out.unionByName(done)
+    if out is None:
+        raise ValueError(f"no trace has the tag {raw}")
+    out.withColumn("tag", F.lit(tag)).write.mode("overwrite").partitionBy("event").parquet(path)
+    return headers.sparkSession.read.parquet(path)
+
+
+def rotated(samples, starts, orientation):
+    """Samples and starts with the stations rotated that have three channels, one of them BH1 or BH2."""
+    place = F.struct("trace.event", "trace.station")
+    turning = (
+        starts.groupBy(place.alias("place")).agg(F.count("*").alias("n"), F.max(F.col("trace.channel").isin("BH1", "BH2")).alias("odd"))
+        .where("n = 3 and odd").select("place")
+    )
+    other = starts.join(turning, place == F.col("place"), "left_anti").select("trace")
+    stay = only_traces(samples, other)
+    turn = samples.withColumn("place", place).join(turning, "place", "left_semi")
+    axes = orientation.select(F.struct("event", "station").alias("trace"), "channel", "azimuth", "dip")
+    mixed = traces.rotate_to_zne(turn.select(F.col("place").alias("trace"), F.col("trace.channel").alias("channel"), "i", "v"), axes)
+    channel = F.concat(F.lit("BH"), "component").alias("channel")
+    moved = mixed.select(F.struct("trace.event", "trace.station", channel).alias("trace"), "i", "v")
+    new = starts.join(turning, place == F.col("place"), "left_semi").groupBy("trace.event", "trace.station").agg(F.min("t0").alias("t0"))
+    letters = F.explode(F.array(*[F.lit(f"BH{c}") for c in "ZNE"])).alias("channel")
+    new = new.select("event", "station", "t0", letters).select(F.struct("event", "station", "channel").alias("trace"), "t0")
+    return with_chunk(stay.select("trace", "i", "v").unionByName(moved)), starts.join(other, "trace", "left_semi").unionByName(new)
+
+
 def chosen_traces(headers):
     """(event, station, channel, tag, component, ...) of stations with one tag, and of its components that only one channel has."""
     keys = ["event", "station"]

@@ -10,6 +10,7 @@ from seispark.operators import batch, fields, misfit, spatial, timefrequency, up
 from seispark.operators.chunks import with_chunk
 from seispark.operators.quantiles import exact_quantiles
 from seispark.plans.iteration import IterationJob
+from seispark.plans import waveforms
 from seispark.plans.waveforms import process_events
 from seispark.session import fresh_path
 from seispark.sources import stores, tables
@@ -241,6 +242,38 @@ def test_waveform_job_with_phase_misfit(spark):
         process_events(pair, near, weight, cfg)
 
 
+def test_preprocessing_job_rotates_trims_and_writes_on_one_grid(spark):
+    """Channels along N and E under the names BH1 and BH2, and a recording that starts later, give the same traces."""
+    t = np.arange(400.0)
+    wave = {c: np.sin(2 * np.pi * t / p) * np.exp(-((t - 200) ** 2) / 3000) for c, p in (("BHZ", 14), ("BHN", 17), ("BHE", 21))}
+    headers, samples, axes = [], [], []
+    names = {1: {c: c for c in wave}, 2: {"BHZ": "BHZ", "BHN": "BH1", "BHE": "BH2"}, 3: {"BHZ": "BHZ"}}
+    for station, own in names.items():
+        skip = 5 if station == 3 else 0
+        for source, channel in own.items():
+            headers.append((7, station, channel, "raw_recording", 900.0 + skip, 1.0))
+            samples += [(7, station, channel, "raw_recording", i - skip, float(wave[source][i])) for i in range(skip, 400)]
+            axes.append((7, station, channel, {"BHZ": 0.0, "BHN": 0.0, "BHE": 90.0}[source], -90.0 if source == "BHZ" else 0.0))
+    headers.append((7, 4, "BHZ", "other", 900.0, 1.0))
+    head = spark.createDataFrame(headers, "event int, station int, channel string, tag string, t0 double, dt double")
+    rows = spark.createDataFrame(samples, "event int, station int, channel string, tag string, i bigint, v double")
+    orientation = spark.createDataFrame(axes, "event int, station int, channel string, azimuth double, dip double")
+    origins = spark.createDataFrame([(7, 1000.0)], "event int, time double")
+    path = fresh_path(spark, "processed")
+    out = waveforms.preprocess_job(head, rows, orientation, origins, path, "clean", 0.5, 401, 10.0, 40.0)
+    assert stores.exists(spark, f"{path}/_SUCCESS") and {r.tag for r in out.select("tag").distinct().collect()} == {"clean"}
+    got = {}
+    for r in out.collect():
+        got.setdefault((r.station, r.channel), {})[r.i] = r.v
+    assert set(got) == {(1, c) for c in wave} | {(2, c) for c in wave} | {(3, "BHZ")}
+    for c in wave:
+        a, b = (np.array([got[s, c][i] for i in range(401)]) for s in (1, 2))
+        assert np.abs(a).max() > 0.1
+        np.testing.assert_allclose(a, b, atol=1e-5)
+    late = np.array([got[3, "BHZ"][i] for i in range(401)])
+    np.testing.assert_allclose(late, [got[1, "BHZ"][i] for i in range(401)], atol=2e-2)
+
+
 def test_streams_go_on_with_late_files_and_replays(spark, small, tmp_path):
     events = pq.read_table(f"{small}/events.parquet")
     folder, half = str(tmp_path), events.num_rows // 2
