@@ -46,7 +46,7 @@ def _pages(rows, limit):
     before = F.coalesce(F.sum(F.when(large, 0).otherwise(F.col("_bytes"))).over(order), F.lit(0))
     page = F.when(large, F.concat(F.lit("x"), F.col("_n"))).otherwise(F.concat_ws(".", "_part", F.floor(2 * before / F.lit(limit))))
     name = F.concat_ws("-", F.lpad(F.bin("_hash"), BITS, "0"), page)
-    paged = rows.select("_id", "_bytes", name.alias("shard"), F.lit(BITS).alias("depth"))
+    paged = materialise(rows.select("_id", "_bytes", name.alias("shard"), F.lit(BITS).alias("depth")), "pages")
     return paged.join(paged.groupBy("shard").agg(F.sum("_bytes").alias("shard_bytes")), "shard")
 
 
