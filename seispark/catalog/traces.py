@@ -165,7 +165,7 @@ select p.trace as station, round(sum(abs(d - s)) * any_value(weight), 5) as misf
 def apply_station_weight(spark, folder):
     m = tables.pair(spark, folder).groupBy(F.col("trace").alias("station")).agg(F.sum(F.abs(F.col("d") - F.col("s"))).alias("misfit"))
     w = tables.stations(spark, folder).selectExpr("station", "1.0e0 + (station % 10) / 10.0e0 as weight")
-    return weighted_misfits(m, w).select("station", rnd("misfit", 5).alias("misfit"))
+    return weighted_misfits(m.join(w, "station", "left_semi"), w).select("station", rnd("misfit", 5).alias("misfit"))
 
 
 @query("source_receiver_min_distance", over("b_stations b_sources", """select station, 2*p*2.4e0 as min_km, p as min_period from b_stations,

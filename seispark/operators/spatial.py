@@ -90,7 +90,7 @@ def nearest_nodes(targets, sources, k=4, by="layer", levels=24):
     reach = F.sqrt(r * r + 2 * r * outside) * (1 + 1e-9)
     # fewer than k sources in the whole group: all of them are found at the coarsest level
     wide = F.least(F.greatest(F.ceil(F.log2(reach / unit)), F.lit(0)), F.lit(levels)).cast("int")
-    at = fine_targets.join(home, "node", "left").withColumn("most", (outside + r) * (1 + 1e-9)).withColumn("level", F.coalesce(wide, F.lit(levels)))
+    at = fine_targets.join(home, "node", "left").withColumn("most", (outside + r) * (1 + 1e-9)).withColumn("level", F.when(F.col("level").isNull(), levels).otherwise(wide))
     at = materialise(at.withColumns(coarser("level")), "nearest-targets")
     for c in CELL:
         at = at.withColumn(c, F.explode(F.array(F.col(c) - 1, F.col(c), F.col(c) + 1)))

@@ -98,6 +98,8 @@ def test_nearest_nodes_with_copies_and_clusters(spark, levels):
     src += [(1000 + k, 0, 1.0, 2.0, 3.0) for k in range(300)]
     src += [(2000 + k, 1, 1e6 + k, 1e6, 1e6) for k in range(50)]
     tgt = [(5000 + k, int(k % 2), *map(float, rng.normal(size=3) * 1000)) for k in range(60)] + [(6000, 0, 1.0, 2.0, 3.0)]
+    src += [(3000, 5, 1.0, 0.0, 0.0), (3001, 5, 900.0, 0.0, 0.0)]  # a layer with too few sources
+    tgt += [(8000, 5, 3.0, 0.0, 0.0)]
     tgt += [(7000, 0, 5e7, -3e6, 0.0), (7001, 1, -2e5, 4e5, 9e6)]  # far outside the box of the sources
     cols = "{} bigint, layer int, x double, y double, z double"
     got = spatial.nearest_nodes(spark.createDataFrame(tgt, cols.format("node")), spark.createDataFrame(src, cols.format("source")), levels=levels)
@@ -106,7 +108,7 @@ def test_nearest_nodes_with_copies_and_clusters(spark, levels):
         rows.setdefault(r.node, {})[r["rank"]] = (r.d2, r.source)
     for node, layer, *p in tgt:
         d = sorted((sum((a - b) ** 2 for a, b in zip(p, q)), s) for s, m, *q in src if m == layer)[:4]
-        assert [rows[node][k][1] for k in (1, 2, 3, 4)] == [s for _, s in d]
+        assert [rows[node][k][1] for k in sorted(rows[node])] == [s for _, s in d]
     w = spatial.inverse_distance_weights(got)
     assert {r.source for r in w.where("node = 6000 and w > 0").collect()} == {1000}
 
