@@ -163,6 +163,7 @@ def near_duplicates(docs, shingle=3, radius=3, lanes=1, blocks=4, tile=4096, id_
     root = member.groupBy("root").agg(F.min("_first").alias("_least"))
     label = member.join(root, "root").select(F.col("node").alias("_fp"), "_least")
     label = distinct.join(label, "_fp", "left").select("_fp", F.coalesce("_least", "_first").alias("component"))
+    label = materialise(label, "labels")  # dealt for the next join alone, in which a hot fingerprint can be split
     return prints.join(label, "_fp").select("_id", "_h", "_fp", "component")
 
 
