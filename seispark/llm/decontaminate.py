@@ -17,9 +17,8 @@ K1, B = 1.2, 0.75
 PASSAGE = 128
 #: Share of an item's own BM25 score that a passage must reach, and share of its five-word runs to be found.
 LEAST_SCORE, LEAST_OVERLAP, RUN = 0.5, 0.8, 5
-#: Items in one part of the index; parts are read one after another.
-PART = 20_000
-POSTINGS = 64
+#: Items in one part of the index (parts are read one after another), in a block, and under one bound in it.
+PART, BLOCK, FEW = 4_000, 64, 4
 WORDS_ONLY = np.where(CLASSES == 1, 1, 0).astype(np.uint8)
 
 
@@ -71,93 +70,91 @@ def impacts(terms):
     return raw.join(own, "item").select("item", "term", (F.col("w") / F.col("own")).alias("impact"))
 
 
+class Block:
+    """Inverted lists of some items that follow each other: local terms, exact impacts, and the best of each few items."""
+
+    def __init__(self, first, terms, slots, impacts, size, width):
+        self.first = first
+        self.own, at = np.unique(terms, return_inverse=True)
+        self.exact = np.zeros((len(self.own), size))
+        self.exact[at, slots - first] = impacts
+        padded = np.pad(self.exact, ((0, 0), (0, -size % FEW)))
+        self.most = padded.reshape(len(self.own), -1, FEW).max(axis=2).astype(np.float32)
+        self.lists = np.full(width, -1, np.int32)
+        self.lists[self.own] = np.arange(len(self.own), dtype=np.int32)
+
+
 class Index:
-    """Inverted lists of one part of the items: per term its items in order, impacts, and the best impact of each block."""
+    """BM25 index of one part of the items, in blocks of items that are alike in length."""
 
     def __init__(self, postings, texts):
-        self.items = np.array(sorted(texts), np.int64)
-        slot = np.searchsorted(self.items, postings["item"].to_numpy(np.int64))
-        terms = postings["term"].to_numpy(np.int64).view(np.uint64)
-        order = np.lexsort((slot, terms))
-        self.vocabulary, first = np.unique(terms[order], return_index=True)
-        ends = np.append(first, len(order))[1:]
-        slot, impact = slot[order], postings["impact"].to_numpy(float)[order]
-        self.lists = [(slot[a:b], impact[a:b]) for a, b in zip(first, ends)]
-        self.blocks = [
-            (s[np.minimum(np.arange(POSTINGS - 1, len(s) + POSTINGS - 1, POSTINGS), len(s) - 1)], np.maximum.reduceat(w, np.arange(0, len(s), POSTINGS)))
-            for s, w in self.lists
-        ]
-        self.most = np.array([w.max() for _, w in self.lists])
+        size = postings.groupby("item").size() if len(postings) else {}
+        self.items = np.array(sorted(texts, key=lambda i: (size[i], i)), np.int64)
+        place = {i: k for k, i in enumerate(self.items.tolist())}
+        slot = np.array([place[i] for i in postings["item"].tolist()], np.int64)
+        self.vocabulary, term = np.unique(postings["term"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
+        impact = postings["impact"].to_numpy(float)
+        self.most = np.zeros(len(self.vocabulary))
+        np.maximum.at(self.most, term, impact)
+        self.blocks = []
+        for first in range(0, len(self.items), BLOCK):
+            own = (slot >= first) & (slot < first + BLOCK)
+            count = min(BLOCK, len(self.items) - first)
+            self.blocks.append(Block(first, term[own], slot[own], impact[own], count, len(self.vocabulary)))
         self.low = np.zeros(1 << 20, bool)  # which low bits of a hash occur at all
         self.low[(self.vocabulary & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         self.checks = [self._check(texts[i]) for i in self.items.tolist()]
 
     @staticmethod
     def _check(text):
-        """Distinct runs of the question and of the answer."""
+        """(width, distinct runs) of the question and of the answer."""
         found = []
         for part in parts_of(text):
             h, _ = word_hashes(pa.array([part]))
-            found.append(np.unique(runs(h, min(RUN, len(h))) if len(h) else np.zeros(0, np.uint64)))
-        width = [min(RUN, len(word_hashes(pa.array([p]))[0])) for p in parts_of(text)]
-        return list(zip(width, found))
+            width = min(RUN, len(h))
+            found.append((width, np.unique(runs(h, width)) if width else np.zeros(0, np.uint64)))
+        return found
 
     def terms(self, hashes):
         """Term of each hash, -1 where no item has it."""
         found = np.full(len(hashes), -1, np.int64)
+        if not len(self.vocabulary):
+            return found
         maybe = np.flatnonzero(self.low[(hashes & np.uint64((1 << 20) - 1)).astype(np.int64)])
         at = np.searchsorted(self.vocabulary, hashes[maybe])
         at[at == len(self.vocabulary)] = 0
-        hit = self.vocabulary[at] == hashes[maybe] if len(self.vocabulary) else np.zeros(len(maybe), bool)
+        hit = self.vocabulary[at] == hashes[maybe]
         found[maybe[hit]] = at[hit]
         return found
 
-    def retrieve(self, terms, least):
-        """All (slot, score) with a score of ``least`` or more for a set of terms: block-max WAND.
+    def retrieve(self, passage, term, count, least):
+        """All (passage, slot, score) of ``least`` or more: block-max WAND for many passages at once.
 
-        Lists are kept in order of the item they stand at. The pivot is the first item at which the sum of
-        the lists' best impacts reaches the threshold; the best impacts of the blocks around it then tell
-        whether it is scored, or the lists jump behind the nearest block end.
+        ``passage`` and ``term`` are the distinct terms of each of ``count`` passages, in order. A passage whose
+        lists' best impacts do not add up to the threshold has no pivot in any list and ends there. The others move
+        from block to block; the best impacts of every few items in the block tell whether these are scored or jumped over.
         """
-        cursors = [[t, 0] for t in terms]
+        near = least - 1e-6
+        hopeful = np.bincount(passage, self.most[term], count) >= near
+        kept = hopeful[passage]
+        passage, term = passage[kept], term[kept]
         found = []
-        while cursors:
-            cursors.sort(key=lambda c: self.lists[c[0]][0][c[1]])
-            bound, pivot = 0.0, None
-            for k, (t, _) in enumerate(cursors):
-                bound += self.most[t]
-                if bound >= least:
-                    pivot = k
-                    break
-            if pivot is None:
-                break
-            item = self.lists[cursors[pivot][0]][0][cursors[pivot][1]]
-            while pivot + 1 < len(cursors) and self.lists[cursors[pivot + 1][0]][0][cursors[pivot + 1][1]] == item:
-                pivot += 1
-            inside, behind = 0.0, len(self.items)
-            for t, _ in cursors[: pivot + 1]:
-                last, best = self.blocks[t]
-                b = int(np.searchsorted(last, item))
-                if b < len(last):
-                    inside += best[b]
-                    behind = min(behind, int(last[b]) + 1)
-            if inside >= least:
-                score, moved = 0.0, item + 1
-                for c in cursors[: pivot + 1]:
-                    slots, weight = self.lists[c[0]]
-                    c[1] += int(np.searchsorted(slots[c[1] :], item))
-                    if c[1] < len(slots) and slots[c[1]] == item:
-                        score += weight[c[1]]
-                if score >= least:
-                    found.append((int(item), score))
-            else:
-                moved = behind
-                if pivot + 1 < len(cursors):
-                    moved = min(moved, int(self.lists[cursors[pivot + 1][0]][0][cursors[pivot + 1][1]]))
-                moved = max(moved, int(item) + 1)
-            for c in cursors[: pivot + 1]:
-                c[1] += int(np.searchsorted(self.lists[c[0]][0][c[1] :], moved))
-            cursors = [c for c in cursors if c[1] < len(self.lists[c[0]][0])]
+        for block in self.blocks:
+            local = block.lists[term]
+            at = np.flatnonzero(local >= 0)
+            if not len(at):
+                continue
+            who, local = passage[at], local[at]
+            first = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1]]))
+            live = (np.add.reduceat(block.most[local], first, axis=0) >= near).any(axis=1)
+            if not live.any():
+                continue
+            here = np.repeat(live, np.diff(np.append(first, len(who))))
+            who, local = who[here], local[here]
+            first = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1]]))
+            score = np.add.reduceat(block.exact[local], first, axis=0)
+            k, slot = np.nonzero(score >= least)
+            found += zip(who[first[k]].tolist(), (slot + block.first).tolist(), score[k, slot].tolist())
         return found
 
 
@@ -175,19 +172,21 @@ def candidates(index, hashes, row, least):
     """{(row, slot): (score, first, last)} of the best passage of each text for each item it reaches the threshold of."""
     term = index.terms(hashes)
     first, last = passages(row)
-    weight = np.where(term >= 0, index.most[term], 0.0) if len(index.most) else np.zeros(len(term))
-    total = np.concatenate([[0.0], np.cumsum(weight)])
-    hopeful = np.flatnonzero(total[last] - total[first] >= least - 1e-9)
+    # distinct terms of each passage, by keys passage * terms + term
+    size, terms = last - first, len(index.vocabulary)
+    start = np.cumsum(size) - size
+    token = term[np.arange(size.sum()) + np.repeat(first - start, size)]
+    keys = np.repeat(np.arange(len(first)) * terms, size)[token >= 0] + token[token >= 0]
+    if len(first) * terms < 1 << 32:
+        keys = keys.astype(np.uint32)
+    keys.sort()
+    keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+    passage = (keys // terms).astype(np.int64) if terms else keys
     found = {}
-    for k in hopeful:
-        own = np.unique(term[first[k] : last[k]])
-        own = own[own >= 0]
-        if index.most[own].sum() < least:
-            continue
-        for slot, score in index.retrieve(own.tolist(), least):
-            key = (int(row[first[k]]), slot)
-            if score > found.get(key, (0.0,))[0]:
-                found[key] = (score, int(first[k]), int(last[k]))
+    for k, slot, score in index.retrieve(passage, (keys - passage * terms).astype(np.int64), len(first), least):
+        key = (int(row[first[k]]), slot)
+        if score > found.get(key, (0.0,))[0]:
+            found[key] = (score, int(first[k]), int(last[k]))
     return found
 
 

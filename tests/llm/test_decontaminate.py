@@ -48,20 +48,19 @@ def index_of(spark, items):
 def test_impacts_and_block_max_wand(spark, monkeypatch):
     items = some_items() + [(900, None), (901, "..."), (None, "no id")]
     want = plain_impacts([x for x in items if x[0] is not None])
-    for size in (3, 64):
-        monkeypatch.setattr(decontaminate, "POSTINGS", size)
+    for size in (7, 64):
+        monkeypatch.setattr(decontaminate, "BLOCK", size)
         index, postings = index_of(spark, items)
-        assert len(postings) == sum(map(len, want.values())) and index.items.tolist() == sorted(want)
+        assert len(postings) == sum(map(len, want.values())) and sorted(index.items.tolist()) == sorted(want)
         rng = random.Random(size)
-        for _ in range(60):
-            query = {f"w{rng.randrange(130)}" for _ in range(rng.randint(1, 60))}
-            h, _ = ngrams.tokens(*ngrams.buffers(pa.array([" ".join(sorted(query))])), decontaminate.WORDS_ONLY)
-            terms = index.terms(h)
-            for least in (0.05, 0.3, 0.6):
-                got = {int(index.items[s]): v for s, v in index.retrieve(sorted(terms[terms >= 0].tolist()), least)}
-                full = {i: sum(x for t, x in w.items() if t in query) for i, w in want.items()}
-                full = {i: x for i, x in full.items() if x >= least}
-                assert got.keys() == full.keys() and all(abs(got[i] - full[i]) < 1e-9 for i in got)
+        queries = [{f"w{rng.randrange(130)}" for _ in range(rng.randint(1, 60))} for _ in range(60)]
+        h, row = ngrams.tokens(*ngrams.buffers(pa.array([" ".join(sorted(q)) for q in queries])), decontaminate.WORDS_ONLY)
+        terms = index.terms(h)
+        for least in (0.05, 0.3, 0.6):
+            got = {(k, int(index.items[s])): v for k, s, v in index.retrieve(row[terms >= 0], terms[terms >= 0], 60, least)}
+            full = {(k, i): sum(x for t, x in w.items() if t in q) for k, q in enumerate(queries) for i, w in want.items()}
+            full = {i: x for i, x in full.items() if x >= least}
+            assert full and got.keys() == full.keys() and all(abs(got[i] - full[i]) < 1e-9 for i in got)
 
 
 def plain_leaks(rows, items):
@@ -130,4 +129,5 @@ def test_passages_cover_every_word():
 
 def test_bounds_hold_for_a_frame_without_rows():
     index = decontaminate.Index(pd.DataFrame({"item": [], "term": [], "impact": []}), {})
-    assert index.retrieve([], 0.5) == [] and index.terms(np.array([5], np.uint64)).tolist() == [-1]
+    none = np.zeros(0, np.int64)
+    assert index.retrieve(none, none, 3, 0.5) == [] and index.terms(np.array([5], np.uint64)).tolist() == [-1]
