@@ -30,12 +30,12 @@ def _ones(digests):
     return total
 
 
-def fingerprint(text, shingle, lanes):
-    """Majority bits over all shingles of a text given as bytes."""
+def fingerprint(text, shingle, lanes, least=None):
+    """Majority bits over all shingles of a text given as bytes; with fewer than ``least`` words it is one shingle."""
     words = text.lower().split()  # of bytes: A-Z alone, and blanks of ASCII alone
     if not words:
         return bytes(8 * lanes)
-    if len(words) < shingle:
+    if len(words) < (least or shingle):
         count, ones = 1, _ones(_digests([b" ".join(words)], lanes))
     else:
         count, ones = len(words) - shingle + 1, np.zeros(64 * lanes, np.int64)
@@ -51,12 +51,12 @@ def cell_of(prints, blocks):
     return parts @ (256 ** np.arange(blocks, dtype=np.int64))
 
 
-def fingerprints(docs, shingle=3, lanes=1, blocks=4, id_col="doc_id", text_col="text"):
+def fingerprints(docs, shingle=3, lanes=1, blocks=4, least=None, id_col="doc_id", text_col="text"):
     """(_id, _h, _fp, _cell) of every row: fingerprint of 64 bits a lane and the population counts of its parts."""
 
     def work(batches):
         for batch in batches:
-            prints = [fingerprint(t or b"", shingle, lanes) for t in batch.column(2).to_pylist()]
+            prints = [fingerprint(t or b"", shingle, lanes, least) for t in batch.column(2).to_pylist()]
             raw = np.frombuffer(b"".join(prints), np.uint8).reshape(-1, 8 * lanes)
             cells = cell_of(raw, blocks) if len(raw) else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -148,15 +148,15 @@ def link_tiles(prints, lanes, blocks, radius, tile, fan=8):
     return home.unionByName(visit).groupBy("_c", "_s", "_k").applyInPandas(compare, "a binary, b binary")
 
 
-def near_duplicates(docs, shingle=3, radius=3, lanes=1, blocks=4, tile=4096, id_col="doc_id", text_col="text"):
+def near_duplicates(docs, shingle=3, radius=3, lanes=1, blocks=4, tile=4096, least=None, id_col="doc_id", text_col="text"):
     """(_id, _h, _fp, component) of every row; component is the smallest id reachable over links.
 
     Texts are lower-cased (A-Z), cut into words at blanks and into shingles of ``shingle`` words,
-    repeats included; a text with fewer words is one shingle, one without words (null too) has
+    repeats included; a text with fewer words (or than ``least``) is one shingle, one without words (null too) has
     fingerprint zero. Fingerprints link at ``radius`` or fewer differing bits. Equal fingerprints are
     merged before tiles meet, so exact copies cost nothing; null ids count as one id below all others.
     """
-    prints = materialise(fingerprints(docs, shingle, lanes, blocks, id_col, text_col), "fingerprints")
+    prints = materialise(fingerprints(docs, shingle, lanes, blocks, least, id_col, text_col), "fingerprints")
     distinct = prints.groupBy("_fp", "_cell").agg(F.min("_id").alias("_first"))
     links = link_tiles(distinct.select("_fp", "_cell"), lanes, blocks, radius, tile)
     member = components(links).join(distinct.select(F.col("_fp").alias("node"), "_first"), "node")

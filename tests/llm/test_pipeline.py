@@ -52,7 +52,7 @@ def test_line_dedup(results):
 
 def test_near_copies(results):
     words = corpus_pipeline.NEAR
-    prints = {r["doc_id"]: np.frombuffer(fingerprint(r["text"].encode(), words["shingle"], words["lanes"]), np.uint64) for r in results[2]}
+    prints = {r["doc_id"]: np.frombuffer(fingerprint(r["text"].encode(), words["shingle"], words["lanes"], words["least"]), np.uint64) for r in results[2]}
     label = {i: i for i in prints}
     changed = True
     while changed:
