@@ -4,7 +4,8 @@ from seispark.llm import decontaminate, line_dedup, packing, quality, simhash
 from seispark.session import materialise
 
 #: Near copies share 0.8 of their five-word shingles or more; 128-bit fingerprints of such texts differ by 19 bits on average, a deviation of 4.
-NEAR = {"shingle": 5, "radius": 24, "lanes": 2, "blocks": 1}
+#: Texts of fewer than seven words have to be equal: of two shingles, one that differs is too much, and they set too few bits.
+NEAR = {"shingle": 5, "radius": 24, "lanes": 2, "blocks": 1, "least": 7}
 
 
 def classify_quality(spark, docs, sf_dir):
