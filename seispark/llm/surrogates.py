@@ -35,7 +35,6 @@ ALPHABETS = [
 ]
 
 _NAMES = "|".join(x for pool in GIVEN.values() for n in pool for x in (n, n.upper()))
-_TITLED = f"(?:{'|'.join(TITLES)})\\.?\\s"
 _OCTET = "(?:25[0-5]|2[0-4]\\d|1\\d\\d|[1-9]?\\d)"
 EMAIL = "(?<![\\w.%+-])[\\w.%+-]++@[A-Za-z0-9-]++(?:\\.[A-Za-z0-9-]++)+"
 ASSIGNED = "(?i:password|passwd|pwd|secret|token|api[_-]?key)\\s{0,3}[=:]\\s{0,3}[\"']?(?=[A-Za-z+/_-]*\\d)[A-Za-z0-9+/_-]{8,}"
@@ -45,10 +44,14 @@ PHONE = "(?<![\\w.])(?:\\+\\d{1,3}[ -]?)?(?:\\(\\d{3}\\) ?|\\d{3}[ -])\\d{3}[ -]
 ABROAD = "(?<![\\w.])\\+\\d{1,3}(?:[ -]\\d{2,4}){2,5}(?![\\d])"
 SOCIAL = "(?<![\\w-])\\d{3}-\\d{2}-\\d{4}(?![\\w-])"
 CARD = "(?<![\\d.])(?:\\d{13,19}|\\d{4}(?:[ -]\\d{4}){3}|\\d{4}[ -]\\d{6}[ -]\\d{5})(?!\\d)"
-GIVEN_NAME = f"(?=\\p{{Lu}})(?<!\\p{{L}})(?:{_NAMES})(?=\\s\\p{{Lu}}\\p{{L}})"
-#: Behind a given name, a title, or a title and one name.
-SURNAME = f"\\p{{Lu}}(?<=(?<!\\p{{L}})(?:(?:{_TITLED})?(?:{_NAMES})\\s|{_TITLED}(?:\\p{{L}}{{1,20}}\\s)?)\\p{{Lu}})\\p{{L}}+(?![\\p{{L}}])"
-PATTERN = "|".join([EMAIL, ASSIGNED, ACCESS_KEY, IPV4, PHONE, ABROAD, SOCIAL, CARD, GIVEN_NAME, SURNAME])
+_TITLE = f"(?:{'|'.join(TITLES)})\\.?"
+#: A title with one or two names, or a given name with one; single names elsewhere are too often plain words.
+NAME = f"(?=\\p{{Lu}})(?<!\\p{{L}})(?:{_TITLE}\\s\\p{{Lu}}\\p{{L}}+(?:\\s\\p{{Lu}}\\p{{L}}+)?|(?:{_NAMES})\\s\\p{{Lu}}\\p{{L}}+)(?!\\p{{L}})"
+PATTERN = "|".join([EMAIL, ASSIGNED, ACCESS_KEY, f"(?=[\\d(+])(?:{'|'.join([IPV4, PHONE, ABROAD, SOCIAL, CARD])})", NAME])
+#: What every match but a name holds; texts without it are searched for names alone.
+SIGN = "[0-9@]|AKIA"
+#: Words of a name at most.
+WORDS = 3
 
 LAST = 64
 
@@ -68,28 +71,35 @@ def _luhn(digits):
 
 
 def mentions(rows):
-    """(_id, _h, _pos, _mention, _kind, _canon) of every match; kind is null for what only looks like personal data.
+    """(_id, _h, _place, _mention, _kind, _canon) of every match, names word by word; kind is null for what stays.
 
-    The canonical form is the same for all spellings of one entity: an email in lower case, the last ten digits
-    of a phone number, the digits of a card or social number, the value of a secret without its name, a name in lower case.
+    A place is WORDS + 1 times the number of the match and the number of the word in it. The canonical form is the
+    same for all spellings of one entity: an email in lower case, the last ten digits of a phone number, the digits
+    of a card or social number, the value of a secret without its name, a name's word in lower case.
     """
-    found = rows.select("_id", "_h", F.posexplode(F.regexp_extract_all("_text", F.lit(PATTERN), F.lit(0))).alias("_pos", "_mention"))
-    m = F.col("_mention")
+    may = F.col("_text").rlike(SIGN) | F.col("_text").rlike(NAME)
+    found = rows.where(may).select("_id", "_h", F.posexplode(F.regexp_extract_all("_text", F.lit(PATTERN), F.lit(0))).alias("_pos", "_match"))
+    found = found.withColumn("_name", F.col("_match").rlike(f"^(?:{NAME})$"))
+    parts = F.when(F.col("_name"), F.regexp_extract_all("_match", F.lit(r"\S+\s?"), F.lit(0))).otherwise(F.array("_match"))
+    found = found.select("_id", "_h", "_pos", "_name", F.posexplode(parts).alias("_sub", "_mention"))
+    m, word = F.col("_mention"), F.regexp_replace("_mention", r"\s", "")
 
     def whole(pattern):
         return m.rlike(f"^(?:{pattern})$")
 
-    digits, names = _digits(m), [(pool, F.lower(m).isin([n.lower() for n in who])) for pool, who in GIVEN.items()]
-    kind = F.when(whole(EMAIL), "email").when(whole(ASSIGNED) | whole(ACCESS_KEY), "secret").when(whole(IPV4), "ip")
-    kind = kind.when(whole(SOCIAL), "social").when(whole(CARD), F.when(_luhn(digits) % 10 == 0, "card")).when(m.rlike(r"\d"), "phone")
-    for pool, here in names:
-        kind = kind.when(here, pool)
-    found = found.withColumn("_kind", kind.otherwise("surname"))
+    digits = _digits(m)
+    kind = F.when(F.col("_name") & (F.col("_sub") == 0) & word.rlike(f"^{_TITLE}$"), F.lit(None).cast("string"))
+    for pool, names in GIVEN.items():
+        kind = kind.when(F.col("_name") & F.lower(word).isin([n.lower() for n in names]), pool)
+    kind = kind.when(F.col("_name"), "surname").when(whole(EMAIL), "email").when(whole(ASSIGNED) | whole(ACCESS_KEY), "secret")
+    kind = kind.when(whole(IPV4), "ip").when(whole(SOCIAL), "social").when(whole(CARD), F.when(_luhn(digits) % 10 == 0, "card")).otherwise("phone")
+    found = found.withColumn("_kind", kind)
     k = F.col("_kind")
     value = F.when(whole(ACCESS_KEY), m).otherwise(F.regexp_extract(m, "[=:]\\s*[\"']?([^\"'\\s=:]+)$", 1))
     canon = F.when(k == "secret", value).when(k == "phone", F.substring(digits, F.greatest(F.char_length(digits) - 9, F.lit(1)), F.lit(10)))
-    canon = canon.when(k.isin("social", "card"), digits).when(k == "ip", m).otherwise(F.lower(m))
-    return found.withColumn("_canon", canon)
+    canon = canon.when(k.isin("social", "card"), digits).when(k == "ip", m).otherwise(F.lower(word))
+    place = F.col("_pos") * (WORDS + 1) + F.col("_sub")
+    return found.select("_id", "_h", place.alias("_place"), "_mention", "_kind", canon.alias("_canon"))
 
 
 def _stream(key, kind, canon, attempt):
@@ -182,12 +192,13 @@ def _dressed(mention, surrogate, kind):
         lambda i: F.when(F.substring(mention, i, F.lit(1)).rlike(r"\d"), F.substring(line, F.char_length(_digits(F.substring(mention, F.lit(1), i))), F.lit(1))).otherwise(F.substring(mention, i, F.lit(1))),
     ), "")
     shown = F.transform(F.sequence(F.lit(1), n), lambda i: F.when(F.substring(mention, i, F.lit(1)).rlike(r"\p{Lu}"), F.upper(F.substring(surrogate, i, F.lit(1)))).otherwise(F.substring(surrogate, i, F.lit(1))))
-    loud = (F.upper(mention) == mention) & (F.char_length(mention) > 1)
+    word, blank = F.regexp_replace(mention, r"\s", ""), F.regexp_extract(mention, r"(\s?)$", 1)
+    loud = (F.upper(word) == word) & (F.char_length(word) > 1)
     name = F.when(loud, F.upper(surrogate)).otherwise(F.concat(F.upper(F.substring(surrogate, F.lit(1), F.lit(1))), F.substring(surrogate, F.lit(2), n)))
     prefix = F.when(mention.rlike(f"^(?:{ACCESS_KEY})$"), "").otherwise(F.regexp_extract(mention, "^(.*?[=:]\\s*[\"']?)[^\"'\\s=:]+$", 1))
     return (
         F.when(kind.isin("phone", "social", "card"), numbers).when(kind == "email", F.array_join(shown, ""))
-        .when(kind == "ip", surrogate).when(kind == "secret", F.concat(prefix, surrogate)).otherwise(name)
+        .when(kind == "ip", surrogate).when(kind == "secret", F.concat(prefix, surrogate)).otherwise(F.concat(name, blank))
     )
 
 
@@ -195,27 +206,31 @@ def replace_personal_data(docs, key, id_col="doc_id", text_col="text"):
     """(_row, replaced, n_entities) of every row: the text with keyed surrogates for all personal data found.
 
     Kinds: email, phone, social and card numbers (with valid check digit), IPv4 addresses, assigned secrets and access
-    keys, given names by script and gender, surnames behind a given name or title. A surrogate has the kind, length,
+    keys, and names behind a title or a known given name, word by word, given names by script and gender. A surrogate has the kind, length,
     script, capitals, separators, check digit and country code of what it replaces; one entity has one surrogate in all
     documents and spellings, two entities have two, none is an entity of the corpus, and the same key gives the same draws.
 
     Only matches leave their document, distinct entities are drawn once, and surrogates come back by place; an entity
     in a third of all documents is one row of the drawing and a split partition of the join. Null and empty texts
     have none and come back empty; equal rows come back alike, each once; null ids are one id.
+    Card-like numbers with a wrong check digit and numbers of no known form stay.
     """
     ident, h, text = row_key(id_col, text_col)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), ident, h, text)
     found = materialise(mentions(rows.select("_id", "_h", "_text")).distinct(), "mentions")
     names = F.col("_kind").isin(list(GIVEN))
-    drawn = assign(found.where(~names).select("_kind", "_canon").distinct(), key)
+    drawn = assign(found.where(F.col("_kind").isNotNull() & ~names).select("_kind", "_canon").distinct(), key)
     joined = found.join(drawn, ["_kind", "_canon"], "left")
     joined = joined.withColumn("_surrogate", F.when(names, given_names(key)[F.col("_canon")]).otherwise(F.col("_surrogate")))
     shown = joined.withColumn("_shown", F.coalesce(_dressed(F.col("_mention"), F.col("_surrogate"), F.col("_kind")), F.col("_mention")))
     places = shown.groupBy("_id", "_h").agg(
-        F.map_from_entries(F.collect_set(F.struct("_pos", "_shown"))).alias("_places"), F.count("_surrogate").alias("_count")
+        F.map_from_entries(F.collect_set(F.struct("_place", "_shown"))).alias("_places"), F.count("_surrogate").alias("_count")
     )
     out = rows.join(places, ["_id", "_h"], "left")
-    parts = F.transform(F.split("_text", PATTERN, -1), lambda gap, i: F.concat(gap, F.coalesce(F.col("_places")[i], F.lit(""))))
+    parts = F.transform(
+        F.split("_text", PATTERN, -1),
+        lambda gap, i: F.concat(gap, *[F.coalesce(F.col("_places")[i * (WORDS + 1) + k], F.lit("")) for k in range(WORDS)]),
+    )
     replaced = F.when(F.col("_places").isNull(), F.col("_text")).otherwise(F.array_join(parts, ""))
     return out.select("_row", replaced.alias("replaced"), F.coalesce("_count", F.lit(0)).alias("n_entities"))
 
