@@ -1,5 +1,9 @@
 """License scan: lines and whole texts against license templates."""
 
+import functools
+import math
+import re
+
 from pyspark.sql import functions as F
 
 from seispark.llm.text import row_key
@@ -59,12 +63,40 @@ def template_table(spark, templates):
     return found.select("template", "license", F.explode("pairs").alias("pair"), F.size("pairs").alias("size"))
 
 
+def _serves(anchor, word):
+    return anchor in word if len(anchor) > 4 else anchor == word
+
+
+def anchors(templates, least):
+    """A few words of which every unit that can pass holds one.
+
+    A unit that reaches ``least`` with a template shares at least c of its b pairs, so it holds one of any
+    b - c + 1 of them. Words are taken, long ones that serve many templates first, until each
+    template has so many pairs with one of them; a long word may also be part of a longer one.
+    """
+    left = []
+    for _, text in templates:
+        w = re.sub(r"[\W_]+", " ", text.lower()).split()
+        own = set(zip(w, w[1:]))
+        fewest = math.ceil(least / (2 - least) * len(own) - 1e-9)
+        shared = math.ceil(least * (fewest + len(own)) / 2 - 1e-9)
+        left.append((own, len(own) - shared + 1))
+    taken = []
+    while True:
+        open_ = [{p for p in own if not any(_serves(t, w) for t in taken for w in p)} for own, need in left if sum(any(_serves(t, w) for t in taken for w in p) for p in own) < need]
+        if not any(open_):
+            return taken
+        words_ = {w for own in open_ for p in own for w in p}
+        taken.append(max(words_, key=lambda w: (len(w) >= 7, sum(any(_serves(w, x) for x in p) for own in open_ for p in own), len(w), w)))
+
+
 def scan(docs, templates=TEMPLATES, least=LEAST, id_col="doc_id", text_col="text"):
     """(_id, license, score, n_lines, whole_text): licenses that a line or the whole text of a row states.
 
     Dice coefficient 2c / (a + b) over the distinct word pairs of unit and template, ``least`` or more.
     A unit (each line, and the text if it has several) can reach that only if its number of pairs lies
-    within least / (2 - least) and its inverse times the template's: others are not compared. Pairs
+    within least / (2 - least) and its inverse times the template's: others are not compared. Before that, texts
+    and units without any of the templates' anchor words are left out, which no match can do without. Pairs
     are matched by an equi-join with the template table, which has a few pairs per template
     and is broadcast: its size is that of ``templates``, whatever the corpus. Only matches are counted
     up, so a notice in a third of all lines is no group. A unit states one license, the one it is most like.
@@ -75,13 +107,22 @@ def scan(docs, templates=TEMPLATES, least=LEAST, id_col="doc_id", text_col="text
     spark = docs.sparkSession
     patterns = template_table(spark, templates)
     bound = least / (2 - least)
-    rows = docs.select(*row_key(id_col, text_col))
+    found = anchors(templates, least)
+
+    def holds(col, word):
+        inside = F.contains(F.lower(col), F.lit(word))
+        return inside if len(word) > 4 else inside & F.lower(col).rlike(f"(?<![\\p{{L}}\\p{{N}}]){word}(?![\\p{{L}}\\p{{N}}])")
+
+    def hopeful(col):
+        return functools.reduce(lambda a, b: a | b, [holds(col, w) for w in found], F.lit(False))
+
+    rows = docs.select(*row_key(id_col, text_col)).where(hopeful(F.col("_text")))
     lines = F.split("_text", "\n", -1)
     units = rows.select("_id", "_h", F.posexplode(F.when(F.size(lines) > 1, F.concat(F.array("_text"), lines)).otherwise(lines)).alias("_n", "_unit"), (F.size(lines) > 1).alias("_many"))
     # pairs of a unit are at most its words less one, so a short unit is left out before they are made
     sizes = patterns.agg(F.min("size").alias("low"), F.max("size").alias("high")).first()
     low, high = int(bound * (sizes["low"] or 0)), int((sizes["high"] or 0) / bound) + 1
-    units = units.withColumn("_words", words(F.col("_unit"))).where(F.size("_words") > max(low, 1))
+    units = units.where(hopeful(F.col("_unit"))).withColumn("_words", words(F.col("_unit"))).where(F.size("_words") > max(low, 1))
     units = units.select("_id", "_h", "_n", "_many", pairs(F.col("_words")).alias("_pairs")).where(F.size("_pairs").between(low, high))
     entries = units.select("_id", "_h", "_n", "_many", F.size("_pairs").alias("_size"), F.explode("_pairs").alias("pair"))
     met = entries.join(F.broadcast(patterns), "pair").where((F.col("_size") >= bound * F.col("size") - 1e-9) & (F.col("size") >= bound * F.col("_size") - 1e-9))
