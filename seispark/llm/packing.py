@@ -142,11 +142,13 @@ def pack(docs, sizes=SIZES, overhead=64, id_col="doc_id", text_col="text", texts
     """
     placed = place(docs, sizes, overhead, id_col, text_col)
     if texts:
+        # texts move once to meet their places and once to their bins; a document is cut before its places come
         ident, h, text = row_key(id_col, text_col)
-        every = docs.select(ident, h, F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("_words")).dropDuplicates(["_id", "_h"])
         longest = max(sizes)
-        cut = every.select("_id", "_h", F.posexplode(
-            F.transform(F.sequence(F.lit(0), F.size("_words"), F.lit(longest)), lambda k: F.array_join(F.slice(F.col("_words"), k + 1, F.lit(longest)), ""))
-        ).alias("piece", "text"))
-        placed = placed.join(cut, ["_id", "_h", "piece"])
+        words = docs.select(ident, h, text).groupBy("_id", "_h").agg(F.first("_text").alias("_text"))
+        words = words.select("_id", "_h", F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)).alias("_words"))
+        starts = F.sequence(F.lit(0), F.size("_words"), F.lit(longest))
+        cuts = F.transform(starts, lambda k: F.array_join(F.slice(F.col("_words"), k + 1, F.lit(longest)), ""))
+        placed = placed.join(words.select("_id", "_h", cuts.alias("_cuts")), ["_id", "_h"])
+        placed = placed.withColumn("text", F.get("_cuts", F.col("piece"))).drop("_cuts")
     return bins(placed, sizes)
