@@ -13,10 +13,37 @@ SAMPLE = 20_000
 BITS = 18
 
 
-def log_count_ratios(rows, labels, row_of, size, alpha=1.0):
+class Indicators:
+    """Indicator sets of many documents in one flat array; item i is a set scaled to unit length."""
+
+    def __init__(self, sets):
+        self.at = np.concatenate([*sets, np.zeros(0, np.int32)])
+        self.ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+        self.ratio = self.inverse = None
+
+    def __len__(self):
+        return len(self.ends) - 1
+
+    def counts(self, rows, size):
+        """In how many of the rows each bucket occurs."""
+        total = np.zeros(size, np.int64)
+        for i in rows:
+            total[self.at[self.ends[i] : self.ends[i + 1]]] += 1  # a set holds a bucket once
+        return total
+
+    def scale(self, ratio):
+        self.ratio = ratio
+        square = [(ratio[self.at[a:b]] ** 2).sum() for a, b in zip(self.ends, self.ends[1:])]
+        self.inverse = 1 / np.maximum(np.sqrt(square), 1e-12)
+
+    def __getitem__(self, i):
+        at = self.at[self.ends[i] : self.ends[i + 1]]
+        return at, self.ratio[at] * self.inverse[i]
+
+
+def log_count_ratios(good, bad, alpha=1.0):
     """log of each bucket's share of the good over its share of the bad documents' indicators."""
-    good = np.bincount(rows[labels[row_of] == 1], minlength=size) + alpha
-    bad = np.bincount(rows[labels[row_of] == 0], minlength=size) + alpha
+    good, bad = good + alpha, bad + alpha
     return np.log(good / good.sum()) - np.log(bad / bad.sum())
 
 
@@ -50,17 +77,12 @@ def fit(frames, bits=BITS):
     if len(set(labels)) < 2:
         bias = 0.0 if not len(labels) else 1.0 if labels[0] == 1 else -1.0
         return pd.DataFrame({"bucket": [-1], "weight": [bias], "square": [0.0]})
-    sets = [np.frombuffer(b, np.int32) for b in pdf["buckets"]]
-    row_of = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    ratio = log_count_ratios(np.concatenate(sets), labels, row_of, 1 << bits)
-    vectors = []
-    for s in sets:
-        x = ratio[s]
-        vectors.append((s, x / max(np.sqrt(x @ x), 1e-12)))
+    vectors = Indicators([np.frombuffer(b, np.int32) for b in pdf["buckets"]])
+    good, bad = (vectors.counts(np.flatnonzero(labels == k), 1 << bits) for k in (1, 0))
+    ratio = log_count_ratios(good, bad)
+    vectors.scale(ratio)
     w = dual_descent(vectors, 2 * labels - 1, 1 << bits)
-    at = np.flatnonzero(w[:-1])
-    seen = np.flatnonzero(np.bincount(np.concatenate(sets), minlength=1 << bits))
-    at = np.union1d(at, seen)
+    at = np.flatnonzero(good + bad)
     return pd.DataFrame(
         {"bucket": np.append(at, -1), "weight": np.append(w[at] * ratio[at], w[-1]), "square": np.append(ratio[at] ** 2, 0.0)}
     )
