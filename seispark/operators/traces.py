@@ -272,24 +272,23 @@ def sections_filter(samples, sections, column="v", size=CHUNK):
     if size % width:
         raise ValueError("chunk size must be a multiple of 64")
     m = 2 * len(sections)
+    f = kernels.BlockFilter(sections, width)  # made once; its matrices go to the tasks
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def final_state(x: pd.Series) -> pd.Series:
-        f = kernels.BlockFilter(sections, width)
         return pd.Series([f.run(v, np.zeros(m))[1].tolist() for v in x])
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def filtered(x: pd.Series, state: pd.Series) -> pd.Series:
-        f = kernels.BlockFilter(sections, width)
         return pd.Series([f.run(v, s)[0] for v, s in zip(x, state)])
 
     def chain(pdf):
-        f = kernels.BlockFilter(sections, width)
         pdf = pdf.sort_values("chunk")
         state, out = np.zeros(m), []
-        for own in pdf["state"]:
+        for k, own in enumerate(pdf["state"], 1):
             out.append(state.tolist())
-            state = f.after(size, state) + np.asarray(own)
+            if k < len(pdf):
+                state = f.after(size, state) + np.asarray(own)
         return pdf[["trace", "chunk"]].assign(state=out)
 
     packed = materialise(blocks(samples, [column]), "filter-blocks")
