@@ -282,20 +282,21 @@ def sections_filter(samples, sections, column="v", size=CHUNK):
     def filtered(x: pd.Series, state: pd.Series) -> pd.Series:
         return pd.Series([f.run(v, s)[0] for v, s in zip(x, state)])
 
-    def chain(pdf):
-        pdf = pdf.sort_values("chunk")
-        state, out = np.zeros(m), []
-        for k, own in enumerate(pdf["state"], 1):
-            out.append(state.tolist())
-            if k < len(pdf):
-                state = f.after(size, state) + np.asarray(own)
-        return pdf[["trace", "chunk"]].assign(state=out)
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
+    def chain(ends: pd.Series) -> pd.Series:
+        out = []
+        for own in ends:  # the final states of one trace's chunks, in order
+            states = [np.zeros(m)]
+            for end in own[:-1]:
+                states.append(f.after(size, states[-1]) + np.asarray(end))
+            out.append([state.tolist() for state in states])
+        return pd.Series(out)
 
     packed = materialise(blocks(samples, [column]), "filter-blocks")
     ends = packed.select("trace", "chunk", final_state(column).alias("state"))
-    kind = samples.schema["trace"].dataType
-    schema = T.StructType().add("trace", kind).add("chunk", T.LongType()).add("state", T.ArrayType(T.DoubleType()))
-    stated = packed.join(ends.groupBy("trace").applyInPandas(chain, schema), ["trace", "chunk"])
+    per_trace = ends.groupBy("trace").agg(F.sort_array(F.collect_list(F.struct("chunk", "state"))).alias("p"))
+    begun = per_trace.select("trace", F.explode(F.arrays_zip(F.col("p.chunk").alias("chunk"), chain("p.state").alias("state"))).alias("z"))
+    stated = packed.join(begun.select("trace", "z.chunk", "z.state"), ["trace", "chunk"])
     out = stated.select("trace", "chunk", "lo", F.posexplode(filtered(column, "state")).alias("p", column))
     return materialise(out.select("trace", "chunk", (F.col("lo") + F.col("p")).cast("bigint").alias("i"), column), "filtered")
 
