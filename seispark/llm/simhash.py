@@ -149,22 +149,23 @@ def link_tiles(prints, lanes, blocks, radius, tile, fan=8):
 
 
 def near_duplicates(docs, shingle=3, radius=3, lanes=1, blocks=4, tile=4096, least=None, id_col="doc_id", text_col="text"):
-    """(_id, _h, _fp, component) of every row; component is the smallest id reachable over links.
+    """(_id, _h, _fp, component, root) of every row; component is the smallest id reachable over links, root the smallest fingerprint.
 
     Texts are lower-cased (A-Z), cut into words at blanks and into shingles of ``shingle`` words,
     repeats included; a text with fewer words (or than ``least``) is one shingle, one without words (null too) has
     fingerprint zero. Fingerprints link at ``radius`` or fewer differing bits. Equal fingerprints are
     merged before tiles meet, so exact copies cost nothing; null ids count as one id below all others.
+    Components may have their smallest id in common (null ids, repeated ids), but never their root.
     """
     prints = materialise(fingerprints(docs, shingle, lanes, blocks, least, id_col, text_col), "fingerprints")
     distinct = prints.groupBy("_fp", "_cell").agg(F.min("_id").alias("_first"))
     links = link_tiles(distinct.select("_fp", "_cell"), lanes, blocks, radius, tile)
     member = components(links).join(distinct.select(F.col("_fp").alias("node"), "_first"), "node")
-    root = member.groupBy("root").agg(F.min("_first").alias("_least"))
-    label = member.join(root, "root").select(F.col("node").alias("_fp"), "_least")
-    label = distinct.join(label, "_fp", "left").select("_fp", F.coalesce("_least", "_first").alias("component"))
+    least = member.groupBy("root").agg(F.min("_first").alias("_least"))
+    label = member.join(least, "root").select(F.col("node").alias("_fp"), "_least", "root")
+    label = distinct.join(label, "_fp", "left").select("_fp", F.coalesce("_least", "_first").alias("component"), F.coalesce("root", "_fp").alias("root"))
     label = materialise(label, "labels")  # dealt for the next join alone, in which a hot fingerprint can be split
-    return prints.join(label, "_fp").select("_id", "_h", "_fp", "component")
+    return prints.join(label, "_fp").select("_id", "_h", "_fp", "component", "root")
 
 
 def one_of_each(docs, id_col="doc_id", text_col="text", **options):
@@ -173,7 +174,7 @@ def one_of_each(docs, id_col="doc_id", text_col="text", **options):
     The choice is a minimum summed before the shuffle. Rows with the same id and text are copies too: one stays.
     """
     marked = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    best = marked.groupBy("component").agg(F.min(F.struct("_id", "_h")).alias("_best")).select("_best.*")
+    best = marked.groupBy("root").agg(F.min(F.struct("_id", "_h")).alias("_best")).select("_best.*")
     ident, h, _ = row_key(id_col, text_col)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), ident, h)
     # copies of one row would meet under one key: first one of each partition, then one in all

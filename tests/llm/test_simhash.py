@@ -68,6 +68,14 @@ def test_one_of_each_keeps_one_row_and_all_columns(spark):
     assert sorted(r["doc_id"] for r in found) == sorted(set(plain_components(prints, 3)))
 
 
+def test_one_of_each_keeps_unrelated_texts_of_one_id(spark):
+    texts = [" ".join(f"{word}{k}" for k in range(40)) for word in ("red", "green", "blue", "grey", "pink")]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1].upper()), (None, texts[2]), (7, texts[2]), (8, texts[3]), (8, texts[4]), (9, texts[4]), (9, texts[4])]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = sorted((r["doc_id"] or 0, r["text"].lower()) for r in kept)
+    assert found == sorted([(0, texts[0]), (0, texts[1]), (0, texts[2]), (8, texts[3]), (8, texts[4])])
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(docs).collect() == [] and simhash.one_of_each(docs).collect() == []
