@@ -1,6 +1,7 @@
 """Benchmark decontamination: training passages as queries on an index of test items."""
 
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -17,7 +18,9 @@ K1, B = 1.2, 0.75
 PASSAGE = 128
 #: Share of an item's own BM25 score that a passage must reach, and share of its five-word runs to be found.
 LEAST_SCORE, LEAST_OVERLAP, RUN = 0.5, 0.8, 5
-#: Items in one part of the index (parts are read one after another), in a block, and under one bound in it.
+#: Words of a piece of an item at most: any so many words in a row lie in one passage.
+PIECE_WORDS = PASSAGE // 2
+#: Pieces of items in one part of the index (parts are read one after another), in a block, and under one bound in it.
 PART, BLOCK, FEW = 4_000, 64, 4
 WORDS_ONLY = np.where(CLASSES == 1, 1, 0).astype(np.uint8)
 
@@ -43,31 +46,46 @@ def runs(hashes, width):
     return total
 
 
+def pieces(sizes):
+    """(item, piece, first, last) words of equal pieces of at most PIECE_WORDS; each run of an item is in one of them."""
+    shared = RUN - 1
+    room = sizes - shared
+    count = np.maximum(1, -(-room // (PIECE_WORDS - shared)))
+    item = np.repeat(np.arange(len(sizes)), count)
+    piece = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    room, count = room[item], count[item]
+    return item, piece, piece * room // count, (piece + 1) * room // count + shared
+
+
 def item_terms(items, id_col, text_col):
-    """(item, term, tf, size): word hashes of every item."""
+    """(item, piece, term, tf, size): word hashes of every piece of every item."""
 
     def work(batches):
         for batch in batches:
             h, row = word_hashes(batch.column(1))
-            pdf = pd.DataFrame({"item": np.asarray(batch.column(0))[row], "term": h.view(np.int64)})
-            found = pdf.groupby(["item", "term"], sort=True).size().rename("tf").reset_index()
-            found["size"] = found.groupby("item")["tf"].transform("sum")
+            sizes = np.bincount(row, minlength=batch.num_rows)
+            item, piece, first, last = pieces(sizes)
+            size = last - first
+            at = np.arange(size.sum()) + np.repeat((np.cumsum(sizes) - sizes)[item] + first - (np.cumsum(size) - size), size)
+            pdf = pd.DataFrame({"item": np.repeat(np.asarray(batch.column(0))[item], size), "piece": np.repeat(piece, size), "term": h[at].view(np.int64)})
+            found = pdf.groupby(["item", "piece", "term"], sort=True).size().rename("tf").reset_index()
+            found["size"] = found.groupby(["item", "piece"])["tf"].transform("sum")
             yield pa.RecordBatch.from_pandas(found.astype("int64"), preserve_index=False)
 
     rows = items.groupBy(F.col(id_col).cast("long").alias("_item")).agg(F.min(F.col(text_col).cast("string")).alias("_text"))
     rows = rows.where("_item is not null and _text is not null")
-    return rows, rows.mapInArrow(work, "item long, term long, tf long, size long")
+    return rows, rows.mapInArrow(work, "item long, piece long, term long, tf long, size long")
 
 
 def impacts(terms):
-    """(item, term, impact): BM25 weight of a term in an item over the item's own score, from counts over all items."""
-    n, mean = terms.select("item", "size").distinct().agg(F.count("*"), F.avg("size")).first()
+    """(item, piece, term, impact): BM25 weight of a term in a piece over the piece's own score, from counts over all pieces."""
+    n, mean = terms.select("item", "piece", "size").distinct().agg(F.count("*"), F.avg("size")).first()
     df = terms.groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     tf = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("size") / F.lit(mean or 1.0)))
-    raw = terms.join(df, "term").select("item", "term", (idf * tf).alias("w"))
-    own = raw.groupBy("item").agg(F.sum("w").alias("own"))
-    return raw.join(own, "item").select("item", "term", (F.col("w") / F.col("own")).alias("impact"))
+    raw = terms.join(df, "term").select("item", "piece", "term", (idf * tf).alias("w"))
+    own = raw.groupBy("item", "piece").agg(F.sum("w").alias("own"))
+    return raw.join(own, ["item", "piece"]).select("item", "piece", "term", (F.col("w") / F.col("own")).alias("impact"))
 
 
 class Block:
@@ -85,13 +103,15 @@ class Block:
 
 
 class Index:
-    """BM25 index of one part of the items, in blocks of items that are alike in length."""
+    """BM25 index of one part of the items, in blocks of pieces that are alike in length; ``items`` has the item of each piece."""
 
     def __init__(self, postings, texts):
-        size = postings.groupby("item").size() if len(postings) else {}
-        self.items = np.array(sorted(texts, key=lambda i: (size[i], i)), np.int64)
-        place = {i: k for k, i in enumerate(self.items.tolist())}
-        slot = np.array([place[i] for i in postings["item"].tolist()], np.int64)
+        known = list(zip(postings["item"].tolist(), postings["piece"].tolist())) if len(postings) else []
+        size = Counter(known)
+        order = sorted(size, key=lambda p: (size[p], p))
+        self.items = np.array([i for i, _ in order], np.int64)
+        place = {p: k for k, p in enumerate(order)}
+        slot = np.array([place[p] for p in known], np.int64)
         self.vocabulary, term = np.unique(postings["term"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
         impact = postings["impact"].to_numpy(float)
         self.most = np.zeros(len(self.vocabulary))
@@ -103,17 +123,20 @@ class Index:
             self.blocks.append(Block(first, term[own], slot[own], impact[own], count, len(self.vocabulary)))
         self.low = np.zeros(1 << 20, bool)  # which low bits of a hash occur at all
         self.low[(self.vocabulary & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        self.checks = [self._check(texts[i]) for i in self.items.tolist()]
+        checks = {i: self._check(text) for i, text in texts.items()}
+        self.checks = [checks[i] for i in self.items.tolist()]
 
     @staticmethod
     def _check(text):
-        """(width, distinct runs) of the question and of the answer."""
-        found = []
+        """(width, distinct runs) of the question and of the answer, and how far from a piece the item reaches."""
+        found, size = [], 0
         for part in parts_of(text):
             h, _ = word_hashes(pa.array([part]))
             width = min(RUN, len(h))
+            size += len(h)
             found.append((width, np.unique(runs(h, width)) if width else np.zeros(0, np.uint64)))
-        return found
+        reach = sum(len(w) for _, w in found) + 2 * RUN
+        return found, reach if size <= PIECE_WORDS else size + size // 4 + 2 * RUN  # a copy may have words of its own
 
     def terms(self, hashes):
         """Term of each hash, -1 where no item has it."""
@@ -169,7 +192,7 @@ def passages(row):
 
 
 def candidates(index, hashes, row, least):
-    """{(row, slot): (score, first, last)} of the best passage of each text for each item it reaches the threshold of."""
+    """{(row, item): (score, first, last, slot)} of the best passage of each text for each item with a piece it reaches the threshold of."""
     term = index.terms(hashes)
     first, last = passages(row)
     # distinct terms of each passage, by keys passage * terms + term
@@ -184,16 +207,16 @@ def candidates(index, hashes, row, least):
     passage = (keys // terms).astype(np.int64) if terms else keys
     found = {}
     for k, slot, score in index.retrieve(passage, (keys - passage * terms).astype(np.int64), len(first), least):
-        key = (int(row[first[k]]), slot)
+        key = (int(row[first[k]]), int(index.items[slot]))
         if score > found.get(key, (0.0,))[0]:
-            found[key] = (score, int(first[k]), int(last[k]))
+            found[key] = (score, int(first[k]), int(last[k]), slot)
     return found
 
 
 def overlaps(index, slot, hashes):
     """Shares of the question's and of the answer's runs that a stretch of words holds; 1 for a part without words."""
     found = []
-    for width, wanted in index.checks[slot]:
+    for width, wanted in index.checks[slot][0]:
         found.append(float(np.isin(wanted, runs(hashes, width)).mean()) if len(wanted) else 1.0)
     return found
 
@@ -202,12 +225,12 @@ def search(docs, index, least, overlap):
     """(_id, _h, item_id, score, question_overlap, answer_overlap) of verified hits in (_id, _h, _text)."""
 
     def in_text(hashes, row):
-        for (r, slot), (score, first, last) in candidates(index, hashes, row, least).items():
+        for (r, item), (score, first, last, slot) in candidates(index, hashes, row, least).items():
             lo, hi = np.searchsorted(row, [r, r + 1])
-            reach = sum(len(w) for _, w in index.checks[slot]) + 2 * RUN  # an item longer than a passage goes on beside it
+            reach = index.checks[slot][1]  # the item goes on beside the piece
             question, answer = overlaps(index, slot, hashes[max(lo, first - reach) : min(hi, last + reach)])
             if question >= overlap and answer >= overlap:
-                yield r, int(index.items[slot]), score, question, answer
+                yield r, item, score, question, answer
 
     def work(batches):
         for batch in batches:
@@ -237,18 +260,19 @@ def find_leaks(docs, items, least=LEAST_SCORE, overlap=LEAST_OVERLAP, part=PART,
     """(_id, _h, item_id, score, question_overlap, answer_overlap): which documents hold which test items.
 
     Every passage of every text (128 words, one starting every 64) is a query on a BM25 index of the items;
-    all items above the threshold are retrieved, a share ``least`` of the item's own score. A hit counts if the
-    words around the best passage hold at least ``overlap`` of the question's and of the answer's five-word runs
-    (of fewer words: that run). Words are runs of letters and digits, lower-cased; document counts are those of all items.
+    items of more than 64 words are indexed as equal pieces of at most so many, for these always lie in one passage.
+    All pieces above the threshold are retrieved, a share ``least`` of the piece's own score. A hit counts if the
+    words around the best passage, as far as the whole item reaches, hold at least ``overlap`` of the question's and of the answer's five-word runs
+    (of fewer words: that run). Words are runs of letters and digits, lower-cased; document counts are those of all pieces.
 
-    The index is cut into parts of at most about ``part`` items; one part at a time is sent to the tasks, so its
-    size is bounded whatever the number of items, and no document is ever grouped. Null and empty texts have
+    The index is cut into parts of about ``part`` pieces (an item's pieces are in one); one part at a time is sent to the tasks, so its
+    size is bounded whatever the number of items and their length, and no document is ever grouped. Null and empty texts have
     no hits, items without words or id are none; of items with one id the least text counts; equal rows hit alike.
     """
     spark = docs.sparkSession
     texts, terms = item_terms(items, item_col, text_col)
     weights = materialise(impacts(materialise(terms, "item-terms")), "impacts")
-    parts = max(1, -(-texts.count() // part))
+    parts = max(1, -(-weights.select("item", "piece").distinct().count() // part))
     rows = docs.select(*row_key(id_col, text_col))
     found = None
     for k in range(parts):

@@ -107,6 +107,31 @@ def test_query_and_stage(spark, small):
     assert sorted(r["doc_id"] for r in left.collect()) == sorted(r["doc_id"] for r in docs.collect() if r["doc_id"] not in {d for d, _ in want})
 
 
+def test_long_items_are_found(spark):
+    rng = random.Random(4)
+    known = [f"n{k}" for k in range(4000)]
+    sizes = [60, 65, 90, 128, 200, 256, 500, 1000, 2000]
+    items = [(k, " ".join(rng.choices(known, k=n - 3)) + ". Answer of three.") for k, n in enumerate(sizes)]
+    rows = [(k, " ".join(rng.choices(known, k=150)) + " " + t + " " + " ".join(rng.choices(known, k=150))) for k, t in items]
+    # every 30th word another one: 0.83 of the runs are left; every 20th: 0.75
+    rows += [(100 + k, " ".join("changed" if at % 30 == 29 and at < n - 3 else w for at, w in enumerate(t.split()))) for (k, t), n in zip(items, sizes)]
+    rows += [(200 + k, " ".join("changed" if at % 20 == 9 and at < n - 3 else w for at, w in enumerate(t.split()))) for (k, t), n in zip(items, sizes)]
+    rows += [(300 + k, t[: len(t) // 2]) for k, t in items]
+    found = decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r["_id"], r["item_id"]) for r in found}
+    assert got == plain_leaks(rows, items) >= {(d + k, k) for d in (0, 100) for k in range(len(items))} and len(found) == len(got)
+
+
+def test_pieces_hold_every_run_once():
+    sizes = np.array([0, 1, 4, 5, 64, 65, 124, 125, 1999])
+    item, piece, first, last = decontaminate.pieces(sizes)
+    for k, n in enumerate(sizes):
+        own = item == k
+        assert (last - first)[own].max() <= decontaminate.PIECE_WORDS and piece[own].tolist() == list(range(own.sum()))
+        starts = [at for a, b in zip(first[own], last[own]) for at in range(a, b - decontaminate.RUN + 1)]
+        assert starts == list(range(n - decontaminate.RUN + 1)) and first[own][0] == 0 and last[own][-1] == n
+
+
 def test_empty_tables(spark):
     docs, items = with_clash(spark, awkward(10)), spark.createDataFrame(some_items(5), "item_id long, text string")
     assert decontaminate.find_leaks(docs.limit(0), items).collect() == []
