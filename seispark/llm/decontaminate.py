@@ -192,7 +192,7 @@ def passages(row):
 
 
 def candidates(index, hashes, row, least):
-    """{(row, item): (score, first, last, slot)} of the best passage of each text for each item with a piece it reaches the threshold of."""
+    """{(row, item): [(score, first, last, slot)]} of all passages of each text that reach the threshold of a piece of the item."""
     term = index.terms(hashes)
     first, last = passages(row)
     # distinct terms of each passage, by keys passage * terms + term
@@ -207,9 +207,7 @@ def candidates(index, hashes, row, least):
     passage = (keys // terms).astype(np.int64) if terms else keys
     found = {}
     for k, slot, score in index.retrieve(passage, (keys - passage * terms).astype(np.int64), len(first), least):
-        key = (int(row[first[k]]), int(index.items[slot]))
-        if score > found.get(key, (0.0,))[0]:
-            found[key] = (score, int(first[k]), int(last[k]), slot)
+        found.setdefault((int(row[first[k]]), int(index.items[slot])), []).append((score, int(first[k]), int(last[k]), slot))
     return found
 
 
@@ -225,12 +223,15 @@ def search(docs, index, least, overlap):
     """(_id, _h, item_id, score, question_overlap, answer_overlap) of verified hits in (_id, _h, _text)."""
 
     def in_text(hashes, row):
-        for (r, item), (score, first, last, slot) in candidates(index, hashes, row, least).items():
+        for (r, item), met in candidates(index, hashes, row, least).items():
             lo, hi = np.searchsorted(row, [r, r + 1])
-            reach = index.checks[slot][1]  # the item goes on beside the piece
-            question, answer = overlaps(index, slot, hashes[max(lo, first - reach) : min(hi, last + reach)])
-            if question >= overlap and answer >= overlap:
-                yield r, item, score, question, answer
+            # the best score may be of the same words in another order: passages are tried until one is verified
+            for score, first, last, slot in sorted(met, key=lambda m: (-m[0], m[1])):
+                reach = index.checks[slot][1]  # the item goes on beside the piece
+                question, answer = overlaps(index, slot, hashes[max(lo, first - reach) : min(hi, last + reach)])
+                if question >= overlap and answer >= overlap:
+                    yield r, item, score, question, answer
+                    break
 
     def work(batches):
         for batch in batches:
@@ -262,8 +263,8 @@ def find_leaks(docs, items, least=LEAST_SCORE, overlap=LEAST_OVERLAP, part=PART,
     Every passage of every text (128 words, one starting every 64) is a query on a BM25 index of the items;
     items of more than 64 words are indexed as equal pieces of at most so many, for these always lie in one passage.
     All pieces above the threshold are retrieved, a share ``least`` of the piece's own score. A hit counts if the
-    words around the best passage, as far as the whole item reaches, hold at least ``overlap`` of the question's and of the answer's five-word runs
-    (of fewer words: that run). Words are runs of letters and digits, lower-cased; document counts are those of all pieces.
+    words around a passage, as far as the whole item reaches, hold at least ``overlap`` of the question's and of the answer's five-word runs
+    (of fewer words: that run); the best such passage is reported. Words are runs of letters and digits, lower-cased; document counts are those of all pieces.
 
     The index is cut into parts of about ``part`` pieces (an item's pieces are in one); one part at a time is sent to the tasks, so its
     size is bounded whatever the number of items and their length, and no document is ever grouped. Null and empty texts have

@@ -122,6 +122,19 @@ def test_long_items_are_found(spark):
     assert got == plain_leaks(rows, items) >= {(d + k, k) for d in (0, 100) for k in range(len(items))} and len(found) == len(got)
 
 
+def test_shuffled_copy_before_a_verbatim_one(spark):
+    rng = random.Random(6)
+    rows, items = [], []
+    for k, n in enumerate([12, 40, 64, 100, 128, 400]):
+        own = [f"i{k}w{j}" for j in range(n)]
+        items.append((k, " ".join(own)))
+        between = [f"f{j}" for j in range(3 * n + 2000)]
+        rows += [(k, " ".join(rng.sample(own, n) + between + own)), (100 + k, " ".join(own + between + rng.sample(own, n))), (200 + k, " ".join(rng.sample(own, n) + between))]
+        rows.append((300 + k, " ".join(rng.sample(own, n) + between + rng.sample(own, n) + between[:70] + own)))
+    found = decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["_id"], r["item_id"]) for r in found) == sorted((d + k, k) for d in (0, 100, 300) for k in range(len(items)))
+
+
 def test_pieces_hold_every_run_once():
     sizes = np.array([0, 1, 4, 5, 64, 65, 124, 125, 1999])
     item, piece, first, last = decontaminate.pieces(sizes)
