@@ -45,8 +45,11 @@ ABROAD = "(?<![\\w.])\\+\\d{1,3}(?:[ -]\\d{2,4}){2,5}(?![\\d])"
 SOCIAL = "(?<![\\w-])\\d{3}-\\d{2}-\\d{4}(?![\\w-])"
 CARD = "(?<![\\d.])(?:\\d{13,19}|\\d{4}(?:[ -]\\d{4}){3}|\\d{4}[ -]\\d{6}[ -]\\d{5})(?!\\d)"
 _TITLE = f"(?:{'|'.join(TITLES)})\\.?"
+_WORD = "\\p{Lu}\\p{L}++"
+_MORE = f"(?=\\s(?:{_NAMES})\\s{_WORD})"
 #: A title with one or two names, or a given name with one; single names elsewhere are too often plain words.
-NAME = f"(?=\\p{{Lu}})(?<!\\p{{L}})(?:{_TITLE}\\s\\p{{Lu}}\\p{{L}}+(?:\\s\\p{{Lu}}\\p{{L}}+)?|(?:{_NAMES})\\s\\p{{Lu}}\\p{{L}}+)(?!\\p{{L}})"
+#: A match ends before a further given name with a name behind it, which is the next match: no number of given names is too many.
+NAME = f"(?=\\p{{Lu}})(?<!\\p{{L}})(?:{_TITLE}\\s{_WORD}(?:{_MORE}|(?:\\s{_WORD})?)|(?:{_NAMES})(?:{_MORE}|\\s{_WORD}))(?!\\p{{L}})"
 PATTERN = "|".join([EMAIL, ASSIGNED, ACCESS_KEY, f"(?=[\\d(+])(?:{'|'.join([IPV4, PHONE, ABROAD, SOCIAL, CARD])})", NAME])
 #: What every match but a name holds; texts without it are searched for names alone.
 SIGN = "[0-9@]|AKIA"
@@ -79,7 +82,7 @@ def mentions(rows):
     """
     may = F.col("_text").rlike(SIGN) | F.col("_text").rlike(NAME)
     found = rows.where(may).select("_id", "_h", F.posexplode(F.regexp_extract_all("_text", F.lit(PATTERN), F.lit(0))).alias("_pos", "_match"))
-    found = found.withColumn("_name", F.col("_match").rlike(f"^(?:{NAME})$"))
+    found = found.withColumn("_name", F.col("_match").rlike(f"^(?:{NAME}|{_NAMES})$"))
     parts = F.when(F.col("_name"), F.regexp_extract_all("_match", F.lit(r"\S+\s?"), F.lit(0))).otherwise(F.array("_match"))
     found = found.select("_id", "_h", "_pos", "_name", F.posexplode(parts).alias("_sub", "_mention"))
     m, word = F.col("_mention"), F.regexp_replace("_mention", r"\s", "")

@@ -49,6 +49,16 @@ def test_forms_and_coreference(spark):
     assert regex.fullmatch(r"10\.\d+\.\d+\.\d+ and 192\.168\.\d+\.\d+, \d{3}-\d{2}-\d{4}", e) and "10.1.2.3" not in e
 
 
+def test_several_given_names(spark):
+    people = ["Anna Maria Keller", "John Paul Smith", "Dr. Anna Maria Keller", "ANNA MARIA KELLER", "Иван Сергей Петров", "Mr Karl Peter Keller", "Anna Maria Sofia Julia Laura Clara Elena Keller", "Anna Maria"]
+    out = replaced(spark, [f"Then {p} came, and James sat." for p in people])
+    for before, after in zip(people, out):
+        m = regex.fullmatch(r"Then (.+) came, and James sat\.", after)
+        old, new = before.split(), m[1].split()
+        assert len(old) == len(new) and [a == b for a, b in zip(old, new)] == [a in ("Dr.", "Mr") for a in old]
+    assert out[0].split()[3] == out[2].split()[4] == out[5].split()[4] == out[6].split()[8] == out[3].split()[3].capitalize()
+
+
 def test_same_key_same_draws(spark):
     assert replaced(spark, CASES) == replaced(spark, CASES) != replaced(spark, CASES, "another")
 
