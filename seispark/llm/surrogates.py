@@ -42,6 +42,12 @@ ACCESS_KEY = "(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
 IPV4 = f"(?<![\\d.])(?:{_OCTET}\\.){{3}}{_OCTET}(?!\\d|\\.\\d)"
 PHONE = "(?<![\\w.])(?:\\+\\d{1,3}[ -]?)?(?:\\(\\d{3}\\) ?|\\d{3}[ -])\\d{3}[ -]\\d{4}(?!\\d)"
 ABROAD = "(?<![\\w.])\\+\\d{1,3}(?:[ -]\\d{2,4}){2,5}(?![\\d])"
+#: 8 to 15 digits behind a plus, with or without separators; the last group has two digits or more.
+INTERNATIONAL = "(?<![\\w.])\\+\\d(?:(?:[ ./-]?\\(|\\)[ ./-]?|[ ./-])?\\d){7,14}(?<=\\d\\d)(?!\\d)"
+#: Groups parted by dots, longer groups behind an area code, and pairs.
+DOTTED = "(?<![\\w.])(?:\\+?\\d{1,3}\\.)?(?:\\(\\d{3}\\)[ .]?|\\d{3}\\.)\\d{3}\\.\\d{4}(?!\\d|\\.\\d)"
+AREA = "(?<![\\w.])(?:(?:\\(0\\d{1,5}\\)|\\(\\d{3}\\)(?=[ ./-]?\\d{7}(?!\\d)))[ ./-]?(?:\\d{2,4}(?:[ /-]\\d{2,5}){1,3}|\\d{5,8})|0\\d{2,4}[ /-]\\d{6,8})(?!\\d)"
+PAIRS = "(?<![\\w.])0\\d(?:(?: \\d{2}){4}|(?:\\.\\d{2}){4}|(?:-\\d{2}){4})(?!\\d|[ .-]\\d)"
 SOCIAL = "(?<![\\w-])\\d{3}-\\d{2}-\\d{4}(?![\\w-])"
 CARD = "(?<![\\d.])(?:\\d{13,19}|\\d{4}(?:[ -]\\d{4}){3}|\\d{4}[ -]\\d{6}[ -]\\d{5})(?!\\d)"
 _TITLE = f"(?:{'|'.join(TITLES)})\\.?"
@@ -50,7 +56,7 @@ _MORE = f"(?=\\s(?:{_NAMES})\\s{_WORD})"
 #: A title with one or two names, or a given name with one; single names elsewhere are too often plain words.
 #: A match ends before a further given name with a name behind it, which is the next match: no number of given names is too many.
 NAME = f"(?=\\p{{Lu}})(?<!\\p{{L}})(?:{_TITLE}\\s{_WORD}(?:{_MORE}|(?:\\s{_WORD})?)|(?:{_NAMES})(?:{_MORE}|\\s{_WORD}))(?!\\p{{L}})"
-PATTERN = "|".join([EMAIL, ASSIGNED, ACCESS_KEY, f"(?=[\\d(+])(?:{'|'.join([IPV4, PHONE, ABROAD, SOCIAL, CARD])})", NAME])
+PATTERN = "|".join([EMAIL, ASSIGNED, ACCESS_KEY, f"(?=[\\d(+])(?:{'|'.join([IPV4, PHONE, ABROAD + '(?![ ./-]\\d)', INTERNATIONAL, ABROAD, DOTTED, AREA, PAIRS, SOCIAL, CARD])})", NAME])
 #: What every match but a name holds; texts without it are searched for names alone.
 SIGN = "[0-9@]|AKIA"
 #: Words of a name at most.

@@ -59,6 +59,28 @@ def test_several_given_names(spark):
     assert out[0].split()[3] == out[2].split()[4] == out[5].split()[4] == out[6].split()[8] == out[3].split()[3].capitalize()
 
 
+PHONES = [
+    "+441632960961", "+14155552671", "+49 30 1234567", "(030) 1234567", "555.123.4567", "+49 30 12 34567", "+1 (415) 5552671", "(415) 5552671", "+49 (0)30 1234567",
+    "+49-30-1234567", "+1.415.555.2671", "1.555.123.4567", "(555) 123.4567", "+49 30/1234567", "+33123456789", "030/1234567", "01.23.45.67.89", "01 23 45 67 89",
+    "(030) 123 45 67", "+44 20 7946 0958", "+1 (578) 555-6437", "578-555-6437", "+49 1234 1234 1234 1234", "+86 13812345678", "+12345678",
+]
+
+
+def test_forms_of_phone_numbers(spark):
+    out = replaced(spark, [f"Call {p}, or not." for p in PHONES] + [f"{p}" for p in PHONES])
+    for before, after in zip(PHONES * 2, out):
+        after = after.removeprefix("Call ").removesuffix(", or not.")
+        assert regex.sub(r"\d", "9", after) == regex.sub(r"\d", "9", before)  # same shape, nothing beside it
+        old, new = regex.sub(r"\D", "", before), regex.sub(r"\D", "", after)
+        assert old[:-10] == new[:-10] and old[-10:] != new[-10:]
+        assert sum(a != b for a, b in zip(old[-10:], new[-10:])) >= 4  # digits in the last group too, not of a part alone
+
+
+def test_other_numbers_stay(spark):
+    texts = ["a+b is 1+2345 or +1234567 or +12345678901234567", "from 1.2.3.4.5 or 2.555.123.4567.8", "in (2010) 123 and (1999) 1234567, pages 30-45", "on 2024-01-02 or 02.03.2024 at 10:30", "x0123 456789 no", "3.1415926535 and 100 000 000", "1234567 12345678"]
+    assert replaced(spark, texts) == texts
+
+
 def test_same_key_same_draws(spark):
     assert replaced(spark, CASES) == replaced(spark, CASES) != replaced(spark, CASES, "another")
 
