@@ -219,8 +219,8 @@ def overlaps(index, slot, hashes):
     return found
 
 
-def search(docs, index, least, overlap):
-    """(_id, _h, item_id, score, question_overlap, answer_overlap) of verified hits in (_id, _h, _text)."""
+def search(docs, index, names, least, overlap):
+    """(_id, _h, item_id, score, question_overlap, answer_overlap) of verified hits in (_id, _h, _text); ``names`` has the id of each item."""
 
     def in_text(hashes, row):
         for (r, item), met in candidates(index, hashes, row, least).items():
@@ -230,7 +230,7 @@ def search(docs, index, least, overlap):
                 reach = index.checks[slot][1]  # the item goes on beside the piece
                 question, answer = overlaps(index, slot, hashes[max(lo, first - reach) : min(hi, last + reach)])
                 if question >= overlap and answer >= overlap:
-                    yield r, item, score, question, answer
+                    yield r, names[item], score, question, answer
                     break
 
     def work(batches):
@@ -268,10 +268,12 @@ def find_leaks(docs, items, least=LEAST_SCORE, overlap=LEAST_OVERLAP, part=PART,
 
     The index is cut into parts of about ``part`` pieces (an item's pieces are in one); one part at a time is sent to the tasks, so its
     size is bounded whatever the number of items and their length, and no document is ever grouped. Null and empty texts have
-    no hits, items without words or id are none; of items with one id the least text counts; equal rows hit alike.
+    no hits, items without words are none; each text of an id is an item, also if the id is null, and gives its own row; equal rows hit alike.
     """
     spark = docs.sparkSession
-    texts, terms = item_terms(items, item_col, text_col)
+    name, text = F.col(item_col).cast("long"), F.col(text_col).cast("string")
+    items = items.select(F.xxhash64(name, text).alias("_key"), name.alias("_name"), text.alias("_text"))
+    texts, terms = item_terms(items, "_key", "_text")
     weights = materialise(impacts(materialise(terms, "item-terms")), "impacts")
     parts = max(1, -(-weights.select("item", "piece").distinct().count() // part))
     rows = docs.select(*row_key(id_col, text_col))
@@ -283,7 +285,8 @@ def find_leaks(docs, items, least=LEAST_SCORE, overlap=LEAST_OVERLAP, part=PART,
         own = {r["_item"]: r["_text"] for r in texts.where(mine("_item")).collect()}
         postings = weights.where(mine("item")).toPandas()
         own = {i: own[i] for i in postings["item"].unique().tolist()}
-        hits = search(rows, Index(postings, own), least, overlap)
+        names = {r["_key"]: r["_name"] for r in items.where(mine("_key")).distinct().select("_key", "_name").collect()}
+        hits = search(rows, Index(postings, own), names, least, overlap)
         found = hits if found is None else materialise(found, "hits").unionByName(hits)
     return found
 

@@ -135,6 +135,18 @@ def test_shuffled_copy_before_a_verbatim_one(spark):
     assert sorted((r["_id"], r["item_id"]) for r in found) == sorted((d + k, k) for d in (0, 100, 300) for k in range(len(items)))
 
 
+def test_items_with_one_id_and_without(spark):
+    texts = [" ".join(f"t{k}w{j}" for j in range(20)) for k in range(5)]
+    items = [(1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[3]), (2, texts[4]), (2, texts[4])]
+    rows = [(k, f"before {t} after") for k, t in enumerate(texts)] + [(9, "none of them")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame(items, "item_id long, text string")
+    for part in (2, 4000):
+        found = decontaminate.find_leaks(docs, items, part=part).collect()
+        assert sorted((r["_id"], r["item_id"]) for r in found) == [(0, 1), (1, 1), (2, None), (3, None), (4, 2)]
+    assert [r["doc_id"] for r in decontaminate.without_leaks(docs, items).collect()] == [9]
+
+
 def test_pieces_hold_every_run_once():
     sizes = np.array([0, 1, 4, 5, 64, 65, 124, 125, 1999])
     item, piece, first, last = decontaminate.pieces(sizes)
