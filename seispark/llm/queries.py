@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from seispark.llm import decontaminate, language, licenses, line_dedup, packing, quality, sharding, simhash, surrogates, topk
+from seispark.llm import concat, decontaminate, language, licenses, line_dedup, packing, quality, sharding, simhash, surrogates, topk
 from seispark.llm.text import NULL_ID
 
 QUERIES = {}
@@ -147,3 +147,11 @@ def op10(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = surrogates.replace_personal_data(docs, KEY)
     return found.select("_row.doc_id", F.col("replaced").alias("text"), "n_entities")
+
+
+@query("op13_concatenate_and_cut")
+def op13(spark, folder):
+    import public_tokenizers
+
+    found = concat.pack(table(spark, folder, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
