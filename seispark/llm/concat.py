@@ -23,18 +23,19 @@ def tokenised(docs, config, end, id_col="doc_id", text_col="text"):
         encode = encoder(config).encode
         narrow = max(encoder(config).tokenizer.get_vocab_size(), end + 1) <= 1 << 16
         for batch in batches:
-            ids, sizes = encode(batch.column(1))
-            ends = np.cumsum(sizes + 1)
-            marked = np.insert(ids, np.cumsum(sizes), end).astype("<u2" if narrow else "<u4")
-            width = marked.itemsize
-            offsets = np.concatenate([[0], ends]) * width
-            found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(marked)])
-            first = before + ends - sizes - 1
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.full(len(sizes), part, np.int32)), pa.array(first), pa.array(sizes + 1), pa.array(np.full(len(sizes), width, np.int32)), found.cast(pa.binary())],
-                ["doc_id", "part", "before", "doc_tokens", "width", "ids"],
-            )
-            before += int(ends[-1]) if len(ends) else 0
+            for lo, hi, ids, sizes in encode(batch.column(1)):
+                ends = np.cumsum(sizes + 1)
+                marked = np.full(int(ends[-1]), end, "<u2" if narrow else "<u4")
+                own = np.ones(len(marked), bool)
+                own[ends - 1] = False
+                marked[own] = ids
+                offsets = np.concatenate([[0], ends]) * marked.itemsize
+                found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), hi - lo, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(marked)])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[lo:hi], *[pa.array(x) for x in (np.full(hi - lo, part, np.int32), before + ends - sizes - 1, sizes + 1, np.full(hi - lo, marked.itemsize, np.int32))], found.cast(pa.binary())],
+                    ["doc_id", "part", "before", "doc_tokens", "width", "ids"],
+                )
+                before += int(ends[-1])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(work, "doc_id long, part int, before long, doc_tokens long, width int, ids binary")
