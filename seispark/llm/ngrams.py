@@ -32,13 +32,21 @@ def groups(offsets, limit=PIECE):
         lo = hi
 
 
-def cuts(data, lo, hi, limit=PIECE):
-    """Ends of the pieces of one long text: behind a blank where there is one in the piece's second half."""
+def cuts(data, lo, hi, limit=PIECE, classes=None):
+    """Ends of the pieces of one long text: behind the last byte of class 0 in a piece, or behind the first one after it, so that no token is cut."""
+    blank = (CLASSES if classes is None else classes) == 0
     ends = []
     while hi - lo > limit:
-        blank = np.flatnonzero(data[lo + limit // 2 : lo + limit] == 32)
-        lo = lo + limit // 2 + int(blank[-1]) + 1 if len(blank) else lo + limit
-        ends.append(lo)
+        found = np.flatnonzero(blank[data[lo : lo + limit]])
+        at = lo + limit
+        if len(found):
+            lo += int(found[-1]) + 1
+        else:
+            while at < hi and not len(found := np.flatnonzero(blank[data[at : min(at + limit, hi)]])):
+                at += limit
+            lo = at + int(found[0]) + 1 if at < hi else hi
+        if lo < hi:
+            ends.append(lo)
     return [*ends, hi]
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from seispark.llm import concat, decontaminate, language, licenses, line_dedup, packing, quality, sharding, simhash, surrogates, topk
+from seispark.llm import concat, decontaminate, language, licenses, line_dedup, packing, quality, ranked, sharding, simhash, surrogates, topk
 from seispark.llm.text import NULL_ID
 
 QUERIES = {}
@@ -149,6 +149,26 @@ def op10(spark, folder):
     return found.select("_row.doc_id", F.col("replaced").alias("text"), "n_entities")
 
 
+RANKED = """
+with words as (select doc_id, row_number() over () as r, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as t from documents),
+docs as (select doc_id, r, len(t) as n from words where len(t) > 0),
+stats as (select count(*) as nn, cast(sum(n) as bigint) as ll from docs),
+queries as (select item_id, term, count(*) as qtf from (select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term from benchmark) group by all),
+tfs as (select r, term, count(*) as tf from (select r, unnest(t) as term from words) where term in (select term from queries) group by all),
+dfs as (select term, cast(floor(1000 * ln((2.0e0 * nn + 2) / (2 * count(*) + 1))) as bigint) as w from tfs, stats group by term, nn),
+scored as (select item_id, r, cast(sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nn) // ll)))) as bigint) as score
+  from queries join dfs using (term) join tfs using (term) join docs using (r), stats group by item_id, r)
+select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id, r) as integer) as rank, doc_id, score
+from scored join docs using (r) where score > 0 qualify rank <= 10"""
+
+
+@query("op12_hybrid_ranked_search", RANKED)
+def op12(spark, folder):
+    return ranked.top_documents(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
+
+
 @query("op13_concatenate_and_cut")
 def op13(spark, folder):
     import public_tokenizers
