@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from seispark.llm import concat, decontaminate, language, licenses, line_dedup, packing, quality, ranked, sharding, simhash, surrogates, topk
+from seispark.llm import concat, decontaminate, language, licenses, line_dedup, packing, quality, ranked, repair, sharding, simhash, surrogates, topk
 from seispark.llm.text import NULL_ID
 
 QUERIES = {}
@@ -149,6 +149,63 @@ def op10(spark, folder):
     return found.select("_row.doc_id", F.col("replaced").alias("text"), "n_entities")
 
 
+def damaged(rows):
+    """Conversations with faults put in by the hash of conversation and turn; a null is one space."""
+    ident, turn = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn"))
+    own = rows.select("conv_id", "turn", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")).alias(c) for c in ("role", "text")], (F.crc32(F.concat(ident, F.lit(":"), turn).cast("binary")) % 20).alias("fault")).where("fault <> 0")
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    copies = F.explode(F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return own.select("conv_id", "turn", F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+REPAIR = """
+with recursive bits as materialized (select list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+  lambda c, k: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end)) as t),
+hashed as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, xor(4294967295, list_reduce(list_prepend(4294967295,
+  list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda x: ascii(x)::bigint)),
+  lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) % 20 as fault from conversations, bits),
+damaged as (select conv_id, turn, case when fault = 4 then 'user' else role end as role,
+  case when fault = 1 then '' when fault = 2 then translate(text, '.!?', '') else text end as text
+  from hashed, lateral (select unnest(range(case when fault = 3 then 2 else 1 end))) c where fault <> 0),
+ordered as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i,
+  rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as bare from damaged),
+faulty as (select *, left(role, 1) as initial, bare = '' as is_blank, bare <> '' and row_number() over (partition by conv_id, role, text order by i) > 1 as is_copy,
+  bare <> '' and right(bare, 1) not in ('.', '!', '?') as is_cut from ordered),
+counted as (select conv_id, max(turn) - min(turn) + 1 - count(distinct turn) as gaps, count(*) filter (is_blank) as blank, count(*) filter (is_copy) as duplicate,
+  count(*) filter (is_cut and not is_copy) as truncated, count(*) as n from faulty group by conv_id),
+pairs as (select conv_id, count(*) filter (p is not null and p || initial not in ('su', 'ua', 'au')) as illegal
+  from (select *, lag(initial) over (partition by conv_id order by i) as p from faulty) group by conv_id),
+inserts(q, q2, times) as (values (0, 0, 0), (1, 1, 0), (2, 2, 0), (3, 3, 0), (0, 2, 1), (1, 2, 1), (2, 3, 1), (3, 2, 1), (0, 3, 2), (1, 3, 2), (2, 2, 2), (3, 3, 2)),
+added as (select q, q2, times, case times when 0 then '' when 1 then case q2 when 2 then 'user:' || chr(10) else 'assistant:' || chr(10) end
+  else case q2 when 2 then 'assistant:' || chr(10) || 'user:' || chr(10) else 'user:' || chr(10) || 'assistant:' || chr(10) end end as lines from inserts),
+moves as (select f.conv_id, f.i, q2 as before, e.letter, e.cost + case when e.letter <> 'D' and is_cut then 1 else 0 end as cost,
+  case e.letter when 'D' then q2 when 'R' then case when q2 = 2 then 3 else 2 end else case initial when 's' then 1 when 'u' then 2 else 3 end end as after,
+  case e.letter when 'D' then '' when 'R' then case when q2 = 2 then 'assistant:' else 'user:' end || text || chr(10) else role || ':' || text || chr(10) end as line
+  from faulty f, (values ('K', 0), ('R', 2), ('D', 3)) e(letter, cost), (values (0), (1), (2), (3)) s(q2)
+  where e.letter = 'D' or not (is_blank or is_copy) and (e.letter = 'R' or initial = 's' and q2 = 0 or initial = 'u' and q2 in (0, 1, 3) or initial = 'a' and q2 = 2)),
+ways as (select conv_id, 0::bigint as i, 0 as q, {'cost': 0, 'audit': '', 'lines': ''} as best from counted
+  union all
+  select w.conv_id, m.i, m.after, min({'cost': w.best.cost + 2 * a.times + m.cost, 'audit': w.best.audit || repeat('I', a.times) || m.letter, 'lines': w.best.lines || a.lines || m.line})
+  from ways w join added a on a.q = w.q join moves m on m.conv_id is not distinct from w.conv_id and m.i = w.i + 1 and m.before = a.q2 group by w.conv_id, m.i, m.after),
+goals as (select w.conv_id, min({'cost': w.best.cost + 2 * a.times, 'audit': w.best.audit || repeat('I', a.times), 'lines': w.best.lines || a.lines}) as best
+  from ways w join counted c on c.conv_id is not distinct from w.conv_id and c.n = w.i join added a on a.q = w.q and a.q2 in (0, 3) group by w.conv_id)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+  coalesce(illegal, 0) as illegal, coalesce(best.cost, 0)::bigint as cost, coalesce(best.audit, '') as audit, sha256(coalesce(best.lines[:-2], '')) as repaired_sha256
+from (select distinct conv_id from conversations) o left join counted c on c.conv_id is not distinct from o.conv_id
+left join pairs p on p.conv_id is not distinct from o.conv_id left join goals g on g.conv_id is not distinct from o.conv_id"""
+
+
+@query("op11_structure_repair", REPAIR)
+def op11(spark, folder):
+    rows = table(spark, folder, "conversations")
+    found = repair.Repair(damaged(rows))
+    every = rows.select(F.coalesce(F.col("conv_id").cast("long"), F.lit(NULL_ID)).alias("_conv")).distinct()
+    both = every.join(found.summary(), "_conv", "left").join(found.digests(), "_conv", "left")
+    numbers = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    hashed = F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256")
+    return both.select(own_id("_conv").alias("conv_id"), *numbers, F.coalesce("audit", F.lit("")).alias("audit"), hashed)
+
+
 RANKED = """
 with words as (select doc_id, row_number() over () as r, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
   '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as t from documents),
