@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from seispark.llm.ngrams import CLASSES, PIECE, buffers, cuts, groups, tokens
+from seispark.llm.ngrams import CLASSES, buffers, groups, token_hashes, tokens
 from seispark.llm.text import row_key
 from seispark.session import materialise
 
@@ -239,17 +239,7 @@ def search(docs, index, names, least, overlap):
             data, offsets = buffers(texts)
             rows = []
             for lo, hi in groups(offsets):
-                start, end = int(offsets[lo]), int(offsets[hi])
-                if end - start <= PIECE:
-                    rows += [(lo + r, *rest) for r, *rest in in_text(*tokens(data, offsets[lo : hi + 1], WORDS_ONLY))]
-                    continue
-                # a longer text: its words are hashed piece by piece, passages run over all of them
-                hashes = []
-                for cut in cuts(data, start, end):
-                    hashes.append(tokens(data, np.array([start, cut]), WORDS_ONLY)[0])
-                    start = cut
-                hashes = np.concatenate(hashes)
-                rows += [(lo, *rest) for _, *rest in in_text(hashes, np.zeros(len(hashes), np.int64))]
+                rows += [(lo + r, *rest) for r, *rest in in_text(*token_hashes(data, offsets[lo : hi + 1], WORDS_ONLY))]
             at = pa.array([r[0] for r in rows], pa.int64())
             columns = [batch.column(0).take(at), batch.column(1).take(at), *[pa.array([r[k] for r in rows], t) for k, t in ((1, pa.int64()), (2, pa.float64()), (3, pa.float64()), (4, pa.float64()))]]
             yield pa.RecordBatch.from_arrays(columns, ["_id", "_h", "item_id", "score", "question_overlap", "answer_overlap"])

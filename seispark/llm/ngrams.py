@@ -23,18 +23,18 @@ def buffers(array):
     return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), offsets
 
 
-def groups(offsets, limit=PIECE):
+def groups(offsets, limit=None):
     """Row ranges (lo, hi) of at most ``limit`` bytes, or of one longer row."""
-    lo, n = 0, len(offsets) - 1
+    lo, n, limit = 0, len(offsets) - 1, limit or PIECE
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
         yield lo, min(hi, n)
         lo = hi
 
 
-def cuts(data, lo, hi, limit=PIECE, classes=None):
+def cuts(data, lo, hi, limit=None, *, classes=None):
     """Ends of the pieces of one long text: behind the last byte of class 0 in a piece, or behind the first one after it, so that no token is cut."""
-    blank = (CLASSES if classes is None else classes) == 0
+    blank, limit = (CLASSES if classes is None else classes) == 0, limit or PIECE
     ends = []
     while hi - lo > limit:
         found = np.flatnonzero(blank[data[lo : lo + limit]])
@@ -96,9 +96,22 @@ def mix(hashes, bits):
     return ((h * _MIX) >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def token_hashes(data, offsets, classes=CLASSES):
+    """``tokens`` of some texts, or of one text longer than a piece, whose tokens are hashed piece by piece."""
+    start, end = int(offsets[0]), int(offsets[-1])
+    if len(offsets) != 2 or end - start <= PIECE:
+        return tokens(data, offsets, classes)
+    hashes = []
+    for cut in cuts(data, start, end, classes=classes):
+        hashes.append(tokens(data, np.array([start, cut]), classes)[0])
+        start = cut
+    hashes = np.concatenate(hashes)
+    return hashes, np.zeros(len(hashes), np.int64)
+
+
 def _indicators(data, offsets, bits):
     """Distinct keys row << bits | bucket of words, signs and pairs of them."""
-    h, row = tokens(data, offsets)
+    h, row = token_hashes(data, offsets)
     if not len(h):
         return np.zeros(0, np.int64)
     again = np.zeros(len(h), bool)
@@ -114,19 +127,12 @@ def _indicators(data, offsets, bits):
 def indicators(array, bits):
     """For each group of rows: (lo, hi, row in group, bucket), each pair once and in order.
 
-    A bucket stands for a word, a run of signs or two of them that follow each other. A text longer
-    than a piece is read piece by piece; only a pair across a cut is not seen.
+    A bucket stands for a word, a run of signs or two of them that follow each other. The words of a text longer
+    than a piece are hashed piece by piece, cut where no word runs; marks and pairs go over all of them.
     """
     data, offsets = buffers(array)
     for lo, hi in groups(offsets):
-        if offsets[hi] - offsets[lo] > PIECE:
-            found, start = [], int(offsets[lo])
-            for end in cuts(data, start, int(offsets[hi])):
-                found.append(_indicators(data, np.array([start, end]), bits))
-                start = end
-            keys = np.unique(np.concatenate(found))
-        else:
-            keys = _indicators(data, offsets[lo : hi + 1], bits)
+        keys = _indicators(data, offsets[lo : hi + 1], bits)
         yield lo, hi, keys >> bits, keys & ((1 << bits) - 1)
 
 

@@ -87,11 +87,11 @@ def op9(spark, folder):
 
 
 NEAREST = """
-with whole as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+with whole as (select vec_id, row_number() over () as r, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
   where len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
-scored as (select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score
-  from whole q join whole c on c.vec_id <> q.vec_id and len(c.v) = len(q.v) where q.vec_id % 50 = 0),
-ranked as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored)
+scored as (select q.r as own, q.vec_id as query_id, c.vec_id, c.r, cast(list_dot_product(q.v, c.v) as bigint) as score
+  from whole q join whole c on c.r <> q.r and len(c.v) = len(q.v) where q.vec_id % 50 = 0),
+ranked as (select *, cast(row_number() over (partition by own order by score desc, vec_id, r) as integer) as rank from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 5"""
 
 

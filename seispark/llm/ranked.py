@@ -6,7 +6,7 @@ from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from seispark.llm.ngrams import PIECE, buffers, cuts, groups, mix, tokens
+from seispark.llm.ngrams import buffers, groups, mix, token_hashes
 from seispark.session import materialise
 
 #: Documents and postings of a block, at most about; items that search a block together.
@@ -28,15 +28,7 @@ def terms_of(array):
     data, offsets = buffers(array)
     for lo, hi in groups(offsets):
         start, end = int(offsets[lo]), int(offsets[hi])
-        if end - start <= PIECE:
-            yield lo, hi, *tokens(LOWER[data[start:end]], offsets[lo : hi + 1] - start, TERM)
-            continue
-        found = []
-        for cut in cuts(data, start, end, classes=TERM):
-            found.append(tokens(LOWER[data[start:cut]], np.array([0, cut - start]), TERM)[0])
-            start = cut
-        hashes = np.concatenate(found)
-        yield lo, hi, hashes, np.zeros(len(hashes), np.int64)
+        yield lo, hi, *token_hashes(LOWER[data[start:end]], offsets[lo : hi + 1] - start, TERM)
 
 
 def frequencies(hashes, row):

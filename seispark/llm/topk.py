@@ -49,12 +49,12 @@ def threshold_search(query, vectors, ids, lists, k, first=16):
 
 
 def whole_vectors(table, id_col, vector_col, scale):
-    """(_id, _v, _d): vectors turned into floor(scale * x); rows that take no part are left out."""
+    """(_r, _id, _v, _d): vectors turned into floor(scale * x), rows numbered; those that take no part are left out."""
     finite = F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = table.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & F.coalesce(finite, F.lit(False)))
     whole = F.transform(vector_col, lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("long"))
-    one = rows.select(F.col(id_col).cast("long").alias("_id"), whole.alias("_v")).groupBy("_id").agg(F.min("_v").alias("_v"))
-    return one.select("_id", "_v", F.size("_v").alias("_d"))
+    rows = rows.select(F.monotonically_increasing_id().alias("_r"), F.col(id_col).cast("long").alias("_id"), whole.alias("_v"))
+    return rows.withColumn("_d", F.size("_v"))
 
 
 def top_k(table, is_query, k=5, scale=256, id_col="vec_id", vector_col="embedding", block=16_384, together=2_048):
@@ -62,8 +62,8 @@ def top_k(table, is_query, k=5, scale=256, id_col="vec_id", vector_col="embeddin
 
     Queries are the rows for which ``is_query`` holds; candidates all other rows with as many
     components. Vectors that are null or hold a null or non-finite component take no part, nor do
-    null ids; rows with one id count once, with their least vector. Ties go to the smaller id; a
-    query without candidates gives no row.
+    null ids. Rows that share an id, or are equal, are rows of their own: each is a candidate of the others, and each query row
+    has its own ranks. Ties go to the smaller id; a query without candidates gives no row.
 
     Candidates are dealt into blocks of about ``block`` vectors and queries into groups of about
     ``together``; each group meets each block once, where the threshold algorithm runs over the
@@ -79,7 +79,7 @@ def top_k(table, is_query, k=5, scale=256, id_col="vec_id", vector_col="embeddin
 
     def dealt(rows, own, count, other, others):
         every = F.explode(F.sequence(F.lit(0), F.lit(others - 1)))
-        return rows.withColumn(own, F.pmod(F.xxhash64("_id"), F.lit(count)).cast("int")).withColumn(other, every)
+        return rows.withColumn(own, F.pmod(F.xxhash64("_r"), F.lit(count)).cast("int")).withColumn(other, every)
 
     candidates = dealt(whole, "_b", blocks, "_p", parts)
     queries = dealt(asked, "_p", parts, "_b", blocks)
@@ -87,15 +87,17 @@ def top_k(table, is_query, k=5, scale=256, id_col="vec_id", vector_col="embeddin
     def search(left, right):
         rows = []
         if len(left) and len(right):
-            ids, vectors = left["_id"].to_numpy(np.int64), np.stack(left["_v"].to_numpy()).astype(np.int64)
-            lists = sorted_lists(vectors)
-            for own, query in zip(right["_id"], right["_v"]):
-                score, best = threshold_search(np.asarray(query, np.int64), vectors, ids, lists, k + 1)
-                other = best != own
-                rows += [(own, i, s) for s, i in zip(score[other][:k].tolist(), best[other].tolist())]
-        return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
+            left = left.sort_values(["_id", "_r"])  # places in this order settle ties
+            ids, numbers, vectors = left["_id"].to_numpy(np.int64), left["_r"].to_numpy(np.int64), np.stack(left["_v"].to_numpy()).astype(np.int64)
+            lists, places = sorted_lists(vectors), np.arange(len(left))
+            for own, name, query in zip(right["_r"], right["_id"], right["_v"]):
+                score, best = threshold_search(np.asarray(query, np.int64), vectors, places, lists, k + 1)
+                other = numbers[best] != own
+                score, best = score[other][:k], best[other][:k]
+                rows += [(own, name, i, r, s) for s, i, r in zip(score.tolist(), ids[best].tolist(), numbers[best].tolist())]
+        return pd.DataFrame(rows, columns=["_q", "query_id", "vec_id", "_r", "score"]).astype("int64")
 
     keys = ["_d", "_b", "_p"]
-    found = candidates.groupBy(keys).cogroup(queries.groupBy(keys)).applyInPandas(search, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = candidates.groupBy(keys).cogroup(queries.groupBy(keys)).applyInPandas(search, "_q long, query_id long, vec_id long, _r long, score long")
+    rank = F.row_number().over(Window.partitionBy("_q").orderBy(F.desc("score"), "vec_id", "_r"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -96,6 +96,17 @@ def test_tokens_and_indicators_do_not_depend_on_neighbours_or_pieces(monkeypatch
     assert [(b.tolist(), n.tolist()) for *_, b, n in ngrams.trigram_counts(pa.array([long_text]), 16)] == counts
 
 
+@pytest.mark.parametrize("text", ["alpha\nbeta\n" * 800, "a-b!c?" * 900, "one two  two\tthree!! " * 300, "é" * 5000 + " end", "x x " * 1000])
+def test_indicators_of_long_texts_do_not_depend_on_the_piece(monkeypatch, text):
+    def found():
+        return {tuple(b) for *_, b in ngrams.indicators(pa.array(["before", text, None, "after"]).slice(1, 1), 18)}
+
+    whole = found()
+    for size in (16, 100, 1 << 10):
+        monkeypatch.setattr(ngrams, "PIECE", size)
+        assert found() == whole
+
+
 def test_language_on_held_out_rows(spark, middle):
     rows = QUERIES["op9_language_mixture"](spark, middle).collect()
     langs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{middle}/documents.parquet").collect()}

@@ -181,3 +181,27 @@ def test_bounds_hold_for_a_frame_without_rows():
     index = decontaminate.Index(pd.DataFrame({"item": [], "term": [], "impact": []}), {})
     none = np.zeros(0, np.int64)
     assert index.retrieve(none, none, 3, 0.5) == [] and index.terms(np.array([5], np.uint64)).tolist() == [-1]
+
+
+@pytest.mark.parametrize("blank", ["\n", " ", "-", "\u3000"])
+def test_leaks_across_every_cut_of_a_long_text(monkeypatch, blank):
+    """Copies of an item over every place where a long text may be cut into pieces."""
+    monkeypatch.setattr(ngrams, "PIECE", 512)
+    item = blank.join(f"leak{k}" for k in range(10))
+    filler = blank.join(f"f{k}" for k in range(7))
+    texts = [filler * 40 + blank + "x" * k + blank + item + blank + filler * 60 for k in range(0, 130, 3)]
+    words = decontaminate.WORDS_ONLY
+    for text in texts:
+        data, offsets = ngrams.buffers(pa.array([text]))
+        got, _ = ngrams.token_hashes(data, offsets, words)
+        assert got.tolist() == ngrams.tokens(data, offsets, words)[0].tolist()
+
+
+def test_leaks_in_a_text_of_lines_over_a_mebibyte(spark):
+    item = "\n".join(f"leak{k}word" for k in range(10))
+    filler = "\n".join(f"filler{k}" for k in range(40))
+    half = filler + ("\n" + filler) * ((1 << 19) // len(filler))
+    near = [half[: (1 << 19) - 60 + 7 * k].rsplit("\n", 1)[0] for k in range(8)]
+    rows = [(k, f"{a}\n{half[: 1 << 19]}\n{item}\n{half}") for k, a in enumerate(near)]
+    found = decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted(r["_id"] for r in found.collect()) == list(range(8))

@@ -78,14 +78,11 @@ def test_terms_of_long_texts(monkeypatch, sep):
     import pyarrow as pa
 
     monkeypatch.setattr(ngrams, "PIECE", 64)
-    monkeypatch.setattr(ranked, "PIECE", 64)
-    monkeypatch.setattr(ngrams.groups, "__defaults__", (64,))
-    monkeypatch.setattr(ngrams.cuts, "__defaults__", (64, None))
     texts = [sep.join(f"Word{k}é" for k in range(60)), "x" * 300 + sep + "end", None, "short" + sep + "text"]
     got = {}
     for lo, _, hashes, row in ranked.terms_of(pa.array(texts)):
         for h, r in zip(hashes.tolist(), row.tolist()):
             got.setdefault(lo + r, []).append(h)
     for r, t in enumerate(texts):
-        one = [ranked.tokens(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w.encode())]), ranked.TERM)[0][0] for w in words(t)]
+        one = [ngrams.tokens(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w.encode())]), ranked.TERM)[0][0] for w in words(t)]
         assert got.get(r, []) == one

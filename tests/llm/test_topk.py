@@ -12,16 +12,15 @@ from seispark.llm import topk
 
 
 def plain(rows, is_query, k=5):
-    whole = {}
+    whole = []
     for i, v in rows:
         if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        w = [math.floor(256 * float(np.float32(x))) for x in v]
-        whole[i] = min(whole.get(i, w), w)
+        whole.append((i, [math.floor(256 * float(np.float32(x))) for x in v]))
     out = []
-    for q, v in whole.items():
+    for at, (q, v) in enumerate(whole):
         if is_query(q):
-            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in whole.items() if i != q and len(w) == len(v))
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for k2, (i, w) in enumerate(whole) if k2 != at and len(w) == len(v))
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 
@@ -31,6 +30,7 @@ def awkward_vectors():
     rows = [(i, rng.normal(size=4).round(2).tolist()) for i in range(70)]
     rows += [(100 + i, [0.5, 0.5, 0.0, -0.5]) for i in range(30)]  # ties
     rows += [(200, None), (201, [1.0, None, 0.0, 0.0]), (202, [float("nan"), 0.0, 0.0, 0.0]), (203, [float("inf"), 0.0, 0.0, 0.0])]
+    rows += [(7, [9.0, 9.0, -9.0, 9.0]), (20, [3.0, 0.0, 1.0, 0.0]), (20, [0.0, 2.0, 2.0, 1.0])]  # ids with several vectors
     rows += [(None, [1.0, 1.0, 1.0, 1.0]), (300, [0.0] * 4), (300, [0.0] * 4), (301, [1.0]), (302, [2.0]), (303, []), (304, []), (310, [1.0, 2.0])]
     return rows
 
@@ -44,6 +44,14 @@ def test_same_as_full_scan(spark, block, together):
     assert sorted(map(tuple, got.collect())) == plain(rows, lambda i: i % 10 == 0)
 
 
+def test_every_row_of_an_id_is_a_candidate(spark):
+    rows = [(50, [1.0, 0.0]), (7, [0.0, 0.0]), (7, [1.0, 1.0]), (8, [0.5, 0.0]), (8, [0.5, 0.0]), (100, [0.25, 0.0]), (100, [2.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(map(tuple, topk.top_k(df, lambda i: i % 50 == 0).collect()))
+    assert (50, 2, 7, 65536) in got and got == plain(rows, lambda i: i % 50 == 0)
+    assert [(q, v) for q, _, v, _ in got].count((100, 100)) == 2
+
+
 def test_no_queries_and_empty_table(spark):
     df = spark.createDataFrame([(1, [1.0]), (2, [2.0])], "vec_id long, embedding array<float>")
     assert topk.top_k(df, lambda i: i > 9).collect() == [] == topk.top_k(df.limit(0), lambda i: i > 0).collect()
