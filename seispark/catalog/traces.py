@@ -333,6 +333,32 @@ def best_shift(spark, folder):
     return correlate.best_shift(tables.pair(spark, folder), 4).select("trace", "lag", rnd("c", 6).alias("c"))
 
 
+#: Chunk of the queries over long traces, so that the grids of their transforms have many rows and columns.
+SHORT = 64
+
+
+@query("envelope_long", over("b_long", hilbert_sql("hb", "b_long") + """select s.trace, s.i, round(sqrt(v*v + h*h), 6) as envelope
+  from b_long s join hb on hb.trace = s.trace and hb.i = s.i"""))
+def envelope_long(spark, folder):
+    return traces.envelope(tables.long_samples(spark, folder, SHORT), size=SHORT).select("trace", "i", rnd("env_v", 6).alias("envelope"))
+
+
+@query("cross_correlation_long", over("b_long_pair", """, c as (select a.trace, cast(a.i - b.i as bigint) as lag, sum(a.d*b.s) as c from b_long_pair a join b_long_pair b on a.trace = b.trace group by 1, 2),
+n as (select trace, 2*count(*) - 1 as m, sqrt(sum(d*d))*sqrt(sum(s*s)) as e from b_long_pair group by trace)
+select c.trace, cast(((lag % m) + m) % m as bigint) as position, lag, round(c/e, 9) as c from c join n on n.trace = c.trace"""))
+def cross_correlation_long(spark, folder):
+    pair = tables.long_pair(spark, folder, SHORT)
+    energy = traces.trace_stats(pair).select("trace", (F.sqrt("dd") * F.sqrt("ss")).alias("e"))
+    return correlate.cross_correlation(pair, size=SHORT).join(energy, "trace").select("trace", "position", "lag", rnd(F.col("c") / F.col("e"), 9).alias("c"))
+
+
+@query("best_shift_long", over("b_long_pair", """, c as (select a.trace, cast(a.i - b.i as bigint) as lag, sum(a.s*b.d) as c from b_long_pair a join b_long_pair b on a.trace = b.trace
+  and a.i - b.i between -90 and 90 group by 1, 2)
+select trace, lag, round(c, 4) as c from c qualify row_number() over (partition by trace order by c desc, lag) = 1"""))
+def best_shift_long(spark, folder):
+    return correlate.best_shift(tables.long_pair(spark, folder, SHORT), 90, SHORT).select("trace", "lag", rnd("c", 4).alias("c"))
+
+
 @query("gaussian_window", over("b_samples", "select trace, i, round(power(pi()*64.0e0, -0.25e0)*exp(-0.5e0*(i-30)*(i-30)/64.0e0), 12) as w from b_samples"))
 def gaussian_window(spark, folder):
     w = sampled.gaussian_window(F.col("i") - 30, 8.0)

@@ -5,6 +5,8 @@ VIEWS = {
   value as v from events""",
     "b_pair": """select trace, i, v as d, avg(v) over (partition by trace order by i rows between 1 preceding and 1 following) as s
   from b_samples""",
+    "b_long": """select user_id % 10 as trace, row_number() over (partition by user_id % 10 order by user_id, ts, event_id) - 1 as i, value as v from events""",
+    "b_long_pair": """select trace, i, v as d, avg(v) over (partition by trace order by i rows between 1 preceding and 1 following) as s from b_long""",
     "b_stations": """select s_nationkey as event, s_suppkey as station, cast((s_suppkey*37)%179-89 as double) as lat,
   cast((s_suppkey*71)%359-179 as double) as lon from supplier""",
     "b_sources": """select n_nationkey as event, cast((n_nationkey*53)%121-60 as double) as lat,
@@ -27,7 +29,7 @@ VIEWS = {
     "b_grad": """select event, batch, cast(pos%4 as int) as param, cast(floor(pos/4) as int) as point, cast(e as double) as g
   from (select vec_id as event, label as batch, unnest(range(len(embedding))) as pos, unnest(embedding) as e from embeddings)""",
 }
-NEEDS = {"b_pair": ["b_samples"]}
+NEEDS = {"b_pair": ["b_samples"], "b_long_pair": ["b_long"]}
 
 
 def over(views, body, recursive=False):

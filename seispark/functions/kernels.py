@@ -121,19 +121,13 @@ class BlockFilter:
         return state
 
 
-def hilbert_part(x, lo, target_lo, target_n, n):
-    """What the samples x (from index lo) add to the Hilbert transform of a trace of n samples at the target indices."""
-    x = np.asarray(x, float)
-    lag = np.arange(target_lo - lo - len(x) + 1, target_lo + target_n - lo)
+def hilbert_kernel(lag, n):
+    """Weights by which the samples of a trace of n samples at a distance add to its Hilbert transform."""
+    angle = np.pi * lag / n
     with np.errstate(divide="ignore", invalid="ignore"):
-        angle = np.pi * lag / n
         if n % 2 == 0:
-            kernel = np.where(lag % 2 == 0, 0.0, 2 / n / np.tan(angle))
-        else:
-            kernel = np.where(lag == 0, 0.0, (1 / np.tan(angle) - np.where(lag % 2 == 0, 1.0, -1.0) / np.sin(angle)) / n)
-    size = len(kernel) + len(x) - 1
-    full = np.fft.irfft(np.fft.rfft(kernel, size) * np.fft.rfft(x, size), size)
-    return full[len(x) - 1 : len(x) - 1 + target_n]
+            return np.where(lag % 2 == 0, 0.0, 2 / n / np.tan(angle))
+        return np.where(lag == 0, 0.0, (1 / np.tan(angle) - np.where(lag % 2 == 0, 1.0, -1.0) / np.sin(angle)) / n)
 
 
 def full_correlation(a, b):

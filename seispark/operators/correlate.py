@@ -5,45 +5,37 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seispark.operators.chunks import CHUNK, blocks, by_chunk, owned, with_halo
+from seispark.operators import fourier
+from seispark.operators.chunks import CHUNK, attach, blocks, with_halo
 
 
 def cross_correlation(pair, f="d", g="s", size=CHUNK):
-    """(trace, lag, position, c): c is the sum over m of f[m+lag]*g[m]; position puts lag 0 first.
+    """(trace, lag, position, c): c is the sum over m of f[m+lag]*g[m]; position puts lag 0 first."""
+    return fourier.transform(pair, [f, g], fourier.Correlation(), size).select("trace", "lag", "position", "c")
 
-    Every chunk of f meets every chunk of g of its trace in one call that
-    returns the sums per lag; no pair of samples becomes a row.
+
+def best_shift(pair, most, size=CHUNK):
+    """Lag within +-most samples at which s[m+lag]*d[m] sums to the most; the first one on a tie.
+
+    Every chunk of d meets its chunk of s with a halo of ``most`` samples in one call, which returns its
+    share for each lag; the shares of a trace are summed by lag.
     """
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def by_lag(a: pd.Series, b: pd.Series) -> pd.Series:
+    def shares(d: pd.Series, s: pd.Series, lo: pd.Series, chunk: pd.Series, n: pd.Series) -> pd.Series:
         out = []
-        for x, y in zip(a, b):
-            k = len(x) + len(y) - 1
-            out.append(np.fft.irfft(np.fft.rfft(x, k) * np.fft.rfft(np.asarray(y)[::-1], k), k))
+        for x, y, first, c, count in zip(d, s, lo, chunk, n):
+            start, stop = c * size, min((c + 1) * size, count)
+            wide = np.zeros(stop - start + 2 * most)  # s from start - most, nothing outside the trace
+            at = first - start + most
+            wide[at : at + len(y)] = np.asarray(y)[: len(wide) - at]
+            out.append(np.correlate(wide, np.asarray(x)[start - first : stop - first], "valid"))
         return pd.Series(out)
 
-    packed = blocks(pair, [f, g])
-    ends = pair.groupBy("trace").agg(F.max("i").alias("last"))
-    left = packed.join(ends, "trace").select(
-        "trace", F.col("lo").alias("lo_f"), F.col(f).alias("x"), "last",
-        F.explode(F.expr(f"sequence(0L, last div {size})")).alias("chunk"),
-    )
-    right = packed.select("trace", "chunk", F.col("lo").alias("lo_g"), F.col(g).alias("y"))
-    sums = left.join(right, ["trace", "chunk"]).select(
-        "trace", "lo_f", "lo_g", F.size("y").alias("m"), "last", F.posexplode(by_lag("x", "y")).alias("p", "c")
-    )
-    lag = (F.col("p") - (F.col("m") - 1) + F.col("lo_f") - F.col("lo_g")).cast("bigint")
-    total = sums.groupBy("trace", lag.alias("lag"), "last").agg(F.sum("c").alias("c"))
-    return total.select("trace", "lag", F.expr("cast(pmod(lag, 2 * last + 1) as bigint) as position"), "c")
-
-
-def best_shift(pair, most, size=CHUNK):
-    """Lag within +-most samples at which s[m+lag]*d[m] sums to the most; the first one on a tie."""
-    edged = with_halo(pair.select("trace", "i", "d", "s"), most, most, size)
-    lags = list(range(-most, most + 1))
-    moved = owned(edged.select("trace", "own", "d", *[F.lead("s", k).over(by_chunk()).alias(f"s{k + most}") for k in lags]))
-    sums = moved.groupBy("trace").agg(
-        F.array(*[F.coalesce(F.sum(F.col("d") * F.col(f"s{k + most}")), F.lit(0.0)) for k in lags]).alias("c")
-    )
-    return sums.select("trace", (F.array_position("c", F.array_max("c")).cast("bigint") - 1 - most).alias("lag"), F.array_max("c").alias("c"))
+    lengths = pair.groupBy("trace").agg(F.count("*").alias("_n"))
+    known = attach(pair.select("trace", "chunk", "i", "d", "s"), lengths, "_n", size)
+    edged = with_halo(known, most, most, size).where(f"chunk <= (_n - 1) div {size}")
+    parts = blocks(edged, ["d", "s"], extra=["_n"]).select("trace", F.posexplode(shares("d", "s", "lo", "chunk", "_n")).alias("p", "c"))
+    sums = parts.groupBy("trace", "p").agg(F.sum("c").alias("c"))
+    top = sums.groupBy("trace").agg(F.max(F.struct("c", (-F.col("p")).alias("p"))).alias("top"))
+    return top.select("trace", (-F.col("top.p") - most).cast("bigint").alias("lag"), F.col("top.c").alias("c"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seispark.functions import kernels
+from seispark.operators import fourier
 from seispark.operators.chunks import CHUNK, attach, blocks, by_chunk, index_rows, owned, with_chunk, with_halo
 from seispark.session import materialise
 
@@ -383,29 +384,9 @@ def check_pulse(pulse, per_trace):
 
 
 def hilbert(samples, columns, size=CHUNK):
-    """Adds h_<c>: the Hilbert transform of each column over the whole trace.
-
-    The transform is a sum over source chunks; each pair of chunks meets in one
-    call that returns its share, and the shares are summed.
-    """
-
-    @F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
-    def share(x: pd.Series, lo: pd.Series, target: pd.Series, n: pd.Series) -> pd.Series:
-        out = []
-        for rows, a, b, count in zip(x, lo, target, n):
-            m = min(size, count - b * size)
-            out.append([kernels.hilbert_part(r, a, b * size, m, count).tolist() for r in rows])
-        return pd.Series(out)
-
-    packed = blocks(attach(samples, lengths(samples).withColumnRenamed("n", "_n"), "_n", size), columns, extra=["_n"])
-    met = packed.withColumn("target", F.explode(F.expr(f"sequence(0L, (_n - 1) div {size})")))
-    parts = met.select("trace", "target", share(F.array(*columns), "lo", "target", "_n").alias("y"))
-    zipped = F.arrays_zip(*[F.col("y")[k].alias(f"h_{c}") for k, c in enumerate(columns)])
-    long = parts.withColumn("y", zipped).select("trace", F.col("target").alias("chunk"), F.posexplode("y").alias("p", "h"))
-    summed = long.groupBy("trace", "chunk", (F.col("p") + F.col("chunk") * size).cast("bigint").alias("i")).agg(
-        *[F.sum(F.col("h")[f"h_{c}"]).alias(f"h_{c}") for c in columns]
-    )
-    return samples.join(summed, ["trace", "chunk", "i"])
+    """Adds h_<c>: the Hilbert transform of each column over the whole trace."""
+    found = fourier.transform(samples, columns, fourier.Hilbert(columns), size)
+    return samples.join(with_chunk(found, size), ["trace", "chunk", "i"])
 
 
 def envelope(samples, columns=("v",), size=CHUNK):

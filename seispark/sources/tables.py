@@ -20,6 +20,19 @@ def samples(spark, folder):
     return with_chunk(number_rows(raw, "trace", ["ts", "event_id"], hour).select("trace", "i", "v"))
 
 
+def long_samples(spark, folder, size):
+    """trace, chunk, i, v: ten long traces, the users' traces one behind the other, in chunks of ``size`` samples."""
+    raw = table(spark, folder, "events").selectExpr("user_id % 10 as trace", "user_id", "ts", "event_id", "value as v")
+    return with_chunk(number_rows(raw, "trace", ["ts", "event_id"], F.col("user_id")).select("trace", "i", "v"), size)
+
+
+def long_pair(spark, folder, size):
+    """trace, chunk, i, d, s: a long trace and its three-point mean."""
+    near = by_chunk().rowsBetween(-1, 1)
+    edged = with_halo(long_samples(spark, folder, size), 1, 1, size)
+    return owned(edged.withColumn("s", F.avg("v").over(near))).withColumnRenamed("v", "d")
+
+
 def pair(spark, folder):
     """trace, chunk, i, d, s: observed trace and its three-point mean as synthetic."""
     near = by_chunk().rowsBetween(-1, 1)

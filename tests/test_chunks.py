@@ -149,6 +149,42 @@ def test_envelope_equals_fft(spark, noise):
         np.testing.assert_allclose(got[t], np.abs(np.fft.ifft(np.fft.fft(v) * h)), atol=1e-10)
 
 
+@pytest.mark.parametrize("size", [1, 4, 7, 100, 512])
+def test_transforms_on_every_grid(spark, size):
+    rng = np.random.default_rng(size)
+    both = {t: (rng.normal(size=n), rng.normal(size=n)) for t, n in {1: 1, 2: 2, 3: 31, 4: 64, 5: 257}.items()}
+    pair = chunks.with_chunk(make(spark, both, ("d", "s")).drop("chunk"), size)
+    env = {(r.trace, r.i): (r.env_d, r.env_s) for r in traces.envelope(pair, ["d", "s"], size).collect()}
+    lags = {(r.trace, r.lag): r.c for r in correlate.cross_correlation(pair, size=size).collect()}
+    for t, (d, s) in both.items():
+        n = len(d)
+        full = np.correlate(d, s, "full")
+        np.testing.assert_allclose([lags.pop((t, k)) for k in range(1 - n, n)], full, atol=1e-10)
+        half = np.zeros(n)
+        half[0], half[1 : (n + 1) // 2], half[n // 2 : n // 2 + 1 - n % 2] = 1, 2, 1
+        want = [np.abs(np.fft.ifft(np.fft.fft(x) * half)) for x in (d, s)]
+        np.testing.assert_allclose([env.pop((t, k)) for k in range(n)], np.array(want).T, atol=1e-10)
+    assert not lags and not env
+
+
+def test_no_traces_no_transforms(spark, noise):
+    none = make(spark, noise).where("i < 0")
+    assert traces.envelope(none, size=SIZE).collect() == []
+    assert correlate.best_shift(none.withColumn("d", F.col("v")).withColumn("s", F.col("v")), 3, SIZE).collect() == []
+
+
+@pytest.mark.parametrize("most, size", [(3, 4), (9, 4), (40, 16), (300, 16)])
+def test_best_shift_with_lags_beyond_chunks(spark, most, size):
+    rng = np.random.default_rng(most)
+    both = {t: (rng.normal(size=n), rng.normal(size=n)) for t, n in {1: 1, 2: 5, 3: 70, 4: 131}.items()}
+    got = {r.trace: (r.lag, r.c) for r in correlate.best_shift(chunks.with_chunk(make(spark, both, ("d", "s")).drop("chunk"), size), most, size).collect()}
+    for t, (d, s) in both.items():
+        full = np.zeros(2 * most + 1)
+        for k in range(-most, most + 1):
+            full[k + most] = sum(s[m + k] * d[m] for m in range(len(d)) if 0 <= m + k < len(d))
+        assert got[t][0] == full.argmax() - most and abs(got[t][1] - full.max()) < 1e-10
+
+
 def test_cross_correlation(spark, noise):
     rng = np.random.default_rng(5)
     both = {t: (v, rng.normal(size=len(v))) for t, v in noise.items()}
