@@ -145,11 +145,31 @@ def tf_phase_misfit(spark, folder):
     return m.select("trace", rnd("plain", 7).alias("plain"), "jumps", rnd("misfit", 7).alias("misfit"))
 
 
-@query("tf_phase_adjoint")
+# Every window of a trace is a series of the trace's length, zero outside the window; its key is ten times the trace and the window.
+SERIES = TAPERED + """, sr as (select p.trace*10 + w.win as trace, p.i, coalesce(tp.d, 0) as d, coalesce(tp.s, 0) as s, count(*) over (partition by p.trace, w.win) as n0
+  from b_pair p join w on w.trace = p.trace left join tp on tp.trace = p.trace and tp.win = w.win and tp.i = p.i),
+so as (select * from sr where i < n0 - 1 + n0 % 2)"""
+TF_ADJOINT = SERIES + CORR.format(src="so") + TF_MISFIT[TF_MISFIT.index("\n, mm as") : TF_MISFIT.index("\nselect pl.trace, round(plain")] + f"""
+, sw as (select k.trace, k.i as k, m.i as m, m.s * {G.format(x='m.i - k.i')} as f, max(abs(m.s)) over (partition by k.trace) as top from so k join so m on m.trace = k.trace),
+sk as (select trace, k from sw group by trace, k having max(abs(f)) >= 0.01e0*any_value(top)),
+sf as (select x.trace, x.k, nw.l, sum(f*cos(2*pi()*((m*nw.l) % n)/n))/sqrt(2*pi()) as sr, -sum(f*sin(2*pi()*((m*nw.l) % n)/n))/sqrt(2*pi()) as si
+  from sw x join sk on sk.trace = x.trace and sk.k = x.k join nw on nw.trace = x.trace and nw.k = x.k group by 1, 2, 3),
+kz as (select sf.trace, sf.k, sf.l, n, w*w*phase*sr/(m + sr*sr + si*si) as zr, w*w*phase*si/(m + sr*sr + si*si) as zi
+  from sf join nw on nw.trace = sf.trace and nw.k = sf.k and nw.l = sf.l join mm on mm.trace = sf.trace),
+kk as (select trace, k from (select trace, k, max(sqrt(zr*zr + zi*zi)) as own, max(max(sqrt(zr*zr + zi*zi))) over (partition by trace) as top from kz group by trace, k) where own >= 0.01e0*top),
+back as (select z.trace, cn.i, sum((zr*sin(2*pi()*((l*cn.i) % z.n)/z.n) + zi*cos(2*pi()*((l*cn.i) % z.n)/z.n))/z.n*{G.format(x='cn.i - z.k')})*sqrt(2*pi()) as a
+  from kz z join kk on kk.trace = z.trace and kk.k = z.k join (select trace, unnest(range(n)) as i from cn) cn on cn.trace = z.trace group by 1, 2),
+adj as (select back.trace // 10 as trace, back.trace % 10 as win, i, case when jumps > 7 then 0 else a/(plain + 2.220446049250313e-16) end as a
+  from back join pl on pl.trace = back.trace join ju on ju.trace = back.trace),
+total as (select adj.trace, adj.i, sum(a*tw) as a from adj join tp on tp.trace = adj.trace and tp.win = adj.win and tp.i = adj.i group by 1, 2)
+select p.trace, p.i, round(coalesce(a, 0), 6) + 0.0e0 as a from b_pair p left join total on total.trace = p.trace and total.i = p.i where p.trace in (select trace from w)"""
+
+
+@query("tf_phase_adjoint", over("b_pair", TF_ADJOINT))
 def tf_phase_adjoint(spark, folder):
     p = _pair(spark, folder)
     _, a = misfit.adjoint_sources("tf_phase_misfit", p, two_windows(p), 4.0, 20.0)
-    return a.groupBy("trace").agg(F.count("*").alias("n"), F.max(F.abs("a")).alias("largest"))
+    return a.select("trace", "i", rnd("a", 6).alias("a"))
 
 
 # ---- the whole job --------------------------------------------------------

@@ -148,22 +148,25 @@ def gaussian(y, width):
     return (np.pi * width**2) ** -0.25 * np.exp(-0.5 * y**2 / width**2)
 
 
-def gabor_rows(v, ks, width, dt, top, threshold):
-    """Spectra of v under Gaussian windows at the positions ks; quiet windows give zeros."""
-    v = np.asarray(v)
-    f = gaussian((np.arange(len(v)) - ks[:, None]) * dt, width) * v
+def gabor_rows(v, lo, n, ks, width, dt, top, threshold):
+    """Spectra of n numbers of a series under Gaussian windows at the positions ks; quiet windows give zeros.
+
+    ``v`` are the samples from index ``lo`` that the windows reach; the others count as zeros.
+    """
+    f = np.zeros((len(ks), n))
+    f[:, lo : lo + len(v)] = gaussian((lo + np.arange(len(v)) - ks[:, None]) * dt, width) * v
     spectra = np.fft.fft(f, axis=1) * dt / np.sqrt(2 * np.pi)
     spectra[np.abs(f).max(axis=1) < top * threshold] = 0
     return spectra
 
 
-def correlation_rows(d, s, ks, width, dt, top, threshold):
-    """Spectra of the correlation of windowed s and d, linearly interpolated from 2n-1 to n frequencies."""
-    d, s, n = np.asarray(d), np.asarray(s), len(d)
+def correlation_rows(d, s, lo, n, ks, width, dt, top, threshold):
+    """Spectra of the correlation of windowed s and d, linearly interpolated from 2n-1 to n frequencies; samples as in ``gabor_rows``."""
     if n % 2 == 0:
         raise ValueError("a series needs an odd number of samples")
-    w = gaussian((np.arange(n) - ks[:, None]) * dt, width)
+    w = gaussian((lo + np.arange(len(d)) - ks[:, None]) * dt, width)
     a, b, long = w * d, w * s, 2 * n - 1
+    # where the windows lie turns both spectra alike, so the samples stand at the beginning
     c = np.fft.fftshift(np.fft.fft(b, long, axis=1) * np.conj(np.fft.fft(a, long, axis=1)), axes=1)
     have, want = np.fft.fftshift(np.fft.fftfreq(long, dt)), np.fft.fftfreq(n, dt)
     at = np.clip(np.searchsorted(have, want) - 1, 0, long - 2)

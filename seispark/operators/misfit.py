@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seispark.functions.columns import required
 from seispark.operators import traces
-from seispark.operators.chunks import CHUNK, attach, in_ranges, only_traces, spread_ranges
+from seispark.operators.chunks import CHUNK, attach, in_ranges, index_rows, only_traces, spread_ranges
 from seispark.operators.timefrequency import phase_misfit
 
 
@@ -63,17 +63,8 @@ def tf_phase(tapered, settings, size=CHUNK):
     key = F.struct(F.col("trace").alias("t"), "win").alias("trace")
     inside = tapered.select(key, "i", "d", "s")
     spans = tapered.groupBy("trace", "win").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
-    outside = spans.join(settings["lengths"], "trace").select(
-        key,
-        F.explode(
-            F.expr(
-                "concat(if(start > 0, sequence(0L, cast(start - 1 as bigint)), array()),"
-                " if(stop + 1 < n, sequence(cast(stop + 1 as bigint), n - 1), array()))"
-            )
-        ).alias("i"),
-        F.lit(0.0).alias("d"),
-        F.lit(0.0).alias("s"),
-    )
+    outside = index_rows(spans.join(settings["lengths"], "trace"), "n").where("i < start or i > stop")
+    outside = outside.select(key, "i", F.lit(0.0).alias("d"), F.lit(0.0).alias("s"))
     misfit, adjoint = phase_misfit(inside.unionByName(outside), settings["min_period"], settings["max_period"], settings["dt"])
     per_window = misfit.select(F.col("trace.t").alias("_t"), "trace.win", "misfit").withColumnRenamed("_t", "trace")
     parts = adjoint.select(F.col("trace.t").alias("_t"), "trace.win", "i", "a").withColumnRenamed("_t", "trace")

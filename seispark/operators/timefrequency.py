@@ -1,96 +1,127 @@
 """Gabor transforms and the time-frequency phase misfit.
 
-A transform of n samples is n spectra of n numbers, so the series these run on
-are short: they are resampled to a quarter period first. The window positions
-of a series are cut into blocks, each a row with the series beside it, and the
-blocks are spread over all tasks. A spectrum is cheaper to compute again than
-to keep, so the misfit goes over the blocks once per global number it needs
-(largest size, largest weight, sums) and only these numbers are shuffled.
+A transform of n samples is n spectra of n numbers. The window positions of a series are cut into blocks, and a
+block meets only the samples its Gaussians reach (where they are above 2**-53 of their top): a halo join, after
+which spectra come from zero padding, some positions at a time. A spectrum is cheaper to compute again than to keep,
+so the misfit goes over the blocks three times: for the largest size, for the numbers that can be merged
+once it is known (largest weights, sums scaled later), and for jumps and adjoint signal.
 """
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seispark.functions import kernels
-from seispark.operators.chunks import spread, with_chunk
+from seispark.operators.chunks import attach, blocks, with_chunk, with_halo
+from seispark.operators.fourier import _lists as lists
 from seispark.operators.traces import lanczos
 from seispark.session import materialise
 
-POSITIONS = 64
+#: Widths from a Gaussian's middle to where it falls below 2**-53 of its top.
+REACH = 8.6
+#: Cells that are worked on at once.
+CELLS = 1 << 20
 DOUBLES = T.ArrayType(T.DoubleType())
-SPECTRA = T.ArrayType(T.StructType().add("k", T.IntegerType()).add("re", DOUBLES).add("im", DOUBLES))
 
 
-def series_blocks(samples, columns):
-    """One row per series and block of window positions: trace, n, the columns as arrays, their largest sizes, k0."""
-    packed = samples.groupBy("trace").agg(F.sort_array(F.collect_list(F.struct("i", *columns))).alias("p"), F.count("*").alias("n"))
-    tops = [F.array_max(F.transform(f"p.{c}", F.abs)).alias(f"top_{c}") for c in columns]
-    rows = packed.select(
-        "trace", "n", *[F.col(f"p.{c}").alias(c) for c in columns], *tops,
-        F.explode(F.expr(f"sequence(0, cast(n - 1 as int), {POSITIONS})")).alias("k0"),
-    )
-    return spread(rows, "trace", "k0")
+def reach_of(width, dt):
+    return int(np.ceil(REACH * width / dt))
+
+
+def block_size(width, dt):
+    """Positions of a block: a power of two, at least the Gaussian's reach, so that a sample is in three blocks at most."""
+    return 1 << max(8, (reach_of(width, dt) - 1).bit_length())
+
+
+def series_blocks(samples, columns, width, dt):
+    """One row per series and block of window positions (chunk): n, largest sizes of the columns, and from index lo the samples that the windows reach."""
+    reach, size = reach_of(width, dt), block_size(width, dt)
+    tops = samples.groupBy("trace").agg(F.count("*").alias("n"), *[F.max(F.abs(c)).alias(f"top_{c}") for c in columns])
+    known = attach(with_chunk(samples.select("trace", "i", *columns), size), tops, "n", size)
+    edged = with_halo(known, reach, reach + 1, size).where(f"chunk <= (n - 1) div {size}")
+    return blocks(edged, columns, extra=["n", *[f"top_{c}" for c in columns]])
+
+
+def steps(first, last, n):
+    """Positions first .. last-1 in steps of at most CELLS cells."""
+    width = max(1, CELLS // n)
+    return [np.arange(k, min(k + width, last)) for k in range(first, last, width)]
 
 
-def _positions(first, n):
-    return np.arange(first, min(first + POSITIONS, n))
+def _spectra(rows, columns, size, compute):
+    """(trace, n, k, re, im) of all positions of the blocks, a few rows at a time."""
+    trace = T.StructField("trace", rows.schema["trace"].dataType)
+    schema = T.StructType([trace, T.StructField("n", T.LongType()), T.StructField("k", T.IntegerType()), T.StructField("re", DOUBLES), T.StructField("im", DOUBLES)])
 
+    def work(batches):
+        for batch in batches:
+            values = [lists(batch.column(c)) for c in columns]
+            numbers = zip(*[batch.column(c).to_pylist() for c in ("chunk", "lo", "n", f"top_{columns[0]}")])
+            for row, (chunk, lo, n, top) in enumerate(numbers):
+                for ks in steps(chunk * size, min((chunk + 1) * size, n), n):
+                    z = compute(*[v[row] for v in values], lo, n, ks, top)
+                    ends = pa.array(np.arange(0, len(ks) * n + 1, n, dtype=np.int32))
+                    parts = [pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(x).ravel())) for x in (z.real, z.imag)]
+                    names = batch.column("trace").take(pa.array(np.full(len(ks), row)))
+                    yield pa.RecordBatch.from_arrays([names, pa.array(np.full(len(ks), n)), pa.array(ks.astype(np.int32)), *parts], [f.name for f in schema])
 
-def _rows(ks, spectra):
-    return [{"k": int(k), "re": z.real.tolist(), "im": z.imag.tolist()} for k, z in zip(ks, spectra)]
+    return rows.mapInArrow(work, schema)
 
 
 def gabor(samples, width, dt=1.0, column="s", threshold=1e-2):
     """(trace, n, k, re, im): spectra of the signal under a Gaussian window at every sample k."""
 
-    @F.pandas_udf(SPECTRA)
-    def transform(x: pd.Series, top: pd.Series, k0: pd.Series) -> pd.Series:
-        out = []
-        for v, largest, first in zip(x, top, k0):
-            ks = _positions(first, len(v))
-            out.append(_rows(ks, kernels.gabor_rows(v, ks, width, dt, largest, threshold)))
-        return pd.Series(out)
+    def compute(v, lo, n, ks, top):
+        return kernels.gabor_rows(v, lo, n, ks, width, dt, top, threshold)
 
-    rows = series_blocks(samples, [column])
-    return rows.select("trace", "n", F.explode(transform(column, f"top_{column}", "k0")).alias("t")).select("trace", "n", "t.*")
+    return _spectra(series_blocks(samples, [column], width, dt), [column], block_size(width, dt), compute)
 
 
 def correlation_spectra(samples, width, dt=1.0, threshold=1e-2):
     """(trace, n, k, re, im): spectra of the correlation of windowed d and s; n is odd."""
 
-    @F.pandas_udf(SPECTRA)
-    def transform(x: pd.Series, y: pd.Series, top: pd.Series, k0: pd.Series) -> pd.Series:
-        out = []
-        for d, s, largest, first in zip(x, y, top, k0):
-            ks = _positions(first, len(d))
-            out.append(_rows(ks, kernels.correlation_rows(d, s, ks, width, dt, largest, threshold)))
-        return pd.Series(out)
+    def compute(d, s, lo, n, ks, top):
+        return kernels.correlation_rows(d, s, lo, n, ks, width, dt, top, threshold)
 
-    rows = series_blocks(samples, ["d", "s"])
-    return rows.select("trace", "n", F.explode(transform("d", "s", "top_d", "k0")).alias("t")).select("trace", "n", "t.*")
+    return _spectra(series_blocks(samples, ["d", "s"], width, dt), ["d", "s"], block_size(width, dt), compute)
 
 
 def inverse(spectra, width, dt=1.0, threshold=1e-2):
-    """Signal (trace, i, re, im) from spectra: inverse transform per row, then a Gaussian-weighted sum over the rows."""
+    """Signal (trace, i, re, im) from spectra: inverse transform per row, then a Gaussian-weighted sum over the rows.
 
-    @F.pandas_udf(T.ArrayType(T.StructType().add("re", T.DoubleType()).add("im", T.DoubleType())))
-    def back(re: pd.Series, im: pd.Series, k: pd.Series, top: pd.Series) -> pd.Series:
-        out = []
-        for a, b, position, largest in zip(re, im, k, top):
-            z = np.asarray(a) + 1j * np.asarray(b)
-            if np.abs(z).max() < largest * threshold:
-                out.append([])
-                continue
-            x = np.fft.ifft(z) * kernels.gaussian((np.arange(len(z)) - position) * dt, width) * np.sqrt(2 * np.pi) * dt
-            out.append([{"re": float(v.real), "im": float(v.imag)} for v in x])
-        return pd.Series(out)
+    Rows are summed up by blocks of positions within a batch first, so only what a block's Gaussians reach is shuffled.
+    """
+    reach, block = reach_of(width, dt), block_size(width, dt)
+    trace = T.StructField("trace", spectra.schema["trace"].dataType)
+    schema = T.StructType([trace, T.StructField("i", T.LongType()), T.StructField("re", T.DoubleType()), T.StructField("im", T.DoubleType())])
+
+    def work(batches):
+        for batch in batches:
+            known, sums = {}, {}
+            ids = batch.column("trace").dictionary_encode().indices.to_numpy() if not pa.types.is_nested(batch.column("trace").type) else np.arange(len(batch))
+            numbers = zip(ids.tolist(), batch.column("k").to_pylist(), batch.column("top").to_pylist(), lists(batch.column("re")), lists(batch.column("im")))
+            for row, (own, k, top, re, im) in enumerate(numbers):
+                z = re + 1j * im
+                if np.abs(z).max() < top * threshold:
+                    continue
+                n, first = len(z), max(k // block * block - reach, 0)
+                last = min((k // block + 1) * block + reach, n)
+                key = own, k // block
+                if key not in sums:
+                    known[key], sums[key] = (row, first), np.zeros(last - first, complex)
+                at = np.arange(max(k - reach, 0), min(k + reach + 1, n))
+                sums[key][at - first] += np.fft.ifft(z)[at] * kernels.gaussian((at - k) * dt, width) * np.sqrt(2 * np.pi) * dt
+            for key, x in sums.items():
+                row, first = known[key]
+                names = batch.column("trace").take(pa.array(np.full(len(x), row)))
+                yield pa.RecordBatch.from_arrays([names, pa.array(first + np.arange(len(x))), pa.array(x.real.copy()), pa.array(x.imag.copy())], [f.name for f in schema])
 
     size = F.array_max(F.transform(F.arrays_zip("re", "im"), lambda z: F.hypot(z["re"], z["im"])))
     tops = spectra.groupBy("trace").agg(F.max(size).alias("top"))
-    parts = spectra.join(tops, "trace").select("trace", F.posexplode(back("re", "im", "k", "top")).alias("i", "x"))
-    return parts.groupBy("trace", F.col("i").cast("bigint").alias("i")).agg(F.sum("x.re").alias("re"), F.sum("x.im").alias("im"))
+    parts = spectra.join(tops, "trace").select("trace", "k", "top", "re", "im").mapInArrow(work, schema)
+    return parts.groupBy("trace", "i").agg(F.sum("re").alias("re"), F.sum("im").alias("im"))
 
 
 def cells(spectra):
@@ -117,89 +148,83 @@ def phase_misfit(samples, min_period, max_period, dt=1.0, max_criterion=7, thres
     """
     grid, step = _grid(samples, min_period, dt)
     width = 2.0 * min_period
-    rows = materialise(series_blocks(grid, ["d", "s"]), "tf-series")
+    size = block_size(width, step)
+    rows = materialise(series_blocks(grid, ["d", "s"], width, step), "tf-series")
 
-    def phases(d, s, ks, top, m):
+    def cells_of(d, s, lo, n, ks, top, m):
         """Phase and weight (not yet normalised) of the cells at the positions ks."""
-        c = kernels.correlation_rows(d, s, ks, width, step, top, threshold)
+        c = kernels.correlation_rows(d, s, lo, n, ks, width, step, top, threshold)
         return np.angle(c), kernels.phase_weights(c, m, min_period, max_period, step)
 
+    def kernel_of(s, lo, n, ks, top_s, m, phase, raw):
+        """Adjoint spectra of the positions ks, not yet divided by the square of the largest weight."""
+        synthetic = kernels.gabor_rows(s, lo, n, ks, width, step, top_s, threshold)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return np.nan_to_num(raw**2 * phase * synthetic / (m + np.abs(synthetic) ** 2))
+
+    def positions(chunk, n):
+        return steps(chunk * size, min((chunk + 1) * size, n), n)
+
     @F.pandas_udf(T.DoubleType())
-    def largest_size(x: pd.Series, y: pd.Series, top: pd.Series, k0: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                np.abs(kernels.correlation_rows(d, s, _positions(k, len(d)), width, step, t, threshold)).max()
-                for d, s, t, k in zip(x, y, top, k0)
-            ]
-        )
-
-    @F.pandas_udf(T.StructType().add("w", T.DoubleType()).add("x", T.DoubleType()))
-    def largest_weights(x: pd.Series, y: pd.Series, top: pd.Series, k0: pd.Series, m: pd.Series) -> pd.DataFrame:
+    def largest_size(d: pd.Series, s: pd.Series, lo: pd.Series, n: pd.Series, chunk: pd.Series, top: pd.Series) -> pd.Series:
         out = []
-        for d, s, t, k, level in zip(x, y, top, k0, m):
-            phase, raw = phases(d, s, _positions(k, len(d)), t, level)
-            out.append((raw.max(), np.abs(raw * phase).max()))
-        return pd.DataFrame(out, columns=["w", "x"])
+        for x, y, at, count, c, t in zip(d, s, lo, n, chunk, top):
+            out.append(max(np.abs(kernels.correlation_rows(x, y, at, count, ks, width, step, t, threshold)).max() for ks in positions(c, count)))
+        return pd.Series(out)
 
-    @F.pandas_udf(T.StructType().add("total", T.DoubleType()).add("jumps", T.LongType()))
-    def sums(x: pd.Series, y: pd.Series, top: pd.Series, k0: pd.Series, m: pd.Series, w: pd.Series, q: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf(T.StructType().add("w", T.DoubleType()).add("x", T.DoubleType()).add("z", T.DoubleType()).add("total", T.DoubleType()))
+    def mergeable(d: pd.Series, s: pd.Series, lo: pd.Series, n: pd.Series, chunk: pd.Series, top: pd.Series, top_s: pd.Series, m: pd.Series) -> pd.DataFrame:
+        out = []
+        for x, y, at, count, c, t, ts, level in zip(d, s, lo, n, chunk, top, top_s, m):
+            most, total = np.zeros(3), 0.0
+            for ks in positions(c, count):
+                phase, raw = cells_of(x, y, at, count, ks, t, level)
+                z = kernel_of(y, at, count, ks, ts, level, phase, raw)
+                most = np.maximum(most, [raw.max(), np.abs(raw * phase).max(), np.abs(z).max()])
+                total += ((raw * phase) ** 2).sum()
+            out.append((*most, total))
+        return pd.DataFrame(out, columns=["w", "x", "z", "total"])
+
+    @F.pandas_udf(T.StructType().add("jumps", T.LongType()).add("a", DOUBLES))
+    def signals(
+        d: pd.Series, s: pd.Series, lo: pd.Series, n: pd.Series, chunk: pd.Series, top: pd.Series, top_s: pd.Series, m: pd.Series, x_top: pd.Series, z_top: pd.Series
+    ) -> pd.DataFrame:
         out = []
-        for d, s, t, k, level, w_top, x_top in zip(x, y, top, k0, m, w, q):
-            ks = _positions(k, len(d))
-            lead = 1 if k > 0 else 0  # one position of the block before, for the step between blocks
-            phase, raw = phases(d, s, np.arange(k - lead, ks[-1] + 1), t, level)
-            field = raw * phase / x_top if x_top > 0 else np.zeros(raw.shape)
-            jumps = (np.abs(np.diff(field, axis=0)) > 0.7).sum() + (np.abs(np.diff(field[lead:], axis=1)) > 0.7).sum()
-            own = raw[lead:] * phase[lead:] / w_top if w_top > 0 else np.zeros((1, 1))
-            out.append(((own**2).sum(), int(jumps)))
-        return pd.DataFrame(out, columns=["total", "jumps"])
-
-    block = ["d", "s", "top_d", "k0"]
+        for x, y, at, count, c, t, ts, level, largest, loud in zip(d, s, lo, n, chunk, top, top_s, m, x_top, z_top):
+            jumps, a = 0, np.zeros(len(x))
+            for ks in positions(c, count):
+                lead = 1 if ks[0] > 0 else 0  # one position before, for the step between blocks
+                phase, raw = cells_of(x, y, at, count, np.arange(ks[0] - lead, ks[-1] + 1), t, level)
+                field = raw * phase / largest if largest > 0 else np.zeros(raw.shape)
+                jumps += (np.abs(np.diff(field, axis=0)) > 0.7).sum() + (np.abs(np.diff(field[lead:], axis=1)) > 0.7).sum()
+                z = kernel_of(y, at, count, ks, ts, level, phase[lead:], raw[lead:])
+                keep = np.abs(z).max(axis=1) >= loud * threshold
+                g = kernels.gaussian((at + np.arange(len(x)) - ks[keep, None]) * step, width)
+                a += (np.fft.ifft(z[keep], axis=1).imag[:, at : at + len(x)] * g).sum(axis=0)
+            out.append((int(jumps), a * np.sqrt(2 * np.pi) * step))
+        return pd.DataFrame(out, columns=["jumps", "a"])
+
+    block = ["d", "s", "lo", "n", "chunk", "top_d"]
     level = rows.select("trace", largest_size(*block).alias("size")).groupBy("trace").agg((F.max("size") / 10).alias("m"))
-    with_m = rows.join(level, "trace")
-    tops = with_m.select("trace", "m", largest_weights(*block, "m").alias("r")).groupBy("trace").agg(
-        F.max("m").alias("m"), F.max("r.w").alias("w"), F.max("r.x").alias("x")
-    )
-    tops = materialise(tops, "tf-tops")
-    known = rows.join(tops, "trace")
-    dnu = 1 / (F.max("n") * step)
-    misfit = (
-        known.select("trace", "n", sums(*block, "m", "w", "x").alias("r"))
-        .groupBy("trace")
-        .agg(F.sqrt(F.sum("r.total") * step * dnu).alias("plain"), F.sum("r.jumps").alias("jumps"))
-        .withColumn("misfit", F.when(F.col("jumps") > max_criterion, 2 * F.col("plain")).otherwise(F.col("plain")))
+    merged = rows.join(level, "trace").select("trace", "n", "m", mergeable(*block, "top_s", "m").alias("r")).groupBy("trace").agg(
+        F.max("n").alias("_n"), F.max("m").alias("m"), F.max("r.w").alias("w"), F.max("r.x").alias("x"), F.max("r.z").alias("z"), F.sum("r.total").alias("total")
     )
+    merged = materialise(merged, "tf-tops")
+    found = rows.join(merged.select("trace", "m", "x", "z"), "trace").select("trace", "lo", signals(*block, "top_s", "m", "x", "z").alias("r"))
+    found = materialise(found.select("trace", "lo", "r.*"), "tf-signals")
 
-    def kernel_rows(d, s, t, ts, k, m, w_top):
-        ks = _positions(k, len(d))
-        phase, raw = phases(d, s, ks, t, m)
-        weight = raw / w_top if w_top > 0 else raw
-        synthetic = kernels.gabor_rows(s, ks, width, step, ts, threshold)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            z = weight**2 * phase * synthetic / (m + np.abs(synthetic) ** 2)
-        return ks, np.nan_to_num(z)
-
-    @F.pandas_udf(T.DoubleType())
-    def largest_kernel(x: pd.Series, y: pd.Series, t: pd.Series, ts: pd.Series, k0: pd.Series, m: pd.Series, w: pd.Series) -> pd.Series:
-        return pd.Series([np.abs(kernel_rows(*row)[1]).max() for row in zip(x, y, t, ts, k0, m, w)])
-
-    @F.pandas_udf(DOUBLES)
-    def back(x: pd.Series, y: pd.Series, t: pd.Series, ts: pd.Series, k0: pd.Series, m: pd.Series, w: pd.Series, top: pd.Series) -> pd.Series:
-        out = []
-        for *row, largest in zip(x, y, t, ts, k0, m, w, top):
-            ks, z = kernel_rows(*row)
-            keep = np.abs(z).max(axis=1) >= largest * threshold
-            g = kernels.gaussian((np.arange(z.shape[1]) - ks[keep, None]) * step, width)
-            out.append((np.fft.ifft(z[keep], axis=1).imag * g).sum(axis=0) * np.sqrt(2 * np.pi) * step)
-        return pd.Series(out)
+    weighted = F.when(F.col("w") > 0, F.col("total") / F.col("w") ** 2).otherwise(0.0)
+    jumps = found.groupBy("trace").agg(F.sum("jumps").alias("jumps"))
+    misfit = merged.join(jumps, "trace").select("trace", F.sqrt(weighted * step / (F.col("_n") * step)).alias("plain"), "jumps")
+    misfit = misfit.withColumn("misfit", F.when(F.col("jumps") > max_criterion, 2 * F.col("plain")).otherwise(F.col("plain")))
 
-    block = ["d", "s", "top_d", "top_s", "k0", "m", "w"]
-    kernel_top = known.select("trace", largest_kernel(*block).alias("z")).groupBy("trace").agg(F.max("z").alias("z_top"))
-    parts = known.join(kernel_top, "trace").select("trace", F.posexplode(back(*block, "z_top")).alias("i", "a"))
-    signal = parts.groupBy("trace", "i").agg(F.sum("a").alias("a"))
+    parts = found.select("trace", "lo", F.posexplode("a").alias("p", "a"))
+    signal = parts.groupBy("trace", (F.col("p") + F.col("lo")).alias("i")).agg(F.sum("a").alias("a"))
     lengths = samples.groupBy("trace").agg(F.count("*").alias("old_n"))
     scale = F.when(F.col("jumps") > max_criterion, 0.0).otherwise(dt / step**2 / (F.col("plain") + float(np.finfo(float).eps)))
-    adjoint = _resample_to(signal, lengths, dt / step).join(misfit.select("trace", scale.alias("scale")), "trace")
+    square = F.when(F.col("w") > 0, F.col("w") ** 2).otherwise(1.0)
+    scales = misfit.join(merged.select("trace", "w"), "trace").select("trace", (scale / square).alias("scale"))
+    adjoint = _resample_to(signal, lengths, dt / step).join(scales, "trace")
     return misfit, adjoint.select("trace", "i", (F.col("a") * F.col("scale")).alias("a"))
 
 

@@ -213,6 +213,42 @@ def test_phase_misfit_and_adjoint(spark, n):
     np.testing.assert_allclose(got, a, atol=1e-10)
 
 
+@pytest.mark.parametrize("size, cells", [(8, 1 << 20), (32, 500)])
+def test_phase_misfit_over_many_blocks(spark, monkeypatch, size, cells):
+    """Windows of four samples reach a part of the series only; blocks and steps cut it anywhere."""
+    monkeypatch.setattr(timefrequency, "block_size", lambda width, dt: size)
+    monkeypatch.setattr(timefrequency, "CELLS", cells)
+    rng, t = np.random.default_rng(size), np.arange(211.0)
+    both = [(np.sin(2 * np.pi * (t + s) / p) * np.exp(-((t - 100) ** 2) / 3000) + 0.05 * rng.normal(size=211)) for s, p in ((1, 9), (0, 9))]
+    df = spark.createDataFrame([(1, i, float(both[0][i]), float(both[1][i])) for i in range(211)], "trace bigint, i int, d double, s double")
+    value, jumps, a = brute_phase_misfit(*both, 2.0, 30.0)
+    m, adj = timefrequency.phase_misfit(df, 2.0, 30.0, max_criterion=10**9)
+    r = m.first()
+    assert abs(r.plain - value) < 1e-9 and r.jumps == jumps
+    got = np.zeros(211)
+    for x in adj.collect():
+        got[x.i] = x.a
+    np.testing.assert_allclose(got, a, atol=1e-9)
+
+
+def test_gabor_and_back_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(timefrequency, "block_size", lambda width, dt: 16)
+    monkeypatch.setattr(timefrequency, "CELLS", 700)
+    v = np.random.default_rng(8).normal(size=150)
+    df = spark.createDataFrame([(("x", 1), i, float(v[i])) for i in range(150)], "trace struct<a:string,b:int>, i bigint, s double")
+    found = timefrequency.gabor(df, 3.0)
+    got = {r.k: np.array(r.re) + 1j * np.array(r.im) for r in found.collect()}
+    t = np.arange(150)
+    rows = np.stack([(np.pi * 9) ** -0.25 * np.exp(-((t - k) ** 2) / 18) * v for k in t])
+    want = np.fft.fft(rows, axis=1) / np.sqrt(2 * np.pi)
+    want[np.abs(rows).max(axis=1) < 0.01 * np.abs(v).max()] = 0
+    np.testing.assert_allclose(np.stack([got[k] for k in t]), want, atol=1e-12)
+    keep = np.abs(want).max(axis=1) >= 0.01 * np.abs(want).max()
+    signal = sum((np.pi * 9) ** -0.25 * np.exp(-((t - k) ** 2) / 18) * np.fft.ifft(want[k]) for k in t[keep]) * np.sqrt(2 * np.pi)
+    back = {r.i: r.re for r in timefrequency.inverse(found, 3.0).collect()}
+    np.testing.assert_allclose([back.get(i, 0.0) for i in range(150)], signal.real, atol=1e-12)
+
+
 def test_phase_misfit_of_equal_traces_is_zero(spark):
     df = spark.createDataFrame([(1, i, float(np.sin(i)), float(np.sin(i))) for i in range(51)], "trace bigint, i int, d double, s double")
     assert timefrequency.phase_misfit(df, 4.0, 20.0)[0].first().misfit < 1e-6
