@@ -3,8 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from seispark.operators.quantiles import exact_quantiles
-from seispark.session import materialise
+from seispark.operators.quantiles import in_order, quantiles_of
 
 # The parameter sets an inversion may use, each in its canonical order.
 PARAMETER_ORDERS = [
@@ -116,11 +115,12 @@ def clip_quantile(nodal, percentile, by=("event", "param"), value="value"):
     """Clamp each parameter of each event's gradient to its [1-p, p] quantiles; p = 1 leaves it as it is."""
     if percentile == 1:
         return nodal
-    limits = materialise(exact_quantiles(nodal, list(by), value, {"low": 1 - percentile, "high": percentile}), "limits")
+    rows = in_order(nodal, list(by), value)
+    limits = quantiles_of(rows, list(by), value, {"low": 1 - percentile, "high": percentile})
     return (
-        nodal.join(limits, list(by))
+        rows.drop("_pos").join(limits, list(by))
         .withColumn(value, F.greatest(F.least(F.col(value), F.col("high")), F.col("low")))
-        .drop("low", "high")
+        .select(*nodal.columns)
     )
 
 

@@ -5,70 +5,43 @@ from pyspark.sql import functions as F
 
 from seispark.session import materialise
 
-ACCURACY = 10_000
-BINS = 1024
 
+def in_order(df, by, value):
+    """A written table of the rows in order of group and value (nulls last), with ``_pos``: partition and place in it.
 
-def exact_quantiles(df, by, value, probs, accuracy=ACCURACY):
-    """One row per group of ``by`` with a column for each entry of ``probs`` (name -> p).
-
-    A sketch brackets each wanted rank; rows inside the bracket are counted per
-    distinct value, rows below it only as one number. The bracket holds at most
-    about 8/accuracy of a large group (or all of a group of up to 4*accuracy
-    rows); it is cut into bins, and only the bins that hold a wanted rank are
-    sorted. Brackets and counts are written tables: the sketch and the counts are
-    the only passes over the rows, and the join with the brackets is planned by
-    their size on disk. Groups without values give no row.
+    It is dealt by ranges of group and value, and in the end by the row itself, so a large group, and even one value
+    of it, lies in many partitions while many small groups share one.
     """
-    if not by:
-        whole = exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs, accuracy)
-        return whole.drop("_all")
-    eps = 4.0 / accuracy
-    wanted = list(probs.items())
-    marks = [x for _, p in wanted for x in (max(p - eps, 0.0), min(p + eps, 1.0))]
-    sketch = df.where(F.col(value).isNotNull()).groupBy(*by).agg(
-        F.count(value).alias("n"),
-        F.min(value).alias("least"),
-        F.max(value).alias("most"),
-        F.percentile_approx(value, marks, accuracy).alias("marks"),
-    )
-    small = F.col("n") <= 4 * accuracy
-
-    def bracket(k, name, p):
-        return F.struct(
-            F.lit(name).alias("name"),
-            F.lit(p).alias("p"),
-            F.when(small | F.lit(p <= eps), F.col("least")).otherwise(F.col("marks")[2 * k]).alias("lo"),
-            F.when(small | F.lit(p >= 1 - eps), F.col("most")).otherwise(F.col("marks")[2 * k + 1]).alias("hi"),
-        )
+    order = [*by, F.col(value).asc_nulls_last(), "_row"]
+    dealt = df.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    return materialise(dealt.drop("_row").withColumn("_pos", F.monotonically_increasing_id()), "in-order")
 
-    brackets = F.explode(F.array(*[bracket(k, name, p) for k, (name, p) in enumerate(wanted)]))
-    targets = materialise(sketch.select(*by, "n", brackets.alias("t")).select(*by, "n", "t.*"), "quantile-targets")
-    joined = df.select(*by, value).join(targets, list(by))
-    place = F.floor((F.col("at") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BINS)
-    bin_no = F.when(F.col("at").isNull(), -1).when(F.col("hi") <= F.col("lo"), 0).otherwise(F.least(place, F.lit(BINS - 1)))
-    group = [*by, "name"]
-    counted = (
-        joined.where(F.col(value) <= F.col("hi"))
-        .withColumn("at", F.when(F.col(value) >= F.col("lo"), F.col(value)))
-        .groupBy(*group, "p", "n", "lo", "hi", "at")
-        .agg(F.count("*").alias("rows"))
-        .withColumn("bin", bin_no.cast("int"))
-    )
-    counted = materialise(counted, "quantile-bracket")
-    rank = F.col("p") * (F.col("n") - 1)
-    low, high = F.floor(rank), F.ceil(rank)
-    before = Window.partitionBy(*group).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = counted.groupBy(*group, "p", "n", "bin").agg(F.sum("rows").alias("held")).withColumn(
-        "offset", F.coalesce(F.sum("held").over(before), F.lit(0))
-    )
-    hit = bins.where((F.col("offset") <= high) & (F.col("offset") + F.col("held") > low)).select(*group, "bin", "offset")
-    upto = Window.partitionBy(*group, "bin").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.join(hit, [*group, "bin"]).withColumn("upto", F.col("offset") + F.sum("rows").over(upto))
 
-    def value_at(k):
-        return F.max(F.when((F.col("upto") - F.col("rows") <= k) & (k < F.col("upto")), F.col("at")))
+def quantiles_of(ordered, by, value, probs):
+    """One row per group of ``by`` with a column for each entry of ``probs`` (name -> p), from a table ``in_order``.
 
-    found = ranked.groupBy(*group).agg(value_at(low).alias("a"), value_at(high).alias("b"), F.max(rank - low).alias("part"))
-    at = F.col("a") + (F.col("b") - F.col("a")) * F.col("part")
-    return found.groupBy(*by).agg(*[F.max(F.when(F.col("name") == name, at)).alias(name) for name in probs])
+    Rows are counted per partition and group; sums of the counts before tell in which partition, and where in it, the two
+    rows of a wanted rank are, and these alone are fetched. Groups without values give no row.
+    """
+    part = F.shiftright("_pos", 33).alias("_part")
+    counts = ordered.groupBy(*by, part).agg(F.count(value).alias("held"), F.min("_pos").alias("first")).where("held > 0")
+    group = Window.partitionBy(*by)
+    before = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumns({"n": F.sum("held").over(group), "offset": F.coalesce(F.sum("held").over(before), F.lit(0))})
+    wanted = F.array(*[
+        F.struct(F.lit(name).alias("name"), side(F.lit(float(p)) * (F.col("n") - 1)).cast("bigint").alias("rank"), (F.lit(float(p)) * (F.col("n") - 1)).alias("place"))
+        for name, p in probs.items() for side in (F.floor, F.ceil)
+    ])
+    asked = counts.withColumn("t", F.explode(wanted)).where("t.rank >= offset and t.rank < offset + held")
+    asked = asked.select(*by, "t.name", "t.rank", "t.place", (F.col("first") + F.col("t.rank") - F.col("offset")).alias("_pos")).distinct()
+    found = asked.join(ordered.select("_pos", F.col(value).alias("_at")), "_pos")
+    low, high = F.min_by("_at", "rank"), F.max_by("_at", "rank")
+    ends = found.groupBy(*by, "name").agg((low + (high - low) * (F.max("place") - F.min("rank"))).alias("_at"))
+    return ends.groupBy(*by).agg(*[F.max(F.when(F.col("name") == name, F.col("_at"))).alias(name) for name in probs])
+
+
+def exact_quantiles(df, by, value, probs):
+    """One row per group of ``by`` with a column for each entry of ``probs`` (name -> p); one sort by ranges, of the needed columns alone."""
+    if not by:
+        return exact_quantiles(df.select(F.lit(0).alias("_all"), value), ["_all"], value, probs).drop("_all")
+    return quantiles_of(in_order(df.select(*by, value), list(by), value), list(by), value, probs)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from seispark.functions import geo
 from seispark.operators import batch, fields, misfit, spatial, timefrequency, update, windows
 from seispark.operators.chunks import with_chunk
-from seispark.operators.quantiles import exact_quantiles
+from seispark.operators.quantiles import exact_quantiles, in_order, quantiles_of
 from seispark.plans.iteration import IterationJob
 from seispark.plans import waveforms
 from seispark.plans.waveforms import process_events
@@ -17,17 +17,31 @@ from seispark.sources import stores, tables
 from seispark.streaming import status
 
 
-@pytest.mark.parametrize("accuracy", [20, 10_000])
-def test_quantiles_with_many_ties_and_a_hot_group(spark, accuracy):
+@pytest.mark.parametrize("partitions", [3, 40])
+def test_quantiles_with_many_ties_and_a_hot_group(spark, partitions):
     rng = np.random.default_rng(0)
     hot = np.concatenate([np.zeros(3000), rng.normal(size=4000), 10.0 ** rng.uniform(-20, 3, size=2000)])
-    groups = {"hot": hot, "few": rng.normal(size=7), "one": np.array([2.5]), "same": np.ones(500)}
-    rows = [(k, float(v)) for k, vs in groups.items() for v in vs]
+    groups = {"hot": hot, "few": rng.normal(size=7), "one": np.array([2.5]), "same": np.ones(500), **{f"small{k}": rng.normal(size=16) for k in range(60)}}
+    rows = [(k, float(v)) for k, vs in groups.items() for v in vs] + [("few", None), ("none", None)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(6)
-    got = exact_quantiles(df, ["g"], "v", {"a": 0.02, "b": 0.5, "c": 0.98, "z": 1.0}, accuracy=accuracy).collect()
-    assert len(got) == 4
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        ordered = in_order(df, ["g"], "v")
+        # the hot group, and the value that a third of it has, lie in many partitions
+        spread = ordered.where("v = 0").select(F.shiftright("_pos", 33)).distinct().count()
+        assert spread > partitions / 6
+        got = quantiles_of(ordered, ["g"], "v", {"a": 0.02, "b": 0.5, "c": 0.98, "z": 1.0}).collect()
+        whole = exact_quantiles(df, [], "v", {"h": 0.3}).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(got) == len(groups)
     for r in got:
         np.testing.assert_allclose([r.a, r.b, r.c, r.z], np.quantile(groups[r.g], [0.02, 0.5, 0.98, 1.0]), rtol=1e-12)
+    np.testing.assert_allclose(whole[0].h, np.quantile(np.concatenate(list(groups.values())), 0.3), rtol=1e-12)
+    assert exact_quantiles(df.where("v is null"), [], "v", {"h": 0.3}).collect() == []
 
 
 def test_clip_twice_changes_nothing_more(spark):
