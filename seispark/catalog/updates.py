@@ -191,9 +191,7 @@ def _run_iterations(spark, folder, rule, n):
     start = full.selectExpr("param", "node", "value*part as theta0", "value*part*(1.0e0 + 0.01e0*sin(node + k)) as theta")
     speeds = full.where("param <> 'RHO'").selectExpr("param", "node", "value*part as velocity")
 
-    def smoother(raw):
-        return spatial.smooth_parameters(raw, nodes.select("node", "x", "y", "z"), speeds, list(PARAMS), LATERAL, RADIAL, PERIOD)
-
+    smoother = spatial.ParameterSmoother(nodes.select("node", "x", "y", "z"), speeds, list(PARAMS), LATERAL, RADIAL, PERIOD)
     job = IterationJob(spark, stores.new_store(spark, "inversion"), rule, smoother, ("VPV", "VPH"))
     job.start(start)
     validation = spark.range(4, 5).select(F.col("id").cast("int").alias("event"))

@@ -36,7 +36,8 @@ def great_circle_degrees(lat1, lon1, lat2, lon2):
 
 
 def squared_distance(a, b):
-    return (a["x"] - b["x"]) ** 2 + (a["y"] - b["y"]) ** 2 + (a["z"] - b["z"]) ** 2
+    x, y, z = (a[c] - b[c] for c in "xyz")
+    return x * x + y * y + z * z
 
 
 def with_geodesic_km(df, lat1, lon1, lat2, lon2, name="dist_km", rounds=10):

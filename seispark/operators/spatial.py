@@ -121,25 +121,23 @@ def interpolate(weights, fields):
     return weights.join(fields, "source").groupBy("node", "param").agg(F.sum(F.col("w") * F.col("value")).alias("value"))
 
 
-def smooth(nodes, lateral, radial, min_period, velocity="velocity", by=(), value="value"):
-    """Gaussian mean of ``value`` over the nodes within three sigma: (*by, node, value).
+def _near_places(nodes, places, lateral, radial, min_period, velocity, by):
+    """Pairs of a node (a) and a place (b) within three sigma of it, and their weight.
 
     sigma = length * velocity * min_period per node; the radial and the lateral
     part of the distance are scaled by their own sigma. Only nodes with equal ``by``
     meet. Cells are as wide as the node's own reach, to the next power of two, so a
-    fast region does not widen the search of a slow one; a source is copied once for
-    each width in use. Nodes at the same place are merged before the join, and the
-    pairs go straight into a partial sum. A node without a velocity above 0 keeps its value.
+    fast region does not widen the search of a slow one; a place is copied once for
+    each width in use. A node without a velocity above 0 has none.
     """
-    by = list(by)
     r = F.sqrt(F.col("x") ** 2 + F.col("y") ** 2 + F.col("z") ** 2)
     width = F.pow(F.lit(2.0), F.ceil(F.log2(F.lit(3.0 * max(lateral, radial) * min_period) * F.col(velocity))))
-    own = nodes.withColumns({"r": r, "size": F.when(F.col(velocity) > 0, width)})
-    places = nodes.groupBy(*by, "x", "y", "z").agg(F.sum(value).alias("total"), F.count(value).alias("copies")).withColumn("r", r)
+    own = nodes.where(F.col(velocity) > 0).withColumns({"r": r, "size": width})
     # one row for each power of two in use
-    sizes = own.where("size is not null").agg(F.sort_array(F.collect_set("size")).alias("sizes"))
-    a = own.withColumns({c: F.floor(F.col(k) / F.col("size")) for c, k in zip(CELL, "xyz")}).alias("a")
-    b = places.withColumn("size", F.explode(sizes.scalar()))
+    sizes = own.agg(F.sort_array(F.collect_set("size")).alias("sizes"))
+    # both are few bytes but much work: all tasks get some of whichever is streamed past the other
+    a = spread(own, "node").withColumns({c: F.floor(F.col(k) / F.col("size")) for c, k in zip(CELL, "xyz")}).alias("a")
+    b = spread(places, "x", "y", "z").withColumn("r", r).withColumn("size", F.explode(sizes.scalar()))
     for c, k in zip(CELL, "xyz"):
         at = F.floor(F.col(k) / F.col("size"))
         b = b.withColumn(c, F.explode(F.array(at - 1, at, at + 1)))
@@ -148,15 +146,22 @@ def smooth(nodes, lateral, radial, min_period, velocity="velocity", by=(), value
     for c in [*by, "size", *CELL]:
         same = same & (F.col(f"a.{c}") == F.col(f"b.{c}"))
     d2 = squared_distance({k: F.col(f"a.{k}") for k in "xyz"}, {k: F.col(f"b.{k}") for k in "xyz"})
-    dr2 = (F.col("a.r") - F.col("b.r")) ** 2
-    scale = F.col(f"a.{velocity}") * min_period
-    u2 = dr2 / (F.lit(radial) * scale) ** 2 + F.greatest(d2 - dr2, F.lit(0.0)) / (F.lit(lateral) * scale) ** 2
-    w = F.exp(-u2 / 2)
-    mean = (
-        a.join(b, same & (u2 <= 9))
-        .groupBy(*[F.col(f"a.{c}") for c in by], "a.node")
-        .agg((F.sum(w * F.col("b.total")) / F.sum(w * F.col("b.copies"))).alias("_mean"))
-    )
+    dr = F.col("a.r") - F.col("b.r")
+    along, across = (F.lit(length) * F.col(f"a.{velocity}") * min_period for length in (radial, lateral))
+    u2 = dr * dr / (along * along) + F.greatest(d2 - dr * dr, F.lit(0.0)) / (across * across)
+    return a.join(b, same & (u2 <= 9)), F.exp(-u2 / 2)
+
+
+def smooth(nodes, lateral, radial, min_period, velocity="velocity", by=(), value="value"):
+    """Gaussian mean of ``value`` over the nodes within three sigma: (*by, node, value).
+
+    Nodes at the same place are merged before they meet others, and the
+    pairs go straight into a partial sum. A node without a velocity above 0 keeps its value.
+    """
+    by = list(by)
+    places = nodes.groupBy(*by, "x", "y", "z").agg(F.sum(value).alias("total"), F.count(value).alias("copies"))
+    pairs, w = _near_places(nodes, places, lateral, radial, min_period, velocity, by)
+    mean = pairs.groupBy(*[F.col(f"a.{c}") for c in by], "a.node").agg((F.sum(w * F.col("b.total")) / F.sum(w * F.col("b.copies"))).alias("_mean"))
     return nodes.join(mean, [*by, "node"], "left").select(*by, "node", F.coalesce("_mean", value).alias(value))
 
 
@@ -168,17 +173,48 @@ def reference_velocities(params):
     return {p: p if p.startswith("V") else first for p in params}
 
 
-def smooth_parameters(update, places, model, params, lateral, radial, min_period):
-    """An update (param, node, update) smoothed parameter by parameter.
+class ParameterSmoother:
+    """Smooths updates (param, node, update) parameter by parameter, with one neighbour search for all of them.
 
-    ``places`` has x, y, z of each node, ``model`` (param, node, velocity) the velocities
-    that the smoothing lengths follow.
+    ``places`` has x, y, z of each node, ``model`` (param, node, velocity) the velocities that the smoothing lengths
+    follow. Parameters that follow one velocity share their neighbours: the sparse matrix of each velocity is written
+    once, at the first update, and every update is a product with it of all those parameters at a time.
     """
-    follows = reference_velocities(params)
-    to = F.create_map(*[F.lit(x) for pair in follows.items() for x in pair])
-    speeds = model.select(F.col("param").alias("_of"), "node", "velocity")
-    known = update.withColumn("_of", to[F.col("param")]).join(speeds, ["_of", "node"], "left").drop("_of").join(places, "node")
-    return smooth(known, lateral, radial, min_period, by=["param"], value="update")
+
+    def __init__(self, places, model, params, lateral, radial, min_period):
+        self.follows = reference_velocities(params)
+        self.places, self.lengths = places, (lateral, radial, min_period)
+        speeds = model.where(F.col("param").isin(sorted(set(self.follows.values()))))
+        self.nodes = speeds.select(F.col("param").alias("of"), "node", "velocity").join(places.select("node", "x", "y", "z"), "node")
+        self.matrix = self.place = None
+
+    def search(self):
+        """Writes (of, node, place) and the sparse matrix (of, node, place, w); a place is named by the least of its nodes."""
+        keys = ["of", "x", "y", "z"]
+        places = materialise(self.nodes.groupBy(*keys).agg(F.min("node").alias("place")), "places")
+        self.place = materialise(self.nodes.join(places, keys).select("of", "node", "place"), "nodes-of-places")
+        pairs, w = _near_places(self.nodes, places, *self.lengths, "velocity", ["of"])
+        self.matrix = materialise(pairs.select("a.of", "a.node", "b.place", w.alias("w")), "neighbours")
+
+    def __call__(self, update):
+        if self.matrix is None:
+            self.search()
+        to = F.create_map(*[F.lit(x) for pair in self.follows.items() for x in pair])
+        known = update.withColumn("of", to[F.col("param")]).join(self.place, ["of", "node"]).groupBy("of", "place").agg(
+            *[x for p in self.follows for own in (F.when(F.col("param") == p, F.col("update")),) for x in (F.sum(own).alias(f"_s_{p}"), F.count(own).alias(f"_n_{p}"))]
+        )
+        w = F.col("w")
+        means = [(F.sum(w * F.col(f"_s_{p}")) / F.sum(w * F.col(f"_n_{p}"))).alias(p) for p in self.follows]
+        mean = self.matrix.join(known, ["of", "place"]).groupBy("of", "node").agg(*means)
+        both = F.explode(F.array(*[F.struct(F.lit(p).alias("param"), F.col(p).alias("_mean")) for p in self.follows]))
+        long = mean.select("node", "of", both.alias("m")).where(to[F.col("m.param")] == F.col("of")).select("m.param", "node", "m._mean")
+        return update.join(long, ["param", "node"], "left").select("param", "node", F.coalesce("_mean", "update").alias("update"))
+
+
+def smooth_parameters(update, places, model, params, lateral, radial, min_period):
+    """An update (param, node, update) smoothed parameter by parameter, once; see ``ParameterSmoother``."""
+    return ParameterSmoother(places, model, params, lateral, radial, min_period)(update)
+
 
 
 def pair_summary(stations, tile=2048):
