@@ -6,6 +6,7 @@ from seispark.catalog.views import over, query
 from seispark.functions import geo
 from seispark.functions.columns import rnd
 from seispark.operators import fields, spatial
+from seispark.operators.chunks import number_sorted
 from seispark.sources import stores, tables
 
 # ---- sums, norms, clipping ------------------------------------------------
@@ -205,8 +206,8 @@ def region_of_interest(spark, folder):
 @query("layer_order", over("b_nodes", """select layer, cast(row_number() over (order by layer desc) - 1 as int) as position
   from (select distinct layer from b_nodes)"""))
 def layer_order(spark, folder):
-    layers = tables.nodes(spark, folder).select(F.collect_set("layer").alias("all"))
-    return layers.select(F.posexplode(F.reverse(F.array_sort("all"))).alias("position", "layer")).select("layer", "position")
+    layers = tables.nodes(spark, folder).select("layer").distinct()
+    return number_sorted(layers, [F.desc("layer")], "position").select("layer", F.col("position").cast("int").alias("position"))
 
 
 @query("arrange_params", """with p as (select p_partkey as node, case p_partkey % 6 when 0 then ['VS', 'VP'] when 1 then ['VP', 'VS', 'RHO']

@@ -506,8 +506,7 @@ def latest_task(spark, folder):
 
 @query("event_ordinal", "select c_custkey as event, cast(row_number() over (order by c_custkey) - 1 as varchar) as ordinal from customer")
 def event_ordinal(spark, folder):
-    events = tables.pool(spark, folder).select("event", F.lit(0).alias("all"))
-    numbered = chunks.number_rows(events, "all", ["event"], F.floor(F.col("event") / 1000), "ordinal")
+    numbered = chunks.number_sorted(tables.pool(spark, folder).select("event"), ["event"], "ordinal")
     return numbered.select("event", F.col("ordinal").cast("string").alias("ordinal"))
 
 

@@ -13,6 +13,8 @@ included.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from seispark.session import materialise
+
 CHUNK = 1 << 16
 
 
@@ -133,6 +135,19 @@ def number_rows(df, key, order, bucket, name="i"):
     )
 
 
+def number_sorted(df, order, name="i"):
+    """0-based number of every row of a table in the order of ``order``; ties in any order.
+
+    The rows are dealt by ranges and sorted once; only the counts of the partitions are summed up in order.
+    """
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_pos", F.monotonically_increasing_id())
+    ordered = materialise(ordered.withColumn("_part", F.shiftright("_pos", 33)), "numbered")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ordered.groupBy("_part").agg(F.count("*").alias("_rows"), F.min("_pos").alias("_first"))
+    starts = starts.select("_part", (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return ordered.join(starts, "_part").withColumn(name, F.col("_pos") + F.col("_shift")).drop("_pos", "_part", "_shift")
+
+
 def sibling(rows, columns, name, after=True):
     """Struct ``name`` of the columns of the next (or previous) row of the trace; rows may be sparse.
 
@@ -215,8 +230,7 @@ def map_chunks(samples, fn, schema, before=0, after=0, size=CHUNK):
     The frame holds the chunk in order of i, with ``before`` and ``after`` samples
     of its neighbours marked ``own = False``.
     """
-    edged = spread(with_halo(samples, before, after, size), "trace", "chunk")
-    return edged.groupBy("trace", "chunk").applyInPandas(lambda pdf: fn(pdf.sort_values("i")), schema)
+    return with_halo(samples, before, after, size).groupBy("trace", "chunk").applyInPandas(lambda pdf: fn(pdf.sort_values("i")), schema)
 
 
 def blocks(samples, columns, extra=()):

@@ -146,16 +146,9 @@ def lengths(samples):
 def trim_pad(samples, start, stop, column="v", size=CHUNK):
     """Exactly the indices [start, stop) of every trace, renumbered from 0; missing samples are 0."""
     ends = samples.groupBy("trace").agg(F.min("i").alias("first"), F.max("i").alias("last"))
-    gaps = ends.select(
-        "trace",
-        F.explode(
-            F.expr(
-                f"""concat(
-                  if(first > {start}, sequence({start}, least(first, {stop}) - 1), array()),
-                  if(last + 1 < {stop}, sequence(greatest(last + 1, {start}), {stop} - 1), array()))"""
-            )
-        ).alias("i"),
-    ).withColumn(column, F.lit(0.0))
+    around = F.expr(f"array(struct({start}L as low, least(first, {stop}) as high), struct(greatest(last + 1, {start}) as low, {stop}L as high))")
+    empty = ends.withColumn("g", F.explode(around)).select("trace", "g.low", (F.col("g.high") - F.col("g.low")).alias("gap"))
+    gaps = index_rows(empty, "gap", "at", size).select("trace", (F.col("low") + F.col("at")).alias("i"), F.lit(0.0).alias(column))
     kept = samples.where((F.col("i") >= start) & (F.col("i") < stop)).select("trace", "i", column)
     return with_chunk(kept.unionByName(gaps).withColumn("i", F.col("i") - start), size)
 

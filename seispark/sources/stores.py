@@ -46,9 +46,14 @@ def update_nodal(spark, path, old, new_iteration, new):
 
 
 def write_traces(samples, path):
-    """Chunk arrays (event, station, tag, chunk, samples), one folder per event."""
+    """Chunk arrays (event, station, tag, chunk, samples), one folder per event.
+
+    Rows are dealt by event, and a large event is split by size, so that the files of an event are as many as its
+    bytes need; in a file they are in order of station, so that its statistics tell which stations it can hold.
+    """
     packed = samples.groupBy("event", "station", "tag", "chunk").agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("p"))
-    packed.select("event", "station", "tag", "chunk", F.col("p.v").alias("samples")).write.mode("append").partitionBy("event").parquet(path)
+    rows = packed.select("event", "station", "tag", "chunk", F.col("p.v").alias("samples")).hint("rebalance", "event")
+    rows.sortWithinPartitions("event", "station", "tag", "chunk").write.mode("append").partitionBy("event").parquet(path)
     return path
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from seispark.functions import kernels
 from seispark.operators import chunks, correlate, traces, windows
+from seispark.session import fresh_path
+from seispark.sources import stores
 
 SIZE = 16
 
@@ -199,6 +201,33 @@ def test_cross_correlation(spark, noise):
             assert abs(c - full[lag + n - 1]) < 1e-10
 
 
+def test_numbers_of_sorted_rows(spark):
+    rows = [(k * 7919 % 503, "x") for k in range(503)] + [(None, "null")]
+    df = spark.createDataFrame(rows, "a int, b string").repartition(5)
+    got = chunks.number_sorted(df, [F.desc("a")], "n").collect()
+    assert [(r.a, r.n) for r in sorted(got, key=lambda r: r.n)] == [(502 - k, k) for k in range(503)] + [(None, 503)]
+    assert chunks.number_sorted(df.where("a < 0"), ["a"]).collect() == []
+
+
+@pytest.mark.parametrize("start, stop", [(0, 40), (-37, 9), (20, 140), (-50, 300), (110, 150), (-9, -3)])
+def test_trim_and_pad_over_many_chunks(spark, noise, start, stop):
+    got = read(traces.trim_pad(make(spark, noise), start, stop, size=SIZE), "v", {t: stop - start for t in noise})
+    for t, v in noise.items():
+        want = [v[i] if 0 <= i < len(v) else 0.0 for i in range(start, stop)]
+        np.testing.assert_allclose(got[t], want)
+
+
+def test_files_of_an_event(spark):
+    """However many tasks the rows come from, an event is one file as long as it is small."""
+    rows = spark.range(4000).selectExpr("id % 3 as event", "id % 50 as station", "'raw' as tag", "id div 1000 as chunk", "id as i", "1.0e0 as v")
+    path = stores.write_traces(rows.repartition(8), fresh_path(spark, "few-files"))
+    files = [f for f in stores.read_traces(spark, path).inputFiles()]
+    assert len(files) == 3
+    for f in files:
+        stations = [r.station for r in spark.read.parquet(f).select("station").collect()]
+        assert stations == sorted(stations)
+
+
 def test_best_shift(spark):
     s = np.sin(np.arange(100) / 3.0) * np.hanning(100)
     got = correlate.best_shift(make(spark, {1: (np.roll(s, -2), s)}, ("d", "s")), 5, SIZE).first()
