@@ -1,11 +1,11 @@
 """Corpus pipeline: each stage works on what the one before it kept."""
 
-from seispark.llm import decontaminate, line_dedup, packing, quality, simhash
+from seispark.llm import decontaminate, line_dedup, near_copies, packing, quality
 from seispark.session import materialise
 
-#: Near copies share 0.8 of their five-word shingles or more; 128-bit fingerprints of such texts differ by 19 bits on average, a deviation of 4.
-#: Texts of fewer than seven words have to be equal: of two shingles, one that differs is too much, and they set too few bits.
-NEAR = {"shingle": 5, "radius": 24, "lanes": 2, "blocks": 1, "least": 7}
+#: Near copies share 0.8 of their five-word shingles or more. Candidates have 128-bit fingerprints at most 28 bits apart: those of texts
+#: with that share differ by 19 bits on average, a deviation of 4. In a fingerprint a text of fewer than seven words is one shingle.
+NEAR = {"shingle": 5, "similarity": 0.8, "lanes": 2, "radius": 28, "least": 7}
 
 
 def classify_quality(spark, docs, sf_dir):
@@ -19,8 +19,8 @@ def drop_lines(spark, docs, sf_dir):
 
 
 def drop_near_copies(spark, docs, sf_dir):
-    """One document of each group of near copies: the one with the smallest id."""
-    return simhash.one_of_each(docs, **NEAR)
+    """One document of each group of near copies: the one with the smallest id (null first). Empty texts are copies of each other."""
+    return near_copies.one_of_each(docs, **NEAR)
 
 
 def drop_leaks(spark, docs, sf_dir):

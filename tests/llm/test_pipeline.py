@@ -1,16 +1,13 @@
 """The pipeline stage by stage against plain forms of each stage."""
 
-import itertools
-
 import corpus_pipeline
-import numpy as np
 import pytest
 from helpers import awkward, with_clash
 from test_decontaminate import plain_leaks
 from test_line_dedup import plain as plain_lines
+from test_near_copies import plain_alike, plain_groups, plain_set
 
 from seispark.llm import quality
-from seispark.llm.simhash import fingerprint
 from seispark.session import materialise
 
 STAGES = dict(corpus_pipeline.STAGES)
@@ -51,17 +48,12 @@ def test_line_dedup(results):
 
 
 def test_near_copies(results):
-    words = corpus_pipeline.NEAR
-    prints = {r["doc_id"]: np.frombuffer(fingerprint(r["text"].encode(), words["shingle"], words["lanes"], words["least"]), np.uint64) for r in results[2]}
-    label = {i: i for i in prints}
-    changed = True
-    while changed:
-        changed = False
-        for a, b in itertools.combinations(prints, 2):
-            if label[a] != label[b] and np.bitwise_count(prints[a] ^ prints[b]).sum() <= words["radius"]:
-                label[a] = label[b] = min(label[a], label[b])
-                changed = True
-    assert sorted(r["doc_id"] for r in results[3]) == sorted(set(label.values()))
+    rows = [(r["doc_id"], r["text"]) for r in results[2]]
+    label = plain_groups(rows, corpus_pipeline.NEAR["radius"], corpus_pipeline.NEAR["similarity"])
+    assert sorted(r["doc_id"] for r in results[3]) == sorted(min(i for (i, _), x in zip(rows, label) if x == root) for root in set(label))
+    sets = {i: plain_set(t) for i, t in rows}
+    gone = set(sets) - {r["doc_id"] for r in results[3]}
+    assert all(any(plain_alike(sets[i], sets[j]) for j in sets if j != i) for i in gone)
 
 
 def test_leaks(spark, small, results):
