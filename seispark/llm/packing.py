@@ -1,6 +1,6 @@
 """Best-fit packing of documents into sequences of several permitted lengths."""
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from heapq import heappop, heappush
 
 import numpy as np
@@ -17,6 +17,8 @@ SIZES = (512, 1024, 2048, 4096)
 #: A word with the blanks behind it; the first one also takes the blanks before it.
 WORD = r"\S+\s*|^\s+\S*\s*"
 BUCKETS = 256
+#: Copies of one row that are told apart at once.
+COPIES = 1 << 12
 
 
 def pieces(docs, longest, id_col="doc_id", text_col="text"):
@@ -30,13 +32,41 @@ def pieces(docs, longest, id_col="doc_id", text_col="text"):
     return part.select("_id", "_h", "piece", "start", F.least(F.lit(longest).cast("long"), F.col("_n") - F.col("start")).alias("length"))
 
 
+def preview(length, left, size, lengths, supply):
+    """What a new bin of this size will hold: {length: pieces}, falling lengths first of ``left`` pieces, then of those nobody has claimed."""
+    held, room, below = {length: min(size // length, left)}, size - min(size // length, left) * length, length
+    while (at := bisect_right(lengths, min(room, below - 1)) - 1) >= 0:
+        below = lengths[at]
+        held[below] = min(supply[below], room // below)
+        room -= held[below] * below
+    return held
+
+
+def choose(length, left, sizes, lengths, supply, overhead):
+    """(size, contents, bins): the size whose bin costs least for the words it will hold, and how many such bins to open alike.
+
+    A bin costs the least permitted size that holds its contents, and ``overhead``. The larger size on ties. The number of bins is
+    that for which no size's contents change as pieces are claimed, so the choice is the same as bin by bin.
+    """
+    views = {}
+    for size in sizes:
+        if size >= length:
+            held = preview(length, left, size, lengths, supply)
+            words = sum(k * n for k, n in held.items())
+            views[size] = held, (min(s for s in sizes if s >= words) + overhead) / words
+    size = min(views, key=lambda s: (views[s][1], -s))
+    held = views[size][0]
+    steps = [((left if k == length else supply[k]) - other[k]) // n for other, _ in views.values() for k, n in held.items() if k in other]
+    return size, held, 1 + min(steps)
+
+
 def plan(histogram, sizes, overhead=64):
     """Placements of pieces known by length and rank: (length, first rank, pieces, first bin, offset), and the number of bins.
 
     Best fit in order of falling length, on counts: bins with the same room are one entry, as ranges of bin numbers, so
     the work follows the number of lengths and not the number of pieces. A piece goes where the least room is
-    left over, the first such bin on ties. If no open bin has room, the size is opened whose cost (its length and ``overhead`` for the bin) is
-    least for the words that pieces of this length fill; the larger size on ties.
+    left over, the first such bin on ties. If no open bin has room, the size is opened that costs least for what the
+    lengths still to come will fill (``choose``); these pieces are claimed, so that later bins do not count on them.
     """
     rooms, open_bins = [], {}  # rooms in order; room -> ranges (first bin, bins, words used)
     placed, bins = [], 0
@@ -66,8 +96,11 @@ def plan(histogram, sizes, overhead=64):
         keep(room, (first + full, count - full, used))
         return rank
 
+    supply, lengths = dict(histogram), sorted(k for k, n in histogram if n)
     for length, number in sorted(histogram, reverse=True):
         rank = 0
+        if lengths and lengths[-1] == length:
+            lengths.pop()
         while rank < number:
             at = bisect_left(rooms, length)
             if at < len(rooms):
@@ -78,9 +111,13 @@ def plan(histogram, sizes, overhead=64):
                     del open_bins[room]
                 rank = fill(length, rank, number - rank, room, first, count, used)
             else:
-                size = min((s for s in sizes if s >= length), key=lambda s: ((s + overhead) / (s // length * length), -s))
-                count = -(-(number - rank) // (size // length))
-                rank = fill(length, rank, number - rank, size, bins, count, 0)
+                size, held, count = choose(length, number - rank, sizes, lengths, supply, overhead)
+                for k, n in held.items():
+                    if k != length:
+                        supply[k] -= n * count
+                        if not supply[k]:
+                            lengths.pop(bisect_left(lengths, k))
+                rank = fill(length, rank, min(number - rank, held[length] * count), size, bins, count, 0)
                 bins += count
     return placed, bins
 
@@ -107,7 +144,10 @@ def place(docs, sizes=SIZES, overhead=64, id_col="doc_id", text_col="text"):
     order = Window.partitionBy("length", "_bucket").orderBy("_id", "_h", "piece").rowsBetween(Window.unboundedPreceding, -1)
     ranked = same.withColumn("_in", F.coalesce(F.sum("_copies").over(order), F.lit(0))).join(starts, ["length", "_bucket"])
     ranked = ranked.withColumn("_first", F.col("_from") + F.col("_in"))
-    ranked = ranked.withColumn("_rank", F.explode(F.sequence("_first", F.col("_first") + F.col("_copies") - 1)))
+    # a row repeated very often is exploded block by block, so that no array holds all its copies
+    last = F.col("_first") + F.col("_copies") - 1
+    ranked = ranked.withColumn("_last", last).withColumn("_at", F.explode(F.sequence("_first", "_last", F.lit(COPIES).cast("long"))))
+    ranked = ranked.withColumn("_rank", F.explode(F.sequence("_at", F.least("_last", F.col("_at") + COPIES - 1))))
 
     def look_up(frames):
         wide = np.int64(1) << np.int64(44)
