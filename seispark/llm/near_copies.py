@@ -169,6 +169,18 @@ def verified(links, docs, shingle, similarity, text_col):
     return pairs.select("a", "b", "_x", "_y").mapInArrow(decide, "a long, b long")
 
 
+def relabelled(label, links):
+    """(_h, root) after more links: those of a later round connect groups, so that only their roots go through the search."""
+    if label is None:
+        return components(links).withColumnRenamed("node", "_h")
+    for end in "a", "b":
+        roots = label.select(F.col("_h").alias(end), F.col("root").alias("_root"))
+        links = links.join(roots, end, "left").withColumn(end, F.coalesce("_root", end)).drop("_root")
+    new = materialise(components(links.select("a", "b")), "new-roots").select(F.col("node").alias("_h"), F.col("root").alias("_new"))
+    old = label.join(new.withColumnRenamed("_h", "root"), "root", "left").select("_h", F.coalesce("_new", "root").alias("root"))
+    return old.unionByName(new.join(label, "_h", "left_anti").withColumnRenamed("_new", "root"))
+
+
 def near_copies(docs, shingle=5, similarity=0.8, lanes=2, radius=28, least=7, tile=4096, fan=8, id_col="doc_id", text_col="text"):
     """(_id, _h, root) of every row; rows share ``root`` if links lead from one to the other.
 
@@ -185,13 +197,13 @@ def near_copies(docs, shingle=5, similarity=0.8, lanes=2, radius=28, least=7, ti
     texts = materialise(prints.groupBy("_h").agg(F.first("_fp").alias("_fp"), F.first("_cell").alias("_cell")), "texts")
     sizes = materialise(texts.groupBy("_cell").agg(F.ceil(F.count("*") / tile).alias("_subs")), "cells")
     own = texts.withColumn("_label", F.col("_h"))
-    links, cursor, take = None, None, FIRST
+    label, cursor, take = None, None, FIRST
     while True:
         met = meetings(materialise(tiles_of(own, sizes), "tiles"), sizes, radius, lanes, fan)
         found = materialise(candidates(met, cursor, lanes, radius, take), "candidates")
-        good = verified(found.where("b is not null").select("a", "b"), docs, shingle, similarity, text_col)
-        links = materialise(good if links is None else good.unionByName(links), "near-links")
-        label = materialise(components(links).withColumnRenamed("node", "_h"), "roots")
+        links = materialise(verified(found.where("b is not null").select("a", "b"), docs, shingle, similarity, text_col), "near-links")
+        if label is None or not links.isEmpty():
+            label = materialise(relabelled(label, links), "roots")
         cursor, take = found.where("b is null"), take * GROWTH
         if cursor.isEmpty():
             return prints.join(label, "_h", "left").select("_id", "_h", F.coalesce("root", "_h").alias("root"))
