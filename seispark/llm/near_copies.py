@@ -69,25 +69,34 @@ def meetings(tiles, sizes, radius, lanes, fan):
     return home.unionByName(visit)
 
 
+def mixed(a, b):
+    """Places of text hashes ``b`` in the orders of ``a``; for one ``a`` no two different hashes have one place."""
+    x = a ^ b
+    for shift, factor in (30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return (x ^ (x >> np.uint64(31))).view(np.int64)
+
+
 def name_candidates(home, rest, same, active, lanes, radius, take):
     """Links from rows of ``home`` to rows of ``rest`` within the radius whose labels differ: (i, j, steps), and which rows have more.
 
     Both are arrays (fingerprint, text hash, label) in their order; ``same`` marks rows of ``rest`` that are of the home
-    tile, of which only later ones count. ``active`` has the rows that look, and the steps they have gone. Each row
-    starts at its own place in ``rest`` and goes around it, so that no row is named by all others.
+    tile, of which only later ones count. ``active`` has the rows that look, and the place each begins at. Each row
+    goes through ``rest`` in an order of its own, mixed from both text hashes: no row is named by all others, and links
+    of a group lie so that few steps lead from one text to any other, which keeps the component search short.
     """
     out, more = [], []
     block = max(1, (1 << 20) // max(1, len(rest)))
     others = [np.ascontiguousarray(rest[:, k]) for k in range(lanes)]
     for lo in range(0, len(active), block):
-        rows, gone = active[lo : lo + block].T
+        rows, start = active[lo : lo + block].T
         apart = np.bitwise_count(home[rows, 0, None] ^ others[0])
         for k in range(1, lanes):
             apart += np.bitwise_count(home[rows, k, None] ^ others[k])
         at, j = np.nonzero(apart <= radius)
         i = rows[at]
-        steps = (j - i * len(rest) // len(home)) % len(rest)
-        left = (home[i, -1] != rest[j, -1]) & (steps > gone[at])
+        steps = mixed(home[i, -2], rest[j, -2])
+        left = (home[i, -1] != rest[j, -1]) & (steps >= start[at])
         mine = same[j]
         left &= ~mine | (home[i, -2] < rest[j, -2])
         i, j, steps = i[left], j[left], steps[left]
@@ -97,13 +106,13 @@ def name_candidates(home, rest, same, active, lanes, radius, take):
         kept = rank < take
         out.append(np.stack([i[kept], j[kept]], axis=1))
         last = (rank == take - 1) & np.append(i[1:] == i[:-1], False)
-        more.append(np.stack([i[last], steps[last]], axis=1))
+        more.append(np.stack([i[last], steps[last] + 1], axis=1))  # a larger place follows
     none = np.zeros((0, 2), np.int64)
     return np.concatenate([none, *out]), np.concatenate([none, *more])
 
 
 def candidates(met, cursor, lanes, radius, take):
-    """(a, b, key, gone): links between text hashes; rows with a null ``b`` tell who has more candidates, and how far it has gone.
+    """(a, b, key, start): links between text hashes; rows with a null ``b`` tell who has more candidates, and where they begin.
 
     ``cursor`` has such rows of the round before, or is None in the first round.
     """
@@ -114,28 +123,28 @@ def candidates(met, cursor, lanes, radius, take):
 
     def compare(key, pdf, state=None):
         own, rest = pdf[pdf["_side"] == 0], pdf[pdf["_side"] == 1]
-        empty = pd.DataFrame({"a": [], "b": [], "_c": [], "_s": [], "_k": [], "gone": []}, dtype="Int64")
+        empty = pd.DataFrame({"a": [], "b": [], "_c": [], "_s": [], "_k": [], "start": []}, dtype="Int64")
         if own.empty or rest.empty:
             return empty
         home, visitors = rows_of(own["_tile"].iloc[0]), rows_of(b"".join(rest["_tile"]))
         twin = rest[(rest["_cell"] == rest["_c"]) & (rest["_sub"] == rest["_s"])]
         same = np.isin(visitors[:, -2], home[:, -2]) if len(twin) else np.zeros(len(visitors), bool)
         if state is None:
-            active = np.stack([np.arange(len(home)), np.full(len(home), -1)], axis=1)
+            active = np.stack([np.arange(len(home)), np.full(len(home), np.iinfo(np.int64).min)], axis=1)
         else:
             at = np.searchsorted(home[:, -2], state["a"].to_numpy(np.int64).view(np.uint64))
-            active = np.stack([at, state["gone"].to_numpy(np.int64)], axis=1)
+            active = np.stack([at, state["start"].to_numpy(np.int64)], axis=1)
         links, more = name_candidates(home, visitors, same, active, lanes, radius, take)
         named = home[:, -2].view(np.int64) if home[:, -2].flags.c_contiguous else home[:, -2].copy().view(np.int64)
         found = visitors[:, -2].copy().view(np.int64)
         a = np.concatenate([named[links[:, 0]], named[more[:, 0]]])
         b = np.concatenate([found[links[:, 1]], np.zeros(len(more), np.int64)])
-        out = pd.DataFrame({"a": a, "b": pd.array(b, "Int64"), "_c": key[0], "_s": key[1], "_k": key[2], "gone": 0})
+        out = pd.DataFrame({"a": a, "b": pd.array(b, "Int64"), "_c": key[0], "_s": key[1], "_k": key[2], "start": 0})
         out.loc[len(links) :, "b"] = pd.NA
-        out.loc[len(links) :, "gone"] = more[:, 1]
+        out.loc[len(links) :, "start"] = more[:, 1]
         return out
 
-    schema = "a long, b long, _c long, _s long, _k long, gone long"
+    schema = "a long, b long, _c long, _s long, _k long, start long"
     if cursor is None:
         return met.groupBy(*KEY).applyInPandas(lambda key, pdf: compare(key, pdf), schema)
     met = met.join(cursor.select(*KEY).distinct(), KEY, "left_semi")
