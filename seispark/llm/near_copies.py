@@ -12,7 +12,9 @@ from seispark.llm.text import row_key, with_fields
 from seispark.session import materialise
 
 #: Candidates that a text names in one group of tiles in the first round; each round names so many times more.
-FIRST, GROWTH = 4, 8
+FIRST, GROWTH = 16, 16
+#: Links that one task shortens at a time.
+SHORTEN = 1 << 18
 KEY = ["_c", "_s", "_k"]
 
 
@@ -178,8 +180,36 @@ def verified(links, docs, shingle, similarity, text_col):
     return pairs.select("a", "b", "_x", "_y").mapInArrow(decide, "a long, b long")
 
 
+def forest(a, b):
+    """Links (node, least) of every node of the links (a, b) to the least node reachable over them, but for the least nodes themselves."""
+    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j = place[: len(a)], place[len(a) :]
+    label, before = np.arange(len(nodes)), None
+    while before is None or (label != before).any():
+        before = label.copy()
+        least = np.minimum(label[i], label[j])
+        np.minimum.at(label, label[i], least)  # the root that an end had follows, so that steps grow
+        np.minimum.at(label, label[j], least)
+        label = label[label]
+    moved = label != np.arange(len(nodes))
+    return nodes[moved], nodes[label[moved]]
+
+
+def shortened(links, size=SHORTEN):
+    """Links (a, b) that connect the same nodes by shorter ways: parts of about ``size`` links become stars, each in a task of its own."""
+
+    def work(batches):
+        parts = [(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)) for batch in batches]
+        if parts:
+            a, b = forest(*(np.concatenate(ends) for ends in zip(*parts)))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return links.select("a", "b").repartition(1 + links.count() // size).mapInArrow(work, "a long, b long")
+
+
 def relabelled(label, links):
     """(_h, root) after more links: those of a later round connect groups, so that only their roots go through the search."""
+    links = shortened(links)
     if label is None:
         return components(links).withColumnRenamed("node", "_h")
     for end in "a", "b":

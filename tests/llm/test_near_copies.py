@@ -107,3 +107,22 @@ def test_sets():
     assert len(near_copies.shingle_set(b"", 5)) == 0 and len(near_copies.shingle_set(b"a B", 5)) == 1
     a, b = (near_copies.shingle_set(t, 5) for t in (b"a b c d e f g h", b"A b  c d e f g h i"))
     assert len(a) == 4 and len(b) == 5 and near_copies.alike(a, b, 0.8) and not near_copies.alike(a, b[1:], 0.8)
+
+
+def test_links_shortened_connect_the_same(spark):
+    random.seed(5)
+    chain = [(k, k + 1) for k in range(-40, 40)]
+    links = [*chain, *[(random.randrange(1000, 1200), random.randrange(1000, 1200)) for _ in range(90)], (7, 7), (2000, 2000)]
+    near = {x: {x} for link in links for x in link}
+    for a, b in links:
+        both = near[a] | near[b]
+        for x in both:
+            near[x] = both
+    least = {x: min(group) for x, group in near.items()}
+    a, b = near_copies.forest(*(np.array(ends) for ends in zip(*links)))
+    assert dict(zip(a.tolist(), b.tolist())) == {x: m for x, m in least.items() if x != m}
+    table = spark.createDataFrame(links, "a long, b long")
+    for size in 1, 7, 1000:
+        found = near_copies.relabelled(None, near_copies.shortened(table, size)).collect()
+        assert {r["_h"]: r["root"] for r in found} == {x: m for x, m in least.items() if len(near[x]) > 1}
+    assert near_copies.shortened(table.limit(0)).count() == 0
