@@ -183,3 +183,40 @@ def phase_weights(c, m, min_period, max_period, dt):
     loud = 1 - np.exp(-((np.abs(c) / m) ** 2)) if m > 0 else np.zeros(c.shape)
     band = (1 - np.exp(-((nu * max_period) ** 2))) * np.where(nu <= 1 / min_period, 1.0, np.exp(-10 * np.abs(nu * min_period - 1)))
     return loud * band
+
+
+def gaussian_sums(own, other, lateral, radial, sums, met, block=64):
+    """Adds to ``sums`` (a row per node, a column per value) the values of the places within three sigma, times their weight.
+
+    ``own`` are x, y, z, velocity and number of rows of the nodes, ``other`` x, y, z of the places and
+    their values. Sigma is a length times the velocity. ``met`` marks nodes with a place in reach. Nodes near one another are
+    worked on together, with the places that the box around them and their reach holds.
+    """
+    x, y, z, v, m = own
+    r = np.sqrt(x * x + y * y + z * z)
+    a = np.stack([x, y, z, r])
+    p, values = np.stack([*other[:3], np.sqrt(other[0] * other[0] + other[1] * other[1] + other[2] * other[2])]), np.stack(other[3:], axis=1)
+    far = 3 * max(lateral, radial) * v * (1 + 1e-9)
+    step = far.max()
+    with np.errstate(invalid="ignore"):
+        order = np.lexsort([np.floor(2 * c / step) for c in a[:3]]) if 0 < step < np.inf else np.arange(len(v))
+    for k in range(0, len(order), block):
+        at = order[k : k + block]
+        low, high = (a[:, at] - far[at]).min(axis=1), (a[:, at] + far[at]).max(axis=1)
+        near = np.flatnonzero(~((p < low[:, None]) | (p > high[:, None])).any(axis=0))
+        if not len(near):
+            continue
+        dx, dy, dz, dr = (a[c, at, None] - p[c, near] for c in range(4))
+        radius2 = dr * dr
+        across = np.maximum(dx * dx + dy * dy + dz * dz - radius2, 0.0)
+        u2 = radius2 / (radial * v[at, None]) ** 2 + across / (lateral * v[at, None]) ** 2
+        inside = u2 <= 9
+        w = np.exp(-0.5 * np.where(inside, u2, np.inf)) * m[at, None]
+        met[at] |= inside.any(axis=1)
+        mine = values[near]
+        odd = ~np.isfinite(mine).all(axis=1)
+        if odd.any():  # no weight of zero may meet them
+            some = np.where(inside[:, odd, None], w[:, odd, None] * mine[odd], 0.0)
+            sums[at] += some.sum(axis=1)
+            w, mine = w[:, ~odd], mine[~odd]
+        sums[at] += w @ mine

@@ -2,15 +2,20 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seispark.functions import kernels
 from seispark.functions.geo import squared_distance
 from seispark.operators.chunks import spread
+from seispark.operators.fourier import _lists as lists
 from seispark.session import materialise
 
 CELL = ["cx", "cy", "cz"]
+#: Nodes and places of a tile, and tiles of nodes that are one part of a crowded cell.
+HOME, VISIT, TOGETHER = 512, 2048, 16
 
 
 def with_cell(points, size):
@@ -121,35 +126,84 @@ def interpolate(weights, fields):
     return weights.join(fields, "source").groupBy("node", "param").agg(F.sum(F.col("w") * F.col("value")).alias("value"))
 
 
-def _near_places(nodes, places, lateral, radial, min_period, velocity, by):
-    """Pairs of a node (a) and a place (b) within three sigma of it, and their weight.
+def _home_tiles(nodes, lateral, radial, min_period, velocity, by):
+    """Nodes that are smoothed, packed by cell: (*by, size, cx, cy, cz, _part) and an array for each of node, x, y, z, its velocity and its number of rows.
 
-    sigma = length * velocity * min_period per node; the radial and the lateral
-    part of the distance are scaled by their own sigma. Only nodes with equal ``by``
-    meet. Cells are as wide as the node's own reach, to the next power of two, so a
-    fast region does not widen the search of a slow one; a place is copied once for
-    each width in use. A node without a velocity above 0 has none.
+    sigma = length * velocity * min_period per node. Cells are as wide as the node's own reach of three sigma, to
+    the next power of two, so a fast region does not widen the search of a slow one. A cell holds tiles of about
+    ``HOME`` nodes, of which ``TOGETHER`` are one part. A node without a velocity above 0 has none. The tiles are a written table.
     """
-    r = F.sqrt(F.col("x") ** 2 + F.col("y") ** 2 + F.col("z") ** 2)
-    width = F.pow(F.lit(2.0), F.ceil(F.log2(F.lit(3.0 * max(lateral, radial) * min_period) * F.col(velocity))))
-    own = nodes.where(F.col(velocity) > 0).withColumns({"r": r, "size": width})
-    # one row for each power of two in use
-    sizes = own.agg(F.sort_array(F.collect_set("size")).alias("sizes"))
-    # both are few bytes but much work: all tasks get some of whichever is streamed past the other
-    a = spread(own, "node").withColumns({c: F.floor(F.col(k) / F.col("size")) for c, k in zip(CELL, "xyz")}).alias("a")
-    b = spread(places, "x", "y", "z").withColumn("r", r).withColumn("size", F.explode(sizes.scalar()))
-    for c, k in zip(CELL, "xyz"):
-        at = F.floor(F.col(k) / F.col("size"))
-        b = b.withColumn(c, F.explode(F.array(at - 1, at, at + 1)))
-    b = b.alias("b")
-    same = F.lit(True)
-    for c in [*by, "size", *CELL]:
-        same = same & (F.col(f"a.{c}") == F.col(f"b.{c}"))
-    d2 = squared_distance({k: F.col(f"a.{k}") for k in "xyz"}, {k: F.col(f"b.{k}") for k in "xyz"})
-    dr = F.col("a.r") - F.col("b.r")
-    along, across = (F.lit(length) * F.col(f"a.{velocity}") * min_period for length in (radial, lateral))
-    u2 = dr * dr / (along * along) + F.greatest(d2 - dr * dr, F.lit(0.0)) / (across * across)
-    return a.join(b, same & (u2 <= 9)), F.exp(-u2 / 2)
+    width = F.pow(F.lit(2.0), F.ceil(F.log2(F.lit(3.0 * max(lateral, radial) * min_period) * F.col("v"))))
+    own = nodes.where(F.col(velocity) > 0).groupBy(*by, "node", *"xyz", F.col(velocity).cast("double").alias("v")).agg(F.count("*").alias("m"))
+    own = own.withColumn("size", width).withColumns({c: F.floor(F.col(k) / F.col("size")) for c, k in zip(CELL, "xyz")})
+    return materialise(_packed(own, [*by, "size", *CELL], ["node", *"xyz", "v", "m"], HOME, ("node", *"xyz")), "home-tiles")
+
+
+def _packed(rows, keys, columns, most, dealt):
+    """Rows of each key in tiles of about ``most`` rows (_tile, and _part of ``TOGETHER`` tiles), an array per column."""
+    tiles = rows.groupBy(*keys).agg(F.ceil(F.count("*") / most).alias("_tiles"))
+    # bounded memory whatever the rows of a key: no side is broadcast on a guess of its size
+    own = rows.join(tiles.hint("merge"), keys).withColumn("_tile", F.pmod(F.xxhash64(*dealt), F.col("_tiles")))
+    packed = own.groupBy(*keys, "_tile").agg(F.collect_list(F.struct(*columns)).alias("p"))
+    return packed.select(*keys, "_tile", F.floor(F.col("_tile") / TOGETHER).alias("_part"), *[F.col(f"p.{c}").alias(c) for c in columns])
+
+
+def _gaussian_sums(home, places, values, lateral, radial, min_period, by):
+    """(*by, node, *values): sums of the values (null: zero) of the places within three sigma of a node, times their Gaussian weight.
+
+    The radial and the lateral part of the distance are scaled by their own sigma. Only nodes and places with equal
+    ``by`` meet. A place visits the 27 cells around it, once for each width in use, in tiles that are
+    joined to the tiles of nodes by cell and part; two tiles meet in one vectorised call, and no pair is a row. The sums of a
+    node come in several rows, at least one for each part of the places that it meets.
+    """
+    keys = [*by, "size", *CELL]
+    parts = home.groupBy(*keys).agg((F.max("_part") + 1).alias("_parts"))
+    used = home.agg(F.sort_array(F.collect_set("size")).alias("sizes"))  # one number for each power of two in use
+    filled = places.withColumns({v: F.coalesce(v, F.lit(0.0)) for v in values})
+    at = filled.withColumn("size", F.explode(used.scalar())).withColumns({c: F.floor(F.col(k) / F.col("size")) for c, k in zip(CELL, "xyz")})
+    visit = _packed(at, keys, [*"xyz", *values], VISIT, tuple("xyz")).drop("_tile", "_part")
+    for c in CELL:
+        visit = visit.withColumn(c, F.explode(F.array(F.col(c) - 1, F.col(c), F.col(c) + 1)))
+    visit = visit.join(parts.hint("merge"), keys).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)))
+    visit = visit.select(*keys, "_part", *[F.col(k).alias(f"_{k}") for k in "xyz"], *values)
+    # few bytes but much work: all tasks get some parts
+    met = spread(home, *keys, "_part").join(spread(visit, *keys, "_part").hint("merge"), [*keys, "_part"])
+    kept = [home.schema[c] for c in by] + [T.StructField("node", home.schema["node"].dataType.elementType)]
+    schema = T.StructType(kept + [T.StructField(v, T.DoubleType()) for v in values])
+
+    def work(batches):
+        at = None  # the tile of nodes at hand, whose visitors follow one another, and those not yet summed up
+
+        def add():
+            own, waiting = at["own"], at["waiting"]
+            if waiting:
+                other = [np.concatenate(x) for x in zip(*waiting)]
+                kernels.gaussian_sums(own, other, lateral * min_period, radial * min_period, at["sums"], at["met"])
+                waiting.clear()
+
+        def summed():
+            add()
+            nodes = at["node"].filter(pa.array(at["met"]))
+            names = [at["head"].column(c).take(pa.array(np.zeros(len(nodes), np.int64))) for c in by]
+            return pa.RecordBatch.from_arrays([*names, nodes, *[pa.array(x) for x in np.ascontiguousarray(at["sums"][at["met"]].T)]], schema.names)
+
+        for batch in batches:
+            ids = list(zip(*[batch.column(c).to_pylist() for c in [*keys, "_tile"]]))
+            own, other = ([lists(batch.column(c)) for c in names] for names in ([*"xyz", "v", "m"], ["_x", "_y", "_z", *values]))
+            for row, key in enumerate(ids):
+                if at is None or at["key"] != key:
+                    if at is not None:
+                        yield summed()
+                    n = len(own[0][row])
+                    at = {"key": key, "own": [c[row] for c in own], "node": batch.column("node")[row].values, "head": batch.select(by).slice(row, 1)}
+                    at |= {"sums": np.zeros((n, len(values))), "met": np.zeros(n, bool), "waiting": []}
+                at["waiting"].append([c[row] for c in other])
+                if sum(len(x[0]) for x in at["waiting"]) >= VISIT:
+                    add()
+        if at is not None:
+            yield summed()
+
+    return met.select(*keys, "_tile", "node", *"xyz", "v", "m", "_x", "_y", "_z", *values).mapInArrow(work, schema)
 
 
 def smooth(nodes, lateral, radial, min_period, velocity="velocity", by=(), value="value"):
@@ -159,9 +213,10 @@ def smooth(nodes, lateral, radial, min_period, velocity="velocity", by=(), value
     pairs go straight into a partial sum. A node without a velocity above 0 keeps its value.
     """
     by = list(by)
-    places = nodes.groupBy(*by, "x", "y", "z").agg(F.sum(value).alias("total"), F.count(value).alias("copies"))
-    pairs, w = _near_places(nodes, places, lateral, radial, min_period, velocity, by)
-    mean = pairs.groupBy(*[F.col(f"a.{c}") for c in by], "a.node").agg((F.sum(w * F.col("b.total")) / F.sum(w * F.col("b.copies"))).alias("_mean"))
+    places = nodes.groupBy(*by, "x", "y", "z").agg(F.sum(value).cast("double").alias("_total"), F.count(value).cast("double").alias("_copies"))
+    home = _home_tiles(nodes, lateral, radial, min_period, velocity, by)
+    sums = _gaussian_sums(home, places, ["_total", "_copies"], lateral, radial, min_period, by)
+    mean = sums.groupBy(*by, "node").agg(F.try_divide(F.sum("_total"), F.sum("_copies")).alias("_mean"))
     return nodes.join(mean, [*by, "node"], "left").select(*by, "node", F.coalesce("_mean", value).alias(value))
 
 
@@ -177,35 +232,36 @@ class ParameterSmoother:
     """Smooths updates (param, node, update) parameter by parameter, with one neighbour search for all of them.
 
     ``places`` has x, y, z of each node, ``model`` (param, node, velocity) the velocities that the smoothing lengths
-    follow. Parameters that follow one velocity share their neighbours: the sparse matrix of each velocity is written
-    once, at the first update, and every update is a product with it of all those parameters at a time.
+    follow. Parameters that follow one velocity share their neighbours: the nodes of each velocity are written once in tiles of cells, at
+    the first update, and each update goes past the tiles with all those parameters at a time. Weights are cheaper to
+    compute again than to keep: they grow with the square of the nodes, the tiles with the nodes.
     """
 
     def __init__(self, places, model, params, lateral, radial, min_period):
         self.follows = reference_velocities(params)
         self.places, self.lengths = places, (lateral, radial, min_period)
         speeds = model.where(F.col("param").isin(sorted(set(self.follows.values()))))
-        self.nodes = speeds.select(F.col("param").alias("of"), "node", "velocity").join(places.select("node", "x", "y", "z"), "node")
-        self.matrix = self.place = None
+        self.nodes = speeds.select(F.col("param").alias("of"), "node", "velocity").join(places.select("node", "x", "y", "z").hint("merge"), "node")
+        self.home = self.places_of = self.place = None
 
     def search(self):
-        """Writes (of, node, place) and the sparse matrix (of, node, place, w); a place is named by the least of its nodes."""
+        """Writes (of, node, place), the places and the tiles of nodes; a place is named by the least of its nodes."""
         keys = ["of", "x", "y", "z"]
-        places = materialise(self.nodes.groupBy(*keys).agg(F.min("node").alias("place")), "places")
-        self.place = materialise(self.nodes.join(places, keys).select("of", "node", "place"), "nodes-of-places")
-        pairs, w = _near_places(self.nodes, places, *self.lengths, "velocity", ["of"])
-        self.matrix = materialise(pairs.select("a.of", "a.node", "b.place", w.alias("w")), "neighbours")
+        self.places_of = materialise(self.nodes.groupBy(*keys).agg(F.min("node").alias("place")), "places")
+        self.place = materialise(self.nodes.join(self.places_of, keys).select("of", "node", "place"), "nodes-of-places")
+        self.home = _home_tiles(self.nodes, *self.lengths, "velocity", ["of"])
 
     def __call__(self, update):
-        if self.matrix is None:
+        if self.home is None:
             self.search()
         to = F.create_map(*[F.lit(x) for pair in self.follows.items() for x in pair])
         known = update.withColumn("of", to[F.col("param")]).join(self.place, ["of", "node"]).groupBy("of", "place").agg(
-            *[x for p in self.follows for own in (F.when(F.col("param") == p, F.col("update")),) for x in (F.sum(own).alias(f"_s_{p}"), F.count(own).alias(f"_n_{p}"))]
+            *[x for p in self.follows for own in (F.when(F.col("param") == p, F.col("update")),) for x in (F.sum(own).cast("double").alias(f"_s_{p}"), F.count(own).cast("double").alias(f"_n_{p}"))]
         )
-        w = F.col("w")
-        means = [(F.sum(w * F.col(f"_s_{p}")) / F.sum(w * F.col(f"_n_{p}"))).alias(p) for p in self.follows]
-        mean = self.matrix.join(known, ["of", "place"]).groupBy("of", "node").agg(*means)
+        values = [f"_{k}_{p}" for p in self.follows for k in "sn"]
+        sums = _gaussian_sums(self.home, self.places_of.join(known, ["of", "place"]), values, *self.lengths, ["of"])
+        means = [F.try_divide(F.sum(f"_s_{p}"), F.sum(f"_n_{p}")).alias(p) for p in self.follows]
+        mean = sums.groupBy("of", "node").agg(*means)
         both = F.explode(F.array(*[F.struct(F.lit(p).alias("param"), F.col(p).alias("_mean")) for p in self.follows]))
         long = mean.select("node", "of", both.alias("m")).where(to[F.col("m.param")] == F.col("of")).select("m.param", "node", "m._mean")
         return update.join(long, ["param", "node"], "left").select("param", "node", F.coalesce("_mean", "update").alias("update"))
