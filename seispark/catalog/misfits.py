@@ -94,7 +94,7 @@ def gabor_transform(spark, folder):
 ok as (select trace, k from (select *, max(top) over (partition by trace) as most from sp) where top >= 0.01e0*most)
 select g.trace, g.m as i, round(sum(f*{G.format(x='m - g.k')}), 6) + 0.0e0 as signal from gf g join ok on ok.trace = g.trace and ok.k = g.k group by g.trace, g.m"""))
 def inverse_tf(spark, folder):
-    t = materialise(timefrequency.gabor(_pair(spark, folder), WIDTH), "spectra")
+    t = timefrequency.gabor(_pair(spark, folder), WIDTH, tops=True)
     return timefrequency.inverse(t, WIDTH).select("trace", "i", rnd("re", 6).alias("signal"))
 
 

@@ -51,9 +51,11 @@ def steps(first, last, n):
 
 
 def _spectra(rows, columns, size, compute):
-    """(trace, n, k, re, im) of all positions of the blocks, a few rows at a time."""
-    trace = T.StructField("trace", rows.schema["trace"].dataType)
+    """(trace, n, k, re, im) of all positions of the blocks, a few rows at a time; ``top`` of the rows is kept if they have it."""
+    trace, tops = T.StructField("trace", rows.schema["trace"].dataType), [c for c in rows.columns if c == "top"]
     schema = T.StructType([trace, T.StructField("n", T.LongType()), T.StructField("k", T.IntegerType()), T.StructField("re", DOUBLES), T.StructField("im", DOUBLES)])
+    for c in tops:
+        schema = schema.add(c, T.DoubleType())
 
     def work(batches):
         for batch in batches:
@@ -64,19 +66,35 @@ def _spectra(rows, columns, size, compute):
                     z = compute(*[v[row] for v in values], lo, n, ks, top)
                     ends = pa.array(np.arange(0, len(ks) * n + 1, n, dtype=np.int32))
                     parts = [pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(x).ravel())) for x in (z.real, z.imag)]
-                    names = batch.column("trace").take(pa.array(np.full(len(ks), row)))
-                    yield pa.RecordBatch.from_arrays([names, pa.array(np.full(len(ks), n)), pa.array(ks.astype(np.int32)), *parts], [f.name for f in schema])
+                    names, *largest = (batch.column(c).take(pa.array(np.full(len(ks), row))) for c in ["trace", *tops])
+                    yield pa.RecordBatch.from_arrays([names, pa.array(np.full(len(ks), n)), pa.array(ks.astype(np.int32)), *parts, *largest], [f.name for f in schema])
 
     return rows.mapInArrow(work, schema)
 
 
-def gabor(samples, width, dt=1.0, column="s", threshold=1e-2):
-    """(trace, n, k, re, im): spectra of the signal under a Gaussian window at every sample k."""
+def gabor(samples, width, dt=1.0, column="s", threshold=1e-2, tops=False):
+    """(trace, n, k, re, im): spectra of the signal under a Gaussian window at every sample k.
+
+    With ``tops`` also ``top``, the largest size in all spectra of the trace: a pass over the blocks of its own finds it, so
+    that it meets blocks of samples and not the spectra, which are far larger.
+    """
+    size = block_size(width, dt)
 
     def compute(v, lo, n, ks, top):
         return kernels.gabor_rows(v, lo, n, ks, width, dt, top, threshold)
 
-    return _spectra(series_blocks(samples, [column], width, dt), [column], block_size(width, dt), compute)
+    @F.pandas_udf(T.DoubleType())
+    def largest_size(v: pd.Series, lo: pd.Series, n: pd.Series, chunk: pd.Series, top: pd.Series) -> pd.Series:
+        blocks = zip(v, lo, n, chunk, top)
+        return pd.Series([np.max([np.abs(compute(x, at, count, ks, t)).max() for ks in steps(c * size, min((c + 1) * size, count), count)]) for x, at, count, c, t in blocks])
+
+    rows = series_blocks(samples, [column], width, dt)
+    if tops:
+        rows = materialise(rows, "series")
+        level = rows.select("trace", largest_size(column, "lo", "n", "chunk", f"top_{column}").alias("size")).groupBy("trace")
+        # a size that is no number comes back as null, and is the largest
+        rows = rows.join(level.agg(F.when(F.count("size") == F.count("*"), F.max("size")).otherwise(float("nan")).alias("top")), "trace")
+    return _spectra(rows, [column], size, compute)
 
 
 def correlation_spectra(samples, width, dt=1.0, threshold=1e-2):
@@ -92,6 +110,7 @@ def inverse(spectra, width, dt=1.0, threshold=1e-2):
     """Signal (trace, i, re, im) from spectra: inverse transform per row, then a Gaussian-weighted sum over the rows.
 
     Rows are summed up by blocks of positions within a batch first, so only what a block's Gaussians reach is shuffled.
+    Spectra that have the largest size of their trace as ``top`` are read once and not shuffled.
     """
     reach, block = reach_of(width, dt), block_size(width, dt)
     trace = T.StructField("trace", spectra.schema["trace"].dataType)
@@ -118,9 +137,10 @@ def inverse(spectra, width, dt=1.0, threshold=1e-2):
                 names = batch.column("trace").take(pa.array(np.full(len(x), row)))
                 yield pa.RecordBatch.from_arrays([names, pa.array(first + np.arange(len(x))), pa.array(x.real.copy()), pa.array(x.imag.copy())], [f.name for f in schema])
 
-    size = F.array_max(F.transform(F.arrays_zip("re", "im"), lambda z: F.hypot(z["re"], z["im"])))
-    tops = spectra.groupBy("trace").agg(F.max(size).alias("top"))
-    parts = spectra.join(tops, "trace").select("trace", "k", "top", "re", "im").mapInArrow(work, schema)
+    if "top" not in spectra.columns:
+        size = F.array_max(F.transform(F.arrays_zip("re", "im"), lambda z: F.hypot(z["re"], z["im"])))
+        spectra = spectra.join(spectra.groupBy("trace").agg(F.max(size).alias("top")), "trace")
+    parts = spectra.select("trace", "k", "top", "re", "im").mapInArrow(work, schema)
     return parts.groupBy("trace", "i").agg(F.sum("re").alias("re"), F.sum("im").alias("im"))
 
 
