@@ -4,7 +4,8 @@ A transform of n samples is n spectra of n numbers. The window positions of a se
 block meets only the samples its Gaussians reach (where they are above 2**-53 of their top): a halo join, after
 which spectra come from zero padding, some positions at a time. A spectrum is cheaper to compute again than to keep,
 so the misfit goes over the blocks three times: for the largest size, for the numbers that can be merged
-once it is known (largest weights, sums scaled later), and for jumps and adjoint signal.
+once it is known (largest weights, sums scaled later), and for jumps and adjoint signal. A series of one small block
+is done in one pass.
 """
 
 import numpy as np
@@ -182,6 +183,14 @@ def phase_misfit(samples, min_period, max_period, dt=1.0, max_criterion=7, thres
         with np.errstate(invalid="ignore", divide="ignore"):
             return np.nan_to_num(raw**2 * phase * synthetic / (m + np.abs(synthetic) ** 2))
 
+    def signal_of(weighted, z, at, count, ks, lead, largest, loud):
+        """Jumps and adjoint samples of the positions ks; ``weighted`` has ``lead`` positions before them."""
+        field = weighted / largest if largest > 0 else np.zeros(weighted.shape)
+        jumps = (np.abs(np.diff(field, axis=0)) > 0.7).sum() + (np.abs(np.diff(field[lead:], axis=1)) > 0.7).sum()
+        keep = np.abs(z).max(axis=1) >= loud * threshold
+        g = kernels.gaussian((at + np.arange(count) - ks[keep, None]) * step, width)
+        return jumps, (np.fft.ifft(z[keep], axis=1).imag[:, at : at + count] * g).sum(axis=0)
+
     def positions(chunk, n):
         return steps(chunk * size, min((chunk + 1) * size, n), n)
 
@@ -215,15 +224,36 @@ def phase_misfit(samples, min_period, max_period, dt=1.0, max_criterion=7, thres
             for ks in positions(c, count):
                 lead = 1 if ks[0] > 0 else 0  # one position before, for the step between blocks
                 phase, raw = cells_of(x, y, at, count, np.arange(ks[0] - lead, ks[-1] + 1), t, level)
-                field = raw * phase / largest if largest > 0 else np.zeros(raw.shape)
-                jumps += (np.abs(np.diff(field, axis=0)) > 0.7).sum() + (np.abs(np.diff(field[lead:], axis=1)) > 0.7).sum()
                 z = kernel_of(y, at, count, ks, ts, level, phase[lead:], raw[lead:])
-                keep = np.abs(z).max(axis=1) >= loud * threshold
-                g = kernels.gaussian((at + np.arange(len(x)) - ks[keep, None]) * step, width)
-                a += (np.fft.ifft(z[keep], axis=1).imag[:, at : at + len(x)] * g).sum(axis=0)
+                more, part = signal_of(raw * phase, z, at, len(x), ks, lead, largest, loud)
+                jumps, a = jumps + more, a + part
             out.append((int(jumps), a * np.sqrt(2 * np.pi) * step))
         return pd.DataFrame(out, columns=["jumps", "a"])
 
+    tops = T.StructType()
+    for c in "m", "w", "x", "z", "total":
+        tops = tops.add(c, T.DoubleType())
+
+    @F.pandas_udf(tops.add("jumps", T.LongType()).add("a", DOUBLES))
+    def at_once(d: pd.Series, s: pd.Series, lo: pd.Series, n: pd.Series, top: pd.Series, top_s: pd.Series) -> pd.DataFrame:
+        out = []
+        for x, y, at, count, t, ts in zip(d, s, lo, n, top, top_s):
+            ks = np.arange(count)
+            c = kernels.correlation_rows(x, y, at, count, ks, width, step, t, threshold)
+            m = np.abs(c).max() / 10
+            phase, raw = np.angle(c), kernels.phase_weights(c, m, min_period, max_period, step)
+            weighted, z = raw * phase, kernel_of(y, at, count, ks, ts, m, phase, raw)
+            most = np.maximum(0.0, [raw.max(), np.abs(weighted).max(), np.abs(z).max()])
+            jumps, a = signal_of(weighted, z, at, len(x), ks, 0, most[1], most[2])
+            out.append((m, *most, (weighted**2).sum(), int(jumps), a * np.sqrt(2 * np.pi) * step))
+        return pd.DataFrame(out, columns=["m", "w", "x", "z", "total", "jumps", "a"])
+
+    # a series that is one block and one step is done in one pass
+    short = F.expr(f"n <= {size} and n * n <= {CELLS}")
+    once = rows.where(short).select("trace", F.col("n").alias("_n"), "lo", at_once("d", "s", "lo", "n", "top_d", "top_s").alias("r"))
+    once = materialise(once.select("trace", "_n", "lo", "r.*"), "tf-short")
+    rows = rows.where(~short)
+
     block = ["d", "s", "lo", "n", "chunk", "top_d"]
     level = rows.select("trace", largest_size(*block).alias("size")).groupBy("trace").agg((F.max("size") / 10).alias("m"))
     merged = rows.join(level, "trace").select("trace", "n", "m", mergeable(*block, "top_s", "m").alias("r")).groupBy("trace").agg(
@@ -232,6 +262,8 @@ def phase_misfit(samples, min_period, max_period, dt=1.0, max_criterion=7, thres
     merged = materialise(merged, "tf-tops")
     found = rows.join(merged.select("trace", "m", "x", "z"), "trace").select("trace", "lo", signals(*block, "top_s", "m", "x", "z").alias("r"))
     found = materialise(found.select("trace", "lo", "r.*"), "tf-signals")
+    merged = merged.unionByName(once.select(*merged.columns))
+    found = found.unionByName(once.select(*found.columns))
 
     weighted = F.when(F.col("w") > 0, F.col("total") / F.col("w") ** 2).otherwise(0.0)
     jumps = found.groupBy("trace").agg(F.sum("jumps").alias("jumps"))

@@ -31,3 +31,20 @@ def test_spectra_with_tops_are_not_shuffled(spark, monkeypatch):
     # no join above the spectra
     plan = back._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 2 and "Join" not in plan[: plan.rindex("MapInArrow")]
+
+
+def test_series_of_one_block_take_one_pass(spark, monkeypatch):
+    """The same misfits and adjoint samples as in three passes over blocks, which only the long series still takes."""
+    df = spark.createDataFrame(series([41, 65, 300]), SCHEMA)
+    seen, steps = [], timefrequency.materialise
+    monkeypatch.setattr(timefrequency, "materialise", lambda table, name: seen.append((name, steps(table, name))) or seen[-1][1])
+    one = timefrequency.phase_misfit(df, 4.0, 20.0)
+    counts = {name: table.count() for name, table in seen}
+    assert counts["tf-short"] == 2 and counts["tf-tops"] == 1
+    monkeypatch.setattr(timefrequency, "CELLS", 40 * 40)
+    three = timefrequency.phase_misfit(df, 4.0, 20.0)
+    for a, b, keys in zip(one, three, (["trace"], ["trace", "i"])):
+        got, want = ({tuple(r[k] for k in keys): [r[c] for c in a.columns] for r in x.collect()} for x in (a, b))
+        assert set(got) == set(want)
+        for k in got:
+            assert got[k] == pytest.approx(want[k], rel=1e-9, abs=1e-9)
