@@ -13,6 +13,8 @@ from seispark.session import materialise
 
 #: Candidates that a text names in one group of tiles in the first round; each round names so many times more.
 FIRST, GROWTH = 16, 16
+#: Bits of a sketch, one for each remainder of the hashes.
+BITS = 512
 #: Links that one task shortens at a time.
 SHORTEN = 1 << 18
 KEY = ["_c", "_s", "_k"]
@@ -35,6 +37,38 @@ def alike(a, b, similarity):
     return both >= similarity * (len(a) + len(b) - both)
 
 
+def sketch(hashes):
+    """Size of a set of hashes, then for each remainder by ``BITS`` whether an odd number of them leaves it; as bytes."""
+    odd = np.bincount((hashes % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return len(hashes).to_bytes(8, "big") + np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def may_be_alike(a, b, i, j, similarity):
+    """False only for rows ``i`` of sketches ``a`` and ``j`` of ``b`` whose sets are not alike.
+
+    Each hash that only one of two sets holds changes one bit, and their sizes by one: neither the bits that differ nor
+    the difference of sizes is more than the number of such hashes.
+    """
+    own, other = a[i, 0].astype(np.int64), b[j, 0].astype(np.int64)
+    bits = np.zeros(len(i), np.int64)
+    for k in range(1, a.shape[1]):
+        bits += np.bitwise_count(a[i, k] ^ b[j, k])
+    total, apart = own + other, np.maximum(bits, np.abs(own - other))
+    return total - apart >= similarity * (total + apart)
+
+
+def sketches(docs, shingle, text_col):
+    """(_h, _sketch) of every distinct text."""
+
+    def work(batches):
+        for batch in batches:
+            found = [sketch(shingle_set(t or b"", shingle)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["_h", "_sketch"])
+
+    _, h, text = row_key(text_col, text_col)
+    return docs.select(h, text.cast("binary")).mapInArrow(work, "_h long, _sketch binary").groupBy("_h").agg(F.first("_sketch").alias("_sketch"))
+
+
 def distinct_texts(docs, shingle, lanes, least, id_col, text_col):
     """(_id, _h, _fp, _cell) of every row: text hash, fingerprint, and the fingerprint's population count."""
 
@@ -52,8 +86,8 @@ def distinct_texts(docs, shingle, lanes, least, id_col, text_col):
 
 
 def tiles_of(texts, sizes):
-    """Texts (_h, _fp, _cell, _label) of each tile as one value: fingerprint, text hash and label in a row of longs."""
-    row = F.concat(F.hex("_fp"), F.lpad(F.hex("_h"), 16, "0"), F.lpad(F.hex("_label"), 16, "0"))
+    """Texts (_h, _fp, _cell, _label, _sketch) of each tile as one value: fingerprint, text hash, label and sketch in a row of longs."""
+    row = F.concat(F.hex("_fp"), F.lpad(F.hex("_h"), 16, "0"), F.lpad(F.hex("_label"), 16, "0"), F.hex("_sketch"))
     dealt = texts.join(F.broadcast(sizes), "_cell").withColumn("_sub", F.pmod(F.xxhash64("_h"), F.col("_subs")))
     return dealt.groupBy("_cell", "_sub").agg(F.unhex(F.array_join(F.collect_list(row), "")).alias("_tile"))
 
@@ -79,10 +113,11 @@ def mixed(a, b):
     return (x ^ (x >> np.uint64(31))).view(np.int64)
 
 
-def name_candidates(home, rest, same, active, lanes, radius, take):
+def name_candidates(home, rest, same, active, lanes, radius, similarity, take):
     """Links from rows of ``home`` to rows of ``rest`` within the radius whose labels differ: (i, j, steps), and which rows have more.
 
-    Both are arrays (fingerprint, text hash, label) in their order; ``same`` marks rows of ``rest`` that are of the home
+    Both are arrays (fingerprint, text hash, label, sketch if any) in the order of text hashes; pairs that sketches tell
+    not to be alike are no links. ``same`` marks rows of ``rest`` that are of the home
     tile, of which only later ones count. ``active`` has the rows that look, and the place each begins at. Each row
     goes through ``rest`` in an order of its own, mixed from both text hashes: no row is named by all others, and links
     of a group lie so that few steps lead from one text to any other, which keeps the component search short.
@@ -90,6 +125,7 @@ def name_candidates(home, rest, same, active, lanes, radius, take):
     out, more = [], []
     block = max(1, (1 << 20) // max(1, len(rest)))
     others = [np.ascontiguousarray(rest[:, k]) for k in range(lanes)]
+    h, label, sketched = lanes, lanes + 1, lanes + 2
     for lo in range(0, len(active), block):
         rows, start = active[lo : lo + block].T
         apart = np.bitwise_count(home[rows, 0, None] ^ others[0])
@@ -97,11 +133,14 @@ def name_candidates(home, rest, same, active, lanes, radius, take):
             apart += np.bitwise_count(home[rows, k, None] ^ others[k])
         at, j = np.nonzero(apart <= radius)
         i = rows[at]
-        steps = mixed(home[i, -2], rest[j, -2])
-        left = (home[i, -1] != rest[j, -1]) & (steps >= start[at])
+        steps = mixed(home[i, h], rest[j, h])
+        left = (home[i, label] != rest[j, label]) & (steps >= start[at])
         mine = same[j]
-        left &= ~mine | (home[i, -2] < rest[j, -2])
+        left &= ~mine | (home[i, h] < rest[j, h])
         i, j, steps = i[left], j[left], steps[left]
+        if home.shape[1] > sketched:
+            left = may_be_alike(home[:, sketched:], rest[:, sketched:], i, j, similarity)
+            i, j, steps = i[left], j[left], steps[left]
         order = np.lexsort((steps, i))
         i, j, steps = i[order], j[order], steps[order]
         rank = np.arange(len(i)) - np.searchsorted(i, i)
@@ -113,15 +152,16 @@ def name_candidates(home, rest, same, active, lanes, radius, take):
     return np.concatenate([none, *out]), np.concatenate([none, *more])
 
 
-def candidates(met, cursor, lanes, radius, take):
+def candidates(met, cursor, lanes, radius, similarity, take):
     """(a, b, key, start): links between text hashes; rows with a null ``b`` tell who has more candidates, and where they begin.
 
-    ``cursor`` has such rows of the round before, or is None in the first round.
+    ``cursor`` has such rows of the round before, or is None in the first round, whose tiles are without sketches.
     """
+    width = lanes + 2 + (0 if cursor is None else 1 + BITS // 64)
 
     def rows_of(blob):
-        rows = np.frombuffer(blob, ">u8").astype(np.uint64).reshape(-1, lanes + 2)
-        return rows[np.argsort(rows[:, -2])]
+        rows = np.frombuffer(blob, ">u8").astype(np.uint64).reshape(-1, width)
+        return rows[np.argsort(rows[:, lanes])]
 
     def compare(key, pdf, state=None):
         own, rest = pdf[pdf["_side"] == 0], pdf[pdf["_side"] == 1]
@@ -130,15 +170,15 @@ def candidates(met, cursor, lanes, radius, take):
             return empty
         home, visitors = rows_of(own["_tile"].iloc[0]), rows_of(b"".join(rest["_tile"]))
         twin = rest[(rest["_cell"] == rest["_c"]) & (rest["_sub"] == rest["_s"])]
-        same = np.isin(visitors[:, -2], home[:, -2]) if len(twin) else np.zeros(len(visitors), bool)
+        same = np.isin(visitors[:, lanes], home[:, lanes]) if len(twin) else np.zeros(len(visitors), bool)
         if state is None:
             active = np.stack([np.arange(len(home)), np.full(len(home), np.iinfo(np.int64).min)], axis=1)
         else:
-            at = np.searchsorted(home[:, -2], state["a"].to_numpy(np.int64).view(np.uint64))
+            at = np.searchsorted(home[:, lanes], state["a"].to_numpy(np.int64).view(np.uint64))
             active = np.stack([at, state["start"].to_numpy(np.int64)], axis=1)
-        links, more = name_candidates(home, visitors, same, active, lanes, radius, take)
-        named = home[:, -2].view(np.int64) if home[:, -2].flags.c_contiguous else home[:, -2].copy().view(np.int64)
-        found = visitors[:, -2].copy().view(np.int64)
+        links, more = name_candidates(home, visitors, same, active, lanes, radius, similarity, take)
+        named = home[:, lanes].copy().view(np.int64)
+        found = visitors[:, lanes].copy().view(np.int64)
         a = np.concatenate([named[links[:, 0]], named[more[:, 0]]])
         b = np.concatenate([found[links[:, 1]], np.zeros(len(more), np.int64)])
         out = pd.DataFrame({"a": a, "b": pd.array(b, "Int64"), "_c": key[0], "_s": key[1], "_k": key[2], "start": 0})
@@ -230,23 +270,26 @@ def near_copies(docs, shingle=5, similarity=0.8, lanes=2, radius=28, least=7, ti
     Texts meet tile by tile. In each round a text names a few candidates that no verified link connects with it yet,
     and goes on behind them in the next round if there are more; rounds end when no text has any left. So a group
     of copies needs links in proportion to its texts, not its pairs, and a pair is left out only where it
-    could connect nothing new.
+    could connect nothing new. From the second round on tiles hold sketches of the sets, so that in a group of texts that are near
+    but not alike nearly all pairs end in their tiles; a sketch rules out only what the sets would.
     """
     prints = materialise(distinct_texts(docs, shingle, lanes, least, id_col, text_col), "fingerprints")
     texts = materialise(prints.groupBy("_h").agg(F.first("_fp").alias("_fp"), F.first("_cell").alias("_cell")), "texts")
     sizes = materialise(texts.groupBy("_cell").agg(F.ceil(F.count("*") / tile).alias("_subs")), "cells")
-    own = texts.withColumn("_label", F.col("_h"))
-    label, cursor, take = None, None, FIRST
+    own = texts.withColumn("_label", F.col("_h")).withColumn("_sketch", F.lit(b""))
+    label, cursor, known, take = None, None, None, FIRST
     while True:
         met = meetings(materialise(tiles_of(own, sizes), "tiles"), sizes, radius, lanes, fan)
-        found = materialise(candidates(met, cursor, lanes, radius, take), "candidates")
+        found = materialise(candidates(met, cursor, lanes, radius, similarity, take), "candidates")
         links = materialise(verified(found.where("b is not null").select("a", "b"), docs, shingle, similarity, text_col), "near-links")
         if label is None or not links.isEmpty():
             label = materialise(relabelled(label, links), "roots")
         cursor, take = found.where("b is null"), take * GROWTH
         if cursor.isEmpty():
             return prints.join(label, "_h", "left").select("_id", "_h", F.coalesce("root", "_h").alias("root"))
-        own = texts.join(label, "_h", "left").select("_h", "_fp", "_cell", F.coalesce("root", "_h").alias("_label"))
+        if known is None:
+            known = materialise(sketches(docs, shingle, text_col), "sketches")
+        own = texts.join(label, "_h", "left").join(known, "_h").select("_h", "_fp", "_cell", F.coalesce("root", "_h").alias("_label"), "_sketch")
 
 
 def one_of_each(docs, id_col="doc_id", text_col="text", **options):

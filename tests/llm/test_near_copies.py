@@ -95,6 +95,48 @@ def test_candidates_that_are_not_alike_do_not_hide_those_that_are(spark, monkeyp
     assert kept == sorted(set(want)) and 25 not in kept
 
 
+def test_group_near_but_not_alike_names_links_by_its_texts(spark, monkeypatch):
+    """Two words of each text are its own, so that pairs share about 0.65: no link connects them, and their pairs end in the tiles."""
+    random.seed(12)
+    base, texts = ["b%d" % k for k in range(100)], []
+    for k in range(150):
+        own = list(base)
+        for at in random.sample(range(100), 2):
+            own[at] = f"own{k}-{at}"
+        texts.append(" ".join(own))
+    rows = list(enumerate([*texts, texts[3] + " tail", "tail " + texts[140]]))
+    listed, verified = [], near_copies.verified
+
+    def counted(links, *others):
+        listed.append(links.count())
+        return verified(links, *others)
+
+    monkeypatch.setattr(near_copies, "verified", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(r["doc_id"] for r in near_copies.one_of_each(docs, radius=64).collect())
+    assert kept == sorted(set(plain_groups(rows, 64))) and not {150, 151} & set(kept)
+    assert len(rows) < sum(listed) <= (near_copies.FIRST + 1) * len(rows)
+
+
+def test_sketches_rule_out_only_sets_that_are_not_alike():
+    rng = np.random.default_rng(4)
+    sets = [np.zeros(0, np.uint64)]
+    for size in 1, 9, 90, 900, 9000:
+        base = rng.integers(0, 2**63, size, np.uint64)
+        for part in 0, 0.05, 0.1, 0.112, 0.2, 0.5, 1:
+            other = base.copy()
+            other[: int(size * part)] = rng.integers(0, 2**63, int(size * part), np.uint64)
+            sets += [np.unique(other), np.unique(other[int(size * part) :])]
+    rows = np.stack([np.frombuffer(near_copies.sketch(s), ">u8").astype(np.uint64) for s in sets])
+    i, j = (x.ravel() for x in np.indices((len(sets), len(sets))))
+    for similarity in 0.5, 0.8, 0.9, 1.0:
+        left = near_copies.may_be_alike(rows, rows, i, j, similarity)
+        true = np.array([near_copies.alike(sets[a], sets[b], similarity) for a, b in zip(i, j)])
+        assert not (true & ~left).any() and true.sum() >= len(sets) and left.sum() < len(left) / 2
+        small = np.array([max(len(sets[a]), len(sets[b])) < 200 for a, b in zip(i, j)])
+        assert (left & ~true & small).sum() <= 0.05 * small.sum()
+
+
 def test_columns_repeated_rows_and_empty_table(spark):
     rows = [(1, "a text of more than five words", 2)] * 40 + [(None, None, 3), (2, "another text that has more words", 4)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, _h int")
