@@ -57,16 +57,17 @@ def may_be_alike(a, b, i, j, similarity):
     return total - apart >= similarity * (total + apart)
 
 
-def sketches(docs, shingle, text_col):
-    """(_h, _sketch) of every distinct text."""
+def sets_of(named, docs, shingle, text_col, form):
+    """(_h, _set) of the texts that ``named`` (_h) names; ``form`` makes bytes of the sorted hashes."""
+    _, h, text = row_key(text_col, text_col)
+    rows = docs.select(h, text).join(named, "_h", "left_semi").groupBy("_h").agg(F.first("_text").alias("_text"))
 
     def work(batches):
         for batch in batches:
-            found = [sketch(shingle_set(t or b"", shingle)) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["_h", "_sketch"])
+            found = [form(shingle_set(t or b"", shingle)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["_h", "_set"])
 
-    _, h, text = row_key(text_col, text_col)
-    return docs.select(h, text.cast("binary")).mapInArrow(work, "_h long, _sketch binary").groupBy("_h").agg(F.first("_sketch").alias("_sketch"))
+    return rows.select("_h", F.col("_text").cast("binary")).mapInArrow(work, "_h long, _set binary")
 
 
 def distinct_texts(docs, shingle, lanes, least, id_col, text_col):
@@ -114,7 +115,7 @@ def mixed(a, b):
 
 
 def name_candidates(home, rest, same, active, lanes, radius, similarity, take):
-    """Links from rows of ``home`` to rows of ``rest`` within the radius whose labels differ: (i, j, steps), and which rows have more.
+    """Links from rows of ``home`` to rows of ``rest`` within the radius whose labels differ: (i, j), which rows have more, and to which rows of ``rest``.
 
     Both are arrays (fingerprint, text hash, label, sketch if any) in the order of text hashes; pairs that sketches tell
     not to be alike are no links. ``same`` marks rows of ``rest`` that are of the home
@@ -122,7 +123,7 @@ def name_candidates(home, rest, same, active, lanes, radius, similarity, take):
     goes through ``rest`` in an order of its own, mixed from both text hashes: no row is named by all others, and links
     of a group lie so that few steps lead from one text to any other, which keeps the component search short.
     """
-    out, more = [], []
+    out, more, late = [], [], []
     block = max(1, (1 << 20) // max(1, len(rest)))
     others = [np.ascontiguousarray(rest[:, k]) for k in range(lanes)]
     h, label, sketched = lanes, lanes + 1, lanes + 2
@@ -148,14 +149,16 @@ def name_candidates(home, rest, same, active, lanes, radius, similarity, take):
         out.append(np.stack([i[kept], j[kept]], axis=1))
         last = (rank == take - 1) & np.append(i[1:] == i[:-1], False)
         more.append(np.stack([i[last], steps[last] + 1], axis=1))  # a larger place follows
+        late.append(np.unique(j[~kept]))
     none = np.zeros((0, 2), np.int64)
-    return np.concatenate([none, *out]), np.concatenate([none, *more])
+    return np.concatenate([none, *out]), np.concatenate([none, *more]), np.unique(np.concatenate([none[:, 0], *late]))
 
 
 def candidates(met, cursor, lanes, radius, similarity, take):
-    """(a, b, key, start): links between text hashes; rows with a null ``b`` tell who has more candidates, and where they begin.
+    """(a, b, key, start): links between text hashes; rows with a ``start`` tell who has more candidates, and where they begin.
 
-    ``cursor`` has such rows of the round before, or is None in the first round, whose tiles are without sketches.
+    Rows with neither ``b`` nor ``start`` name those candidates, each once for a key.
+    ``cursor`` has the rows with a ``start`` of the round before, or is None in the first round, whose tiles are without sketches.
     """
     width = lanes + 2 + (0 if cursor is None else 1 + BITS // 64)
 
@@ -176,14 +179,15 @@ def candidates(met, cursor, lanes, radius, similarity, take):
         else:
             at = np.searchsorted(home[:, lanes], state["a"].to_numpy(np.int64).view(np.uint64))
             active = np.stack([at, state["start"].to_numpy(np.int64)], axis=1)
-        links, more = name_candidates(home, visitors, same, active, lanes, radius, similarity, take)
+        links, more, late = name_candidates(home, visitors, same, active, lanes, radius, similarity, take)
         named = home[:, lanes].copy().view(np.int64)
         found = visitors[:, lanes].copy().view(np.int64)
-        a = np.concatenate([named[links[:, 0]], named[more[:, 0]]])
-        b = np.concatenate([found[links[:, 1]], np.zeros(len(more), np.int64)])
-        out = pd.DataFrame({"a": a, "b": pd.array(b, "Int64"), "_c": key[0], "_s": key[1], "_k": key[2], "start": 0})
-        out.loc[len(links) :, "b"] = pd.NA
-        out.loc[len(links) :, "start"] = more[:, 1]
+        a = np.concatenate([named[links[:, 0]], named[more[:, 0]], found[late]])
+        b, start = (pd.array(np.zeros(len(a), np.int64), "Int64") for _ in range(2))
+        ahead = len(links) + len(more)
+        b[: len(links)], b[len(links) :] = found[links[:, 1]], pd.NA
+        start[:], start[len(links) : ahead] = pd.NA, more[:, 1]
+        out = pd.DataFrame({"a": a, "b": b, "_c": key[0], "_s": key[1], "_k": key[2], "start": start})
         return out
 
     schema = "a long, b long, _c long, _s long, _k long, start long"
@@ -196,15 +200,7 @@ def candidates(met, cursor, lanes, radius, similarity, take):
 def verified(links, docs, shingle, similarity, text_col):
     """The links whose texts are alike: sets of the texts that links name, joined to both ends."""
     named = links.select(F.explode(F.array("a", "b")).alias("_h")).distinct()
-    _, h, text = row_key(text_col, text_col)
-    rows = docs.select(h, text).join(named, "_h", "left_semi").groupBy("_h").agg(F.first("_text").alias("_text"))
-
-    def sets(batches):
-        for batch in batches:
-            found = [shingle_set(t or b"", shingle).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["_h", "_set"])
-
-    known = materialise(rows.select("_h", F.col("_text").cast("binary")).mapInArrow(sets, "_h long, _set binary"), "shingle-sets")
+    known = materialise(sets_of(named, docs, shingle, text_col, np.ndarray.tobytes), "shingle-sets")
     known = known.select("_h", "_set", F.octet_length("_set").alias("_n"))
     # lengths first: a set moves only where the lengths leave room
     sized = links.join(known.select(F.col("_h").alias("a"), F.col("_n").alias("_na")), "a").join(known.select(F.col("_h").alias("b"), F.col("_n").alias("_nb")), "b")
@@ -270,8 +266,9 @@ def near_copies(docs, shingle=5, similarity=0.8, lanes=2, radius=28, least=7, ti
     Texts meet tile by tile. In each round a text names a few candidates that no verified link connects with it yet,
     and goes on behind them in the next round if there are more; rounds end when no text has any left. So a group
     of copies needs links in proportion to its texts, not its pairs, and a pair is left out only where it
-    could connect nothing new. From the second round on tiles hold sketches of the sets, so that in a group of texts that are near
-    but not alike nearly all pairs end in their tiles; a sketch rules out only what the sets would.
+    could connect nothing new. From the second round on tiles hold only the texts that have candidates
+    left or are such candidates, with sketches of their sets, so that in a group of texts that are near but not alike nearly
+    all pairs end in their tiles; a sketch rules out only what the sets would.
     """
     prints = materialise(distinct_texts(docs, shingle, lanes, least, id_col, text_col), "fingerprints")
     texts = materialise(prints.groupBy("_h").agg(F.first("_fp").alias("_fp"), F.first("_cell").alias("_cell")), "texts")
@@ -284,12 +281,14 @@ def near_copies(docs, shingle=5, similarity=0.8, lanes=2, radius=28, least=7, ti
         links = materialise(verified(found.where("b is not null").select("a", "b"), docs, shingle, similarity, text_col), "near-links")
         if label is None or not links.isEmpty():
             label = materialise(relabelled(label, links), "roots")
-        cursor, take = found.where("b is null"), take * GROWTH
+        cursor, take = found.where("start is not null"), take * GROWTH
         if cursor.isEmpty():
             return prints.join(label, "_h", "left").select("_id", "_h", F.coalesce("root", "_h").alias("root"))
+        dense = materialise(found.where("b is null").select(F.col("a").alias("_h")).distinct(), "dense")
         if known is None:
-            known = materialise(sketches(docs, shingle, text_col), "sketches")
-        own = texts.join(label, "_h", "left").join(known, "_h").select("_h", "_fp", "_cell", F.coalesce("root", "_h").alias("_label"), "_sketch")
+            known = materialise(sets_of(dense, docs, shingle, text_col, sketch), "sketches").withColumnRenamed("_set", "_sketch")
+        own = texts.join(dense, "_h", "left_semi").join(label, "_h", "left").join(known, "_h")
+        own = own.select("_h", "_fp", "_cell", F.coalesce("root", "_h").alias("_label"), "_sketch")
 
 
 def one_of_each(docs, id_col="doc_id", text_col="text", **options):
