@@ -185,38 +185,126 @@ def phase_weights(c, m, min_period, max_period, dt):
     return loud * band
 
 
-def gaussian_sums(own, other, lateral, radial, sums, met, block=64):
+def lifted(x, y, z, lateral, radial):
+    """Four coordinates of each place, and what their squared differences count, so that they add up to the square of the scaled distance at a velocity of one.
+
+    The radial part of a distance counts once more as a coordinate of its own: negative, if the radial length is the longer one.
+    """
+    lateral, radial = np.float64(lateral), np.float64(radial)
+    more = 1 / radial**2 - 1 / lateral**2
+    at = np.stack([x / lateral, y / lateral, z / lateral, np.sqrt(x * x + y * y + z * z) * np.sqrt(abs(more))], axis=1)
+    return at, np.array([1.0, 1.0, 1.0, np.sign(more)])
+
+
+def near_blocks(own, lateral, radial, most):
+    """Index arrays of at most ``most`` nodes (x, y, z, velocity, ...) that lie near one another and reach equally far: halves along the longest side."""
+    with np.errstate(all="ignore"):
+        at, _ = lifted(*own[:3], lateral, radial)
+        at = np.column_stack([at, 3 * own[3]])
+        waiting, blocks = [np.arange(len(at))], []
+        while waiting:
+            block = waiting.pop()
+            if len(block) <= most:
+                blocks.append(block)
+                continue
+            mine = at[block]
+            half = most * (-(-len(block) // most) // 2)
+            order = np.argpartition(mine[:, np.argmax(mine.max(axis=0) - mine.min(axis=0))], half)
+            waiting += [block[order[:half]], block[order[half:]]]
+    return blocks
+
+
+def gaussian_sums(own, other, lateral, radial, sums, met, blocks, shells=4, group=16):
     """Adds to ``sums`` (a row per node, a column per value) the values of the places within three sigma, times their weight.
 
     ``own`` are x, y, z, velocity and number of rows of the nodes, ``other`` x, y, z of the places and
-    their values. Sigma is a length times the velocity. ``met`` marks nodes with a place in reach. Nodes near one another are
-    worked on together, with the places that the box around them and their reach holds.
+    their values. Sigma is a length times the velocity. ``met`` marks nodes with a place in reach. The nodes of a block are
+    worked on together, with the places in shells around their middle: a node takes the shells that it reaches, and asks
+    single places only in those that lie across its reach. Distances are products of matrices; next to three sigma they are
+    computed again from the coordinates. Places are looked through once for each ``group`` of blocks, what that leaves once for each block.
     """
-    x, y, z, v, m = own
-    r = np.sqrt(x * x + y * y + z * z)
-    a = np.stack([x, y, z, r])
-    p, values = np.stack([*other[:3], np.sqrt(other[0] * other[0] + other[1] * other[1] + other[2] * other[2])]), np.stack(other[3:], axis=1)
-    far = 3 * max(lateral, radial) * v * (1 + 1e-9)
-    step = far.max()
-    with np.errstate(invalid="ignore"):
-        order = np.lexsort([np.floor(2 * c / step) for c in a[:3]]) if 0 < step < np.inf else np.arange(len(v))
-    for k in range(0, len(order), block):
-        at = order[k : k + block]
-        low, high = (a[:, at] - far[at]).min(axis=1), (a[:, at] + far[at]).max(axis=1)
-        near = np.flatnonzero(~((p < low[:, None]) | (p > high[:, None])).any(axis=0))
-        if not len(near):
-            continue
-        dx, dy, dz, dr = (a[c, at, None] - p[c, near] for c in range(4))
-        radius2 = dr * dr
-        across = np.maximum(dx * dx + dy * dy + dz * dz - radius2, 0.0)
-        u2 = radius2 / (radial * v[at, None]) ** 2 + across / (lateral * v[at, None]) ** 2
-        inside = u2 <= 9
-        w = np.exp(-0.5 * np.where(inside, u2, np.inf)) * m[at, None]
-        met[at] |= inside.any(axis=1)
-        mine = values[near]
-        odd = ~np.isfinite(mine).all(axis=1)
-        if odd.any():  # no weight of zero may meet them
-            some = np.where(inside[:, odd, None], w[:, odd, None] * mine[odd], 0.0)
-            sums[at] += some.sum(axis=1)
-            w, mine = w[:, ~odd], mine[~odd]
-        sums[at] += w @ mine
+    v, m = own[3], np.asarray(own[4], float)
+    values = np.stack(other[3:], axis=1)
+    some = np.flatnonzero(values.any(axis=0))  # columns of zeros add nothing
+    values = np.ascontiguousarray(values[:, some])
+    with np.errstate(all="ignore"):
+        a, counts = lifted(*own[:3], lateral, radial)
+        b, _ = lifted(*other[:3], lateral, radial)
+        # a distance that is never longer: that of all four coordinates, or of x, y, z by the longer length
+        exact = counts[3] >= 0
+        scale = np.ones(4) if exact else np.array([lateral / radial] * 3 + [0.0])
+        middle = a.mean(axis=0)
+        a, b = a - middle, b - middle
+        far = b * scale
+        square = (far * far).sum(axis=1)
+        odd = ~np.isfinite(values).all(axis=1)
+        exact = exact and not odd.any()
+        blur = 1e-13 * square.max(initial=0.0)
+
+        def around(at, far, square):
+            """Distances of nodes from their middle, that of the farthest place they reach, and the squared distances of places."""
+            centre = (a[at] * scale).mean(axis=0)
+            aside = np.sqrt(((a[at] * scale - centre) ** 2).sum(axis=1))
+            most = min((aside + 3 * v[at]).max() ** 2 * (1 + 1e-9) + blur, np.finfo(float).max)
+            d2 = far @ (-2 * centre)
+            d2 += square
+            d2 += centre @ centre
+            return aside, most, d2
+
+        for first in range(0, len(blocks), group):
+            _, most, d2 = around(np.concatenate(blocks[first : first + group]), far, square)
+            here = np.flatnonzero(d2 <= most)
+            b_here, far_here, square_here, values_here, odd_here = b[here], far[here], square[here], values[here], odd[here]
+            for at in blocks[first : first + group]:
+                aside, most, d2 = around(at, far_here, square_here)
+                near = np.flatnonzero(d2 <= most)
+                if not len(near):
+                    continue
+                shell = np.clip(d2[near] * (shells / most), 0, shells - 1).astype(np.uint8)
+                near = near[np.argsort(shell, kind="stable")]
+                ends = np.concatenate([[0], np.cumsum(np.bincount(shell, minlength=shells))])
+                radius2, three = np.arange(shells + 1) * (most / shells), 3 * v[at]
+                reached = (aside + three)[:, None] ** 2 * (1 + 1e-9) + blur >= radius2[None, :-1]
+                whole = (three - aside)[:, None] * (1 - 1e-9) >= np.sqrt(radius2[None, 1:] + blur) if exact else np.zeros(reached.shape, bool)
+                origin = a[at].mean(axis=0)
+                mine, theirs = a[at] - origin, np.empty((len(near), 6))
+                np.subtract(b_here[near], origin, out=theirs[:, :4])
+                theirs[:, 4] = 1
+                theirs[:, 5] = (theirs[:, :4] * theirs[:, :4]) @ counts
+                per = 1 / (v[at] * v[at])
+                mine = np.column_stack([mine * counts * per[:, None], -0.5 * per * ((mine * mine) @ counts), -0.5 * per])
+                value = values_here[near]
+                total = np.zeros((len(at), len(some)))
+                for k in np.flatnonzero(np.diff(ends)):
+                    lo, hi = ends[k], ends[k + 1]
+                    rows = np.flatnonzero(whole[:, k])
+                    if len(rows):
+                        w = mine[rows] @ theirs[lo:hi].T
+                        total[rows] += np.exp(w, out=w) @ value[lo:hi]
+                        met[at[rows]] = True
+                    rows = np.flatnonzero(reached[:, k] & ~whole[:, k])
+                    if len(rows):
+                        w = mine[rows] @ theirs[lo:hi].T
+                        inside, surely = w >= -4.5 - 1e-9, w >= -4.5 + 1e-9
+                        if np.count_nonzero(inside) != np.count_nonzero(surely):
+                            i, j = np.nonzero(inside & ~surely)
+                            inside[i, j] = _squared([c[at[rows[i]]] for c in own[:4]], [c[here[near[lo + j]]] for c in other[:3]], lateral, radial) <= 9
+                        met[at[rows]] |= inside.any(axis=1)
+                        np.exp(w, out=w)
+                        w *= inside
+                        it = odd_here[near[lo:hi]]
+                        if it.any():  # no weight of zero may meet them
+                            strange = np.where(inside[:, it, None], w[:, it, None] * value[lo:hi][it], 0.0)
+                            total[rows] += strange.sum(axis=1) + w[:, ~it] @ value[lo:hi][~it]
+                        else:
+                            total[rows] += w @ value[lo:hi]
+                sums[np.ix_(at, some)] += total * m[at, None]
+
+
+def _squared(own, other, lateral, radial):
+    """Square of the scaled distance of nodes (x, y, z, velocity) and places, one by one."""
+    (x, y, z, v), r = own, np.sqrt(own[0] * own[0] + own[1] * own[1] + own[2] * own[2])
+    dx, dy, dz, dr = x - other[0], y - other[1], z - other[2], r - np.sqrt(other[0] * other[0] + other[1] * other[1] + other[2] * other[2])
+    radius2 = dr * dr
+    across = np.maximum(dx * dx + dy * dy + dz * dz - radius2, 0.0)
+    return radius2 / (radial * v) ** 2 + across / (lateral * v) ** 2

@@ -14,8 +14,10 @@ from seispark.operators.fourier import _lists as lists
 from seispark.session import materialise
 
 CELL = ["cx", "cy", "cz"]
-#: Nodes and places of a tile, and tiles of nodes that are one part of a crowded cell.
-HOME, VISIT, TOGETHER = 512, 2048, 16
+#: Nodes that are worked on together, places of a part of a cell, and how many times ``HOME`` nodes are a part of a cell.
+HOME, VISIT, TOGETHER = 128, 1024, 128
+#: Binary digits of the fine cells along a side of a cell, and places that are worked on at a time.
+FINE, AT_ONCE = 3, 2**16
 
 
 def with_cell(points, size):
@@ -126,60 +128,106 @@ def interpolate(weights, fields):
     return weights.join(fields, "source").groupBy("node", "param").agg(F.sum(F.col("w") * F.col("value")).alias("value"))
 
 
-def _home_tiles(nodes, lateral, radial, min_period, velocity, by):
-    """Nodes that are smoothed, packed by cell: (*by, size, cx, cy, cz, _part) and an array for each of node, x, y, z, its velocity and its number of rows.
+def _home_parts(nodes, lateral, radial, min_period, velocity, by):
+    """Nodes that are smoothed, packed by cell: (*by, size, cx, cy, cz, _part), an array for each of node, x, y, z, velocity and number of rows, and the box they reach.
 
     sigma = length * velocity * min_period per node. Cells are as wide as the node's own reach of three sigma, to
-    the next power of two, so a fast region does not widen the search of a slow one. A cell holds tiles of about
-    ``HOME`` nodes, of which ``TOGETHER`` are one part. A node without a velocity above 0 has none. The tiles are a written table.
+    the next power of two, so a fast region does not widen the search of a slow one. A part of a cell has about
+    ``HOME * TOGETHER`` nodes. A node without a velocity above 0 or without a place has none. The parts are a written table.
     """
-    width = F.pow(F.lit(2.0), F.ceil(F.log2(F.lit(3.0 * max(lateral, radial) * min_period) * F.col("v"))))
-    own = nodes.where(F.col(velocity) > 0).groupBy(*by, "node", *"xyz", F.col(velocity).cast("double").alias("v")).agg(F.count("*").alias("m"))
-    own = own.withColumn("size", width).withColumns({c: F.floor(F.col(k) / F.col("size")) for c, k in zip(CELL, "xyz")})
-    return materialise(_packed(own, [*by, "size", *CELL], ["node", *"xyz", "v", "m"], HOME, ("node", *"xyz")), "home-tiles")
+    reach = F.lit(3.0 * max(lateral, radial) * min_period) * F.col("v")
+    width = F.pow(F.lit(2.0), F.ceil(F.log2(reach)))
+    some = nodes.where((F.col(velocity) > 0) & ~F.isnan(velocity) & _placed())
+    own = some.groupBy(*by, "node", *"xyz", F.col(velocity).cast("double").alias("v")).agg(F.count("*").alias("m"))
+    own = _in_cells(own.withColumn("size", width))
+    keys = [*by, "size", *CELL]
+    box = [f(F.col(k) + sign * reach * (1 + 1e-9)).alias(f"{end}{k}") for end, f, sign in (("lo", F.min, -1), ("hi", F.max, 1)) for k in "xyz"]
+    return materialise(_packed(_in_parts(own, keys, HOME * TOGETHER, ("node", *"xyz")), keys, ["node", *"xyz", "v", "m"], box), "home-parts")
+
+
+def _placed():
+    """Whether a row has a place: far from it are all others if a coordinate is no finite number."""
+    return F.sqrt(sum(F.col(k) * F.col(k) for k in "xyz")) < float("inf")
+
+
+def _in_cells(rows):
+    return rows.withColumns({c: F.floor(F.col(k) / F.col("size")) for c, k in zip(CELL, "xyz")})
 
 
-def _packed(rows, keys, columns, most, dealt):
-    """Rows of each key in tiles of about ``most`` rows (_tile, and _part of ``TOGETHER`` tiles), an array per column."""
-    tiles = rows.groupBy(*keys).agg(F.ceil(F.count("*") / most).alias("_tiles"))
+def _in_parts(rows, keys, most, dealt):
+    """Rows with _part: the rows of a cell (``keys``) in parts of about ``most`` that lie together.
+
+    A part goes on from one fine cell to the next one; a fine cell with more rows than a part is dealt to several.
+    """
+    digits = []
+    for k, (c, x) in enumerate(zip(CELL, "xyz")):
+        at = F.greatest(F.least(F.floor((F.col(x) / F.col("size") - F.col(c)) * 2**FINE), F.lit(2**FINE - 1)), F.lit(0))
+        digits += [F.shiftleft(F.shiftright(at, d).bitwiseAND(F.lit(1)), 3 * d + k) for d in range(FINE)]
+    rows = rows.withColumn("_fine", sum(digits))
+    before = Window.partitionBy(*keys).orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*keys, "_fine").agg(F.count("*").alias("_rows"))
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))  # at most 2^(3 FINE) rows of a cell
     # bounded memory whatever the rows of a key: no side is broadcast on a guess of its size
-    own = rows.join(tiles.hint("merge"), keys).withColumn("_tile", F.pmod(F.xxhash64(*dealt), F.col("_tiles")))
-    packed = own.groupBy(*keys, "_tile").agg(F.collect_list(F.struct(*columns)).alias("p"))
-    return packed.select(*keys, "_tile", F.floor(F.col("_tile") / TOGETHER).alias("_part"), *[F.col(f"p.{c}").alias(c) for c in columns])
+    own = rows.join(counts.hint("merge"), [*keys, "_fine"])
+    place = F.col("_before") + F.pmod(F.xxhash64(*dealt), F.col("_rows"))
+    return own.withColumn("_part", F.floor(place / most)).drop("_fine", "_rows", "_before")
+
+
+def _packed(rows, keys, columns, more=()):
+    """One row per part of a cell: an array for each of the columns."""
+    packed = rows.groupBy(*keys, "_part").agg(F.collect_list(F.struct(*columns)).alias("p"), *more)
+    return packed.select(*keys, "_part", *[F.col(f"p.{c}").alias(c) for c in columns], *[c for c in packed.columns if c not in (*keys, "_part", "p")])
 
 
-def _gaussian_sums(home, places, values, lateral, radial, min_period, by):
+def _visitors(home, places, by):
+    """The places with the parts of cells they lie in, once for each width in use, and the parts of nodes that such a part visits; two written tables.
+
+    A part visits the 27 cells around its own, of these the parts of nodes that reach its box.
+    """
+    keys = [*by, "size", *CELL]
+    used = home.agg(F.sort_array(F.collect_set("size")).alias("sizes"))  # one number for each power of two in use
+    at = _in_cells(places.where(_placed()).withColumn("size", F.explode(used.scalar())))
+    at = materialise(_in_parts(at, keys, VISIT, tuple("xyz")), "visiting-places")
+    boxes = at.groupBy(*keys, "_part").agg(*[f(k).alias(f"{end}{k}") for end, f in (("lo", F.min), ("hi", F.max)) for k in "xyz"])
+    around = boxes.withColumnsRenamed({c: f"_{c}" for c in [*CELL, "_part"]})
+    for c in CELL:
+        around = around.withColumn(c, F.explode(F.array(F.col(f"_{c}") - 1, F.col(f"_{c}"), F.col(f"_{c}") + 1)))
+    reached = home.select(*keys, "_part", *[F.col(f"{end}{k}").alias(f"_{end}{k}") for end in ("lo", "hi") for k in "xyz"])
+    meets = around.join(reached.hint("merge"), keys)
+    for k in "xyz":
+        meets = meets.where((F.col(f"lo{k}") <= F.col(f"_hi{k}")) & (F.col(f"hi{k}") >= F.col(f"_lo{k}")))
+    to = [F.col(c).alias(f"_to{c}") for c in [*CELL, "_part"]]
+    meets = meets.select(*by, "size", *[F.col(f"_{c}").alias(c) for c in [*CELL, "_part"]], *to)
+    return at, materialise(meets, "meetings")
+
+
+def _gaussian_sums(home, places, meets, values, lateral, radial, min_period, by):
     """(*by, node, *values): sums of the values (null: zero) of the places within three sigma of a node, times their Gaussian weight.
 
     The radial and the lateral part of the distance are scaled by their own sigma. Only nodes and places with equal
-    ``by`` meet. A place visits the 27 cells around it, once for each width in use, in tiles that are
-    joined to the tiles of nodes by cell and part; two tiles meet in one vectorised call, and no pair is a row. The sums of a
-    node come in several rows, at least one for each part of the places that it meets.
+    ``by`` meet. A part of the places of a cell goes to each part of nodes that it visits, which takes it in
+    vectorised calls; no pair is a row. The nodes of a part are one row, and its visitors come behind it.
+    The sums of a node come in a row for each of its places and velocities.
     """
     keys = [*by, "size", *CELL]
-    parts = home.groupBy(*keys).agg((F.max("_part") + 1).alias("_parts"))
-    used = home.agg(F.sort_array(F.collect_set("size")).alias("sizes"))  # one number for each power of two in use
     filled = places.withColumns({v: F.coalesce(v, F.lit(0.0)) for v in values})
-    at = filled.withColumn("size", F.explode(used.scalar())).withColumns({c: F.floor(F.col(k) / F.col("size")) for c, k in zip(CELL, "xyz")})
-    visit = _packed(at, keys, [*"xyz", *values], VISIT, tuple("xyz")).drop("_tile", "_part")
-    for c in CELL:
-        visit = visit.withColumn(c, F.explode(F.array(F.col(c) - 1, F.col(c), F.col(c) + 1)))
-    visit = visit.join(parts.hint("merge"), keys).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)))
-    visit = visit.select(*keys, "_part", *[F.col(k).alias(f"_{k}") for k in "xyz"], *values)
+    visit = _packed(filled, keys, [*"xyz", *values]).join(meets.hint("merge"), [*keys, "_part"])
+    nothing = {c: F.lit(None).cast(home.schema[c].dataType) for c in ("node", "v", "m")}
+    visit = visit.select(*by, "size", *[F.col(f"_to{c}").alias(c) for c in [*CELL, "_part"]], F.lit(1).alias("_visits"), *"xyz", *values, *[x.alias(c) for c, x in nothing.items()])
+    own = home.select(*keys, "_part", F.lit(0).alias("_visits"), *"xyz", *[F.lit(None).cast("array<double>").alias(v) for v in values], *nothing)
     # few bytes but much work: all tasks get some parts
-    met = spread(home, *keys, "_part").join(spread(visit, *keys, "_part").hint("merge"), [*keys, "_part"])
+    met = spread(own.unionByName(visit), *keys, "_part").sortWithinPartitions(*keys, "_part", "_visits")
     kept = [home.schema[c] for c in by] + [T.StructField("node", home.schema["node"].dataType.elementType)]
     schema = T.StructType(kept + [T.StructField(v, T.DoubleType()) for v in values])
 
     def work(batches):
-        at = None  # the tile of nodes at hand, whose visitors follow one another, and those not yet summed up
+        at = None  # the part of nodes at hand, and its visitors that are not yet summed up
 
         def add():
-            own, waiting = at["own"], at["waiting"]
-            if waiting:
-                other = [np.concatenate(x) for x in zip(*waiting)]
-                kernels.gaussian_sums(own, other, lateral * min_period, radial * min_period, at["sums"], at["met"])
-                waiting.clear()
+            if at["waiting"]:
+                other = [np.concatenate(x) for x in zip(*at["waiting"])]
+                kernels.gaussian_sums(at["own"], other, lateral * min_period, radial * min_period, at["sums"], at["met"], at["blocks"])
+                at["waiting"].clear()
 
         def summed():
             add()
@@ -188,22 +236,25 @@ def _gaussian_sums(home, places, values, lateral, radial, min_period, by):
             return pa.RecordBatch.from_arrays([*names, nodes, *[pa.array(x) for x in np.ascontiguousarray(at["sums"][at["met"]].T)]], schema.names)
 
         for batch in batches:
-            ids = list(zip(*[batch.column(c).to_pylist() for c in [*keys, "_tile"]]))
-            own, other = ([lists(batch.column(c)) for c in names] for names in ([*"xyz", "v", "m"], ["_x", "_y", "_z", *values]))
-            for row, key in enumerate(ids):
-                if at is None or at["key"] != key:
-                    if at is not None:
-                        yield summed()
-                    n = len(own[0][row])
-                    at = {"key": key, "own": [c[row] for c in own], "node": batch.column("node")[row].values, "head": batch.select(by).slice(row, 1)}
-                    at |= {"sums": np.zeros((n, len(values))), "met": np.zeros(n, bool), "waiting": []}
-                at["waiting"].append([c[row] for c in other])
-                if sum(len(x[0]) for x in at["waiting"]) >= VISIT:
-                    add()
+            visits = batch.column("_visits").to_pylist()
+            own, other = ([lists(batch.column(c)) for c in names] for names in ([*"xyz", "v", "m"], [*"xyz", *values]))
+            for row, visiting in enumerate(visits):
+                if visiting:
+                    at["waiting"].append([c[row] for c in other])
+                    if sum(len(x[0]) for x in at["waiting"]) >= AT_ONCE:
+                        add()
+                    continue
+                if at is not None:
+                    yield summed()
+                mine = [c[row].copy() for c in own]
+                n = len(mine[0])
+                at = {"own": mine, "node": batch.column("node")[row].values, "head": batch.select(by).slice(row, 1), "waiting": []}
+                at |= {"sums": np.zeros((n, len(values))), "met": np.zeros(n, bool)}
+                at["blocks"] = kernels.near_blocks(mine, lateral * min_period, radial * min_period, HOME)
         if at is not None:
             yield summed()
 
-    return met.select(*keys, "_tile", "node", *"xyz", "v", "m", "_x", "_y", "_z", *values).mapInArrow(work, schema)
+    return met.drop(*keys[len(by) :], "_part").mapInArrow(work, schema)
 
 
 def smooth(nodes, lateral, radial, min_period, velocity="velocity", by=(), value="value"):
@@ -214,8 +265,8 @@ def smooth(nodes, lateral, radial, min_period, velocity="velocity", by=(), value
     """
     by = list(by)
     places = nodes.groupBy(*by, "x", "y", "z").agg(F.sum(value).cast("double").alias("_total"), F.count(value).cast("double").alias("_copies"))
-    home = _home_tiles(nodes, lateral, radial, min_period, velocity, by)
-    sums = _gaussian_sums(home, places, ["_total", "_copies"], lateral, radial, min_period, by)
+    home = _home_parts(nodes, lateral, radial, min_period, velocity, by)
+    sums = _gaussian_sums(home, *_visitors(home, places, by), ["_total", "_copies"], lateral, radial, min_period, by)
     mean = sums.groupBy(*by, "node").agg(F.try_divide(F.sum("_total"), F.sum("_copies")).alias("_mean"))
     return nodes.join(mean, [*by, "node"], "left").select(*by, "node", F.coalesce("_mean", value).alias(value))
 
@@ -232,9 +283,9 @@ class ParameterSmoother:
     """Smooths updates (param, node, update) parameter by parameter, with one neighbour search for all of them.
 
     ``places`` has x, y, z of each node, ``model`` (param, node, velocity) the velocities that the smoothing lengths
-    follow. Parameters that follow one velocity share their neighbours: the nodes of each velocity are written once in tiles of cells, at
-    the first update, and each update goes past the tiles with all those parameters at a time. Weights are cheaper to
-    compute again than to keep: they grow with the square of the nodes, the tiles with the nodes.
+    follow. Parameters that follow one velocity share their neighbours: the nodes of each velocity are written once in parts of cells, at
+    the first update, and each update goes past the parts with all those parameters at a time. Weights are cheaper to
+    compute again than to keep: they grow with the square of the nodes, the parts with the nodes.
     """
 
     def __init__(self, places, model, params, lateral, radial, min_period):
@@ -242,24 +293,23 @@ class ParameterSmoother:
         self.places, self.lengths = places, (lateral, radial, min_period)
         speeds = model.where(F.col("param").isin(sorted(set(self.follows.values()))))
         self.nodes = speeds.select(F.col("param").alias("of"), "node", "velocity").join(places.select("node", "x", "y", "z").hint("merge"), "node")
-        self.home = self.places_of = self.place = None
+        self.home = self.visiting = self.meets = None
 
     def search(self):
-        """Writes (of, node, place), the places and the tiles of nodes; a place is named by the least of its nodes."""
-        keys = ["of", "x", "y", "z"]
-        self.places_of = materialise(self.nodes.groupBy(*keys).agg(F.min("node").alias("place")), "places")
-        self.place = materialise(self.nodes.join(self.places_of, keys).select("of", "node", "place"), "nodes-of-places")
-        self.home = _home_tiles(self.nodes, *self.lengths, "velocity", ["of"])
+        """Writes the parts of nodes, the nodes as they visit other parts, and which parts they visit."""
+        self.home = _home_parts(self.nodes, *self.lengths, "velocity", ["of"])
+        self.visiting, self.meets = _visitors(self.home, self.nodes.drop("velocity"), ["of"])
 
     def __call__(self, update):
         if self.home is None:
             self.search()
         to = F.create_map(*[F.lit(x) for pair in self.follows.items() for x in pair])
-        known = update.withColumn("of", to[F.col("param")]).join(self.place, ["of", "node"]).groupBy("of", "place").agg(
+        known = update.withColumn("of", to[F.col("param")]).join(self.visiting.hint("merge"), ["of", "node"])
+        known = known.groupBy("of", "size", *CELL, "_part", *"xyz").agg(
             *[x for p in self.follows for own in (F.when(F.col("param") == p, F.col("update")),) for x in (F.sum(own).cast("double").alias(f"_s_{p}"), F.count(own).cast("double").alias(f"_n_{p}"))]
         )
         values = [f"_{k}_{p}" for p in self.follows for k in "sn"]
-        sums = _gaussian_sums(self.home, self.places_of.join(known, ["of", "place"]), values, *self.lengths, ["of"])
+        sums = _gaussian_sums(self.home, known, self.meets, values, *self.lengths, ["of"])
         means = [F.try_divide(F.sum(f"_s_{p}"), F.sum(f"_n_{p}")).alias(p) for p in self.follows]
         mean = sums.groupBy("of", "node").agg(*means)
         both = F.explode(F.array(*[F.struct(F.lit(p).alias("param"), F.col(p).alias("_mean")) for p in self.follows]))

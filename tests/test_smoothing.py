@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from seispark.functions import kernels
 from seispark.operators import spatial
 
 
@@ -73,3 +74,81 @@ def test_pairs_are_neither_rows_nor_broadcast(spark, cloud):
     plan = spatial.smooth(many, 2.0, 0.5, 3.0, by=["by"])._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join Inner" in line and "_part" in line]
     assert joins and all("strategy=merge" in line for line in joins)
+
+
+def weighed(own, other, lateral, radial, most, **settings):
+    sums, met = np.zeros((len(own[0]), len(other) - 3)), np.zeros(len(own[0]), bool)
+    kernels.gaussian_sums(own, other, lateral, radial, sums, met, kernels.near_blocks(own, lateral, radial, most), **settings)
+    return sums, met
+
+
+def squares(own, other, lateral, radial):
+    """Squared scaled distance of every node and every place."""
+    p, q, v = np.stack(own[:3], axis=1)[:, None], np.stack(other[:3], axis=1)[None], own[3][:, None]
+    dr2 = (np.sqrt((p * p).sum(axis=2)) - np.sqrt((q * q).sum(axis=2))) ** 2
+    return dr2 / (radial * v) ** 2 + np.maximum(((p - q) ** 2).sum(axis=2) - dr2, 0.0) / (lateral * v) ** 2
+
+
+@pytest.mark.parametrize("lateral, radial", [(2.0, 0.5), (0.5, 2.0), (1.0, 1.0), (30.0, 0.1)])
+@pytest.mark.parametrize("most, settings", [(128, {}), (3, {"shells": 5, "group": 2}), (1000, {"shells": 1, "group": 1})])
+def test_shells_leave_nothing_out(lateral, radial, most, settings):
+    rng = np.random.default_rng(8)
+    own = [*rng.normal(0, 20, (3, 700)) + [[300.0], [0.0], [40.0]], rng.uniform(0.3, 6, 700), rng.integers(1, 3, 700)]
+    other = [*rng.normal(0, 25, (3, 900)) + [[300.0], [0.0], [40.0]], rng.normal(size=900), np.zeros(900), np.ones(900)]
+    own[3][5], other[3][7] = np.inf, np.inf
+    u2 = squares(own, other, lateral, radial)
+    w = np.where(u2 <= 9, np.exp(-u2 / 2), 0.0) * own[4][:, None]
+    sums, met = weighed(own, other, lateral, radial, most, **settings)
+    assert (met == (u2 <= 9).any(axis=1)).all()
+    np.testing.assert_allclose(sums[:, 2], w.sum(axis=1), rtol=1e-9)
+    assert (sums[:, 1] == 0).all() and (np.isinf(sums[:, 0]) == (u2[:, 7] <= 9)).all()
+    finite = np.arange(900) != 7
+    np.testing.assert_allclose(sums[u2[:, 7] > 9, 0], (w[:, finite] @ other[3][finite])[u2[:, 7] > 9], rtol=1e-9, atol=1e-9)
+
+
+def test_a_place_at_three_sigma_is_in_reach():
+    """Steps along an axis, all of them exact: the place six steps away is three sigma away."""
+    n = np.arange(40.0)
+    own = [0 * n, 0 * n, 1000.0 + n, np.full(40, 4.0), np.ones(40)]
+    sums, _ = weighed(own, [*own[:3], np.ones(40)], 1.0, 0.5, 7)
+    for k in range(40):
+        steps = [j for j in range(-6, 7) if 0 <= k + j < 40]
+        assert sums[k, 0] == pytest.approx(sum(np.exp(-((j / 2) ** 2) / 2) for j in steps), rel=1e-12)
+
+
+def test_few_pairs_out_of_reach_are_weighed(monkeypatch):
+    """The work is that of the pairs in reach, not of boxes around them."""
+    rng = np.random.default_rng(9)
+    x, y, z = rng.normal(size=(3, 6000))
+    r = rng.uniform(5900, 6400, 6000) / np.sqrt(x * x + y * y + z * z)
+    own = [x * r, y * r, z * r, rng.uniform(0.9, 1.9, 6000), np.ones(6000)]
+    seen, plain = [], np.exp
+
+    class Counting:
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def exp(self, w, **more):
+            seen.append(np.size(w))
+            return plain(w, **more)
+
+    monkeypatch.setattr(kernels, "np", Counting())
+    weighed(own, [*own[:3], np.ones(6000)], 600.0, 150.0, 32)
+    monkeypatch.undo()
+    assert sum(seen) < 3 * (squares(own, own, 600.0, 150.0) <= 9).sum()
+
+
+def test_a_part_of_nodes_is_visited_by_what_it_reaches(spark, monkeypatch):
+    """A crowded cell in many parts: places go to the parts near them, not to all parts of the cells around."""
+    monkeypatch.setattr(spatial, "HOME", 8)
+    monkeypatch.setattr(spatial, "TOGETHER", 4)
+    monkeypatch.setattr(spatial, "VISIT", 16)
+    rng = np.random.default_rng(10)
+    rows = [(k, *(float(v) for v in rng.uniform(0, 64, 3)), 0.55) for k in range(4000)]
+    nodes = spark.createDataFrame(rows, "node long, x double, y double, z double, velocity double")
+    home = spatial._home_parts(nodes, 10.0, 5.0, 1.0, "velocity", [])
+    places, meets = spatial._visitors(home, nodes.select("x", "y", "z"), [])
+    assert home.agg(F.sum(F.size("node"))).first()[0] == places.count() == 4000
+    assert home.agg(F.max(F.size("node"))).first()[0] <= 64 and home.count() > 60
+    visits = places.join(meets, ["size", *spatial.CELL, "_part"]).count()
+    assert visits < home.count() * 4000 / 2  # the 27 cells around hold them all
